@@ -30,12 +30,12 @@ def snapshot_events(snapshot: DataFrame, schema_name: str, table_name: str, pk:
         F.lit("r").alias("op"),
         F.array(*[F.col(c).cast("string") for c in pk]).alias("key"),
         row.alias("after"),
-        _scn_position(F.lit(scn)).alias("pos"),
+        scn_position(F.lit(scn)).alias("pos"),
         F.lit(0).alias("sub"),
     )
 
 
-def _scn_position(scn: Column) -> Column:
+def scn_position(scn: Column) -> Column:
     """The highest position of an SCN: a snapshot at F holds every change of F."""
     top = 2**31 - 1
     return F.struct(
@@ -52,8 +52,8 @@ def latest_rows(events: DataFrame) -> DataFrame:
     task by then, and a re-delivered event cannot change it: no de-duplication is needed."""
     return (
         events.groupBy(*TABLE, "key")
-        .agg(F.max_by(F.struct("op", "after", "pos"), F.struct("pos", "sub")).alias("last"))
-        .select(*TABLE, "key", "last.op", "last.after", "last.pos")
+        .agg(F.max_by(F.struct("op", "after", "pos", "sub"), F.struct("pos", "sub")).alias("last"))
+        .select(*TABLE, "key", "last.*")
     )
 
 

@@ -4,20 +4,33 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 SCHEMA = "S1"
 
 
+def _utc(df: DataFrame) -> DataFrame:
+    """Times without a zone are UTC, as everywhere in a change log."""
+    local = [f.name for f in df.schema if isinstance(f.dataType, T.TimestampNTZType)]
+    return df.withColumns({c: F.col(c).cast("timestamp") for c in local}) if local else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    return _utc(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str, **options: str) -> DataFrame:
     """The same table as an unbounded file source."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     path = os.path.join(sf_dir, f"{name}.parquet")
-    schema = spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).options(**options).parquet(path)
+    reader = spark.readStream.schema(spark.read.parquet(path).schema).options(**options)
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.getFileStatus(place).isDirectory():
+        return _utc(reader.parquet(path))
+    # a stream reads folders: the one file is picked out of its folder
+    return _utc(reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir))
 
 
 def order_changes(orders: DataFrame) -> DataFrame:
@@ -165,8 +178,12 @@ def clock(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lob_chunks(spark: SparkSession, sf_dir: str, size: int = 500) -> DataFrame:
-    """Document texts cut into pieces of ``size`` characters."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return cut_into_chunks(table(spark, sf_dir, "documents"), size)
+
+
+def cut_into_chunks(documents: DataFrame, size: int = 500) -> DataFrame:
+    """Document texts cut into pieces of ``size`` characters. Works on batch and stream."""
+    d = documents.select("doc_id", "text")
     pieces = F.greatest(F.lit(1), F.ceil(F.length("text") / size)).cast("int")
     rows = d.select("doc_id", "text", pieces.alias("n"), F.explode(F.sequence(F.lit(0), pieces - 1)).alias("seq"))
     return rows.select(
@@ -176,6 +193,7 @@ def lob_chunks(spark: SparkSession, sf_dir: str, size: int = 500) -> DataFrame:
         "seq",
         F.encode(F.substring("text", F.col("seq") * size + 1, F.lit(size)), "UTF-8").alias("bytes"),
         (F.col("seq") == F.col("n") - 1).alias("is_end"),
+        F.timestamp_seconds(F.col("doc_id") + 1_000_000).alias("commit_ts"),
     )
 
 

@@ -19,6 +19,7 @@ def build_session(app: str = "changeflow", cores: int | str = "*", **conf: str)
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "12g",
+        "spark.driver.host": "127.0.0.1",
         "spark.driver.bindAddress": "127.0.0.1",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         **conf,
