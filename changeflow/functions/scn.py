@@ -51,7 +51,7 @@ def commit_entry(entry: Column) -> Column:
 
 def pending_map(text: Column) -> Column:
     """``tx:scn,tx:scn`` as map<string,bigint>, blank entries removed."""
-    entries = F.filter(F.transform(F.split(text, ","), F.trim), lambda e: e != "")
+    entries = F.filter(F.transform(F.split(text, ","), lambda e: F.trim(e)), lambda e: e != "")
     pairs = F.transform(
         entries,
         lambda e: F.struct(F.substring_index(e, ":", 1), F.regexp_extract(e, r"^[^:]*:(.*)$", 1).try_cast("long")),

@@ -1,4 +1,10 @@
 """Importing this module registers every query."""
 
-from changeflow.plans import state_queries, stream_queries, value_queries  # noqa: F401
+from changeflow.plans import (  # noqa: F401
+    lob_queries,
+    log_queries,
+    state_queries,
+    stream_queries,
+    value_queries,
+)
 from changeflow.plans.registry import ORACLES, QUERIES  # noqa: F401
