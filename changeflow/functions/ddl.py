@@ -50,12 +50,11 @@ def names(listed: Column) -> Column:
 def items(body: Column) -> Column:
     """Top-level comma list inside one pair of brackets."""
     inner = F.regexp_replace(body, r"(?s)^\(|\)$", "")
-    return F.transform(F.regexp_extract_all(inner, F.lit(ITEM), F.lit(1)), F.trim)
+    return F.transform(F.regexp_extract_all(inner, F.lit(ITEM), F.lit(1)), lambda item: F.trim(item))
 
 
-def statement_kind(text: Column) -> Column:
-    """create, alter, drop, truncate, comment, other, or invalid."""
-    t = clean(text)
+def statement_kind(t: Column) -> Column:
+    """create, alter, drop, truncate, comment, other, or invalid. Takes a cleaned statement."""
     any_of = lambda words: "|".join(words)
     table = rf"(?is)^{{}}\s+TABLE\s+(?:IF\s+(?:NOT\s+)?EXISTS\s+)?{QNAME}{{}}"
     return (
@@ -78,9 +77,8 @@ def statement_kind(text: Column) -> Column:
     )
 
 
-def target_table(text: Column, default_schema: Column) -> Column:
-    """Schema and table a statement is about; the record's schema where the text names none."""
-    t = clean(text)
+def target_table(t: Column, default_schema: Column) -> Column:
+    """Schema and table a cleaned statement is about; the record's schema where the text names none."""
     head = rf"(?is)^(?:CREATE|ALTER|DROP|TRUNCATE)\s+TABLE\s+(?:IF\s+(?:NOT\s+)?EXISTS\s+)?{QNAME}"
     on_table = rf"(?is)^COMMENT\s+ON\s+TABLE\s+{QNAME}"
     on_column = rf"(?is)^COMMENT\s+ON\s+COLUMN\s+{QNAME}\s*\.\s*{IDENT}\s+IS"

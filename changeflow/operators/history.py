@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from changeflow.functions import ddl as d
-from changeflow.functions.ddl import statement_kind, target_table  # noqa: F401  (used by other operators)
+from changeflow.functions.ddl import statement_kind, target_table
 from changeflow.model import LOB_TYPES
 from changeflow.operators.ranges import asof_join, carry_in_group, lag_in_group, lead_in_group
 from changeflow.session import broadcast_if_small, cut_lineage
@@ -19,12 +19,18 @@ TABLE = ["schema_name", "table_name"]
 ITEMS = 65_536
 
 
-def classify_ddl(ddl: DataFrame) -> DataFrame:
+CLEAN = "__clean"
+
+
+def classify_ddl(ddl: DataFrame, keep_clean: bool = False) -> DataFrame:
     """``kind`` and the table a statement is about. Input: scn, schema_name, ddl_text."""
-    rest = [c for c in ddl.columns if c not in TABLE]
-    return ddl.select(
-        *rest, statement_kind(F.col("ddl_text")).alias("kind"), target_table(F.col("ddl_text"), F.col("schema_name")).alias("__t")
-    ).select(*rest, "kind", "__t.*")
+    rest = [c for c in ddl.columns if c not in (*TABLE, CLEAN)]
+    # staged, so that every text is cleaned once
+    rows = ddl.withColumn(CLEAN, d.clean(F.col("ddl_text")))
+    target = target_table(F.col(CLEAN), F.col("schema_name"))
+    return rows.select(*rest, CLEAN, statement_kind(F.col(CLEAN)).alias("kind"), target.alias("__t")).select(
+        *rest, CLEAN, "kind", "__t.*"
+    ).drop(*([] if keep_clean else [CLEAN]))
 
 
 def _item(action: str | Column, **fields: Column) -> Column:
@@ -62,8 +68,7 @@ _KEY = rf"(?is)^(?:CONSTRAINT\s+{d.IDENT}\s+)?PRIMARY\s+KEY\s*{d.NAMES}"
 _TABLE_RULE = r"(?is)^(?:CONSTRAINT|UNIQUE|FOREIGN|CHECK|INDEX|KEY)\b"
 
 
-def _create_items(text: Column) -> Column:
-    body = F.regexp_extract(text, rf"(?is)^CREATE\s+TABLE\s+(?:IF\s+NOT\s+EXISTS\s+)?{d.QNAME}\s*{d.BODY}", 3)
+def _create_items(body: Column) -> Column:
     parts = d.items(body)
     columns = F.filter(parts, lambda p: ~p.rlike(_KEY) & ~p.rlike(_TABLE_RULE))
     keys = F.filter(parts, lambda p: p.rlike(_KEY))
@@ -83,8 +88,8 @@ _ITEMS = (
 )
 
 
-def _alter_items(text: Column) -> Column:
-    act = F.regexp_extract(text, rf"(?is)^ALTER\s+TABLE\s+{d.QNAME}\s+(.*)$", 3)
+def _alter_items(act: Column) -> Column:
+    """Items of the part of an ALTER statement after the table name."""
     one = lambda item: F.array(item)
     rename_table = rf"(?is)^RENAME\s+(?:TO|AS)\s+{d.QNAME}\s*$"
     rename_col = rf"(?is)^RENAME\s+COLUMN\s+({d.IDENT})\s+TO\s+({d.IDENT})\s*$"
@@ -140,26 +145,35 @@ def _comment_items(text: Column) -> Column:
 
 def with_items(ddl: DataFrame) -> DataFrame:
     """Classified statements with the ``items`` they consist of; null where a statement is not understood."""
-    text = d.clean(F.col("ddl_text"))
+    text, body = F.col(CLEAN), F.col("__body")
+    rows = classify_ddl(ddl, keep_clean=True)
+    alter = rf"(?is)^ALTER\s+TABLE\s+{d.QNAME}\s+(.*)$"
+    create = rf"(?is)^CREATE\s+TABLE\s+(?:IF\s+NOT\s+EXISTS\s+)?{d.QNAME}\s*{d.BODY}"
+    rows = rows.withColumn(
+        "__body",
+        F.when(F.col("kind") == "create", F.regexp_extract(text, create, 3)).when(
+            F.col("kind") == "alter", F.regexp_extract(text, alter, 3)
+        ),
+    )
     found = (
-        F.when(F.col("kind") == "create", _create_items(text))
-        .when(F.col("kind") == "alter", _alter_items(text))
+        F.when(F.col("kind") == "create", _create_items(body))
+        .when(F.col("kind") == "alter", _alter_items(body))
         .when(F.col("kind") == "drop", F.array(_item("drop-table")))
         .when(F.col("kind") == "comment", _comment_items(text))
         .when(F.col("kind").isin("truncate", "other"), F.array().cast(_ITEMS))
     )
-    rows = classify_ddl(ddl).withColumn("items", found)
-    needs_column = F.col("items").isNotNull() & F.exists(
-        "items", lambda i: i["action"].isin("add", "modify", "rename", "drop") & i["column_name"].isNull()
+    rows = rows.withColumn("__found", found)
+    unnamed = F.exists(
+        "__found", lambda i: i["action"].isin("add", "modify", "rename", "drop") & i["column_name"].isNull()
     )
-    return rows.withColumn("items", F.when(~needs_column, F.col("items")))
+    return rows.withColumn("items", F.when(~unnamed, F.col("__found"))).drop("__found", "__body", CLEAN)
 
 
 def column_changes(ddl: DataFrame) -> DataFrame:
     """One row per change a statement makes: create, add, modify, rename, drop, set-pk, drop-pk, comment,
     rename-table, drop-table. Statements not understood are left to ``ddl_quarantine``."""
-    rows = with_items(ddl).filter(F.col("items").isNotNull())
-    return rows.select("scn", *TABLE, F.posexplode("items").alias("seq", "i")).select("scn", "seq", *TABLE, "i.*")
+    # a null list explodes to nothing
+    return with_items(ddl).select("scn", *TABLE, F.posexplode("items").alias("seq", "i")).select("scn", "seq", *TABLE, "i.*")
 
 
 def ddl_quarantine(ddl: DataFrame, policy: str = "skip") -> tuple[DataFrame, DataFrame]:

@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from changeflow.functions.ddl import clean, statement_kind, target_table
 from changeflow.model import IMAGE, position, table_name
+from changeflow.session import broadcast_if_small
 
 Key = list[str] | dict[str, list[str]]
 
@@ -36,8 +38,6 @@ def align_columns(log: DataFrame, schemas: DataFrame) -> DataFrame:
 
     ``schemas``: schema_name, table_name, columns (ordered names), deleted (names to ignore).
     """
-    from changeflow.session import broadcast_if_small
-
     known, _ = broadcast_if_small(schemas.select("schema_name", "table_name", "columns", "deleted"))
     joined = log.join(known, ["schema_name", "table_name"], "left")
     names = F.array_union(
@@ -143,12 +143,11 @@ def drop_unchanged(events: DataFrame) -> DataFrame:
 
 def truncate_events(log: DataFrame) -> DataFrame:
     """Truncate statements as ``op='t'`` events without images."""
-    from changeflow.operators.history import statement_kind, target_table
-
-    ddl = log.filter((F.col("lcr_type") == "DDL") & (statement_kind(F.col("ddl_text")) == "truncate"))
-    target = target_table(F.col("ddl_text"), F.col("schema_name"))
+    text = clean(F.col("ddl_text"))
+    # the cheap word test first: few statements are left for the full one
+    ddl = log.filter((F.col("lcr_type") == "DDL") & F.col("ddl_text").rlike("(?i)TRUNCATE") & (statement_kind(text) == "truncate"))
     return (
-        ddl.withColumn("__t", target)
+        ddl.withColumn("__t", target_table(text, F.col("schema_name")))
         .withColumn("schema_name", F.col("__t.schema_name"))
         .withColumn("table_name", F.col("__t.table_name"))
         .drop("__t")
@@ -233,8 +232,6 @@ def drift_report(log: DataFrame, schemas: DataFrame) -> DataFrame:
 
     Only distinct names per table leave the map side.
     """
-    from changeflow.session import broadcast_if_small
-
     known, _ = broadcast_if_small(schemas.select("schema_name", "table_name", "columns"))
     # the (few) distinct column sets are found first, so that a hot table does not funnel all its rows
     names = F.array_sort(

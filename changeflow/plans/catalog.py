@@ -3,6 +3,7 @@
 from changeflow.plans import (  # noqa: F401
     lob_queries,
     log_queries,
+    schema_queries,
     state_queries,
     stream_queries,
     value_queries,

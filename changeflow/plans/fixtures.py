@@ -261,3 +261,46 @@ def supplier_truncates(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("map<string,string>").alias("after"),
     )
     return _positioned(rows)
+
+
+def ddl_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Table statements per customer k: two tables, T<k> and "s1"."Mixed<k>", and their changes.
+
+    Which statements a customer has follows from k; statement n runs at SCN k * 100 + n.
+    """
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"))
+    k = F.col("k")
+    t = lambda pattern: F.format_string(pattern, *[k] * pattern.count("%d"))
+    now = F.when(k % 7 == 0, t("S1.R%d")).otherwise(t("S1.T%d"))
+    key_part = F.when(k % 2 == 0, "PRIMARY KEY (ID)").otherwise("CONSTRAINT PK1 PRIMARY KEY (ID)")
+    always = F.lit(True)
+    statements = (
+        (10, always, F.concat(
+            t("CREATE TABLE S1.T%d (ID NUMBER("), (k % 38 + 1).cast("string"), t(") NOT NULL, NOTE VARCHAR(200) DEFAULT 'x, (%d', AMT NUMBER(12,"),
+            (k % 5).cast("string"), F.lit("), "), key_part, F.lit(")"))),
+        (11, always, t('create table "s1"."Mixed%d" (ID INT PRIMARY KEY, D DATE DEFAULT SYSDATE NOT NULL, J JSON, B BLOB, C CLOB);')),
+        (12, k % 2 == 0, t("CREATE TABLE S1.T%d (X INT)")),
+        (20, always, t("ALTER TABLE S1.T%d ADD COLUMN TS TIMESTAMP(3)")),
+        (21, k % 3 == 0, F.concat(t("ALTER TABLE S1.T%d MODIFY NOTE VARCHAR("), (k % 500 + 1).cast("string"), F.lit(")"))),
+        (22, k % 4 == 0, t("ALTER TABLE S1.T%d RENAME COLUMN AMT TO AMOUNT")),
+        (23, k % 5 == 0, t("ALTER TABLE S1.T%d ADD CONSTRAINT PK2 PRIMARY KEY (ID, TS)")),
+        (24, k % 6 == 0, F.when(k % 12 == 0, t("ALTER TABLE S1.T%d DROP COLUMN NOTE")).otherwise(t("ALTER TABLE S1.T%d DROP COLUMN (NOTE)"))),
+        (25, k % 10 == 0, t("ALTER TABLE S1.T%d DROP PRIMARY KEY")),
+        (26, always, t("COMMENT ON TABLE S1.T%d IS 'orders %d'")),
+        (27, k % 2 == 1, t("COMMENT ON COLUMN S1.T%d.ID IS 'it''s the key'")),
+        (30, k % 7 == 0, t("ALTER TABLE S1.T%d RENAME TO R%d")),
+        (31, always, t("ALTER TABLE S1.NOPE%d ADD X INT")),
+        (32, always, F.concat(F.lit("TRUNCATE TABLE "), now, F.lit(" REUSE STORAGE"))),
+        (33, k % 9 == 0, F.lit("CREATE TABEL broken (")),
+        (34, k % 9 == 1, F.concat(F.lit("ALTER TABLE "), now, F.lit(" SHUFFLE EVERYTHING"))),
+        (35, always, t("CREATE INDEX I%d ON S1.T%d (ID)")),
+        (40, k % 13 == 0, F.concat(F.lit("DROP TABLE "), now)),
+        (41, k % 26 == 0, t("CREATE TABLE S1.T%d (Y INT DEFAULT 7 NOT NULL)")),
+        (42, k % 8 == 0, t('DROP TABLE "s1"."Mixed%d"')),
+    )
+    rows = F.array_compact(
+        F.array(*[
+            F.when(test, F.struct((k * 100 + n).alias("scn"), F.lit(n).alias("n"), text.alias("ddl_text"))) for n, test, text in statements
+        ])
+    )
+    return c.select("k", F.explode(rows).alias("e")).select("k", "e.*", F.lit(SCHEMA).alias("schema_name"))
