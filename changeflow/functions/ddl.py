@@ -1,24 +1,30 @@
-"""Column expressions that read table statements as text. Native regular expressions only."""
+"""Column expressions that read table statements as text. Native regular expressions only.
+
+A statement becomes a list of parts, each with one verb: ``ADD name type ...``, ``DROP name``,
+``RENAME COLUMN a TO b``. The parts are exploded to rows and read one by one, which keeps every
+expression small.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
 IDENT = r'(?:"[^"]+"|[A-Za-z_][A-Za-z0-9_$#]*+)'
-QNAME = rf"(?:({IDENT})\s*\.\s*)?({IDENT})"
+PATH = rf"{IDENT}(?:\s*\.\s*{IDENT}){{0,2}}"
 NAMES = rf"\(\s*({IDENT}(?:\s*,\s*{IDENT})*+)\s*\)"
 # one element of a comma list: runs without special characters, quoted text, brackets up to three deep
-_PAREN0 = r"\((?:[^()']++|'(?:[^']++|'')*+')*+\)"
-_PAREN1 = rf"\((?:[^()']++|'(?:[^']++|'')*+'|{_PAREN0})*+\)"
-_PAREN2 = rf"\((?:[^()']++|'(?:[^']++|'')*+'|{_PAREN1})*+\)"
-ITEM = rf"""((?:[^,()'"]++|'(?:[^']++|'')*+'|"[^"]*+"|{_PAREN2})++)"""
-BODY = rf"({_PAREN2})"
+_QUOTED = r"'(?:[^']++|'')*+'"
+_PAREN0 = rf"\((?:[^()']++|{_QUOTED})*+\)"
+_PAREN1 = rf"\((?:[^()']++|{_QUOTED}|{_PAREN0})*+\)"
+_PAREN2 = rf"\((?:[^()']++|{_QUOTED}|{_PAREN1})*+\)"
+ITEM = rf"""((?:[^,()'"]++|{_QUOTED}|"[^"]*+"|{_PAREN2})++)"""
 TYPE = (
     r"(INTERVAL\s+(?:YEAR|DAY)\s*(?:\([^()]*\))?\s*TO\s+(?:MONTH|SECOND)\s*(?:\([^()]*\))?"
     r"|TIMESTAMP\s*(?:\([^()]*\))?\s+WITH\s+(?:LOCAL\s+)?TIME\s+ZONE"
     r"|[A-Za-z_][A-Za-z0-9_]*\s*(?:\([^()]*\))?)"
 )
-DEFAULT = r"(?is)\bDEFAULT\s+('(?:[^']|'')*'|\((?:[^()]|\([^()]*\))*\)|[^\s,']+(?:\s*\([^()]*\))?)"
+_TABLE = r"TABLE\s+(?:IF\s+(?:NOT\s+)?EXISTS\s+)?"
+HEAD = rf"(?is)^(?:(?:CREATE|ALTER|DROP|TRUNCATE)\s+{_TABLE}|COMMENT\s+ON\s+(?:TABLE|COLUMN)\s+)({PATH})"
 
 # Words that may follow CREATE / ALTER / DROP without concerning a table's columns.
 OTHER_OBJECTS = (
@@ -30,21 +36,59 @@ OTHER_STATEMENTS = (
     "GRANT", "REVOKE", "ANALYZE", "AUDIT", "NOAUDIT", "BACKUP", "RESTORE", "RECOVER", "PURGE", "FLASHBACK", "LOCK",
 )
 
+# forms of one part
+KEY_PART = rf"(?is)^ADD\s+(?:CONSTRAINT\s+{IDENT}\s+)?PRIMARY\s+KEY\s*(?:{IDENT}\s*)?{NAMES}"
+DROP_KEY_PART = r"(?is)^DROP\s+PRIMARY\s+KEY$"
+# partitions, indexes and constraints change no column
+SILENT_PART = r"(?is)^(?:ADD|DROP)\s+(?:PARTITION|INDEX|KEY|UNIQUE|FOREIGN|CONSTRAINT|CHECK)\b"
+RENAME_COLUMN_PART = rf"(?is)^RENAME\s+COLUMN\s+({IDENT})\s+TO\s+({IDENT})$"
+RENAME_TABLE_PART = rf"(?is)^RENAME\s+(?:TO|AS)\s+(?:{IDENT}\s*\.\s*)?({IDENT})$"
+DROP_COLUMN_PART = rf"(?is)^DROP\s+(?:COLUMN\s+)?({IDENT})$"
+COLUMN_PART = rf"(?is)^(ADD|MODIFY)\s+(?:COLUMN\s+)?({IDENT})\s+{TYPE}(.*)$"
+COMMENT_PART = r"(?is)^COMMENT\s+ON\s+(TABLE|COLUMN)\s.*?\sIS\s+'(.*)'$"
+DEFAULT = r"(?is)\bDEFAULT\s+('(?:[^']|'')*'|\((?:[^()]|\([^()]*\))*\)|[^\s,']+(?:\s*\([^()]*\))?)"
+
 
 def clean(text: Column) -> Column:
-    """Trimmed statement without the closing semicolon."""
-    return F.regexp_replace(F.trim(F.regexp_replace(text, r"(?s)^\s+|[\s;]+$", "")), r"[\s;]+$", "")
+    """Statement without blanks around it and without the closing semicolon."""
+    return F.regexp_replace(text, r"^\s+|[\s;]+$", "")
 
 
 def unquote(name: Column) -> Column:
-    """Identifier as stored: quoted keeps its case, unquoted is upper case, none is null."""
-    name = F.nullif(F.trim(name), F.lit(""))
-    return F.when(name.rlike('^".+"$'), F.regexp_extract(name, '^"(.+)"$', 1)).otherwise(F.upper(name))
+    """Identifier as stored: quoted keeps its case, unquoted is upper case."""
+    return F.when(name.startswith('"'), F.btrim(name, F.lit('"'))).otherwise(F.upper(name))
 
 
 def names(listed: Column) -> Column:
-    """Comma list of identifiers as an array."""
-    return F.transform(F.regexp_extract_all(listed, F.lit(rf"({IDENT})"), F.lit(1)), unquote)
+    """Identifiers of a list as an array."""
+    return F.transform(F.regexp_extract_all(listed, F.lit(f"({IDENT})"), F.lit(1)), lambda n: unquote(n))
+
+
+def statement_kind(t: Column) -> Column:
+    """create, alter, drop, truncate, comment, other, or invalid. Takes a cleaned statement."""
+    form = lambda verb, tail: t.rlike(rf"(?is)^{verb}\s+{_TABLE}{IDENT}(?:\s*\.\s*{IDENT})?{tail}$")
+    objects, statements = "|".join(OTHER_OBJECTS), "|".join(OTHER_STATEMENTS)
+    return (
+        F.when(form("CREATE", r"\s*\(.*\).*"), "create")
+        .when(form("ALTER", r"\s+\S.*"), "alter")
+        .when(form("DROP", r"(?:\s.*)?"), "drop")
+        .when(form("TRUNCATE", r"(?:\s.*)?"), "truncate")
+        .when(t.rlike(rf"(?is)^COMMENT\s+ON\s+(?:TABLE|COLUMN)\s+{PATH}\s+IS\s+'.*'$"), "comment")
+        .when(
+            t.rlike(
+                rf"(?is)^(?:(?:CREATE|ALTER|DROP)\s+(?:OR\s+REPLACE\s+)?(?:UNIQUE\s+|PUBLIC\s+|BITMAP\s+)?(?:{objects})"
+                rf"|{statements}|COMMENT\s+ON\s+(?:VIEW|INDEX))\b"
+            ),
+            "other",
+        )
+        # CREATE TABLE ... AS SELECT ends here too: it has no column list to follow
+        .otherwise("invalid")
+    )
+
+
+def path_names(t: Column) -> Column:
+    """The dotted name a cleaned statement is about, as stored names; empty where there is none."""
+    return names(F.regexp_extract(t, HEAD, 1))
 
 
 def items(body: Column) -> Column:
@@ -53,38 +97,67 @@ def items(body: Column) -> Column:
     return F.transform(F.regexp_extract_all(inner, F.lit(ITEM), F.lit(1)), lambda item: F.trim(item))
 
 
-def statement_kind(t: Column) -> Column:
-    """create, alter, drop, truncate, comment, other, or invalid. Takes a cleaned statement."""
-    any_of = lambda words: "|".join(words)
-    table = rf"(?is)^{{}}\s+TABLE\s+(?:IF\s+(?:NOT\s+)?EXISTS\s+)?{QNAME}{{}}"
+def body(t: Column) -> Column:
+    """Column list of a CREATE (with its brackets), or the rest of an ALTER after the table name."""
+    create = rf"(?is)^CREATE\s+{_TABLE}{IDENT}(?:\s*\.\s*{IDENT})?\s*({_PAREN2}).*$"
+    alter = rf"(?is)^ALTER\s+TABLE\s+{IDENT}(?:\s*\.\s*{IDENT})?\s+(.*)$"
+    return F.when(t.rlike("(?i)^CREATE"), F.regexp_extract(t, create, 1)).otherwise(F.regexp_extract(t, alter, 1))
+
+
+def create_parts(listed: Column) -> Column:
+    """Parts of a CREATE from its items. Inline key columns become one key part."""
+    bare = lambda p: F.regexp_replace(p, _QUOTED, "")
+    inline = F.filter(listed, lambda p: bare(p).rlike(rf"(?is)^{IDENT}\s.*\bPRIMARY\s+KEY\b(?!\s*\()"))
+    inline_names = F.array_join(F.transform(inline, lambda p: F.regexp_extract(p, rf"^({IDENT})", 1)), ",")
+    key = F.when(inline_names != "", F.array(F.concat(F.lit("ADD PRIMARY KEY ("), inline_names, F.lit(")"))))
+    return F.concat(
+        F.array(F.lit("CREATE")),
+        F.transform(listed, lambda p: F.concat(F.lit("ADD "), p)),
+        F.coalesce(key, F.array().cast("array<string>")),
+    )
+
+
+def alter_parts(act: Column) -> Column:
+    """Parts of an ALTER from the text after the table name; most are a single part already."""
+    many = rf"(?is)^(ADD|MODIFY)\s*{_PAREN2}$"
+    change = rf"(?is)^CHANGE\s+(?:COLUMN\s+)?({IDENT})\s+({IDENT})\s+(.*)$"
+    drop_list = rf"(?is)^DROP\s+(?:COLUMN\s*)?{NAMES}$"
+    verb = F.concat(F.regexp_extract(act, r"^(\w+)", 1), F.lit(" "))
     return (
-        F.when(t.rlike(table.format("CREATE", rf"\s*{BODY}.*$")), "create")
-        # CREATE TABLE ... AS SELECT has no column list to follow
-        .when(t.rlike(rf"(?is)^CREATE\s+(?:(?:GLOBAL|PRIVATE)\s+)?(?:TEMPORARY\s+)?TABLE\s+{QNAME}\s+AS\s"), "invalid")
-        .when(t.rlike(table.format("ALTER", r"\s+\S.*$")), "alter")
-        .when(t.rlike(table.format("DROP", r"(?:\s.*)?$")), "drop")
-        .when(t.rlike(table.format("TRUNCATE", r"(?:\s.*)?$")), "truncate")
-        .when(t.rlike(rf"(?is)^COMMENT\s+ON\s+(?:TABLE|COLUMN)\s+{IDENT}(?:\s*\.\s*{IDENT}){{0,2}}\s+IS\s+'.*'$"), "comment")
+        F.when(act.rlike(many), F.transform(items(F.regexp_extract(act, r"(?s)^\w+\s*(.*)$", 1)), lambda p: F.concat(verb, p)))
         .when(
-            t.rlike(
-                rf"(?is)^(?:CREATE|ALTER|DROP)\s+(?:OR\s+REPLACE\s+)?(?:UNIQUE\s+|PUBLIC\s+|BITMAP\s+)?(?:{any_of(OTHER_OBJECTS)})\b"
-            )
-            | t.rlike(rf"(?is)^(?:{any_of(OTHER_STATEMENTS)})\b")
-            | t.rlike(r"(?is)^COMMENT\s+ON\s+(?:VIEW|INDEX)\b"),
-            "other",
+            act.rlike(drop_list),
+            F.transform(F.regexp_extract_all(F.regexp_extract(act, drop_list, 1), F.lit(f"({IDENT})"), F.lit(1)), lambda n: F.concat(F.lit("DROP "), n)),
         )
-        .otherwise("invalid")
+        .when(
+            act.rlike(change),
+            F.array(
+                F.regexp_replace(act, change, "RENAME COLUMN $1 TO $2"), F.regexp_replace(act, change, "MODIFY $2 $3")
+            ),
+        )
+        .otherwise(F.array(act))
     )
 
 
-def target_table(t: Column, default_schema: Column) -> Column:
-    """Schema and table a cleaned statement is about; the record's schema where the text names none."""
-    head = rf"(?is)^(?:CREATE|ALTER|DROP|TRUNCATE)\s+TABLE\s+(?:IF\s+(?:NOT\s+)?EXISTS\s+)?{QNAME}"
-    on_table = rf"(?is)^COMMENT\s+ON\s+TABLE\s+{QNAME}"
-    on_column = rf"(?is)^COMMENT\s+ON\s+COLUMN\s+{QNAME}\s*\.\s*{IDENT}\s+IS"
-    pick = lambda i: F.coalesce(*[
-        F.nullif(F.regexp_extract(t, p, i), F.lit("")) for p in (head, on_table, on_column)
-    ])
-    return F.struct(
-        F.coalesce(unquote(pick(1)), default_schema).alias("schema_name"), unquote(pick(2)).alias("table_name")
+def known_part(part: Column) -> Column:
+    forms = (
+        KEY_PART, DROP_KEY_PART, SILENT_PART, RENAME_COLUMN_PART, RENAME_TABLE_PART, DROP_COLUMN_PART, COLUMN_PART,
+        COMMENT_PART, "^(?:CREATE|DROP TABLE)$",
+    )
+    return part.rlike("(?is)" + "|".join(f"(?:{f.removeprefix('(?is)')})" for f in forms))
+
+
+def part_action(part: Column) -> Column:
+    """What a known part does; null for parts without effect on columns."""
+    return (
+        F.when(part == "CREATE", "create")
+        .when(part == "DROP TABLE", "drop-table")
+        .when(part.rlike(KEY_PART), "set-pk")
+        .when(part.rlike(DROP_KEY_PART), "drop-pk")
+        .when(part.rlike(SILENT_PART), None)
+        .when(part.rlike(RENAME_COLUMN_PART), "rename")
+        .when(part.rlike(RENAME_TABLE_PART), "rename-table")
+        .when(part.rlike(DROP_COLUMN_PART), "drop")
+        .when(part.rlike(r"(?i)^COMMENT\s"), "comment")
+        .otherwise(F.lower(F.regexp_extract(part, COLUMN_PART, 1)))
     )

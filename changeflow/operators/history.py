@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from changeflow.functions import ddl as d
-from changeflow.functions.ddl import statement_kind, target_table
 from changeflow.model import LOB_TYPES
 from changeflow.operators.ranges import asof_join, carry_in_group, lag_in_group, lead_in_group
 from changeflow.session import broadcast_if_small, cut_lineage
@@ -19,161 +18,80 @@ TABLE = ["schema_name", "table_name"]
 ITEMS = 65_536
 
 
-CLEAN = "__clean"
+def _statements(ddl: DataFrame) -> DataFrame:
+    """Statements with ``kind``, table and ``path``. Staged, so that each text is worked on once."""
+    rest = [c for c in ddl.columns if c not in TABLE]
+    rows = ddl.withColumn("__text", d.clean(F.col("ddl_text")))
+    rows = rows.withColumn("kind", d.statement_kind(F.col("__text"))).withColumn("path", d.path_names(F.col("__text")))
+    on_column = F.col("__text").rlike(r"(?i)^COMMENT\s+ON\s+COLUMN")
+    # the column of a comment is not part of the table's name
+    rows = rows.withColumn("__n", F.size("path") - F.when(on_column, 1).otherwise(0))
+    return rows.select(
+        *rest,
+        "__text",
+        "kind",
+        F.coalesce(F.get("path", F.col("__n") - 2), F.col("schema_name")).alias("schema_name"),
+        F.get("path", F.col("__n") - 1).alias("table_name"),
+        F.when(on_column, F.element_at("path", -1)).alias("__column"),
+    )
 
 
-def classify_ddl(ddl: DataFrame, keep_clean: bool = False) -> DataFrame:
+def classify_ddl(ddl: DataFrame) -> DataFrame:
     """``kind`` and the table a statement is about. Input: scn, schema_name, ddl_text."""
-    rest = [c for c in ddl.columns if c not in (*TABLE, CLEAN)]
-    # staged, so that every text is cleaned once
-    rows = ddl.withColumn(CLEAN, d.clean(F.col("ddl_text")))
-    target = target_table(F.col(CLEAN), F.col("schema_name"))
-    return rows.select(*rest, CLEAN, statement_kind(F.col(CLEAN)).alias("kind"), target.alias("__t")).select(
-        *rest, CLEAN, "kind", "__t.*"
-    ).drop(*([] if keep_clean else [CLEAN]))
-
-
-def _item(action: str | Column, **fields: Column) -> Column:
-    order = {
-        "column_name": "string", "new_name": "string", "type_text": "string", "nullable": "boolean",
-        "default_text": "string", "comment": "string", "key_columns": "array<string>",
-    }
-    action = F.lit(action) if isinstance(action, str) else action
-    return F.struct(
-        action.alias("action"),
-        *[fields.get(n, F.lit(None)).cast(t).alias(n) for n, t in order.items()],
+    return _statements(ddl).drop("__text", "__column")
+
+
+def with_parts(ddl: DataFrame) -> DataFrame:
+    """Classified statements with the parts they consist of; null where a statement is not understood."""
+    rows = _statements(ddl).withColumn("__body", F.when(F.col("kind").isin("create", "alter"), d.body(F.col("__text"))))
+    rows = rows.withColumn("__items", F.when(F.col("kind") == "create", d.items(F.col("__body"))))
+    parts = (
+        F.when((F.col("kind") == "create") & (F.size("__items") > 0), d.create_parts(F.col("__items")))
+        .when(F.col("kind") == "alter", d.alter_parts(F.col("__body")))
+        .when(F.col("kind") == "drop", F.array(F.lit("DROP TABLE")))
+        .when(F.col("kind") == "comment", F.array(F.col("__text")))
+        .when(F.col("kind").isin("truncate", "other"), F.array().cast("array<string>"))
     )
+    rows = rows.withColumn("__parts", parts)
+    known = F.forall("__parts", lambda p: d.known_part(p))
+    return rows.withColumn("parts", F.when(known, F.col("__parts"))).drop("__parts", "__items", "__body", "__text")
 
 
-def _group(text: Column, pattern: str, i: int) -> Column:
-    return F.nullif(F.trim(F.regexp_extract(text, pattern, i)), F.lit(""))
-
-
-def _column(action: str, definition: Column) -> Column:
-    """``name type constraints`` as an item."""
-    head = rf"(?is)^({d.IDENT})\s+{d.TYPE}(.*)$"
+def column_changes(ddl: DataFrame) -> DataFrame:
+    """One row per change a statement makes: create, add, modify, rename, drop, set-pk, drop-pk, comment,
+    rename-table, drop-table. Statements not understood are left to ``ddl_quarantine``."""
+    # the outer form keeps the optimizer from testing the whole list expression a second time
+    rows = with_parts(ddl).select("scn", *TABLE, "__column", F.posexplode_outer("parts").alias("seq", "part"))
+    part = F.col("part")
+    rows = rows.withColumn("action", F.when(part.isNotNull(), d.part_action(part)))
+    action = F.col("action")
+    defines = action.isin("add", "modify")
+    rest = F.regexp_extract(part, d.COLUMN_PART, 4)
+    rows = rows.withColumn("__rest", F.when(defines, rest))
     # quoted text may hold any word, so constraint words are looked for outside of it
-    rest = F.regexp_extract(definition, head, 3)
-    bare = F.regexp_replace(rest, r"'(?:[^']|'')*'", "''")
-    return _item(
-        action,
-        column_name=d.unquote(_group(definition, head, 1)),
-        type_text=F.upper(F.regexp_replace(_group(definition, head, 2), r"\s+", " ")),
-        nullable=~bare.rlike(r"(?is)\bNOT\s+NULL\b"),
-        default_text=_group(rest, d.DEFAULT, 1),
-    )
-
-
-_KEY = rf"(?is)^(?:CONSTRAINT\s+{d.IDENT}\s+)?PRIMARY\s+KEY\s*{d.NAMES}"
-_TABLE_RULE = r"(?is)^(?:CONSTRAINT|UNIQUE|FOREIGN|CHECK|INDEX|KEY)\b"
-
-
-def _create_items(body: Column) -> Column:
-    parts = d.items(body)
-    columns = F.filter(parts, lambda p: ~p.rlike(_KEY) & ~p.rlike(_TABLE_RULE))
-    keys = F.filter(parts, lambda p: p.rlike(_KEY))
-    inline = F.filter(columns, lambda p: F.regexp_replace(p, r"'(?:[^']|'')*'", "''").rlike(r"(?is)\bPRIMARY\s+KEY\b"))
-    key_names = F.when(F.size(keys) > 0, d.names(F.regexp_extract(F.get(keys, 0), _KEY, 1))).otherwise(
-        F.transform(inline, lambda p: d.unquote(F.regexp_extract(p, rf"^({d.IDENT})", 1)))
-    )
-    set_key = F.when(F.size(key_names) > 0, F.array(_item("set-pk", key_columns=key_names))).otherwise(
-        F.array().cast(_ITEMS)
-    )
-    return F.concat(F.array(_item("create")), F.transform(columns, lambda p: _column("add", p)), set_key)
-
-
-_ITEMS = (
-    "array<struct<action:string,column_name:string,new_name:string,type_text:string,nullable:boolean,"
-    "default_text:string,comment:string,key_columns:array<string>>>"
-)
-
-
-def _alter_items(act: Column) -> Column:
-    """Items of the part of an ALTER statement after the table name."""
-    one = lambda item: F.array(item)
-    rename_table = rf"(?is)^RENAME\s+(?:TO|AS)\s+{d.QNAME}\s*$"
-    rename_col = rf"(?is)^RENAME\s+COLUMN\s+({d.IDENT})\s+TO\s+({d.IDENT})\s*$"
-    change = rf"(?is)^CHANGE\s+(?:COLUMN\s+)?({d.IDENT})\s+({d.IDENT})\s+(.*)$"
-    drop_many = rf"(?is)^DROP\s+(?:COLUMN\s*)?{d.NAMES}\s*$"
-    drop_one = rf"(?is)^DROP\s+COLUMN\s+({d.IDENT})\s*$"
-    add_key = rf"(?is)^ADD\s+(?:CONSTRAINT\s+{d.IDENT}\s+)?PRIMARY\s+KEY\s*(?:{d.IDENT}\s*)?{d.NAMES}.*$"
-    no_effect = (
-        r"(?is)^(?:ADD|DROP)\s+(?:PARTITION|INDEX|KEY|UNIQUE|FOREIGN|CONSTRAINT)\b.*$"
+    bare = F.regexp_replace("__rest", r"'(?:[^']|'')*'", "''")
+    default = F.regexp_extract("__rest", d.DEFAULT, 1)
+    name = (
+        F.when(defines, F.regexp_extract(part, d.COLUMN_PART, 2))
+        .when(action == "rename", F.regexp_extract(part, d.RENAME_COLUMN_PART, 1))
+        .when(action == "drop", F.regexp_extract(part, d.DROP_COLUMN_PART, 1))
     )
-    column = rf"(?is)^(?:ADD|MODIFY)\s+(?:COLUMN\s+)?({d.IDENT}\s+{d.TYPE}.*)$"
-    listed = rf"(?is)^(ADD|MODIFY)\s*{d.BODY}\s*$"
-    changed = _column("modify", F.concat_ws(" ", F.regexp_extract(act, change, 2), F.regexp_extract(act, change, 3)))
-    both = F.array(
-        _item("rename", column_name=d.unquote(_group(act, change, 1)), new_name=d.unquote(_group(act, change, 2))), changed
+    new_name = F.when(action == "rename", F.regexp_extract(part, d.RENAME_COLUMN_PART, 2)).when(
+        action == "rename-table", F.regexp_extract(part, d.RENAME_TABLE_PART, 1)
     )
-    return (
-        F.when(act.rlike(rename_table), one(_item("rename-table", new_name=d.unquote(_group(act, rename_table, 2)))))
-        .when(
-            act.rlike(rename_col),
-            one(_item("rename", column_name=d.unquote(_group(act, rename_col, 1)), new_name=d.unquote(_group(act, rename_col, 2)))),
-        )
-        .when(act.rlike(r"(?is)^DROP\s+PRIMARY\s+KEY\s*$"), one(_item("drop-pk")))
-        .when(act.rlike(add_key), one(_item("set-pk", key_columns=d.names(F.regexp_extract(act, add_key, 1)))))
-        .when(act.rlike(no_effect), F.array().cast(_ITEMS))
-        .when(act.rlike(change), both)
-        .when(
-            act.rlike(drop_many),
-            F.transform(d.names(F.regexp_extract(act, drop_many, 1)), lambda n: _item("drop", column_name=n)),
-        )
-        .when(act.rlike(drop_one), one(_item("drop", column_name=d.unquote(_group(act, drop_one, 1)))))
-        .when(
-            act.rlike(listed),
-            F.when(
-                act.rlike(r"(?is)^ADD"),
-                F.transform(d.items(F.regexp_extract(act, listed, 2)), lambda p: _column("add", p)),
-            ).otherwise(F.transform(d.items(F.regexp_extract(act, listed, 2)), lambda p: _column("modify", p))),
-        )
-        .when(
-            act.rlike(column),
-            F.when(act.rlike(r"(?is)^ADD"), one(_column("add", F.regexp_extract(act, column, 1)))).otherwise(
-                one(_column("modify", F.regexp_extract(act, column, 1)))
-            ),
-        )
-    )
-
-
-def _comment_items(text: Column) -> Column:
-    on_column = rf"(?is)^COMMENT\s+ON\s+COLUMN\s+(?:{d.IDENT}\s*\.\s*)?{d.IDENT}\s*\.\s*({d.IDENT})\s+IS\s"
-    value = F.regexp_replace(F.regexp_extract(text, r"(?is)\sIS\s+'(.*)'$", 1), "''", "'")
-    return F.array(_item("comment", column_name=d.unquote(_group(text, on_column, 1)), comment=value))
-
-
-def with_items(ddl: DataFrame) -> DataFrame:
-    """Classified statements with the ``items`` they consist of; null where a statement is not understood."""
-    text, body = F.col(CLEAN), F.col("__body")
-    rows = classify_ddl(ddl, keep_clean=True)
-    alter = rf"(?is)^ALTER\s+TABLE\s+{d.QNAME}\s+(.*)$"
-    create = rf"(?is)^CREATE\s+TABLE\s+(?:IF\s+NOT\s+EXISTS\s+)?{d.QNAME}\s*{d.BODY}"
-    rows = rows.withColumn(
-        "__body",
-        F.when(F.col("kind") == "create", F.regexp_extract(text, create, 3)).when(
-            F.col("kind") == "alter", F.regexp_extract(text, alter, 3)
-        ),
-    )
-    found = (
-        F.when(F.col("kind") == "create", _create_items(body))
-        .when(F.col("kind") == "alter", _alter_items(body))
-        .when(F.col("kind") == "drop", F.array(_item("drop-table")))
-        .when(F.col("kind") == "comment", _comment_items(text))
-        .when(F.col("kind").isin("truncate", "other"), F.array().cast(_ITEMS))
-    )
-    rows = rows.withColumn("__found", found)
-    unnamed = F.exists(
-        "__found", lambda i: i["action"].isin("add", "modify", "rename", "drop") & i["column_name"].isNull()
+    return rows.filter(action.isNotNull()).select(
+        "scn",
+        "seq",
+        *TABLE,
+        "action",
+        F.when(action == "comment", F.col("__column")).otherwise(d.unquote(name)).alias("column_name"),
+        d.unquote(new_name).alias("new_name"),
+        F.when(defines, F.upper(F.trim(F.regexp_replace(F.regexp_extract(part, d.COLUMN_PART, 3), r"\s+", " ")))).alias("type_text"),
+        F.when(defines, ~bare.rlike(r"(?is)\bNOT\s+NULL\b")).alias("nullable"),
+        F.when(defines & (default != ""), default).alias("default_text"),
+        F.when(action == "comment", F.regexp_replace(F.regexp_extract(part, d.COMMENT_PART, 2), "''", "'")).alias("comment"),
+        F.when(action == "set-pk", d.names(F.regexp_extract(part, d.KEY_PART, 1))).alias("key_columns"),
     )
-    return rows.withColumn("items", F.when(~unnamed, F.col("__found"))).drop("__found", "__body", CLEAN)
-
-
-def column_changes(ddl: DataFrame) -> DataFrame:
-    """One row per change a statement makes: create, add, modify, rename, drop, set-pk, drop-pk, comment,
-    rename-table, drop-table. Statements not understood are left to ``ddl_quarantine``."""
-    # a null list explodes to nothing
-    return with_items(ddl).select("scn", *TABLE, F.posexplode("items").alias("seq", "i")).select("scn", "seq", *TABLE, "i.*")
 
 
 def ddl_quarantine(ddl: DataFrame, policy: str = "skip") -> tuple[DataFrame, DataFrame]:
@@ -183,14 +101,14 @@ def ddl_quarantine(ddl: DataFrame, policy: str = "skip") -> tuple[DataFrame, Dat
     """
     if policy not in ("skip", "reread", "fail"):
         raise ValueError(f"unknown policy {policy}")
-    rows = with_items(ddl)
-    good = rows.filter(F.col("items").isNotNull()).drop("items")
-    bad = rows.filter(F.col("items").isNull()).drop("items")
+    rows = with_parts(ddl).drop("__column").withColumn("understood", F.col("parts").isNotNull()).drop("parts")
+    good = rows.filter("understood").drop("understood")
+    bad = rows.filter("not understood").drop("understood")
     if policy == "fail":
         stop = F.raise_error(F.concat(F.lit("statement not understood: "), F.col("ddl_text")))
         good = rows.select(
-            *[c for c in rows.columns if c not in ("items", "ddl_text")],
-            F.when(F.col("items").isNull(), stop.cast("string")).otherwise(F.col("ddl_text")).alias("ddl_text"),
+            *[c for c in rows.columns if c not in ("understood", "ddl_text")],
+            F.when(F.col("understood"), F.col("ddl_text")).otherwise(stop.cast("string")).alias("ddl_text"),
         )
     return good, bad.withColumn("reread_structure", F.lit(policy == "reread"))
 
@@ -489,11 +407,16 @@ def schema_at_event(events: DataFrame, versions: DataFrame, **how) -> tuple[Data
 
 def schema_change_rows(ddl: DataFrame) -> DataFrame:
     """Schema-change records as a table: alter is a rename only when the name changed."""
-    rows = with_items(ddl).filter(F.col("items").isNotNull() & F.col("kind").isin("create", "alter", "drop", "truncate", "comment"))
-    renamed = F.get(F.filter("items", lambda i: i["action"] == "rename-table"), 0)["new_name"]
-    kind = F.when((F.col("kind") == "alter") & renamed.isNotNull(), "rename").otherwise(F.col("kind"))
-    return rows.select(
-        "scn", *TABLE, kind.alias("event_type"), renamed.alias("new_table_name"), F.size("items").alias("changes"), "ddl_text"
+    rows = with_parts(ddl).filter(F.col("kind").isin("create", "alter", "drop", "truncate", "comment"))
+    first = F.get("parts", 0)
+    renames = (F.col("kind") == "alter") & first.rlike(d.RENAME_TABLE_PART)
+    return rows.filter(F.col("parts").isNotNull()).select(
+        "scn",
+        *TABLE,
+        F.when(renames, "rename").otherwise(F.col("kind")).alias("event_type"),
+        F.when(renames, d.unquote(F.regexp_extract(first, d.RENAME_TABLE_PART, 1))).alias("new_table_name"),
+        F.size("parts").alias("changes"),
+        "ddl_text",
     )
 
 

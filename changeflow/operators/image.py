@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from changeflow.functions.ddl import clean, statement_kind, target_table
+from changeflow.functions.ddl import clean, path_names, statement_kind
 from changeflow.model import IMAGE, position, table_name
 from changeflow.session import broadcast_if_small
 
@@ -143,14 +143,15 @@ def drop_unchanged(events: DataFrame) -> DataFrame:
 
 def truncate_events(log: DataFrame) -> DataFrame:
     """Truncate statements as ``op='t'`` events without images."""
-    text = clean(F.col("ddl_text"))
     # the cheap word test first: few statements are left for the full one
-    ddl = log.filter((F.col("lcr_type") == "DDL") & F.col("ddl_text").rlike("(?i)TRUNCATE") & (statement_kind(text) == "truncate"))
+    ddl = log.filter((F.col("lcr_type") == "DDL") & F.col("ddl_text").rlike("(?i)TRUNCATE"))
+    text = clean(F.col("ddl_text"))
+    ddl = ddl.filter(statement_kind(text) == "truncate").withColumn("__path", path_names(text))
+    n = F.size("__path")
     return (
-        ddl.withColumn("__t", target_table(text, F.col("schema_name")))
-        .withColumn("schema_name", F.col("__t.schema_name"))
-        .withColumn("table_name", F.col("__t.table_name"))
-        .drop("__t")
+        ddl.withColumn("schema_name", F.coalesce(F.get("__path", n - 2), F.col("schema_name")))
+        .withColumn("table_name", F.get("__path", n - 1))
+        .drop("__path")
         .withColumn("op", F.lit("t"))
         .withColumn("before", F.lit(None).cast(IMAGE))
         .withColumn("after", F.lit(None).cast(IMAGE))
