@@ -165,29 +165,33 @@ def _am_pm_micros(text: Column) -> Column:
     return F.unix_micros(base) + _micros(F.regexp_extract(text, _AM_PM, 2))
 
 
-def literal_micros(text: Column) -> Column:
-    """Epoch microseconds (UTC) of a timestamp text; whole numbers pass as microseconds.
+def literal_text(text: Column) -> Column:
+    """The text inside ``TO_TIMESTAMP('...')`` or ``TO_DATE('...', '...')``; other text as it is."""
+    return F.when(text.startswith("T") | text.startswith("t") | text.startswith(" "), F.regexp_replace(text, _LITERAL, "$1$2")).otherwise(text)
+
 
-    The common form costs two pattern tests and one cast per value.
+def inner_micros(inner: Column) -> Column:
+    """Epoch microseconds (UTC) of a bare timestamp text; whole numbers pass as microseconds.
+
+    The common form costs one pattern test and one cast per value.
     """
-    inner = F.regexp_replace(text, _LITERAL, "$1$2")
     return (
         F.when(inner.rlike(_ISO), F.unix_micros(inner.try_cast("timestamp")))
-        .when(text.rlike(r"^-?\d+$"), text.try_cast("bigint"))
+        .when(inner.rlike(r"^-?\d+$"), inner.try_cast("bigint"))
         .when(inner.rlike(_AM_PM), _am_pm_micros(inner))
     )
 
 
-def literal_nanos(text: Column) -> Column:
-    rest = F.rpad(F.regexp_extract(text, r"\.\d{6}(\d{1,3})", 1), 3, "0").cast("bigint")
-    return literal_micros(text) * 1000 + rest
+def literal_micros(text: Column) -> Column:
+    return inner_micros(literal_text(text))
 
 
-def to_timestamp(text: Column, mode: str = "timestamp") -> Column:
-    """Timestamp text by precision mode: timestamp, connect (millisecond timestamp), millis, micros, nanos."""
+def to_timestamp(inner: Column, mode: str = "timestamp") -> Column:
+    """Bare timestamp text by precision mode: timestamp, connect (millisecond timestamp), millis, micros, nanos."""
+    micros = inner_micros(inner)
     if mode == "nanos":
-        return literal_nanos(text)
-    micros = literal_micros(text)
+        rest = F.rpad(F.regexp_extract(inner, r"\.\d{6}(\d{1,3})", 1), 3, "0").cast("bigint")
+        return micros * 1000 + rest
     to_milli = micros - F.pmod(micros, F.lit(1000))
     if mode == "timestamp":
         return F.timestamp_micros(micros)

@@ -122,7 +122,8 @@ def split_key_change(events: DataFrame, pk: Key) -> DataFrame:
         ),
     ).otherwise(F.array(part(F.col("op"), same_key, F.col("before"), F.col("after"), 0)))
     rest = [c for c in events.columns if c not in ("op", "key", "before", "after", "sub")]
-    return events.select(*rest, F.explode(parts).alias("__p")).select(*rest, "__p.*")
+    # never empty: the outer form spares a test of the whole expression before the explode
+    return events.select(*rest, F.explode_outer(parts).alias("__p")).select(*rest, "__p.*")
 
 
 def drop_empty_updates(events: DataFrame) -> DataFrame:

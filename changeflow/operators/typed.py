@@ -91,8 +91,11 @@ def _numeric(col: Column, spec: ColumnSpec, opt: Options) -> Column:
     return v.to_decimal(col, length, scale)
 
 
-def convert(col: Column, spec: ColumnSpec, opt: Options = Options()) -> Column:
-    """The typed value of one text column."""
+TEMPORAL = ("TIMESTAMP", "DATE")
+
+
+def convert(col: Column, spec: ColumnSpec, opt: Options = Options(), staged: bool = False) -> Column:
+    """The typed value of one text column. ``staged``: literals were unwrapped before."""
     jdbc = spec.jdbc_type
     if jdbc in ("NUMERIC", "DECIMAL"):
         return _numeric(col, spec, opt)
@@ -108,8 +111,8 @@ def convert(col: Column, spec: ColumnSpec, opt: Options = Options()) -> Column:
         return v.to_double(col)
     if jdbc == "REAL":
         return v.to_float(col)
-    if jdbc in ("TIMESTAMP", "DATE"):
-        return v.to_timestamp(col, opt.temporal_mode)
+    if jdbc in TEMPORAL:
+        return v.to_timestamp(v.literal_text(col) if not staged else col, opt.temporal_mode)
     if jdbc == "TIMESTAMP_TZ":
         digits = spec.scale if spec.scale is not None else spec.length
         return v.to_zoned_text(col, 6 if digits is None else digits)
@@ -160,11 +163,20 @@ def typed_projection(
     """
     if options.on_failure not in ("fail", "warn", "skip"):
         raise ValueError(f"unknown failure policy {options.on_failure}")
+    def source(name: str) -> Column:
+        return F.col(image)[name] if image else F.col(f"`{name}`")
+
+    rules = {s.name: converters.find(table, s) if converters else None for s in schema}
+    # literals are unwrapped in a projection of their own, so that later tests do not repeat it
+    staged = {
+        s.name: f"__bare_{i}" for i, s in enumerate(schema) if s.jdbc_type in TEMPORAL and rules[s.name] is None
+    }
+    df = df.withColumns({bare: v.literal_text(source(name)) for name, bare in staged.items()}) if staged else df
     out, failed = [], []
     for spec in schema:
-        raw = F.col(image)[spec.name] if image else F.col(f"`{spec.name}`")
-        own = converters.find(table, spec) if converters else None
-        value = own(raw, spec) if own else convert(raw, spec, options)
+        own = rules[spec.name]
+        raw = F.col(staged[spec.name]) if spec.name in staged else source(spec.name)
+        value = own(raw, spec) if own else convert(raw, spec, options, staged=True)
         bad = raw.isNotNull() & value.isNull() & ~F.coalesce(_empty_by_rule(raw, spec, options), F.lit(False))
         if options.on_failure == "fail":
             stop = F.raise_error(F.concat(F.lit(f"cannot convert {spec.name}: "), raw))

@@ -50,7 +50,7 @@ def tombstones(events: DataFrame, value_col: str = "value") -> DataFrame:
     """After each delete a row with the same key and a null value."""
     kind = events.schema[value_col].dataType
     copies = F.when(F.col("op") == "d", F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
-    out = events.withColumn("tombstone", F.explode(copies))
+    out = events.withColumn("tombstone", F.explode_outer(copies))
     return out.withColumn(value_col, F.when(~F.col("tombstone"), F.col(value_col)).otherwise(F.lit(None).cast(kind)))
 
 
