@@ -59,7 +59,7 @@ def order_guard_q(spark, d):
     stream = fx.order_log_stream(spark, d).withColumn("k", F.coalesce(F.col("before")["k"], F.col("after")["k"]))
     out, state, progress = (shared_dir(spark, n) for n in ("out", "marks", "progress"))
     sinks.order_guard(stream, ["k"], out, state, progress, available_now=True).awaitTermination()
-    rows = sinks.read_changes(spark, out)
+    rows = sinks.read_guarded(spark, out)
     return rows.groupBy("dml").agg(F.count_if(~F.col("late")).alias("passed"), F.count_if("late").alias("late"))
 
 

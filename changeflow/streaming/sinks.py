@@ -128,6 +128,11 @@ def order_guard(
     return _start(stream.writeStream.foreachBatch(write), checkpoint, available_now)
 
 
+def read_guarded(spark: SparkSession, path: str) -> DataFrame:
+    """What ``order_guard`` wrote; folder names come back as text, so ``late`` is cast."""
+    return spark.read.parquet(path).withColumn("late", F.col("late").cast("boolean"))
+
+
 # ---------------------------------------------------------------- table content kept by a stream
 
 
