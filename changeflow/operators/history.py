@@ -204,7 +204,11 @@ def _ord() -> Column:
     return (F.col("scn") * ITEMS + F.col("seq")).cast("long")
 
 
-def _segments(events: DataFrame, scope: list[str], name: str) -> DataFrame:
+#: up to this many changes any window over them fits one task
+SMALL = 1_000_000
+
+
+def _segments(events: DataFrame, scope: list[str], name: str, parts: int | None) -> DataFrame:
     """Lives of names. ``events``: scope, name, new_name, ord, act in open / close / move.
 
     A move ends the life of ``name`` and starts one of ``new_name`` that continues it. Result:
@@ -226,14 +230,14 @@ def _segments(events: DataFrame, scope: list[str], name: str) -> DataFrame:
             F.lit(None).cast("string").alias("from_name"), F.lit(False).alias("moved"),
             (F.col("act") == "move").alias("leaves"),
         ).unionByName(arrivals.withColumn("leaves", F.lit(False)))
-        life = cut_lineage(lag_in_group(life, key, ["ord"], "act", "prev"))
+        life = cut_lineage(lag_in_group(life, key, ["ord"], "act", "prev", parts))
         # a rename of a name that is not alive does nothing: take it out and look again
         bad_moves = life.filter(F.col("leaves") & ~F.col("prev").eqNullSafe("open")).select(*scope, "ord").distinct()
         if bad_moves.isEmpty():
             break
     # an open of a live name is ignored unless the name is taken over by a rename
     edges = life.filter((F.col("act") == "close") | F.col("moved") | ~F.col("prev").eqNullSafe("open"))
-    edges = lead_in_group(edges, key, ["ord"], "ord", "to_ord")
+    edges = lead_in_group(edges, key, ["ord"], "ord", "to_ord", parts)
     segs = edges.filter(F.col("act") == "open").withColumn("seg", F.struct(*key, "ord"))
     # parent: the life of the old name that ended with the rename
     ended = segs.filter(F.col("to_ord").isNotNull()).select(
@@ -263,6 +267,9 @@ def schema_timeline(changes: DataFrame, captured: DataFrame | None = None, with_
         keep, _ = broadcast_if_small(captured.select(*TABLE).distinct())
         changes = changes.join(keep, TABLE, "left_semi")
     changes = cut_lineage(changes.withColumn("ord", _ord()))
+    # counted, not assumed: few changes need no search for hot keys
+    parts, small = (0, 0) if changes.count() <= SMALL else (None, None)
+    how = {"parts": parts, "small_limit": small}
 
     act = (
         F.when(F.col("action") == "create", "open")
@@ -273,6 +280,7 @@ def schema_timeline(changes: DataFrame, captured: DataFrame | None = None, with_
         changes.select(*TABLE, "new_name", "ord", act.alias("act")).filter(F.col("act").isNotNull()),
         ["schema_name"],
         "table_name",
+        parts,
     )
     lives = tables.select(
         *TABLE, "from_ord", F.col("to_ord").alias("table_to"), F.col("from_ord").alias("opened"), "moved",
@@ -282,7 +290,7 @@ def schema_timeline(changes: DataFrame, captured: DataFrame | None = None, with_
     # statements carry the scn of their create; its own items count only if the create did
     in_create = changes.filter(F.col("action") == "create").select(*TABLE, "scn", F.lit(True).alias("in_create"))
     inner = inner.join(in_create, [*TABLE, "scn"], "left")
-    placed = asof_join(inner, lives, TABLE, "ord", "from_ord", ["table_root", "opened", "table_to"])
+    placed = asof_join(inner, lives, TABLE, "ord", "from_ord", ["table_root", "opened", "table_to"], **how)
     alive = F.col("table_root").isNotNull() & (F.col("table_to").isNull() | (F.col("ord") < F.col("table_to")))
     own = F.col("in_create").isNull() | (F.col("opened") == F.col("scn") * ITEMS)
     placed = cut_lineage(placed.filter(alive & own).drop("opened", "table_to", "in_create"))
@@ -292,6 +300,7 @@ def schema_timeline(changes: DataFrame, captured: DataFrame | None = None, with_
         placed.select("table_root", "column_name", "new_name", "ord", act.alias("act")).filter(F.col("act").isNotNull()),
         ["table_root"],
         "column_name",
+        parts,
     )
     col_lives = columns.select(
         "table_root", "column_name", F.col("from_ord").alias("col_from"), F.col("to_ord").alias("col_to"),
@@ -304,7 +313,7 @@ def schema_timeline(changes: DataFrame, captured: DataFrame | None = None, with_
     attrs = asof_join(
         attrs.select("table_root", "column_name", "ord", "action", "type_text", "nullable", "default_text", "comment"),
         col_lives.withColumn("start", F.col("col_from")),
-        ["table_root", "column_name"], "ord", "start", ["column_root", "column_ord", "col_to"],
+        ["table_root", "column_name"], "ord", "start", ["column_root", "column_ord", "col_to"], **how,
     ).filter(F.col("column_root").isNotNull() & (F.col("col_to").isNull() | (F.col("ord") < F.col("col_to"))))
     defined = F.when(F.col("action") != "comment", F.struct("type_text", "nullable", "default_text"))
     points = attrs.select(
@@ -332,8 +341,8 @@ def schema_timeline(changes: DataFrame, captured: DataFrame | None = None, with_
     same = points.groupBy("table_root", "column_root", "column_ord", "ord").agg(
         F.max("name").alias("name"), F.max("def").alias("def"), F.max("note").alias("note"), F.max("ends").alias("ends")
     )
-    states = carry_in_group(same, ["column_root"], ["ord"], {"name": "name", "def": "def", "note": "note"})
-    states = lead_in_group(states, ["column_root"], ["ord"], "ord", "to_ord").filter(~F.coalesce("ends", F.lit(False)))
+    states = carry_in_group(same, ["column_root"], ["ord"], {"name": "name", "def": "def", "note": "note"}, parts)
+    states = lead_in_group(states, ["column_root"], ["ord"], "ord", "to_ord", parts).filter(~F.coalesce("ends", F.lit(False)))
     # a column state is split where its table changes name
     spans = tables.select(
         "schema_name", "table_name", _text(F.col("root")).alias("table_root"), F.col("from_ord").alias("t_from"), F.col("to_ord").alias("t_to")
@@ -342,7 +351,7 @@ def schema_timeline(changes: DataFrame, captured: DataFrame | None = None, with_
     lo = F.greatest("ord", "t_from")
     hi = F.least(F.coalesce("to_ord", far), F.coalesce("t_to", far))
     joined = states.join(spans, "table_root").withColumn("from_ord", lo).withColumn("__hi", hi).filter("from_ord < __hi")
-    keys = _key_spans(placed, col_lives)
+    keys = _key_spans(placed, col_lives, how)
     return (
         joined.select(
             "table_root", *TABLE, F.col("column_root"), "column_ord", F.col("name").alias("column_name"), "def.*",
@@ -353,13 +362,13 @@ def schema_timeline(changes: DataFrame, captured: DataFrame | None = None, with_
     )
 
 
-def _key_spans(placed: DataFrame, col_lives: DataFrame) -> DataFrame:
+def _key_spans(placed: DataFrame, col_lives: DataFrame, how: dict) -> DataFrame:
     """Per column the order ranges in which it was part of the primary key, with its place in it."""
     keys = placed.filter(F.col("action").isin("set-pk", "drop-pk")).select("table_root", "ord", "key_columns")
-    keys = lead_in_group(keys, ["table_root"], ["ord"], "ord", "k_to")
+    keys = lead_in_group(keys, ["table_root"], ["ord"], "ord", "k_to", how["parts"])
     named = keys.select("table_root", "ord", "k_to", F.posexplode("key_columns").alias("idx", "column_name"))
     found = asof_join(
-        named, col_lives, ["table_root", "column_name"], "ord", "col_from", ["column_root", "col_to"]
+        named, col_lives, ["table_root", "column_name"], "ord", "col_from", ["column_root", "col_to"], **how
     ).filter(F.col("column_root").isNotNull() & (F.col("col_to").isNull() | (F.col("ord") < F.col("col_to"))))
     spans = F.collect_list(F.struct(F.col("ord").alias("k_from"), "k_to", "idx"))
     return found.groupBy("table_root", "column_root").agg(spans.alias("key_spans"))

@@ -71,10 +71,15 @@ def _sample(df: DataFrame, keys: Sequence[str], size: int) -> list[tuple]:
 
 
 def hot_cuts(df: DataFrame, group: Sequence[str], order: Sequence[str], parts: int | None = None) -> Cuts:
-    """Cut points inside groups that hold more than about ``1/parts`` of the rows."""
-    parts = parts or shuffle_partitions(df.sparkSession)
+    """Cut points inside groups that hold more than about ``1/parts`` of the rows.
+
+    ``parts`` 0 means the caller has counted the rows and any group fits one task: no cuts.
+    """
     keys = (*group, *order)
     types = tuple(_sortable(df.schema[k].dataType) for k in keys)
+    if parts == 0:
+        return Cuts(keys, types, ())
+    parts = parts or shuffle_partitions(df.sparkSession)
     sample = _sample(df, keys, parts * SAMPLE_PER_PART)
     width = max(2, len(sample) // parts)
     sizes = Counter(row[: len(group)] for row in sample)
@@ -200,14 +205,14 @@ def asof_join(
     """For each left row the ``values`` of the last right row with ``right_on <= left_on``.
 
     A right side proven small is broadcast as one sorted array per ``by`` key and searched;
-    otherwise both sides are merged per (key, range) in one shuffle.
+    otherwise (or with ``small_limit`` 0) both sides are merged per (key, range) in one shuffle.
     """
     limit = 50_000 if small_limit is None else small_limit
     found = F.struct(*[F.col(v) for v in values])
     slim = right.select(*by, F.col(right_on).cast("long").alias("__t"), found.alias("__v")).filter(
         F.col("__t").isNotNull()
     )
-    if slim.limit(limit + 1).count() <= limit:
+    if limit > 0 and slim.limit(limit + 1).count() <= limit:
         return _asof_search(left, slim, by, left_on, values)
     return _asof_merge(left, slim, by, left_on, values, parts)
 

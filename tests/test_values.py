@@ -136,7 +136,10 @@ def test_ddl_shapes(spark):
         good.collect()
 
 
-def test_renames_chain_and_swap(spark):
+@pytest.mark.parametrize("small", [history.SMALL, 0])
+def test_renames_chain_and_swap(spark, monkeypatch, small):
+    # 0: the way taken for logs that were counted as large
+    monkeypatch.setattr(history, "SMALL", small)
     ddl = [
         "CREATE TABLE A (X INT, Y INT)", "ALTER TABLE A RENAME TO B", "ALTER TABLE B RENAME COLUMN X TO Z", "CREATE TABLE A (Q INT)",
         "ALTER TABLE NOPE RENAME TO M", "ALTER TABLE M ADD W INT", "ALTER TABLE B RENAME TO C", "ALTER TABLE C RENAME COLUMN Y TO X",
