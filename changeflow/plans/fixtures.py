@@ -30,13 +30,18 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str, **options: str) ->
     """The same table as an unbounded file source."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     path = os.path.join(sf_dir, f"{name}.parquet")
-    reader = spark.readStream.schema(spark.read.parquet(path).schema).options(**options)
+    stored = spark.read.parquet(path)
+    reader = spark.readStream.schema(stored.schema).options(**options)
+    cores = spark.sparkContext.defaultParallelism
+    few = stored.rdd.getNumPartitions() < cores
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     fs = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if fs.getFileStatus(place).isDirectory():
-        return _utc(reader.parquet(path))
-    # a stream reads folders: the one file is picked out of its folder
-    return _utc(reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir))
+        stream = reader.parquet(path)
+    else:
+        # a stream reads folders: the one file is picked out of its folder
+        stream = reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    return _utc(stream.repartition(cores) if few else stream)
 
 
 def order_changes(orders: DataFrame) -> DataFrame:
