@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from changeflow.functions import scn as scnf
 from changeflow.model import POSITION_FIELDS, REPLAY_EXEMPT_TYPES, position
 from changeflow.operators.ranges import asof_join
+from changeflow.session import broadcast_if_small
 
 
 def with_position(log: DataFrame) -> DataFrame:
@@ -153,10 +154,8 @@ def handover_point(log: DataFrame, ddl: DataFrame, captured: DataFrame, clock: D
 
     One row; the log is only aggregated, never collected.
     """
-    last_ddl = (
-        ddl.join(F.broadcast(captured.select("schema_name", "table_name").distinct()), ["schema_name", "table_name"], "left_semi")
-        .agg(F.max("scn").alias("ddl_scn"))
-    )
+    keep, _ = broadcast_if_small(captured.select("schema_name", "table_name").distinct())
+    last_ddl = ddl.join(keep, ["schema_name", "table_name"], "left_semi").agg(F.max("scn").alias("ddl_scn"))
     ddl_time = scn_to_time(last_ddl, clock, "ddl_scn", "ddl_ts").select("ddl_scn", "ddl_ts", F.lit(1).alias("__k"))
     heads = log.groupBy(F.col("position_scn").alias("scn")).agg(F.lit(1).alias("__k"))
     timed = scn_to_time(heads, clock, "scn", "head_ts").join(F.broadcast(ddl_time), "__k")
