@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from changeflow.llm import quality
 from changeflow.llm.common import table
 from changeflow.llm.exact_dedup import exact_dedup
 
@@ -32,3 +33,26 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).select(
         "doc.doc_id", "keep_id", "group_size", "kept", F.sha2("text", 256).alias("text_sha256"))
+
+
+@query("op8_rule_ledger", r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, unnest([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] for i in range(1, len(w) - 1)]) AS g,
+  unnest(range(1, len(w) - 1)) AS i FROM d),
+rep AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS n FROM win) WHERE n > 1),
+cov AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS j FROM rep) GROUP BY doc_id),
+lin AS (SELECT doc_id, l FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS l FROM d) WHERE regexp_matches(l, '[^\x20\x09-\x0D]')),
+dup AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT l) AS n FROM lin GROUP BY doc_id),
+m AS (SELECT d.doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
+  (length(t) - length(translate(t, '#*$%&|<>', '')))::BIGINT AS n_symbols, coalesce(n_lines, 0) AS n_lines,
+  coalesce(dup.n, 0) AS n_dup_lines, coalesce(cov.n, 0) AS n_repeat_words
+  FROM d LEFT JOIN cov ON d.doc_id = cov.doc_id LEFT JOIN dup ON d.doc_id = dup.doc_id),
+f AS (SELECT *, CASE WHEN n_words < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 2 ELSE 0 END
+  + CASE WHEN n_symbols > n_words THEN 4 ELSE 0 END + CASE WHEN 100 * n_dup_lines > 50 * n_lines THEN 8 ELSE 0 END
+  + CASE WHEN word_chars > 20 * n_words THEN 16 ELSE 0 END + CASE WHEN word_chars < 2 * n_words THEN 32 ELSE 0 END AS failures FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failures & 3 <> 0 AS base_failed, failures = 0 AS kept,
+  failures::BIGINT AS failures FROM f""")
+def op8_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.rule_ledger(table(spark, sf_dir, "documents")).select(
+        "doc.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        quality.rejected(quality.BASE).alias("base_failed"), (~quality.rejected(quality.CURRENT)).alias("kept"), "failures")
