@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from changeflow.llm import quality
+from changeflow.llm import packing, quality
 from changeflow.llm.common import table
 from changeflow.llm.exact_dedup import exact_dedup
 
@@ -56,3 +56,8 @@ def op8_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rule_ledger(table(spark, sf_dir, "documents")).select(
         "doc.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         quality.rejected(quality.BASE).alias("base_failed"), (~quality.rejected(quality.CURRENT)).alias("kept"), "failures")
+
+
+@query("op9_pack_sequences")
+def op9_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
