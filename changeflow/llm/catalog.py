@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from changeflow.llm import packing, quality
 from changeflow.llm.common import table
 from changeflow.llm.exact_dedup import exact_dedup
+from changeflow.llm.substring_dedup import substring_dedup
+from changeflow.llm.suffix_dedup import suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,3 +63,22 @@ def op8_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_pack_sequences")
 def op9_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query("op2_suffix_dedup")
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op3_substring_dedup", r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, unnest([array_to_string(w[i:i + 12], ' ') for i in range(1, len(w) - 11)]) AS g, unnest(range(1, len(w) - 11)) AS i FROM d),
+rep AS (SELECT doc_id, i FROM (SELECT *, min(doc_id) OVER (PARTITION BY g) AS least FROM win) WHERE least < doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM rep),
+each AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS t, count(*) AS n FROM each ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)""")
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))

@@ -14,11 +14,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` below the shared checkpoint folder and read it back: later jobs neither recompute it nor need its executors."""
-    path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write ``df`` below the shared checkpoint folder and read it back: later jobs neither recompute it nor need its executors.
+
+    The shuffle files of the step are freed when it is written.
+    """
+    spark, path = df.sparkSession, shared_dir(df.sparkSession, name)
+    before = spark.conf.get(CLEAN, None)
+    spark.conf.set(CLEAN, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(CLEAN) if before is None else spark.conf.set(CLEAN, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def one_space(text: Column) -> Column:
