@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from changeflow.llm import packing, quality
-from changeflow.llm.common import table
+from changeflow.llm.common import one_space, table
 from changeflow.llm.exact_dedup import exact_dedup
+from changeflow.llm.jaccard_join import jaccard_components
 from changeflow.llm.substring_dedup import substring_dedup
 from changeflow.llm.suffix_dedup import suffix_dedup
 
@@ -33,8 +34,8 @@ WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+',
 g AS (SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM d JOIN g USING (t)""")
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup(table(spark, sf_dir, "documents")).select(
-        "doc.doc_id", "keep_id", "group_size", "kept", F.sha2("text", 256).alias("text_sha256"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.sha2(one_space(F.col("text")), 256).alias("text_sha256"))
+    return exact_dedup(docs).select("doc.doc_id", "keep_id", "group_size", "kept", "doc.text_sha256")
 
 
 @query("op8_rule_ledger", r"""
@@ -82,3 +83,8 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, len(w) - coalesce(n, 0) AS n_removed
 FROM d LEFT JOIN kept USING (doc_id)""")
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op10_jaccard_join")
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
