@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from changeflow.llm import packing, quality
+from changeflow.llm import packing, pii, quality
 from changeflow.llm.common import one_space, table
 from changeflow.llm.exact_dedup import exact_dedup
 from changeflow.llm.jaccard_join import jaccard_components
@@ -88,3 +88,55 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_jaccard_join")
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+def _places(source: str, by: str, pattern: str) -> str:
+    """Matches of a pattern in column t of a table with their places, start included, end excluded."""
+    return f"""SELECT {by}, v, gaps + before AS s, gaps + before + length(v) AS e FROM (
+      SELECT {by}, v, sum(length(g)) OVER (PARTITION BY {by} ORDER BY i) AS gaps,
+        coalesce(sum(length(v)) OVER (PARTITION BY {by} ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+      FROM (SELECT {by}, unnest(h) AS v, unnest(g[1:len(h)]) AS g, unnest(range(1, len(h) + 1)) AS i
+        FROM (SELECT {by}, regexp_extract_all(t, '{pattern}') AS h, regexp_split_to_array(t, '{pattern}') AS g FROM {source})))"""
+
+
+_EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"
+_BYTE = "0*(25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
+
+
+@query("op4_sanitise", rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+email AS ({_places("d", "doc_id", _EMAIL)}),
+ip AS ({_places("d", "doc_id", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")}),
+card AS (SELECT *, reverse(regexp_replace(v, '[^0-9]', '', 'g')) AS r FROM ({_places("d", "doc_id", "[0-9]([ -]?[0-9])+")})),
+phone AS ({_places("d", "doc_id", r"\+[0-9][ ().0-9-]+[0-9]")}),
+base AS (
+  SELECT doc_id, 0 AS k, 'email' AS kind, s, e, v FROM email
+  UNION ALL SELECT doc_id, 1, 'ip', s, e, v FROM ip WHERE regexp_full_match(v, '{_BYTE}(\.{_BYTE}){{3}}')
+  UNION ALL SELECT doc_id, 2, 'card', s, e, v FROM card WHERE length(r) BETWEEN 12 AND 19 AND list_sum([
+    CASE WHEN i % 2 = 1 THEN substr(r, i, 1)::INT ELSE substr(r, i, 1)::INT * 2 - CASE WHEN substr(r, i, 1)::INT > 4 THEN 9 ELSE 0 END END
+    for i in range(1, length(r) + 1)]) % 10 = 0
+  UNION ALL SELECT doc_id, 3, 'phone', s, e, v FROM phone WHERE length(regexp_replace(v, '[^0-9]', '', 'g')) BETWEEN 9 AND 15),
+around AS (SELECT base.*, t, substr(t, greatest(s - 240, 0)::BIGINT + 1, (s - greatest(s - 240, 0))::BIGINT) AS b, substr(t, e::BIGINT + 1, 240) AS a
+  FROM base JOIN d USING (doc_id)),
+part AS (SELECT doc_id, k, s AS own, kind || ':' || lower(v) AS entity, t AS whole, regexp_replace(b, '^[^\x20\x09-\x0D]+', '') AS t, 0 AS side, s AS edge FROM around
+  UNION ALL SELECT doc_id, k, s, kind || ':' || lower(v), t, regexp_replace(a, '[^\x20\x09-\x0D]+$', ''), 1, e FROM around),
+word AS ({_places("part", "doc_id, k, own, side", _EMAIL + r"|\p{L}{4,}")}),
+near AS (SELECT doc_id, entity, whole, lower(v) AS term, edge - CASE side WHEN 0 THEN length(t) ELSE 0 END + w.s AS s,
+  edge - CASE side WHEN 0 THEN length(t) ELSE 0 END + w.e AS e FROM word w JOIN part USING (doc_id, k, own, side) WHERE v NOT LIKE '%@%'),
+n_et AS (SELECT entity, term, count(DISTINCT whole) AS n_et FROM near GROUP BY ALL HAVING n_et >= 3),
+n_e AS (SELECT entity, count(DISTINCT whole) AS n_e FROM near GROUP BY ALL HAVING n_e >= 3),
+n_t AS (SELECT term, count(*) AS n_t FROM (SELECT unnest(list_distinct(regexp_extract_all(lower(t), '\p{{L}}{{4,}}'))) AS term FROM d) GROUP BY term),
+ratio AS (SELECT entity, term, ln(n_et * n::DOUBLE / (n_e * n_t)) / ln(n::DOUBLE / n_e) AS r
+  FROM n_et JOIN n_e USING (entity) JOIN n_t USING (term), (SELECT count(*) AS n FROM documents) WHERE n_e < n),
+term AS (SELECT doc_id, s, e, max(CASE WHEN r >= 0.9 THEN 5 ELSE 4 END) AS k FROM near JOIN ratio USING (entity, term) WHERE r >= 0.75 GROUP BY ALL),
+span AS (SELECT doc_id, k, kind, s, e FROM base UNION ALL SELECT doc_id, k, CASE k WHEN 4 THEN 'generalised' ELSE 'removed' END, s, e FROM term),
+out AS (SELECT doc_id, count(*) FILTER (k = 0) AS n_email, count(*) FILTER (k = 1) AS n_ip, count(*) FILTER (k = 2) AS n_card, count(*) FILTER (k = 3) AS n_phone,
+  string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k, e) FILTER (k < 4) AS b, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k, e) AS spans
+  FROM span GROUP BY doc_id)
+SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card, coalesce(n_phone, 0) AS n_phone,
+  sha256(coalesce(b, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN out USING (doc_id)""")
+def op4_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+    counts = [F.size(F.array_remove("base.kind", n)) for n in range(len(pii.PATTERNS))]
+    counts = [(F.size("base") - other).cast("long").alias(f"n_{kind}") for other, kind in zip(counts, pii.PATTERNS, strict=True)]
+    return found.select("doc.doc_id", *counts, F.sha2(pii.listed("base"), 256).alias("base_sha256"), pii.listed("spans").alias("spans"))
