@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from changeflow.llm import packing, pii, quality
+from changeflow.llm import packing, pii, quality, warc
 from changeflow.llm.common import one_space, table
 from changeflow.llm.exact_dedup import exact_dedup
 from changeflow.llm.jaccard_join import jaccard_components
@@ -163,3 +163,68 @@ def op7_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(table(spark, sf_dir, "documents")).select(
         "doc.doc_id", F.size("lines").cast("long").alias("n_lines"), F.size("dropped").cast("long").alias("n_dropped"),
         F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def _sha1(body: str) -> str:
+    return f"""'sha1:' || (SELECT string_agg(substr('{warc.BASE32}', (v >> s) % 32 + 1, 1), '' ORDER BY g, s DESC) FROM
+      (SELECT g, ('0x' || substr(sha1({body}), 5 * g + 1, 5))::INT AS v FROM range(8) AS groups(g)), (SELECT unnest([15, 10, 5, 0]) AS s))"""
+
+
+def _urn(*parts: str) -> str:
+    h = "md5(" + " || chr(0) || ".join(f"coalesce({p}, '')" for p in parts) + ")"
+    return "'<urn:uuid:' || " + " || '-' || ".join(f"substr({h}, {a}, {n})" for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))) + " || '>'"
+
+
+def _decoded(text: str) -> str:
+    known = "MAP {" + ", ".join(f"'&{name};': '{char.replace(chr(39), chr(39) * 2)}'" for name, char in warc.ENTITIES.items()) + "}"
+    one = f"""CASE WHEN e[2] <> '#' THEN coalesce({known}[e], e) ELSE chr(
+      CASE WHEN number(e) = 0 OR number(e) BETWEEN 55296 AND 57343 OR number(e) > 1114111 THEN 65533 ELSE number(e) END) END"""
+    number = "(CASE WHEN lower(e[3]) = 'x' THEN ('0x' || e[4:len(e) - 1])::INT ELSE e[3:len(e) - 1]::INT END)"
+    one = one.replace("number(e)", number)
+    pattern = warc._ENTITY
+    return f"""(WITH x AS (SELECT regexp_split_to_array({text}, '{pattern}') AS g, regexp_extract_all({text}, '{pattern}') AS h)
+      SELECT array_to_string([g[i] || coalesce([{one} for e in [h[i]]][1], '') for i in range(1, len(g) + 1)], '') FROM x)"""
+
+
+def _tidy(text: str) -> str:
+    blanks = f"regexp_replace({text}, '[ \\t\\x0B\\f\\r ]+', ' ', 'g')"
+    return f"regexp_replace(regexp_replace({blanks}, ' ?\\n[ \\n]*', chr(10), 'g'), '^[ \\n]+|[ \\n]+\\z', '', 'g')"
+
+
+def _field(name: str, value: str) -> str:
+    return f"coalesce('{name}: ' || {value} || e.crlf, '')"
+
+
+_ONE_LINE = "regexp_replace(nullif({0}, ''), '[\\r\\n]+', ' ', 'g')"
+
+
+@query("op1_warc_derivatives", rf"""
+WITH e AS (SELECT chr(13) || chr(10) AS crlf),
+p AS (SELECT page_id, url, coalesce(html, '') AS payload, {_urn("'response'", "page_id::VARCHAR", "url")} AS id,
+  regexp_replace(coalesce(html, ''), '{warc._HIDDEN}', ' ', 'g') AS shown FROM pages),
+q AS (SELECT *, regexp_replace(regexp_replace(shown, '{warc._BREAK}', chr(10), 'g'), '{warc._TAG}', '', 'g') AS plain,
+  regexp_extract(payload, '(?is)<title([ \t\r\n/][^>]*)?>(.*?)</title', 2) AS title,
+  regexp_extract(payload, '(?is)<html[^>]*[ \t\r\n]lang=["'']?([a-zA-Z-]+)', 1) AS language,
+  regexp_extract_all(shown, '(?is)<a[ \t\r\n][^>]*href="([^"]*)"', 1) AS links FROM p),
+r AS (SELECT *, {_tidy(_decoded("plain"))} AS text, {_tidy(_decoded("title"))} AS name FROM q),
+s AS (SELECT r.*, {_sha1("payload")} AS payload_digest, 'HTTP/1.1 200 OK' || crlf || 'Content-Type: text/html; charset=utf-8' || crlf || 'Content-Length: '
+  || strlen(payload) AS http, {_sha1("text")} AS text_digest, {_urn("'metadata'", "id")} AS metadata_id, {_urn("'conversion'", "id")} AS conversion_id FROM r, e),
+t AS (SELECT *, {_sha1("http || crlf || crlf || payload")} AS source_digest FROM s, e),
+rec AS (SELECT page_id, 'metadata' AS warc_type, metadata_id AS record_id, id AS refers_to, url, payload_digest, NULL AS concurrent, 'application/warc-fields' AS content_type,
+    {_field("title", _ONE_LINE.format("name"))} || {_field("language", _ONE_LINE.format("language"))} || {_field("source-block-digest", "source_digest")}
+    || {_field("source-payload-digest", "payload_digest")} || {_field("conversion", "conversion_id")} || {_field("conversion-digest", "text_digest")}
+    || array_to_string(['source-header: ' || x || e.crlf for x in string_split(http, e.crlf)], '')
+    || array_to_string(['outlink: ' || regexp_replace(x, '[\r\n]+', ' ', 'g') || e.crlf for x in links], '') AS block FROM t, e
+  UNION ALL SELECT page_id, 'conversion', conversion_id, id, url, payload_digest, metadata_id, 'text/plain; charset=utf-8', text FROM t),
+dig AS (SELECT *, {_sha1("block")} AS block_digest FROM rec)
+SELECT page_id, warc_type, record_id, refers_to, block_digest, strlen(block)::BIGINT AS content_length, sha256(block) AS block_sha256,
+  'WARC/1.1' || e.crlf || {_field("WARC-Type", "warc_type")} || {_field("WARC-Record-ID", "record_id")} || {_field("WARC-Date", "'2024-01-01T00:00:00Z'")}
+  || {_field("WARC-Refers-To", "refers_to")} || {_field("WARC-Refers-To-Payload-Digest", "payload_digest")} || {_field("WARC-Concurrent-To", "concurrent")}
+  || {_field("WARC-Target-URI", "url")} || {_field("WARC-Block-Digest", "block_digest")} || {_field("Content-Type", "content_type")}
+  || {_field("Content-Length", "strlen(block)")} AS header
+FROM dig, e""")
+def op1_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.derivatives(warc.page_responses(table(spark, sf_dir, "pages")))
+    return records.select(
+        "source.page_id", "warc_type", "record_id", "refers_to", "block_digest", F.octet_length("block").cast("long").alias("content_length"),
+        F.sha2("block", 256).alias("block_sha256"), "header")
