@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from changeflow.llm import packing, pii, quality, warc
+from changeflow.llm import packing, pii, quality, segment, warc
 from changeflow.llm.common import one_space, table
 from changeflow.llm.exact_dedup import exact_dedup
 from changeflow.llm.jaccard_join import jaccard_components
@@ -228,3 +228,10 @@ def op1_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select(
         "source.page_id", "warc_type", "record_id", "refers_to", "block_digest", F.octet_length("block").cast("long").alias("content_length"),
         F.sha2("block", 256).alias("block_sha256"), "header")
+
+
+@query("op5_sample_pieces")
+def op5_sample_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = segment.decode(segment.encode(table(spark, sf_dir, "documents")))
+    return back.select("doc_id", F.size("pieces").cast("long").alias("n_pieces"), F.crc32(F.array_join("pieces", ",").cast("binary")).alias("pieces_crc32"),
+                       F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("text_sha256"))

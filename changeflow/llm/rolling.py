@@ -61,7 +61,7 @@ class Spans:
         return mix((self.sums[q:] - self.sums[:n]) * self.inverse[:n] ^ U(q * BASES[1] % (1 << 64)))
 
 
-def text_parts(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def text_parts(batch: pa.RecordBatch, column: str = "text", part_bytes: int = PART_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Runs of rows: first row, end, their bytes, and where each row starts in them (one more at the end)."""
     col = batch.column(batch.schema.names.index(column))
     if pa.types.is_dictionary(col.type):
@@ -73,7 +73,7 @@ def text_parts(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[in
     data = np.frombuffer(col.buffers()[2], np.uint8) if col.buffers()[2] is not None else np.zeros(0, np.uint8)
     lo = 0
     while lo < len(col):
-        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + PART_BYTES, "right")) - 1)
+        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + part_bytes, "right")) - 1)
         yield lo, hi, data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
         lo = hi
 
