@@ -26,6 +26,7 @@ MODEL = "piece_bpe_32k.model"
 ALPHA = 0.5
 BYTE_WEIGHT = -25.0
 PART_BYTES = 1 << 22
+TABLE_BITS = 19
 Batches = Iterator[pa.RecordBatch]
 
 
@@ -58,16 +59,32 @@ class Vocabulary:
         self.bytes = np.frombuffer(b"".join(pieces), np.uint8)
         self.longest = int(self.lengths.max())
         ids = np.array(ids, np.int32)
-        hashes = rolling.Spans(rolling.BYTE[self.bytes]).hash(self.starts[ids], self.starts[ids] + self.lengths[ids])
-        order = np.argsort(hashes)
-        self.hashes, self.ids = hashes[order], ids[order]
         self.ranks = np.zeros(size, np.int64)
         self.ranks[ids] = np.arange(len(ids))
-
-    def find(self, hashes: np.ndarray) -> np.ndarray:
-        """Id of each hash, or -1."""
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, self.ids[at], -1)
+        # all beginnings of pieces, with the piece's id or -1, found by their upper bits
+        cuts = np.concatenate([np.repeat(self.starts[ids], self.lengths[ids]),
+                               np.concatenate([self.starts[i] + np.arange(1, self.lengths[i] + 1) for i in ids])]).reshape(2, -1)
+        hashes = rolling.Spans(rolling.BYTE[self.bytes]).hash(*cuts)
+        whole = np.repeat(ids, self.lengths[ids])
+        whole[cuts[1] != self.starts[whole] + self.lengths[whole]] = -1
+        order = np.lexsort((-whole, hashes))
+        hashes, whole = hashes[order], whole[order]
+        new = np.r_[True, hashes[1:] != hashes[:-1]]
+        self.hashes, self.ids = np.r_[hashes[new], rolling.U(0)], np.r_[whole[new], -1].astype(np.int32)
+        self.first = np.searchsorted(self.hashes[:-1] >> rolling.U(64 - TABLE_BITS), np.arange((1 << TABLE_BITS) + 1, dtype=np.uint64)).astype(np.int32)
+        self.deep = int(np.diff(self.first).max())
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each hash begins a piece, and the id of the piece it is, or -1."""
+        cell = (hashes >> rolling.U(64 - TABLE_BITS)).astype(np.int64)
+        at, end = self.first[cell], self.first[cell + 1]
+        for _ in range(self.deep - 1):
+            on = np.flatnonzero((self.hashes[at] != hashes) & (at + 1 < end))
+            if not len(on):
+                break
+            at[on] += 1
+        begins = (self.hashes[at] == hashes) & (at < end)
+        return begins, np.where(begins, self.ids[at], -1)
 
 
 _vocabularies: dict[str, Vocabulary] = {}
@@ -90,48 +107,52 @@ def prefixed(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def lattice(v: Vocabulary, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, alpha: float) -> tuple[np.ndarray, ...]:
-    """Nodes and edges of words ``starts`` to ``ends`` of ``data``: end node of each word, and per node its first edge, and
-    per edge the share of the node's weight up to it, its piece and the node it comes from. Node 0 of a word has none."""
+    """Nodes and edges of words ``starts`` to ``ends`` of ``data``, longest word first. Nodes are numbered by their place in
+    the word, then by word, so the first ones are the words' beginnings. Returns the end node of each word, per node its first
+    edge, and per edge the share of its node's weight up to it, its piece and the node it comes from."""
     n = ends - starts
-    first = np.r_[0, np.cumsum(n + 1)]
+    longest = int(n.max(initial=0))
+    reach = np.searchsorted(-n, -np.arange(longest + 1), "right")  # words of at least so many bytes
+    offset = np.r_[0, np.cumsum(reach)]
     spans = rolling.Spans(rolling.BYTE[data])
-    word = np.repeat(np.arange(len(n)), n)
-    place = np.arange(len(word)) - np.repeat(np.cumsum(n) - n, n)
-    byte, node, left = starts[word] + place, first[word] + place, n[word] - place
+    place = np.repeat(np.arange(longest), reach[1:])
+    word = np.arange(len(place)) - np.repeat(np.cumsum(reach[1:]) - reach[1:], reach[1:])
+    byte = starts[word] + place
     froms, tos, pieces, weights = [], [], [], []
     # characters of the vocabulary; the bytes of others may be spelt
     size = np.select([data[byte] < 0x80, data[byte] < 0xC0, data[byte] < 0xE0, data[byte] < 0xF0], [1, 0, 2, 3], 4)
     spelt = np.zeros(len(data) + 4, bool)
     for length in (1, 2, 3, 4):
         char = byte[size == length]
-        missing = char[v.find(spans.hash(char, np.minimum(char + length, len(data)))) < 0]
+        missing = char[v.find(spans.hash(char, np.minimum(char + length, len(data))))[1] < 0]
         for k in range(length):
             spelt[missing + k] = True
-    for length in range(1, min(v.longest, int(n.max(initial=0))) + 1):
-        live = np.flatnonzero(left >= length)
-        piece = v.find(spans.hash(byte[live], byte[live] + length))
-        live, piece = live[piece >= 0], piece[piece >= 0]
-        froms.append(node[live])
-        tos.append(node[live] + length)
-        pieces.append(piece)
-        weights.append(-alpha * np.log(v.ranks[piece] + 3.0))
+    live = np.arange(len(byte))
+    for length in range(1, longest + 1):
+        live = live[place[live] + length <= n[word[live]]]
+        begins, piece = v.find(spans.hash(byte[live], byte[live] + length))
+        live, piece = live[begins], piece[begins]
+        if not len(live):
+            break
+        use = live[piece >= 0]
+        froms.append(offset[place[use]] + word[use])
+        tos.append(offset[place[use] + length] + word[use])
+        pieces.append(piece[piece >= 0])
+        weights.append(-alpha * np.log(v.ranks[pieces[-1]] + 3.0))
     raw = np.flatnonzero(spelt[byte])
-    froms.append(node[raw])
-    tos.append(node[raw] + 1)
+    froms.append(offset[place[raw]] + word[raw])
+    tos.append(offset[place[raw] + 1] + word[raw])
     pieces.append(v.byte_id[data[byte[raw]]])
     weights.append(np.full(len(raw), BYTE_WEIGHT))
     source, target, piece, weight = (np.concatenate(x) for x in (froms, tos, pieces, weights))
-    depth = target - first[np.searchsorted(first, target, "right") - 1]
-    order = np.lexsort((source, target, depth))
-    source, target, piece, weight, depth = source[order], target[order], piece[order], weight[order], depth[order]
+    order = np.argsort(target, kind="stable")
+    source, target, piece, weight = source[order], target[order], piece[order], weight[order]
 
-    total = np.zeros(first[-1])
+    total = np.zeros(offset[-1])
     new = np.flatnonzero(np.r_[True, target[1:] != target[:-1]]) if len(target) else np.zeros(0, np.int64)
     sizes = np.diff(np.r_[new, len(target)])
-    level = np.searchsorted(depth[new], np.arange(1, int(depth.max(initial=0)) + 2))
-    for lo, hi in zip(level[:-1], level[1:], strict=True):
-        if lo == hi:
-            continue
+    level = np.searchsorted(target[new], offset)
+    for lo, hi in zip(level[1:-1], level[2:], strict=True):
         edges = slice(new[lo], new[hi] if hi < len(new) else len(target))
         weight[edges] += total[source[edges]]
         cut = new[lo:hi] - new[lo]
@@ -141,9 +162,9 @@ def lattice(v: Vocabulary, data: np.ndarray, starts: np.ndarray, ends: np.ndarra
     upto = np.cumsum(share)
     upto -= np.repeat(upto[new] - share[new], sizes)
     upto[np.r_[new[1:], len(target)][: len(new)] - 1] = 2.0
-    edge = np.zeros(first[-1], np.int64)
+    edge = np.zeros(offset[-1], np.int64)
     edge[target[new]] = new
-    return first[1:] - 1, edge, upto, piece, source, first[:-1]
+    return offset[n] + np.arange(len(n)), edge, upto, piece, source
 
 
 def sample(v: Vocabulary, data: np.ndarray, at: np.ndarray, keys: np.ndarray, alpha: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -158,7 +179,10 @@ def sample(v: Vocabulary, data: np.ndarray, at: np.ndarray, keys: np.ndarray, al
     rows = np.searchsorted(starts, at)
     row = np.repeat(np.arange(len(at) - 1), np.diff(rows))
     _, example, kind = np.unique(rolling.Spans(rolling.BYTE[data]).hash(starts, ends), return_index=True, return_inverse=True)
-    last, edge, upto, piece, source, root = lattice(v, data, starts[example], ends[example], alpha)
+    order = np.argsort(starts[example] - ends[example], kind="stable")
+    example, back = example[order], np.argsort(order)
+    kind = back[kind]
+    last, edge, upto, piece, source = lattice(v, data, starts[example], ends[example], alpha)
 
     draw = rolling.mix(rolling.mix(keys ^ rolling.U(seed * rolling.BASES[0] % (1 << 64)))[row] + (np.arange(len(starts)) - rows[:-1][row]).astype(rolling.U) * rolling.U(rolling.BASES[1]))
     live, node, count = np.arange(len(starts)), last[kind], np.zeros(len(starts), np.int64)
@@ -174,7 +198,7 @@ def sample(v: Vocabulary, data: np.ndarray, at: np.ndarray, keys: np.ndarray, al
         ids.append(piece[pick])
         count[live] += 1
         node = source[pick]
-        on = node != root[kind[live]]
+        on = node >= len(example)
         live, node = live[on], node[on]
     begins = np.r_[0, np.cumsum(count)]
     out = np.zeros(begins[-1], np.int32)
