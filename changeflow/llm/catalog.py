@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import corpus_pipeline
 from changeflow.llm import packing, pii, quality, segment, warc
 from changeflow.llm.common import one_space, table
 from changeflow.llm.exact_dedup import exact_dedup
@@ -235,3 +236,6 @@ def op5_sample_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = segment.decode(segment.encode(table(spark, sf_dir, "documents")))
     return back.select("doc_id", F.size("pieces").cast("long").alias("n_pieces"), F.crc32(F.array_join("pieces", ",").cast("binary")).alias("pieces_crc32"),
                        F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("text_sha256"))
+
+
+query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)

@@ -24,7 +24,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from changeflow.llm import rolling
 from changeflow.llm.common import documents, same_document, stage
@@ -223,7 +223,8 @@ def linked_sets(sets: DataFrame, size: int, percent: int) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, key, n_shingles, component_id), a row per row of ``docs``; ``key`` as in ``common.documents``.
+    """(doc_id, key, n_shingles, component_id, head), a row per row of ``docs``; ``key`` as in ``common.documents``, and
+    ``head`` is whether the row's id is its component's.
 
     A-Z are lower-cased; a document's set are its distinct shingles of ``shingle`` words, or all its words as one if it has
     fewer. Null, empty and blank texts have no set and link with nothing. ``component_id`` is the smallest id that links
@@ -249,5 +250,17 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
         ties = joined.filter("n_shingles > 0").join(several.select("id"), "id").select(F.col("id").alias("a"), F.col("least").alias("b")).distinct()
         near = components(near.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(ties))
     out = joined.join(near.withColumnRenamed("id", "least"), "least", "left").select(
-        "doc_id", "key", "n_shingles", F.coalesce("component", "least").alias("component_id"))
-    return out.withColumn("component_id", F.when(F.col("component_id") < NO_ID, F.col("component_id")))
+        "doc_id", "key", "n_shingles", "id", F.coalesce("component", "least").alias("component_id"))
+    return out.select("doc_id", "key", "n_shingles", F.when(F.col("component_id") < NO_ID, F.col("component_id")).alias("component_id"),
+                      (F.col("id") == F.col("component_id")).alias("head"))
+
+
+def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **join: int) -> DataFrame:
+    """The rows of ``docs``, columns unchanged, without those whose component has a smaller id; of rows that share the id or
+    are given twice one stays. Rows without an id stay for a component only if none of it has one."""
+    heads = jaccard_components(docs, doc_id, text, **join).filter("head")
+    heads = heads.groupBy(F.coalesce("doc_id", F.lit(NO_ID)).alias("_id"), F.when(F.col("doc_id").isNull(), F.col("key")).alias("_own")).agg(F.min("key").alias("_key"))
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("_id"),
+                       F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_key"))
+    kept = rows.join(heads.select("_id", "_key"), ["_id", "_key"])
+    return kept.withColumn("_n", F.row_number().over(Window.partitionBy("_id", "_key").orderBy("_id"))).filter("_n = 1").select("doc.*")
