@@ -34,11 +34,16 @@ def scn_cmp(a: Column, b: Column) -> Column:
     )
 
 
+def scn_of_text(text: Column) -> Column:
+    """A whole number of up to 38 digits, else null."""
+    return F.when(text.rlike(r"^\s*[+-]?[0-9]{1,38}\s*$"), F.trim(text).try_cast(SCN_TYPE))
+
+
 def commit_entry(entry: Column) -> Column:
     """``scn``, ``scn:thread:tx-tx`` or ``scn:_:_:thread`` as a struct; null for other forms."""
     parts = F.split(entry, ":", -1)
     none = F.array().cast("array<string>")
-    scn = F.get(parts, 0).try_cast("long")
+    scn = scn_of_text(F.get(parts, 0))
     size = F.size(parts)
     thread = F.when(size == 1, F.lit(1)).when(size == 3, F.get(parts, 1).try_cast("int")).when(
         size == 4, F.get(parts, 3).try_cast("int")
@@ -50,11 +55,11 @@ def commit_entry(entry: Column) -> Column:
 
 
 def pending_map(text: Column) -> Column:
-    """``tx:scn,tx:scn`` as map<string,bigint>, blank entries removed."""
+    """``tx:scn,tx:scn`` as a map from transaction to SCN, blank entries removed."""
     entries = F.filter(F.transform(F.split(text, ","), lambda e: F.trim(e)), lambda e: e != "")
     pairs = F.transform(
         entries,
-        lambda e: F.struct(F.substring_index(e, ":", 1), F.regexp_extract(e, r"^[^:]*:(.*)$", 1).try_cast("long")),
+        lambda e: F.struct(F.substring_index(e, ":", 1), scn_of_text(F.regexp_extract(e, r"^[^:]*:(.*)$", 1))),
     )
     return F.map_from_entries(pairs)
 

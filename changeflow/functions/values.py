@@ -273,18 +273,31 @@ def to_day_second(text: Column, mode: str = "numeric") -> Column:
 
 
 def to_duration(text: Column) -> Column:
-    """``[-]h:m[:s[.f]]``, quoted or not, or the tail of a timestamp, as signed microseconds."""
-    bare = F.regexp_replace(F.trim(text), "^'|'$", "")
-    stamp = r"^\d*-\d*-\d* (\d*:\d*:\d*(?:\.\d*)?)$"
-    bare = F.when(bare.rlike(stamp), F.regexp_extract(bare, stamp, 1)).otherwise(bare)
-    shape = r"^(-?)(\d+):(\d+)(?::(\d+))?(?:\.(\d*))?$"
-    part = lambda i: F.coalesce(F.nullif(F.regexp_extract(bare, shape, i), F.lit("")).try_cast("bigint"), F.lit(0))
-    has_seconds = F.regexp_extract(bare, shape, 4) != ""
-    # without seconds a fraction has no meaning
-    fraction = F.when(has_seconds, F.coalesce(_micros(F.regexp_extract(bare, shape, 5)), F.lit(0))).otherwise(0)
-    total = (part(2) * 3600 + part(3) * 60 + part(4)) * SECOND + fraction
-    sign = F.when(F.regexp_extract(bare, shape, 1) == "-", -1).otherwise(1)
-    return F.when(bare.rlike(shape), sign * total)
+    """``[-]h:m[:s[.f]]``, quoted or not, or the time of a ``y-m-d h:m:s[.f]`` timestamp, as signed microseconds.
+
+    Hours have any number of digits, minutes and seconds one or two, fractions up to nine; other texts are null.
+    """
+    bare = F.trim(F.trim(text), F.lit("'"))
+    words = F.split(bare, " ")
+    day = F.split(F.get(words, 0), "-")
+    stamped = (F.size(words) == 2) & (F.size(day) == 3) & F.forall(day, lambda x: _whole(x, 4)) & ~F.startswith(F.get(words, 1), F.lit("-"))
+    clock = F.when(stamped, F.get(words, 1)).when(F.size(words) == 1, bare)
+    negative = F.startswith(clock, F.lit("-"))
+    parts = F.split(F.when(negative, F.substring(clock, F.lit(2), F.length(clock))).otherwise(clock), ":")
+    last = F.split(F.get(parts, 2), r"\.")
+    seconds, fraction = F.coalesce(F.get(last, 0), F.lit("0")), F.coalesce(F.get(last, 1), F.lit("0"))
+    fits = (
+        F.when(stamped, F.size(parts) == 3).otherwise(F.size(parts).between(2, 3)) & _whole(F.get(parts, 0), 18) & _whole(F.get(parts, 1), 2)
+        & _whole(seconds, 2) & _whole(fraction, 9) & F.coalesce(F.size(last) <= 2, F.lit(True))
+    )
+    number = lambda x: x.try_cast("bigint")
+    total = (number(F.get(parts, 0)) * 3600 + number(F.get(parts, 1)) * 60 + number(seconds)) * SECOND + number(F.rpad(F.substring(fraction, 1, 6), 6, "0"))
+    return F.when(fits, F.when(negative, -total).otherwise(total))
+
+
+def _whole(text: Column, digits: int) -> Column:
+    """One to ``digits`` digits and nothing else."""
+    return F.length(text).between(1, digits) & (F.translate(text, "0123456789", "") == "")
 
 
 # ---------------------------------------------------------------- text formats of temporal columns

@@ -8,15 +8,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from changeflow.model import BINARY_LOB_TYPES, TEXT_LOB_TYPES, UNAVAILABLE_PLACEHOLDER
 from changeflow.operators.image import Key, key_of
-from changeflow.session import broadcast_if_small
 
 
 class Lobs(NamedTuple):
-    #: event_id, col, type_name, text, bytes, size; only rows of complete events
+    #: event_id, col, type_name, text, bytes, size, ref; every column of the complete events
     values: DataFrame
     #: event_id, ended, expected; events whose chunks have not all arrived
     open_events: DataFrame
-    #: event_id, col, segment, type_name, bytes; complete objects too long for one cell, in order
+    #: event_id, col, segment, type_name, bytes; the pieces of objects too long for one cell, in order
     segments: DataFrame
 
 
@@ -30,41 +29,50 @@ def _concat(pieces: Column) -> Column:
 
 
 def assemble_lobs(
-    chunks: DataFrame, expected: DataFrame | None = None, max_chunks: int = 100_000, segment_chunks: int = 10_000
+    chunks: DataFrame, expected: DataFrame | None = None, value_bytes: int = 256 << 20, segment_chunks: int = 10_000
 ) -> Lobs:
     """Put the chunks of each (event, column) together.
 
-    ``expected`` has event_id and out_row_cols, the number of columns that must have ended. Chunks
-    delivered twice count once. An object of ``max_chunks`` pieces or more is returned whole as
-    ordered segments, since one cell (and one task) could not hold it.
+    ``expected`` has event_id and out_row_cols, the number of columns that must have ended. A column
+    has ended when its end mark and every chunk before it are there. Chunks delivered twice count once.
+    An object of more than ``value_bytes`` bytes, which one cell and one task could not hold, comes as
+    ordered segments; its row in ``values`` has ``ref``, the name of the segments, in place of the data.
     """
-    # the bookkeeping reads no bytes
-    per_col = chunks.groupBy("event_id", "col").agg(F.max("is_end").alias("ended"), F.max("seq").alias("last_seq"))
-    status = per_col.groupBy("event_id").agg(
-        F.count_if("ended").alias("ended"), F.count("*").alias("cols"), F.max("last_seq").alias("last_seq")
+    # the bookkeeping reads lengths only
+    one = chunks.groupBy("event_id", "col", "seq").agg(F.max("is_end").alias("is_end"), F.max(F.length("bytes")).alias("n"))
+    per_col = one.groupBy("event_id", "col").agg(
+        F.max(F.when(F.col("is_end"), F.col("seq"))).alias("last_seq"), F.max("seq").alias("top"), F.count("*").alias("pieces"),
+        F.sum("n").alias("size"),
     )
+    per_col = per_col.withColumn("whole", (F.col("pieces") == F.col("last_seq") + 1) & (F.col("top") == F.col("last_seq")))
+    status = per_col.groupBy("event_id").agg(F.count_if("whole").alias("ended"), F.count("*").alias("cols"))
     if expected is not None:
         status = expected.select("event_id", F.col("out_row_cols").alias("expected")).join(status, "event_id", "left")
     else:
         status = status.withColumn("expected", F.col("cols"))
     ended = F.coalesce(F.col("ended"), F.lit(0))
-    done = ended >= F.col("expected")
+    # a column that has begun must end too
+    done = (ended >= F.col("expected")) & (ended >= F.coalesce("cols", F.lit(0)))
     open_events = status.filter(~done).select("event_id", ended.alias("ended"), "expected")
 
-    big, _ = broadcast_if_small(status.filter(done & (F.col("last_seq") >= max_chunks)).select("event_id"))
-    whole = status.filter(done & (F.col("last_seq") < max_chunks)).select("event_id")
-    # the only shuffle of the bytes: by event, which both the join and the grouping use
-    small = chunks.repartition("event_id").join(whole, "event_id", "left_semi")
-    values = small.groupBy("event_id", "col").agg(
-        F.min_by("type_name", "seq").alias("type_name"),
-        _concat(F.collect_list(F.struct("seq", "bytes"))).alias("bytes"),
-    )
-    segments = (
-        chunks.join(big, "event_id", "left_semi")
-        .groupBy("event_id", "col", F.floor(F.col("seq") / segment_chunks).alias("segment"))
-        .agg(F.min_by("type_name", "seq").alias("type_name"), _concat(F.collect_list(F.struct("seq", "bytes"))).alias("bytes"))
-    )
-    return Lobs(lob_values(values), open_events, segments)
+    complete = per_col.join(status.filter(done).select("event_id"), "event_id").select(
+        "event_id", "col", (F.coalesce("size", F.lit(0)) > value_bytes).alias("long"), "size")
+    pieces = chunks.join(complete, ["event_id", "col"])
+    joined = _concat(F.collect_list(F.struct("seq", "bytes"))).alias("bytes")
+    kind = F.min_by("type_name", "seq").alias("type_name")
+    values = pieces.filter("NOT long").groupBy("event_id", "col").agg(kind, joined)
+    # segments of an object meet by (event, column, segment), so no task gathers all of it
+    long = pieces.filter("long")
+    segments = long.groupBy("event_id", "col", F.floor(F.col("seq") / segment_chunks).alias("segment")).agg(kind, joined)
+    named = long.groupBy("event_id", "col").agg(kind, F.max("size").alias("size"))
+    return Lobs(lob_values(values).unionByName(_references(named)), open_events, segments)
+
+
+def _references(named: DataFrame) -> DataFrame:
+    none = F.lit(None)
+    ref = F.concat_ws(":", F.lit("segments"), "event_id", "col")
+    return named.filter(F.col("type_name").isin(*TEXT_LOB_TYPES, *BINARY_LOB_TYPES)).select(
+        "event_id", "col", "type_name", none.cast("string").alias("text"), none.cast("binary").alias("bytes"), F.col("size").cast("long"), ref.alias("ref"))
 
 
 def lob_values(values: DataFrame, *keep: str) -> DataFrame:
@@ -79,13 +87,14 @@ def lob_values(values: DataFrame, *keep: str) -> DataFrame:
         *keep,
         F.when(is_text, F.decode(filled, "UTF-8")).alias("text"),
         F.when(~is_text, filled).alias("bytes"),
-        size.alias("size"),
+        size.cast("long").alias("size"),
+        F.lit(None).cast("string").alias("ref"),
     )
 
 
 def lob_images(values: DataFrame) -> DataFrame:
-    """One row per event: column -> value text (bytes as hex), as images hold it."""
-    text = F.coalesce("text", F.hex("bytes"))
+    """One row per event: column -> value text (bytes as hex), as images hold it; an object too long for a cell is its reference."""
+    text = F.coalesce("text", F.hex("bytes"), "ref")
     return values.groupBy("event_id").agg(
         F.map_from_entries(F.collect_list(F.struct("col", text.alias("value")))).alias("lobs")
     )

@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from changeflow.functions import scn as scnf
 from changeflow.model import POSITION_FIELDS, REPLAY_EXEMPT_TYPES, position
 from changeflow.operators.ranges import asof_join
-from changeflow.session import broadcast_if_small
 
 
 def with_position(log: DataFrame) -> DataFrame:
@@ -150,21 +149,25 @@ def same_time(df: DataFrame, clock: DataFrame, a: str, b: str, out: str = "same_
 
 
 def handover_point(log: DataFrame, ddl: DataFrame, captured: DataFrame, clock: DataFrame) -> DataFrame:
-    """Flash point F (last SCN whose time differs from the latest DDL time), stream start F+1.
+    """Flash point F, an SCN above the latest DDL of a captured table with another time, and stream start F+1.
 
-    One row; the log is only aggregated, never collected.
+    Times do not go back, so the head of the log is such an SCN, or there is none yet and F is null: the caller
+    asks again later. ``start_scn`` is the head. One row; both tables are only aggregated, and two SCNs looked up.
     """
-    keep, _ = broadcast_if_small(captured.select("schema_name", "table_name").distinct())
-    last_ddl = ddl.join(keep, ["schema_name", "table_name"], "left_semi").agg(F.max("scn").alias("ddl_scn"))
-    ddl_time = scn_to_time(last_ddl, clock, "ddl_scn", "ddl_ts").select("ddl_scn", "ddl_ts", F.lit(1).alias("__k"))
-    heads = log.groupBy(F.col("position_scn").alias("scn")).agg(F.lit(1).alias("__k"))
-    timed = scn_to_time(heads, clock, "scn", "head_ts").join(F.broadcast(ddl_time), "__k")
+    names = ["schema_name", "table_name"]
+    last_ddl = ddl.join(captured.select(*names).distinct(), names, "left_semi").agg(F.max("scn").alias("latest_ddl_scn"))
+    head = log.agg(F.max("position_scn").alias("start_scn"))
+    one = head.withColumn("__k", F.lit(1)).join(last_ddl.withColumn("__k", F.lit(1)), "__k").drop("__k")
+    known = clock.select("scn", "ts")
+    time_at = lambda c: F.max_by("ts", F.when(F.col("scn") <= F.col(c), F.col("scn")))
+    # two rows' worth of bounds meet the clock by a constant, and one pass finds both times
+    timed = known.withColumn("__k", F.lit(1)).join(F.broadcast(one.withColumn("__k", F.lit(1))), "__k").agg(
+        time_at("start_scn").alias("head_ts"), time_at("latest_ddl_scn").alias("ddl_ts"))
+    both = one.withColumn("__k", F.lit(1)).join(F.broadcast(timed.withColumn("__k", F.lit(1))), "__k").drop("__k")
     differs = ~F.col("head_ts").eqNullSafe(F.col("ddl_ts")) | F.col("ddl_ts").isNull()
-    return timed.agg(
-        F.max(F.when(differs, F.col("scn"))).alias("flash_scn"),
-        F.max("ddl_scn").alias("latest_ddl_scn"),
-        F.min("scn").alias("start_scn"),
-    ).withColumn("stream_scn", F.col("flash_scn") + 1)
+    above = F.col("latest_ddl_scn").isNull() | (F.col("start_scn") > F.col("latest_ddl_scn"))
+    flash = F.when(differs & above, F.col("start_scn"))
+    return both.select(flash.alias("flash_scn"), "latest_ddl_scn", "start_scn", (flash + 1).alias("stream_scn"))
 
 
 def at_or_before(history: DataFrame, pos: dict, default_scn: int = 0) -> DataFrame:

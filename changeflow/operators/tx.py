@@ -9,30 +9,30 @@ from changeflow.operators.ranges import row_number_in_group
 
 
 def tx_boundaries(log: DataFrame) -> DataFrame:
-    """A BEGIN and an END row per transaction; END carries the event count in all and per table.
+    """BEGIN and END rows from the log's transaction records; END carries the event count in all and per table.
 
+    A transaction without a commit record has no END; a committed one without row changes has a count of 0.
     Counts are folded per (transaction, table) before they meet, so a huge transaction is cheap.
     """
-    dml = log.filter(F.col("lcr_type") == "DML").withColumn("pos", position())
-    per_table = dml.groupBy("tx_id", table_name().alias("data_collection")).agg(
-        F.count("*").alias("n"), F.min("pos").alias("first"), F.max("pos").alias("last"), F.max("commit_ts").alias("commit_ts")
+    marks = log.filter((F.col("lcr_type") == "XACT") & F.col("dml").isin("BEGIN", "COMMIT")).withColumn("pos", position())
+    # a record delivered again has the same position
+    marks = marks.groupBy("tx_id", F.when(F.col("dml") == "BEGIN", "BEGIN").otherwise("END").alias("status")).agg(
+        F.min("pos").alias("pos"), F.max("commit_ts").alias("commit_ts")
     )
-    per_tx = per_table.groupBy("tx_id").agg(
+    per_table = log.filter(F.col("lcr_type") == "DML").groupBy("tx_id", table_name().alias("data_collection")).agg(F.count("*").alias("n"))
+    counts = per_table.groupBy("tx_id").agg(
         F.sum("n").alias("event_count"),
         # one entry per table of the source
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("data_collection", "n")))).alias("data_collections"),
-        F.min("first").alias("first"),
-        F.max("last").alias("last"),
-        F.max("commit_ts").alias("commit_ts"),
     )
-    rows = F.array(
-        F.struct(
-            F.lit("BEGIN").alias("status"), F.col("first").alias("pos"),
-            F.lit(None).cast("long").alias("event_count"), F.lit(None).cast("map<string,bigint>").alias("data_collections"),
-        ),
-        F.struct(F.lit("END").alias("status"), F.col("last").alias("pos"), "event_count", "data_collections"),
+    ends = F.col("status") == "END"
+    none = F.create_map().cast("map<string,bigint>")
+    return marks.join(counts, "tx_id", "left").select(
+        "tx_id", "status", "pos",
+        F.when(ends, F.coalesce("event_count", F.lit(0).cast("long"))).alias("event_count"),
+        F.when(ends, F.coalesce("data_collections", none)).alias("data_collections"),
+        "commit_ts",
     )
-    return per_tx.select("tx_id", "commit_ts", F.explode(rows).alias("b")).select("tx_id", "b.*", "commit_ts")
 
 
 def tx_order(events: DataFrame, parts: int | None = None) -> DataFrame:

@@ -19,7 +19,7 @@ def _twice(chunks: DataFrame) -> DataFrame:
     return chunks.unionByName(chunks.filter("seq % 3 = 0"))
 
 
-@query("assemble_lobs", "SELECT doc_id AS event_id, text, CAST(octet_length(encode(text)) AS INT) AS size FROM documents")
+@query("assemble_lobs", "SELECT doc_id AS event_id, text, CAST(octet_length(encode(text)) AS BIGINT) AS size FROM documents")
 def assemble_lobs(spark, d):
     out = lob.assemble_lobs(_twice(fx.lob_chunks(spark, d)), _expected(spark, d))
     return out.values.select("event_id", "text", "size")
@@ -39,36 +39,69 @@ def assemble_lobs_open(spark, d):
     )
 
 
-@query("assemble_lobs_segments", "SELECT doc_id AS event_id, text FROM documents WHERE length(text) > 2000")
+@query(
+    "assemble_lobs_gap",
+    """SELECT doc_id AS event_id, 'complete' AS state, text FROM documents WHERE NOT (doc_id%3=0 AND length(text) > 1000)
+ UNION ALL SELECT doc_id, 'open', NULL FROM documents WHERE doc_id%3=0 AND length(text) > 1000""",
+)
+def assemble_lobs_gap(spark, d):
+    """The second of three or more chunks is missing for doc_id%3=0: the end mark alone does not complete an event."""
+    chunks = fx.lob_chunks(spark, d)
+    long = fx.table(spark, d, "documents").filter((F.col("doc_id") % 3 == 0) & (F.length("text") > 1000)).select(F.col("doc_id").alias("event_id"), F.lit(1).alias("seq"))
+    out = lob.assemble_lobs(_twice(chunks.join(long, ["event_id", "seq"], "left_anti")), _expected(spark, d))
+    return out.values.select("event_id", F.lit("complete").alias("state"), "text").unionByName(
+        out.open_events.select("event_id", F.lit("open").alias("state"), F.lit(None).cast("string").alias("text"))
+    )
+
+
+@query(
+    "assemble_lobs_segments",
+    """SELECT doc_id AS event_id, text, octet_length(encode(text)) > 2000 AS long, CASE WHEN octet_length(encode(text)) > 2000 THEN 'segments:'||CAST(doc_id AS STRING)||':TEXT' END AS ref FROM documents""",
+)
 def assemble_lobs_segments(spark, d):
-    """Objects of more than four chunks count as too long here; their segments are put together by the reader."""
-    out = lob.assemble_lobs(fx.lob_chunks(spark, d), _expected(spark, d), max_chunks=4, segment_chunks=3)
+    """Objects of more than 2,000 bytes count as too long here; their segments are put together by the reader."""
+    out = lob.assemble_lobs(_twice(fx.lob_chunks(spark, d)), _expected(spark, d), value_bytes=2_000, segment_chunks=3)
     whole = out.segments.groupBy("event_id", "col").agg(F.array_sort(F.collect_list(F.struct("segment", "bytes"))).alias("s"))
     hexed = F.array_join(F.transform("s", lambda s: F.hex(s["bytes"])), "")
-    return whole.select("event_id", F.decode(F.unhex(hexed), "UTF-8").alias("text"))
+    whole = whole.select("event_id", "col", F.decode(F.unhex(hexed), "UTF-8").alias("joined"))
+    return out.values.join(whole, ["event_id", "col"], "left").select(
+        "event_id", F.coalesce("text", "joined").alias("text"), F.col("ref").isNotNull().alias("long"), "ref")
+
+
+@query(
+    "mark_unavailable_long",
+    """SELECT doc_id AS event_id, CASE WHEN octet_length(encode(text)) > 2000 THEN 'segments:'||CAST(doc_id AS STRING)||':TEXT' ELSE text END AS text,
+ CASE WHEN octet_length(encode(text)) > 2000 THEN 'segments:'||CAST(doc_id AS STRING)||':DATA' ELSE upper(hex(encode(text))) END AS data, lang AS small FROM documents""",
+)
+def mark_unavailable_long(spark, d):
+    """A text and a binary object of many chunks and a small column per event: no placeholder where data exists."""
+    chunks = fx.lob_chunks(spark, d).select("event_id", "col", "type_name", "seq", "bytes", "is_end")
+    binary = chunks.withColumn("col", F.lit("DATA")).withColumn("type_name", F.lit("BLOB"))
+    small = fx.table(spark, d, "documents").select(
+        F.col("doc_id").alias("event_id"), F.lit("SMALL").alias("col"), F.lit("CLOB").alias("type_name"), F.lit(0).alias("seq"),
+        F.encode("lang", "UTF-8").alias("bytes"), F.lit(True).alias("is_end"))
+    out = lob.assemble_lobs(chunks.unionByName(binary).unionByName(small), value_bytes=2_000)
+    cols = F.array(F.lit("TEXT"), F.lit("DATA"), F.lit("SMALL"))
+    rows = lob.mark_unavailable(_lob_events(spark, d), cols, lob.lob_images(out.values))
+    return rows.select("event_id", *[F.col("after")[c].alias(c.lower()) for c in ("TEXT", "DATA", "SMALL")])
 
 
 @query(
     "assemble_lobs_types",
     """SELECT doc_id AS event_id, 'T' AS kind, text AS shown FROM documents
- UNION ALL SELECT doc_id, 'B', upper(hex(encode(substr(text,1,20)))) FROM documents
+ UNION ALL SELECT doc_id, 'B', upper(hex(encode(text))) FROM documents
  UNION ALL SELECT doc_id, 'Z', NULL FROM documents""",
 )
 def assemble_lobs_types(spark, d):
-    """Per document a text, a binary and an empty object, and one of a type that is left out."""
+    """Per document a text and a binary object of as many chunks, an empty one, and one of a type that is left out."""
     base = fx.lob_chunks(spark, d).select("event_id", "col", "type_name", "seq", "bytes", "is_end")
-    first = fx.table(spark, d, "documents").select(F.col("doc_id").alias("event_id"), F.encode(F.substring("text", 1, 20), "UTF-8").alias("head"))
-    one = lambda col, kind, data: first.select(
-        "event_id", F.lit(col).alias("col"), F.lit(kind).alias("type_name"), F.lit(0).alias("seq"), data.alias("bytes"), F.lit(True).alias("is_end")
-    )
-    chunks = (
-        base.withColumn("col", F.lit("T"))
-        .unionByName(one("B", "BLOB", F.col("head")))
-        .unionByName(one("Z", "NCLOB", F.lit(b"")))
-        .unionByName(one("X", "GEOMETRY", F.col("head")))
+    as_type = lambda col, kind: base.withColumn("col", F.lit(col)).withColumn("type_name", F.lit(kind))
+    ids = fx.table(spark, d, "documents").select(F.col("doc_id").alias("event_id"))
+    empty = ids.select(
+        "event_id", F.lit("Z").alias("col"), F.lit("NCLOB").alias("type_name"), F.lit(0).alias("seq"), F.lit(b"").alias("bytes"), F.lit(True).alias("is_end")
     )
-    expected = first.select("event_id", F.lit(4).alias("out_row_cols"))
-    out = lob.assemble_lobs(chunks, expected).values
+    chunks = as_type("T", "CLOB").unionByName(as_type("B", "BLOB")).unionByName(empty).unionByName(as_type("X", "GEOMETRY"))
+    out = lob.assemble_lobs(chunks, ids.withColumn("out_row_cols", F.lit(4))).values
     return out.select("event_id", F.col("col").alias("kind"), F.coalesce("text", F.hex("bytes")).alias("shown"))
 
 

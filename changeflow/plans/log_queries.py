@@ -43,7 +43,22 @@ def off(spark, d) -> DataFrame:
 )
 def parse_commit_scn(spark, d):
     rows = pos.parse_commit_scn(off(spark, d).select("id", "commit_scn"))
-    return rows.select("id", "entry_no", "redo_thread", "scn", F.array_join("tx_ids", "-").alias("txs"), "bad_entry")
+    return rows.select("id", "entry_no", "redo_thread", F.col("scn").cast("long").alias("scn"), F.array_join("tx_ids", "-").alias("txs"), "bad_entry")
+
+
+@query(
+    "parse_commit_scn_large",
+    OFF
+    + """SELECT id, '99999999999999'||lpad(CAST(id AS STRING), 12, '0') AS scn, '99999999999999'||lpad(CAST(id AS STRING), 12, '0') AS earliest,
+ 'tx1:99999999999999'||lpad(CAST(id AS STRING), 12, '0') AS written FROM off""",
+)
+def parse_commit_scn_large(spark, d):
+    """SCNs of 26 digits."""
+    large = F.concat(F.lit("99999999999999"), F.lpad(F.col("id").cast("string"), 12, "0"))
+    rows = off(spark, d).select("id", F.concat(large, F.lit(":1:")).alias("commit_scn"), F.concat(F.lit("tx1:"), large).alias("pending"))
+    rows = pos.pending_tx(pos.parse_commit_scn(rows))
+    return rows.select("id", F.col("scn").cast("string").alias("scn"), F.col("earliest_scn").cast("string").alias("earliest"),
+                       scnf.pending_text(F.col("pending_map")).alias("written"))
 
 
 @query(
@@ -78,7 +93,7 @@ def scn_arith(spark, d):
 def pending_tx(spark, d):
     rows = pos.pending_tx(off(spark, d))
     return rows.select(
-        "id", F.size("pending_map").alias("n"), F.col("earliest_scn").alias("earliest"), scnf.pending_text(F.col("pending_map")).alias("written")
+        "id", F.size("pending_map").alias("n"), F.col("earliest_scn").cast("long").alias("earliest"), scnf.pending_text(F.col("pending_map")).alias("written")
     )
 
 
@@ -133,6 +148,20 @@ def write_offsets(spark, d):
     return offsets.write_offsets(offsets.read_offsets(_offset_json(spark, d)), "written")
 
 
+@query(
+    "offsets_round_trip",
+    OFF
+    + """SELECT id, CASE WHEN id%9<>0 THEN id END AS position_scn, CAST('9'||lpad(CAST(id AS STRING), 25, '0') AS STRING) AS stream_start_scn, id%3=0 AS snapshot FROM off""",
+)
+def offsets_round_trip(spark, d):
+    """Written, read, written again and read: nothing is lost, and the stream start may have any size."""
+    start = F.concat(F.lit("9"), F.lpad(F.col("id").cast("string"), 25, "0"))
+    rows = offsets.read_offsets(_offset_json(spark, d)).withColumn("stream_start_scn", start.cast("decimal(38,0)"))
+    for _ in range(2):
+        rows = offsets.read_offsets(offsets.write_offsets(rows))
+    return rows.select("id", "pos.position_scn", F.col("stream_start_scn").cast("string").alias("stream_start_scn"), "snapshot")
+
+
 CLOCK = """WITH clock AS (SELECT event_id*10 scn, ts FROM events),
 o AS (SELECT o_orderkey k, o_orderkey*7+3 scn FROM orders)
 """
@@ -173,23 +202,26 @@ def same_time(spark, d):
     return pos.same_time(pairs, fx.clock(spark, d), "a", "b").select("k", "same_time")
 
 
-@query(
-    "handover_point",
-    """WITH clock AS (SELECT event_id*10 scn, ts FROM events), l AS (SELECT o_orderkey*7+3 scn FROM orders),
- ddl AS (SELECT max(s_suppkey)*700 AS scn FROM supplier WHERE s_suppkey%2=0),
- dt AS (SELECT ddl.scn, c.ts FROM ddl ASOF LEFT JOIN clock c ON ddl.scn >= c.scn),
- lt AS (SELECT l.scn, c.ts FROM l ASOF LEFT JOIN clock c ON l.scn >= c.scn)
-SELECT max(lt.scn) FILTER (WHERE lt.ts IS DISTINCT FROM dt.ts) AS flash_scn, max(dt.scn) AS latest_ddl_scn, min(lt.scn) AS start_scn,
- max(lt.scn) FILTER (WHERE lt.ts IS DISTINCT FROM dt.ts) + 1 AS stream_scn FROM lt, dt""",
-)
-def handover_point(spark, d):
-    log = _scns(spark, d).select(F.col("scn").alias("position_scn"))
-    s = fx.table(spark, d, "supplier")
-    ddl = s.select(
-        (F.col("s_suppkey") * 700).alias("scn"), F.lit("S1").alias("schema_name"), F.concat(F.lit("T"), F.col("s_suppkey").cast("string")).alias("table_name")
-    )
-    captured = ddl.filter((F.col("scn") / 700) % 2 == 0)
-    return pos.handover_point(log, ddl, captured, fx.clock(spark, d))
+def _handover(shift: int) -> str:
+    return f"""WITH clock AS (SELECT event_id*10 scn, ts FROM events), l AS (SELECT max(o_orderkey*7+3) scn FROM orders),
+ ddl AS (SELECT max(s_suppkey)*700+{shift} AS scn FROM supplier WHERE s_suppkey%2=0),
+ t AS (SELECT l.scn AS head, ddl.scn AS ddl, (SELECT arg_max(ts, clock.scn) FROM clock WHERE clock.scn <= l.scn) AS ht,
+  (SELECT arg_max(ts, clock.scn) FROM clock WHERE clock.scn <= ddl.scn) AS dt FROM l, ddl),
+ f AS (SELECT *, CASE WHEN head > ddl AND (dt IS NULL OR ht IS DISTINCT FROM dt) THEN head END AS flash FROM t)
+SELECT flash AS flash_scn, ddl AS latest_ddl_scn, head AS start_scn, flash + 1 AS stream_scn FROM f"""
+
+
+for _name, _shift in (("handover_point", 0), ("handover_waits", 1_000_000_000)):
+
+    @query(_name, _handover(_shift))
+    def handover_point(spark, d, shift=_shift):
+        """With the latest DDL inside the log, and above its head, where there is no flash point yet."""
+        log = _scns(spark, d).select(F.col("scn").alias("position_scn"))
+        number = F.col("s_suppkey")
+        ddl = fx.table(spark, d, "supplier").select(
+            (number * 700 + shift).alias("scn"), F.lit("S1").alias("schema_name"), F.concat(F.lit("T"), number.cast("string")).alias("table_name"), "s_suppkey"
+        )
+        return pos.handover_point(log, ddl.drop("s_suppkey"), ddl.filter(number % 2 == 0), fx.clock(spark, d))
 
 
 @query(
@@ -218,11 +250,16 @@ TX = CHG + ", tx AS (SELECT tx_no, count(*) n, min(scn) f, max(scn) l FROM chg G
 @query(
     "tx_boundaries",
     TX
-    + """SELECT 'tx'||CAST(tx_no AS STRING) AS tx_id, 'BEGIN' AS status, f AS scn, CAST(NULL AS BIGINT) AS event_count, CAST(NULL AS STRING) AS per_table FROM tx
- UNION ALL SELECT 'tx'||CAST(tx_no AS STRING), 'END', l, n, 'S1.ORDERS='||CAST(n AS STRING) FROM tx""",
+    + """, named AS (SELECT 'tx'||CAST(tx_no AS STRING) AS tx_id, tx_no, f, l, n FROM tx UNION ALL SELECT 'empty-tx'||CAST(tx_no AS STRING), tx_no, f, l, 0 FROM tx)
+ SELECT tx_id, 'BEGIN' AS status, f AS scn, CAST(NULL AS BIGINT) AS event_count, CAST(NULL AS STRING) AS per_table FROM named
+ UNION ALL SELECT tx_id, 'END', l, n, CASE WHEN n > 0 THEN 'S1.ORDERS='||CAST(n AS STRING) ELSE '' END FROM named WHERE tx_no%10<>0""",
 )
 def tx_boundaries(spark, d):
-    rows = tx.tx_boundaries(fx.order_log(spark, d))
+    """Transactions whose number ends in 0 are not committed; each has a twin without row changes, some records come twice."""
+    log = fx.full_log(spark, d)
+    marks = log.filter("lcr_type = 'XACT'")
+    log = log.unionByName(marks.withColumn("tx_id", F.concat(F.lit("empty-"), "tx_id"))).unionByName(marks.filter("position_scn % 3 = 0"))
+    rows = tx.tx_boundaries(log)
     listed = F.transform(F.map_entries("data_collections"), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string")))
     return rows.select("tx_id", "status", F.col("pos.position_scn").alias("scn"), "event_count", F.array_join(listed, ",").alias("per_table"))
 

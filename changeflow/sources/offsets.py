@@ -33,6 +33,7 @@ def read_offsets(df: DataFrame, column: str = "offset") -> DataFrame:
         F.col("__o.commit_scn").alias("commit_scn"),
         F.col("__o.lcr_position").alias("lcr_position"),
         number("snapshot_scn", "decimal(38,0)").alias("snapshot_scn"),
+        number("stream_start_scn", "decimal(38,0)").alias("stream_start_scn"),
         F.coalesce(F.col("__o.snapshot").try_cast("boolean"), F.lit(False)).alias("snapshot"),
         F.coalesce(F.col("__o.snapshot_completed").try_cast("boolean"), F.lit(False)).alias("snapshot_completed"),
         F.col("__o.snapshot_pending_tx").alias("snapshot_pending_tx"),
@@ -57,10 +58,11 @@ def write_offsets(df: DataFrame, column: str = "offset") -> DataFrame:
         F.when(F.col("pos").isNull(), get("commit_scn").cast("string")).alias("commit_scn"),
         *pos,
         get("snapshot_scn").cast("string").alias("snapshot_scn"),
+        get("stream_start_scn").cast("string").alias("stream_start_scn"),
         F.when(in_snapshot, True).alias("snapshot"),
         F.when(in_snapshot, get("snapshot_completed").cast("boolean")).alias("snapshot_completed"),
         F.nullif(get("snapshot_pending_tx").cast("string"), F.lit("")).alias("snapshot_pending_tx"),
     )
-    keep = [c for c in df.columns if c not in ("pos", "scn", "commit_scn", "snapshot_scn", "snapshot", "snapshot_completed", "snapshot_pending_tx", "lcr_position")]
+    keep = [c for c in df.columns if c not in ("pos", "scn", "commit_scn", "snapshot_scn", "stream_start_scn", "snapshot", "snapshot_completed", "snapshot_pending_tx", "lcr_position")]
     # fields without a value are left out
     return df.select(*keep, F.to_json(record).alias(column))

@@ -59,6 +59,7 @@ class Assembler(StatefulProcessor):
         self.handle = handle
         self.pieces = handle.getListState("pieces", _CHUNK)
         self.done = handle.getValueState("done", T.StructType([T.StructField("done", T.BooleanType())]))
+        self.due = handle.getValueState("due", T.StructType([T.StructField("due", T.LongType())]))
 
     def _join(self, event_id: int, pieces: dict, complete: bool) -> pd.DataFrame:
         cols: dict[str, list] = {}
@@ -76,7 +77,14 @@ class Assembler(StatefulProcessor):
             expected = max(expected, int(batch["out_row_cols"].max()))
             newest = max(newest, int(batch["at_ms"].max()))
             fresh += list(batch[list(_CHUNK.fieldNames())].itertuples(index=False, name=None))
-        self.handle.registerTimer(max(newest, timerValues.getCurrentWatermarkInMs()) + self.keep_ms)
+        # one timer per event, moved on by every chunk
+        due = max(newest, timerValues.getCurrentWatermarkInMs()) + self.keep_ms
+        before = int(self.due.get()[0]) if self.due.exists() else None
+        if before is None or due > before:
+            if before is not None:
+                self.handle.deleteTimer(before)
+            self.handle.registerTimer(due)
+            self.due.update((due,))
         everything = held + fresh
         last = {col: int(seq) for col, _, seq, _, end in everything if end}
         pieces = {(col, int(seq)): (kind, data) for col, kind, seq, data, _ in everything}
@@ -92,12 +100,15 @@ class Assembler(StatefulProcessor):
             self.pieces.appendList([(c, k, int(s), d, bool(e)) for c, k, s, d, e in fresh])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.due.exists() and expiredTimerInfo.getExpiryTimeInMs() < int(self.due.get()[0]):
+            return
         if not self.done.exists():
             pieces = {(c, int(s)): (k, d) for c, k, s, d, _ in self.pieces.get()}
             if pieces:
                 yield self._join(int(key[0]), pieces, False)
         self.pieces.clear()
         self.done.clear()
+        self.due.clear()
 
     def close(self) -> None:
         pass

@@ -143,3 +143,18 @@ def test_unchanged_and_null_updates(spark):
     assert [dict(r["after"]) for r in full.collect()] == [{"k": "1", "a": None}, {"k": "1", "a": None}, {"k": "1", "a": "x"}]
     assert image.drop_unchanged(full).count() == 1
     assert image.drop_empty_updates(df).count() == 2
+
+
+def test_object_with_pauses_comes_whole(spark):
+    """Pauses below the time an open object is kept: each chunk moves the one timer on."""
+    cols = "event_id long, col string, type_name string, seq int, bytes binary, is_end boolean, out_row_cols int, commit_ts timestamp"
+    src, out, progress = (shared_dir(spark, x) for x in ("pauses", "pauses-out", "pauses-progress"))
+    pieces = [(0, b"a", False, 0), (1, b"b", False, 50), (2, b"c", True, 100)]
+    for seq, data, end, at in pieces:
+        row = [(1, "C", "CLOB", seq, data, end, 1, at), (100 + seq, "C", "CLOB", 0, b"x", True, 1, at)]
+        df = spark.createDataFrame(row, cols.replace("commit_ts timestamp", "at long"))
+        df.select("*", F.timestamp_seconds("at").alias("commit_ts")).drop("at").coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(cols).parquet(src)
+        sinks.write_changes(stateful.assemble_lobs_stream(stream, "0 seconds", 60_000), out, progress, available_now=True).awaitTermination()
+    got = {(r["event_id"], r["text"], r["complete"]) for r in sinks.read_changes(spark, out).filter("event_id = 1").collect()}
+    assert got == {(1, "abc", True)}
