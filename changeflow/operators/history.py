@@ -9,13 +9,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from changeflow.functions import ddl as d
-from changeflow.model import LOB_TYPES
+from changeflow.model import LOB_TYPES, POSITION_FIELDS
 from changeflow.operators.ranges import asof_join, carry_in_group, lag_in_group, lead_in_group
 from changeflow.session import broadcast_if_small, cut_lineage
 
 TABLE = ["schema_name", "table_name"]
-#: items per statement that keep their order inside one SCN
-ITEMS = 65_536
+#: Digits of the parts of an order key, a text that sorts as (SCN, position in the log, item of the statement) do.
+SCN_DIGITS, PLACE_DIGITS, ITEM_DIGITS = 38, 20, 10
+#: above every order key that begins like it
+AFTER = "~"
 
 
 def _statements(ddl: DataFrame) -> DataFrame:
@@ -57,13 +59,22 @@ def with_parts(ddl: DataFrame) -> DataFrame:
     return rows.withColumn("parts", F.when(known, F.col("__parts"))).drop("__parts", "__items", "__body", "__text")
 
 
-def column_changes(ddl: DataFrame) -> DataFrame:
+def column_changes(ddl: DataFrame, policy: str = "skip") -> DataFrame:
     """One row per change a statement makes: create, add, modify, rename, drop, set-pk, drop-pk, comment,
-    rename-table, drop-table. Statements not understood are left to ``ddl_quarantine``."""
+    rename-table, drop-table. ``stmt`` orders statements by SCN and, where ``ddl`` has its fields, by log position.
+
+    Statements not understood are left to ``ddl_quarantine``; with policy ``reread`` they end what is known of their
+    table, since its structure has to be read again.
+    """
     # the outer form keeps the optimizer from testing the whole list expression a second time
-    rows = with_parts(ddl).select("scn", *TABLE, "__column", F.posexplode_outer("parts").alias("seq", "part"))
+    rows = with_parts(ddl)
+    place = [F.lpad(F.coalesce(F.col(c), F.lit(0)).cast("string"), PLACE_DIGITS, "0") for c in POSITION_FIELDS[1:] if c in rows.columns]
+    rows = rows.select("scn", F.concat(_scn_key(F.col("scn")), *place).alias("stmt"), *TABLE, "__column", F.col("parts").isNull().alias("__open"), F.posexplode_outer("parts").alias("seq", "part"))
     part = F.col("part")
-    rows = rows.withColumn("action", F.when(part.isNotNull(), d.part_action(part)))
+    action = F.when(part.isNotNull(), d.part_action(part))
+    if policy == "reread":
+        action = F.when(F.col("__open") & F.col("table_name").isNotNull(), "reread").otherwise(action)
+    rows = rows.withColumn("action", action).withColumn("seq", F.coalesce("seq", F.lit(0)))
     action = F.col("action")
     defines = action.isin("add", "modify")
     rest = F.regexp_extract(part, d.COLUMN_PART, 4)
@@ -81,6 +92,7 @@ def column_changes(ddl: DataFrame) -> DataFrame:
     )
     return rows.filter(action.isNotNull()).select(
         "scn",
+        "stmt",
         "seq",
         *TABLE,
         "action",
@@ -200,8 +212,17 @@ def resolve_types(cols: DataFrame, type_col: str = "type_text") -> DataFrame:
 # ---------------------------------------------------------------- fold
 
 
-def _ord() -> Column:
-    return (F.col("scn") * ITEMS + F.col("seq")).cast("long")
+def _scn_key(scn: Column) -> Column:
+    return F.lpad(scn.cast(f"decimal({SCN_DIGITS},0)").cast("string"), SCN_DIGITS, "0")
+
+
+def _ord(seq: Column) -> Column:
+    return F.concat("stmt", F.lpad(seq.cast("string"), ITEM_DIGITS, "0"))
+
+
+def _scn_of(order: Column) -> Column:
+    """SCN of an order key, as the long integer that positions have."""
+    return F.substring(order, 1, SCN_DIGITS).cast("long")
 
 
 #: up to this many changes any window over them fits one task
@@ -266,14 +287,14 @@ def schema_timeline(changes: DataFrame, captured: DataFrame | None = None, with_
     if captured is not None:
         keep, _ = broadcast_if_small(captured.select(*TABLE).distinct())
         changes = changes.join(keep, TABLE, "left_semi")
-    changes = cut_lineage(changes.withColumn("ord", _ord()))
+    changes = cut_lineage(changes.withColumn("ord", _ord(F.col("seq"))))
     # counted, not assumed: few changes need no search for hot keys
     parts, small = (0, 0) if changes.count() <= SMALL else (None, None)
     how = {"parts": parts, "small_limit": small}
 
     act = (
         F.when(F.col("action") == "create", "open")
-        .when(F.col("action") == "drop-table", "close")
+        .when(F.col("action").isin("drop-table", "reread"), "close")
         .when(F.col("action") == "rename-table", "move")
     )
     tables = _segments(
@@ -286,13 +307,13 @@ def schema_timeline(changes: DataFrame, captured: DataFrame | None = None, with_
         *TABLE, "from_ord", F.col("to_ord").alias("table_to"), F.col("from_ord").alias("opened"), "moved",
         _text(F.col("root")).alias("table_root"),
     )
-    inner = changes.filter(~F.col("action").isin("create", "drop-table", "rename-table"))
-    # statements carry the scn of their create; its own items count only if the create did
-    in_create = changes.filter(F.col("action") == "create").select(*TABLE, "scn", F.lit(True).alias("in_create"))
-    inner = inner.join(in_create, [*TABLE, "scn"], "left")
+    inner = changes.filter(~F.col("action").isin("create", "drop-table", "rename-table", "reread"))
+    # the items of a create statement count only if the create did
+    in_create = changes.filter(F.col("action") == "create").select(*TABLE, "stmt").distinct().withColumn("in_create", F.lit(True))
+    inner = inner.join(in_create, [*TABLE, "stmt"], "left")
     placed = asof_join(inner, lives, TABLE, "ord", "from_ord", ["table_root", "opened", "table_to"], **how)
     alive = F.col("table_root").isNotNull() & (F.col("table_to").isNull() | (F.col("ord") < F.col("table_to")))
-    own = F.col("in_create").isNull() | (F.col("opened") == F.col("scn") * ITEMS)
+    own = F.col("in_create").isNull() | (F.col("opened") == _ord(F.lit(0)))
     placed = cut_lineage(placed.filter(alive & own).drop("opened", "table_to", "in_create"))
 
     act = F.when(F.col("action") == "add", "open").when(F.col("action") == "drop", "close").when(F.col("action") == "rename", "move")
@@ -347,7 +368,7 @@ def schema_timeline(changes: DataFrame, captured: DataFrame | None = None, with_
     spans = tables.select(
         "schema_name", "table_name", _text(F.col("root")).alias("table_root"), F.col("from_ord").alias("t_from"), F.col("to_ord").alias("t_to")
     )
-    far = F.lit(2**63 - 1).cast("long")
+    far = F.lit(AFTER)
     lo = F.greatest("ord", "t_from")
     hi = F.least(F.coalesce("to_ord", far), F.coalesce("t_to", far))
     joined = states.join(spans, "table_root").withColumn("from_ord", lo).withColumn("__hi", hi).filter("from_ord < __hi")
@@ -358,7 +379,7 @@ def schema_timeline(changes: DataFrame, captured: DataFrame | None = None, with_
             F.col("note").alias("comment"), "from_ord", F.when(F.col("__hi") < far, F.col("__hi")).alias("to_ord"),
         )
         .join(keys, ["table_root", "column_root"], "left")
-        .withColumn("key_spans", F.coalesce("key_spans", F.array().cast("array<struct<k_from:bigint,k_to:bigint,idx:int>>")))
+        .withColumn("key_spans", F.coalesce("key_spans", F.array().cast("array<struct<k_from:string,k_to:string,idx:int>>")))
     )
 
 
@@ -376,7 +397,7 @@ def _key_spans(placed: DataFrame, col_lives: DataFrame, how: dict) -> DataFrame:
 
 def fold_schema(timeline: DataFrame, scn: int | None = None) -> DataFrame:
     """Structure of every table as of an SCN (all of it), or the latest."""
-    at = F.lit((scn + 1) * ITEMS - 1 if scn is not None else 2**63 - 1).cast("long")
+    at = F.lit(AFTER) if scn is None else F.concat(_scn_key(F.lit(scn).cast("decimal(38,0)")), F.lit(AFTER))
     open_end = F.col("to_ord").isNull()
     live = timeline.filter((F.col("from_ord") <= at) & (open_end | (F.col("to_ord") > at)))
     covers = lambda k: (k["k_from"] <= at) & (k["k_to"].isNull() | (k["k_to"] > at))
@@ -393,11 +414,9 @@ def fold_schema(timeline: DataFrame, scn: int | None = None) -> DataFrame:
 
 def schema_versions(changes: DataFrame, timeline: DataFrame) -> DataFrame:
     """One row per table and SCN at which its structure changed, with the column names then valid."""
-    starts = timeline.select(*TABLE, F.floor(F.col("from_ord") / ITEMS).cast("long").alias("version_scn"))
-    ends = timeline.filter(F.col("to_ord").isNotNull()).select(
-        *TABLE, F.floor(F.col("to_ord") / ITEMS).cast("long").alias("version_scn")
-    )
-    versions = starts.unionByName(ends).distinct().withColumn("__at", (F.col("version_scn") + 1) * ITEMS - 1)
+    starts = timeline.select(*TABLE, _scn_of(F.col("from_ord")).alias("version_scn"))
+    ends = timeline.filter(F.col("to_ord").isNotNull()).select(*TABLE, _scn_of(F.col("to_ord")).alias("version_scn"))
+    versions = starts.unionByName(ends).distinct().withColumn("__at", F.concat(_scn_key(F.col("version_scn")), F.lit(AFTER)))
     valid = (F.col("from_ord") <= F.col("__at")) & (F.col("to_ord").isNull() | (F.col("to_ord") > F.col("__at")))
     cols = timeline.select(*TABLE, "column_ord", "column_name", "from_ord", "to_ord")
     found = versions.join(cols, TABLE, "left").groupBy(*TABLE, "version_scn").agg(

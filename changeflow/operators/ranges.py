@@ -25,9 +25,13 @@ class Cuts:
     """Cut points of the hot keys: ``keys`` name the columns, ``rows`` are sorted values."""
 
     keys: tuple[str, ...]
-    types: tuple[T.DataType, ...]
+    sources: tuple[T.DataType, ...]
     rows: tuple[tuple, ...]
 
+    @property
+    def types(self) -> tuple[T.DataType, ...]:
+        return tuple(_sortable(t) for t in self.sources)
+
     def range_id(self) -> Column:
         """Number of cut points at or before the row (binary search, log2 steps per row)."""
         if not self.rows:
@@ -36,9 +40,9 @@ class Cuts:
         schema = T.ArrayType(
             T.StructType([T.StructField(n, t) for n, t in zip(names, self.types)])
         )
-        text = json.dumps([dict(zip(names, row)) for row in self.rows])
+        text = json.dumps([dict(zip(names, row)) for row in self.rows], default=str)
         cuts = F.from_json(F.lit(text), schema)
-        here = F.struct(*[F.col(k).cast(t).alias(n) for k, t, n in zip(self.keys, self.types, names)])
+        here = F.struct(*[_sort_value(k, t).alias(n) for k, t, n in zip(self.keys, self.sources, names)])
         steps = [1 << i for i in reversed(range(len(self.rows).bit_length()))]
 
         def step(low: Column, width: Column) -> Column:
@@ -51,18 +55,40 @@ class Cuts:
 
 
 def _sortable(dtype: T.DataType) -> T.DataType:
-    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        return T.LongType()
-    if isinstance(dtype, T.StringType):
+    """Type in which cut points of a key are kept; its order is that of the key."""
+    if isinstance(dtype, (T.DecimalType, T.StringType)):
+        return dtype if isinstance(dtype, T.DecimalType) else T.StringType()
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return T.DoubleType()
+    if isinstance(dtype, T.BinaryType):
         return T.StringType()
-    raise TypeError(f"range keys must be integers or strings, got {dtype.simpleString()}")
+    whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    if isinstance(dtype, whole):
+        return T.LongType()
+    raise TypeError(f"range keys must have an order, got {dtype.simpleString()}")
+
+
+def _sort_value(key: str, dtype: T.DataType) -> Column:
+    """A key as its ``_sortable`` type: days, microseconds and hex digits for dates, times and bytes."""
+    col = F.col(key)
+    if isinstance(dtype, T.DateType):
+        return F.unix_date(col).cast("long")
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(col.cast("timestamp"))
+    if isinstance(dtype, T.BinaryType):
+        return F.hex(col)
+    if isinstance(dtype, T.BooleanType):
+        return col.cast("int").cast("long")
+    return col.cast(_sortable(dtype))
 
 
 def _sample(df: DataFrame, keys: Sequence[str], size: int) -> list[tuple]:
-    """``size`` rows with the smallest hash: bounded, and uniform over rows."""
+    """``size`` rows with the smallest hash: bounded, and uniform over rows, also over rows that repeat."""
+    names = [f"c{i}" for i in range(len(keys))]
     rows = (
-        df.select(*keys)
-        .orderBy(F.xxhash64(*[F.col(k) for k in keys]))
+        df.select(*[_sort_value(k, df.schema[k].dataType).alias(n) for k, n in zip(keys, names)], F.monotonically_increasing_id().alias("row"))
+        .orderBy(F.xxhash64(*names, "row"))
+        .select(*names)
         .limit(size)
         .collect()
     )
@@ -76,7 +102,9 @@ def hot_cuts(df: DataFrame, group: Sequence[str], order: Sequence[str], parts: i
     ``parts`` 0 means the caller has counted the rows and any group fits one task: no cuts.
     """
     keys = (*group, *order)
-    types = tuple(_sortable(df.schema[k].dataType) for k in keys)
+    types = tuple(df.schema[k].dataType for k in keys)
+    for t in types:
+        _sortable(t)
     if parts == 0:
         return Cuts(keys, types, ())
     parts = parts or shuffle_partitions(df.sparkSession)
@@ -95,7 +123,7 @@ def hot_cuts(df: DataFrame, group: Sequence[str], order: Sequence[str], parts: i
 def range_cuts(df: DataFrame, keys: Sequence[str], parts: int | None = None) -> Cuts:
     """Cut points that split the whole table into about ``parts`` equal ranges."""
     parts = parts or shuffle_partitions(df.sparkSession)
-    types = tuple(_sortable(df.schema[k].dataType) for k in keys)
+    types = tuple(df.schema[k].dataType for k in keys)
     sample = _sample(df, keys, parts * SAMPLE_PER_PART)
     width = max(1, len(sample) // parts)
     return Cuts(tuple(keys), types, tuple(dict.fromkeys(sample[width::width])))
@@ -103,10 +131,14 @@ def range_cuts(df: DataFrame, keys: Sequence[str], parts: int | None = None) ->
 
 def _hot_rows(df: DataFrame, cuts: Cuts, group: Sequence[str]) -> DataFrame:
     """Rows of the groups that were cut; there are at most as many groups as cut points."""
-    fields = [T.StructField(g, df.schema[g].dataType) for g in group]
+    names = [f"__hot{i}" for i in range(len(group))]
+    fields = [T.StructField(n, _sortable(df.schema[g].dataType)) for n, g in zip(names, group)]
     values = sorted({row[: len(group)] for row in cuts.rows}, key=str)
     hot = df.sparkSession.createDataFrame(values, T.StructType(fields))
-    return df.join(F.broadcast(hot), list(group), "left_semi")
+    same = F.lit(True)
+    for n, g in zip(names, group):
+        same = same & (_sort_value(g, df.schema[g].dataType) == F.col(n))
+    return df.join(F.broadcast(hot), same, "left_semi")
 
 
 def _repair(df: DataFrame, edges: DataFrame, group: Sequence[str]) -> DataFrame:
@@ -209,27 +241,30 @@ def asof_join(
     """
     limit = 50_000 if small_limit is None else small_limit
     found = F.struct(*[F.col(v) for v in values])
-    slim = right.select(*by, F.col(right_on).cast("long").alias("__t"), found.alias("__v")).filter(
+    # texts are compared as such, everything else as whole numbers
+    kind = "string" if isinstance(right.schema[right_on].dataType, T.StringType) else "long"
+    left = left.withColumn("__at", F.col(left_on).cast(kind))
+    slim = right.select(*by, F.col(right_on).cast(kind).alias("__t"), found.alias("__v")).filter(
         F.col("__t").isNotNull()
     )
     if limit > 0 and slim.limit(limit + 1).count() <= limit:
-        return _asof_search(left, slim, by, left_on, values)
-    return _asof_merge(left, slim, by, left_on, values, parts)
+        return _asof_search(left, slim, by, values, limit).drop("__at")
+    return _asof_merge(left, slim, by, values, parts)
 
 
-def _asof_search(left: DataFrame, slim: DataFrame, by: Sequence[str], left_on: str, values: Sequence[str]) -> DataFrame:
+def _asof_search(left: DataFrame, slim: DataFrame, by: Sequence[str], values: Sequence[str], limit: int) -> DataFrame:
     keys = list(by) or ["__one"]
     if not by:
         left, slim = left.withColumn("__one", F.lit(1)), slim.withColumn("__one", F.lit(1))
     table = slim.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("__t", "__v"))).alias("__table"))
     joined = left.join(F.broadcast(table), keys, "left")
     size = F.size("__table")
-    # 2^17 exceeds the size limit checked by the caller
-    steps = F.array(*[F.lit(1 << i) for i in reversed(range(18))])
+    # as many steps as the number of rows checked by the caller needs
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(limit.bit_length()))])
 
     def step(low: Column, width: Column) -> Column:
         probe = low + width
-        hit = F.get("__table", probe - 1)["__t"] <= F.col(left_on).cast("long")
+        hit = F.get("__table", probe - 1)["__t"] <= F.col("__at")
         return F.when((probe <= size) & hit, probe).otherwise(low)
 
     joined = joined.withColumn("__hit", F.get("__table", F.aggregate(steps, F.lit(0), step) - 1)["__v"])
@@ -239,16 +274,16 @@ def _asof_search(left: DataFrame, slim: DataFrame, by: Sequence[str], left_on: s
 
 
 def _asof_merge(
-    left: DataFrame, slim: DataFrame, by: Sequence[str], left_on: str, values: Sequence[str], parts: int | None
+    left: DataFrame, slim: DataFrame, by: Sequence[str], values: Sequence[str], parts: int | None
 ) -> DataFrame:
     keys = list(by) or ["__one"]
     if not by:
         left, slim = left.withColumn("__one", F.lit(1)), slim.withColumn("__one", F.lit(1))
-    payload = [c for c in left.columns if c not in keys]
+    payload = [c for c in left.columns if c not in (*keys, "__at")]
     salt = F.xxhash64(*[F.col(c) for c in payload if not isinstance(left.schema[c].dataType, T.MapType)])
     rows = left.select(
         *keys,
-        F.col(left_on).cast("long").alias("__t"),
+        F.col("__at").alias("__t"),
         F.lit(1).alias("__side"),
         salt.alias("__salt"),
         F.struct(*payload).alias("__row"),

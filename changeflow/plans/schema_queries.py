@@ -114,6 +114,34 @@ def fold_schema(spark, d):
     return history.fold_schema(_timeline(spark, d)[1])
 
 
+@query(
+    "fold_schema_same_scn",
+    K + "SELECT 'S1' AS schema_name, 'T'||CAST(k AS STRING) AS table_name, 'A,C' AS names FROM c",
+)
+def fold_schema_same_scn(spark, d):
+    """Create, add and drop of a column under one SCN of 18 digits: the log position orders them."""
+    c = fx.table(spark, d, "customer").select(F.col("c_custkey").alias("k"))
+    name = F.concat(F.lit("T"), F.col("k").cast("string"))
+    texts = (F.concat(F.lit("CREATE TABLE "), name, F.lit(" (A INT, B INT)")), F.concat(F.lit("ALTER TABLE "), name, F.lit(" ADD (C INT)")),
+             F.concat(F.lit("ALTER TABLE "), name, F.lit(" DROP COLUMN B")))
+    ddl = c.select("k", F.posexplode(F.array(*texts)).alias("group_lsn", "ddl_text")).select(
+        (F.lit(577_839_428_348_284_928) + F.col("k")).alias("scn"), F.lit("S1").alias("schema_name"), F.col("group_lsn").cast("long").alias("group_lsn"), "ddl_text")
+    rows = history.fold_schema(history.schema_timeline(history.column_changes(ddl.repartition(5, "ddl_text"))))
+    names = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("position", "column_name"))), lambda x: x["column_name"]), ",")
+    return rows.groupBy("schema_name", "table_name").agg(names.alias("names"))
+
+
+@query(
+    "ddl_reread",
+    K + f"""SELECT {NOW} AS table_name, true AS known FROM c WHERE k%13<>0 AND k%9<>1 UNION ALL SELECT 'T'||{NUM}, true FROM c WHERE k%26=0
+ UNION ALL SELECT 'Mixed'||{NUM}, true FROM c WHERE k%8<>0""",
+)
+def ddl_reread(spark, d):
+    """A statement that is not understood ends what is known of its table."""
+    changes = history.column_changes(_ddl(spark, d), policy="reread")
+    return history.fold_schema(history.schema_timeline(changes)).select("table_name", F.lit(True).alias("known")).distinct()
+
+
 @query(
     "fold_schema_at",
     K

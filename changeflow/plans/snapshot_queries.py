@@ -94,12 +94,12 @@ def column_filter_flat(spark, d):
 
 @query(
     "keyset_page",
-    """SELECT o_orderkey, o_custkey FROM orders WHERE (o_custkey > 500 OR (o_custkey = 500 AND o_orderkey > 100)) AND o_orderstatus = 'F'
+    """SELECT o_orderkey, o_custkey FROM orders WHERE (o_custkey > 5 OR (o_custkey = 5 AND o_orderkey > 100)) AND o_orderstatus = 'F'
  ORDER BY o_custkey, o_orderkey LIMIT 250""",
 )
 def keyset_page(spark, d):
     return keyset.keyset_page(
-        fx.table(spark, d, "orders"), ["o_orderkey", "o_custkey"], ["o_custkey", "o_orderkey"], 250, after=(500, 100), extra="o_orderstatus = 'F'"
+        fx.table(spark, d, "orders"), ["o_orderkey", "o_custkey"], ["o_custkey", "o_orderkey"], 250, after=(5, 100), extra="o_orderstatus = 'F'"
     )
 
 
@@ -109,6 +109,29 @@ def keyset_chunks(spark, d):
     return rows.select(F.col("o_orderkey").alias("k"), "chunk_id")
 
 
+_TYPED_KEYS = {
+    "decimal": ("CAST(o_orderkey AS DECIMAL(38,0))", ["o_orderkey"]),
+    "time": ("CAST(o_orderdate AS TIMESTAMP)", ["o_orderdate", "o_orderkey"]),
+    "text": ("lpad(CAST(o_orderkey AS STRING), 12, '0')", ["o_orderkey"]),
+    "fraction": ("CAST(o_orderkey AS DOUBLE) / 8", ["o_orderkey"]),
+}
+
+
+@query(
+    "keyset_chunks_types",
+    " UNION ALL ".join(f"SELECT '{kind}' AS kind, o_orderkey AS k, CAST((row_number() OVER (ORDER BY {', '.join(order)})-1)//700 AS BIGINT) AS chunk_id FROM orders"
+                       for kind, (_, order) in _TYPED_KEYS.items()),
+)
+def keyset_chunks_types(spark, d):
+    """Chunks by decimal, time, text and floating-point keys."""
+    orders, out = fx.table(spark, d, "orders"), None
+    for kind, (key, order) in _TYPED_KEYS.items():
+        rows = keyset.keyset_chunks(orders.withColumn("key", F.expr(key)), ["key", *order[1:]], 700)
+        rows = rows.select(F.lit(kind).alias("kind"), F.col("o_orderkey").alias("k"), "chunk_id")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @query(
     "chunk_bounds",
     """WITH c AS (SELECT *, CAST((row_number() OVER (ORDER BY l_orderkey, l_partkey, l_suppkey, l_linenumber)-1)//5000 AS BIGINT) AS chunk_id FROM lineitem)
