@@ -4,13 +4,14 @@
    their windows are unique. Only a hash and an id are shuffled for each anchor, folded before the shuffle.
 2. Runs. The windows that share an anchor are a run. Runs of equal content at an equal offset form classes; a class with a
    partner is settled as a whole.
-3. Windows. Of each class one document's rows stand for it, and where a seed has several classes their windows are
-   compared one by one.
+3. Blocks. Where a seed has several classes, one document's rows stand for each class, and their runs are cut into blocks of
+   windows, aligned by the offset from the anchor. Blocks of equal content are settled; a block is closed if what all
+   its windows share, its core, has no other block; the rest is cut into smaller blocks, down to single windows.
 4. Removal. Settled spans are gathered per document and cut out.
 
 No step pairs up occurrences: each is a count or a minimum per key, joined back, so a passage held by a third of all
 documents costs as much as any other text. Every step is written to the shared folder, so its shuffle is freed and a
-lost executor repeats one step at most. Classes and windows are told apart by two independent 64-bit hashes.
+lost executor repeats one step at most. Classes are told apart by two independent 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -34,12 +35,14 @@ Symbols = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 @dataclass(frozen=True)
 class Plan:
-    """``window`` symbols are compared, ``seed`` of them make an anchor. ``earlier``: a window goes only if it also starts
-    in a document with a smaller id; otherwise if it starts anywhere else, the same document included."""
+    """``window`` symbols are compared, ``seed`` of them make an anchor, ``blocks`` are the sizes that runs are cut to, the last
+    1. ``earlier``: a window goes only if it also starts in a document with a smaller id; otherwise if it starts
+    anywhere else, the same document included."""
 
     symbols: Symbols
     window: int
     seed: int
+    blocks: tuple[int, ...]
     earlier: bool
 
 
@@ -63,49 +66,63 @@ def _seeds(plan: Plan, placed: bool) -> Callable[[Iterator[pa.RecordBatch]], Ite
     return run
 
 
-def _marked(batch: pa.RecordBatch, plan: Plan) -> Iterator[tuple]:
-    """The runs whose anchors are listed in column ``places``."""
-    docs, tags = (batch.column(batch.schema.names.index(c)).to_numpy(zero_copy_only=False) for c in ("doc", "tag"))
-    places = batch.column(batch.schema.names.index("places"))
-    ends = np.r_[0, np.cumsum(places.value_lengths().to_numpy(zero_copy_only=False))].astype(np.int64)
-    values = places.flatten().to_numpy(zero_copy_only=False)
-    for lo, hi, data, offsets in rolling.text_parts(batch):
-        symbols, at = plan.symbols(data, offsets)
-        grams = rolling.Spans(symbols).grams(plan.seed)
-        row, anchor, first, last = rolling.anchors(grams, at, plan.window, plan.seed)
-        listed = values[ends[lo] : ends[hi]] + np.repeat(at[:-1], np.diff(ends[lo : hi + 1]))
-        pick = np.isin(anchor, listed)
-        row, anchor, first, last = row[pick], anchor[pick], first[pick], last[pick]
-        yield docs[lo:hi][row], tags[lo:hi][row], at[row], rolling.signed(grams[anchor]), anchor, first, last, rolling.Spans(symbols, rolling.BASES[1])
+def _listed(batch: pa.RecordBatch, column: str, lo: int, hi: int, at: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The lists of rows ``lo`` to ``hi``: row of each entry, and its places among the symbols of these rows."""
+    lists = batch.column(batch.schema.names.index(column)).slice(lo, hi - lo)
+    row = np.repeat(np.arange(hi - lo), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+    flat = lists.flatten()
+    parts = [flat.field(i) for i in range(flat.type.num_fields)] if pa.types.is_struct(flat.type) else [flat]
+    return row, *(x.to_numpy(zero_copy_only=False) + at[:-1][row] for x in parts)
 
 
 def _runs(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The runs whose anchors are listed in ``places``."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc, tag, base, h, anchor, first, last, spans in _marked(batch, plan):
-                c = rolling.mix(spans.hash(first, last + plan.window) ^ (anchor - first).astype(rolling.U))
-                cols = [h, rolling.signed(c), doc, tag, anchor - base, first - base, last - base + plan.window]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], ["h", "c", "doc", "tag", "anchor", "start", "end"])
+            for lo, hi, data, offsets in rolling.text_parts(batch):
+                symbols, at = plan.symbols(data, offsets)
+                grams = rolling.Spans(symbols).grams(plan.seed)
+                row, anchor, first, last = rolling.anchors(grams, at, plan.window, plan.seed)
+                pick = np.isin(anchor, _listed(batch, "places", lo, hi, at)[1])
+                row, anchor, first, last = row[pick], anchor[pick], first[pick], last[pick]
+                spans = rolling.Spans(symbols, rolling.BASES[1])
+                yield _block_rows(plan, batch, lo, at, row, anchor, first, last, grams[anchor], np.zeros(len(row), rolling.U), spans)
 
     return run
 
 
-def _windows(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _blocks(plan: Plan, size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The blocks of the window ranges listed in ``places``."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc, tag, base, h, anchor, first, last, spans in _marked(batch, plan):
-                for cut in range(0, len(h), 4096):
-                    part = slice(cut, cut + 4096)
-                    n = last[part] - first[part] + 1
-                    each = np.repeat(np.arange(len(n)), n)
-                    start = first[part][each] + np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)
-                    c = rolling.mix(spans.hash(start, start + plan.window) ^ (anchor[part][each] - start).astype(rolling.U))
-                    cols = [h[part][each], rolling.signed(c), doc[part][each], _packed(tag[part][each], start - base[part][each])]
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], ["h", "c", "doc", "at"])
+            for lo, hi, data, offsets in rolling.text_parts(batch):
+                symbols, at = plan.symbols(data, offsets)
+                row, anchor, first, last = _listed(batch, "places", lo, hi, at)
+                low, high = (anchor - last) // size, (anchor - first) // size
+                n = high - low + 1
+                each = np.repeat(np.arange(len(n)), n)
+                block = low[each] + np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)
+                row, anchor = row[each], anchor[each]
+                end = anchor - block * size  # the last window of the block, and the first
+                start = end - size + 1
+                spans = rolling.Spans(symbols, rolling.BASES[1])
+                core = rolling.mix(spans.hash(end, start + plan.window) ^ block.astype(rolling.U))
+                h = rolling.Spans(symbols).hash(anchor, anchor + plan.seed)
+                yield _block_rows(plan, batch, lo, at, row, anchor, np.maximum(start, first[each]), np.minimum(end, last[each]), h, core, spans)
 
     return run
 
 
+def _block_rows(plan, batch, lo, at, row, anchor, first, last, h, core, spans) -> pa.RecordBatch:
+    docs, tags = (batch.column(batch.schema.names.index(c)).to_numpy(zero_copy_only=False)[lo:] for c in ("doc", "tag"))
+    content = rolling.mix(spans.hash(first, last + plan.window) ^ (anchor - first).astype(rolling.U))
+    base = at[:-1][row]
+    cols = [rolling.signed(h), rolling.signed(core), rolling.signed(content), docs[row], tags[row], anchor - base, first - base, last - base]
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in cols], ["h", "core", "content", "doc", "tag", "anchor", "first", "last"])
+
+
 def _tag(column: str = "at") -> F.Column:
     return F.shiftright(column, _SHIFT).alias("tag")
 
@@ -131,24 +148,22 @@ def with_spans(docs: DataFrame, plan: Plan, doc_id: str = "doc_id", text: str =
         .groupBy("doc", _tag()).agg(F.collect_list(_place()).alias("places")), "marks")
     held = stage(rows.join(marked, ["doc", "tag"], "left"), "texts")
 
-    schema = "h long, c long, doc long, tag long, anchor long, start long, end long"
-    runs = held.filter("places IS NOT NULL").select("doc", "tag", "text", "places").mapInArrow(_runs(plan), schema)
-    classes = stage(runs.groupBy("h", "c").agg(F.count("*").alias("n"), F.min("doc").alias("least")), "classes")
-    placed = stage(runs.join(classes, ["h", "c"]), "runs")
-    settled = placed.filter("least < doc" if plan.earlier else "n > 1").select("doc", "tag", "start", "end")
-
-    several = classes.groupBy("h").agg(F.count("*").alias("classes")).filter("classes > 1").select("h")
-    open_runs = stage(placed.filter("doc = least").select("h", "doc", "tag", "anchor").join(several, "h")
-                      .groupBy("doc", "tag").agg(F.collect_list("anchor").alias("places")), "open")
-    windows = held.select("doc", "tag", "text").join(open_runs, ["doc", "tag"]).select("doc", "tag", "text", "places").mapInArrow(
-        _windows(plan), "h long, c long, doc long, at long")
-    found = stage(windows.groupBy("h", "c").agg(F.min("doc").alias("least"), wanted.alias("w")).filter("w").select("h", "c", "least"), "windows")
-    single = windows.join(found, ["h", "c"])
-    if plan.earlier:
-        single = single.filter("least < doc")
-    single = single.select("doc", _tag(), _place().alias("start"), (_place() + plan.window).alias("end"))
-
-    spans = stage(settled.unionByName(single).groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "spans")
+    schema = "h long, core long, content long, doc long, tag long, anchor long, first long, last long"
+    open_rows, settled = held.filter("places IS NOT NULL").select("doc", "tag", "text", "places"), None
+    for size in (0, *plan.blocks):
+        blocks = stage(open_rows.mapInArrow(_blocks(plan, size) if size else _runs(plan), schema), "blocks")
+        same = ["h", "core", "content"]
+        classes = stage(blocks.groupBy(*same).agg(F.count("*").alias("n"), F.min("doc").alias("least")), "classes")
+        placed = blocks.join(classes, same)
+        found = placed.filter("least < doc" if plan.earlier else "n > 1").select("doc", "tag", F.col("first").alias("start"), (F.col("last") + plan.window).alias("end"))
+        settled = found if settled is None else settled.unionByName(found)
+        if size != 1:
+            several = stage(classes.groupBy("h", "core").agg((F.count("*") > 1).alias("w")).filter("w").select("h", "core"), "several")
+            places = stage(placed.filter("doc = least").join(several, ["h", "core"]).groupBy("doc", "tag").agg(
+                F.collect_list(F.struct("anchor", "first", "last")).alias("places")), "open")
+            open_rows = held.select("doc", "tag", "text").join(places, ["doc", "tag"]).select("doc", "tag", "text", "places")
+
+    spans = stage(settled.groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "spans")
     return held.select("doc_id", "doc", "tag", "text").join(spans, ["doc", "tag"], "left").select("doc_id", "text", "spans")
 
 

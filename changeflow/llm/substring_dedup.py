@@ -54,6 +54,6 @@ def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     Null counts as empty; windows are judged on the input. A row without an id counts as later than all others; rows that
     share an id never remove each other's words, and repeats inside a document stay. Shorter texts stay whole.
     """
-    plan = repeats.Plan(_words, window, seed, earlier=True)
+    plan = repeats.Plan(_words, window, seed, (1,), earlier=True)
     return repeats.with_spans(docs, plan, doc_id, text).mapInArrow(
         _cut, "doc_id long, n_words long, n_removed long, spans array<struct<start:long,end:long>>, kept string")

@@ -2,8 +2,8 @@
 
 Suffixes are sorted only as far as the question needs: two suffixes with equal first 200 bytes are repeats. The initial
 buckets hold suffixes with an equal q-gram. A bucket of one is finished. The others are refined by the identifiers of the
-buckets at later offsets: first for whole runs of suffixes at once, then for single suffixes of the runs that found no
-partner, until the buckets are 200 bytes deep. An identifier names the content of its bucket, so that every task can state
+buckets at later offsets: first for whole runs of suffixes at once, then recursively for smaller blocks of them where a run
+found no partner, down to single suffixes, until the buckets are 200 bytes deep. An identifier names the content of its bucket, so that every task can state
 the identifier at any offset by itself (the look-up of the in-memory method); refined identifiers are made from those of
 the round before.
 
@@ -23,6 +23,7 @@ from changeflow.llm import repeats, rolling
 
 DEPTH = 200
 BUCKET = 64
+BLOCKS = (32, 8, 1)
 
 
 def _bytes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -47,6 +48,6 @@ def suffix_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", de
     document are occurrences of their own, with or without an id. Texts shorter than ``depth`` stay whole. A task holds
     about 100 bytes of memory for a byte of its longest text.
     """
-    plan = repeats.Plan(_bytes, depth, bucket, earlier=False)
+    plan = repeats.Plan(_bytes, depth, bucket, tuple(b for b in BLOCKS if b == 1 or 2 * b <= depth), earlier=False)
     return repeats.with_spans(docs, plan, doc_id, text).mapInArrow(
         _cut, "doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary")
