@@ -94,7 +94,8 @@ def _contexts(rows: DataFrame, width: int) -> DataFrame:
     """(doc_id, key, entity, term, start, end): the terms within ``width`` code points of each protected value, without the
     outermost, perhaps cut, words."""
     kind = F.element_at(F.array(*map(F.lit, PATTERNS)), F.col("x.kind") + 1)
-    near = rows.filter(F.size("base") > 0).select("doc_id", "key", "text", F.explode("base").alias("x"))
+    # outer explodes and tests of their rows: a filter on the arrays would be pushed down and compute them several times
+    near = rows.select("doc_id", "key", "text", F.explode_outer("base").alias("x")).filter("x IS NOT NULL")
     left = F.greatest(F.col("x.start") - width, F.lit(0))
     before = F.substring("text", left + 1, F.col("x.start") - left)
     after = F.substring("text", F.col("x.end") + 1, F.lit(width))
@@ -104,7 +105,7 @@ def _contexts(rows: DataFrame, width: int) -> DataFrame:
         F.struct(F.col("x.end").alias("at"), F.regexp_replace(after, r"[^\x20\x09-\x0D]+$", "").alias("part")))
     near = near.select("doc_id", "key", F.concat(kind, F.lit(":"), F.lower("x.hit")).alias("entity"), F.explode(sides).alias("side"))
     near = located(near.select("doc_id", "key", "entity", "side.at", "side.part"), "part", TERM, "words")
-    terms = near.select("doc_id", "key", "entity", "at", F.explode("words").alias("w")).filter(~F.contains(F.col("w.hit"), F.lit("@")))
+    terms = near.select("doc_id", "key", "entity", "at", F.explode_outer("words").alias("w")).filter("w IS NOT NULL AND NOT contains(w.hit, '@')")
     return terms.select("doc_id", "key", "entity", F.lower("w.hit").alias("term"), (F.col("at") + F.col("w.start")).alias("start"), (F.col("at") + F.col("w.end")).alias("end"))
 
 
@@ -115,7 +116,7 @@ def disclosures(rows: DataFrame, context: DataFrame, support: int = SUPPORT, thr
     together = context.select("entity", "term", "key").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_et")).filter(F.col("n_et") >= support)
     entities = context.select("entity", "key").distinct().groupBy("entity").agg(F.count("*").alias("n_e")).filter(F.col("n_e") >= support)
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}{4,}+"), F.lit(0)))
-    terms = rows.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
+    terms = rows.select(F.explode_outer(words).alias("term")).filter("term IS NOT NULL").groupBy("term").agg(F.count("*").alias("n_t"))
     ratio = F.log(F.col("n_et") * F.lit(float(n)) / (F.col("n_e") * F.col("n_t"))) / F.log(F.lit(float(n)) / F.col("n_e"))
     pairs = together.join(entities, "entity").join(terms, "term").filter(F.col("n_e") < n).withColumn("disclosure", ratio)
     return pairs.filter(F.col("disclosure") >= thresholds[0]).select(
