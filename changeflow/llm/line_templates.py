@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from changeflow.llm.common import documents, one_space, same_document, stage
+from changeflow.llm.common import documents, same_document, stage
 
 LEAD = 3
 MIN_TOKENS = 4
@@ -27,13 +27,22 @@ def _several() -> Column:
 
 
 def _parsed(rows: DataFrame, lead: int, min_tokens: int) -> DataFrame:
-    """(doc_id, key, ord, at, masked, leaf) of every line with ``min_tokens`` tokens; ``at`` counts lines from 0."""
-    lines = rows.select("doc_id", "key", "ord", F.posexplode(F.split("text", "\n", -1)).alias("at", "line"))
-    lines = lines.select("doc_id", "key", "ord", "at", F.trim(one_space(F.col("line"))).alias("line"))
-    lines = lines.withColumn("n", F.length("line") - F.length(F.translate("line", " ", "")) + 1).filter(F.col("n") >= min_tokens)
-    masked = F.when(F.col("line").rlike("[0-9]"), F.regexp_replace("line", r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", FIELD)).otherwise(F.col("line"))
-    lines = lines.select("doc_id", "key", "ord", "at", "n", masked.alias("masked"))
-    return lines.select("doc_id", "key", "ord", "at", "masked", F.xxhash64("n", F.substring_index("masked", " ", lead)).alias("leaf"))
+    """(doc_id, key, ord, at, masked, leaf) of every line with ``min_tokens`` tokens; ``at`` counts lines from 0.
+
+    White space and fields are settled for the whole text at once, before it is cut into lines.
+    """
+    odd = F.contains(F.col("text"), F.lit("  "))
+    for blank in "\t\x0b\x0c\r":
+        odd = odd | F.contains(F.col("text"), F.lit(blank))
+    spaced = F.regexp_replace("text", r"\x20[\x20\x09\x0B-\x0D]+|[\x09\x0B-\x0D][\x20\x09\x0B-\x0D]*", " ")
+    rows = rows.select("doc_id", "key", "ord", F.when(odd, spaced).otherwise(F.col("text")).alias("spaced"))
+    masked = F.regexp_replace("spaced", r"(?<![^ \n])[^ \n0-9]*+[0-9][^ \n]*+", FIELD)
+    masked = F.when(F.col("spaced").rlike("[0-9]"), masked).otherwise(F.col("spaced"))
+    lines = rows.select("doc_id", "key", "ord", F.posexplode_outer(F.split(masked, "\n", -1)).alias("at", "line"))
+    lines = lines.select("doc_id", "key", "ord", "at", F.trim("line").alias("masked"))
+    spaces = F.length("masked") - F.length(F.replace("masked", F.lit(" "), F.lit("")))
+    lines = lines.filter(spaces >= min_tokens - 1)
+    return lines.select("doc_id", "key", "ord", "at", "masked", F.xxhash64(spaces, F.substring_index("masked", " ", lead)).alias("leaf"))
 
 
 def recurring_lines(docs: DataFrame, lead: int = LEAD, min_tokens: int = MIN_TOKENS, constant_percent: int = CONSTANT_PERCENT) -> DataFrame:
@@ -43,16 +52,20 @@ def recurring_lines(docs: DataFrame, lead: int = LEAD, min_tokens: int = MIN_TOK
     leaves = stage(parsed.groupBy("leaf").agg(_several().alias("w")).filter("w").select("leaf"), "leaves")
     lines = stage(parsed.join(leaves, "leaf"), "lines")
 
-    kinds = stage(lines.groupBy("leaf", "masked").agg(F.min("ord").alias("lo"), F.max("ord").alias("hi")), "kinds")
-    tokens = kinds.select("leaf", "masked", "lo", "hi", F.posexplode(F.split("masked", " ")).alias("place", "token"))
-    constants = stage(tokens.groupBy("leaf", "place", "token").agg((F.min("lo") < F.max("hi")).alias("w"))
-                      .filter(F.col("w") & (F.col("token") != FIELD)).select("leaf", "place", "token"), "constants")
-    marked = tokens.join(constants.withColumn("constant", F.lit(True)), ["leaf", "place", "token"], "left")
-    share = 100 * F.count_if((F.col("place") >= lead) & F.col("constant")) >= constant_percent * F.count_if(F.col("place") >= lead)
-    field = F.struct("place", F.when(F.col("constant"), F.col("token")).otherwise(FIELD).alias("token"))
-    templates = marked.groupBy("leaf", "masked", "lo", "hi").agg(share.alias("fits"), F.sort_array(F.collect_list(field)).alias("fields"))
-    templates = stage(templates.select(
-        "leaf", "masked", "lo", "hi", F.when(F.col("fits"), F.array_join("fields.token", " ")).otherwise(F.col("masked")).alias("template")), "templates")
+    kinds = stage(lines.groupBy("leaf", "masked").agg(F.min("ord").alias("lo"), F.max("ord").alias("hi")).withColumn(
+        "kind", F.monotonically_increasing_id()), "kinds")
+    # a leaf of one kind needs no fields: its text is its template
+    mixed = stage(kinds.groupBy("leaf").agg((F.count("*") > 1).alias("w")).filter("w").select("leaf"), "mixed")
+    tokens = kinds.join(mixed, "leaf").select("leaf", "kind", "lo", "hi", F.posexplode_outer(F.split("masked", " ")).alias("place", "token"))
+    tokens = tokens.select("kind", "lo", "hi", "place", F.when(F.col("token") != FIELD, F.xxhash64("leaf", "place", "token")).alias("slot"))
+    constants = stage(tokens.filter("slot IS NOT NULL").groupBy("slot").agg((F.min("lo") < F.max("hi")).alias("w")).filter("w").select("slot"), "constants")
+    marked = tokens.join(constants.withColumn("constant", F.lit(1)), "slot", "left").withColumn("constant", F.coalesce("constant", F.lit(0)))
+    behind = F.when(F.col("place") >= lead, F.col("constant"))
+    fields = marked.groupBy("kind").agg(
+        (100 * F.sum(behind) >= constant_percent * F.count(behind)).alias("fits"), F.sort_array(F.collect_list(2 * F.col("place") + F.col("constant"))).alias("flags"))
+    general = F.array_join(F.zip_with(F.split("masked", " "), "flags", lambda token, flag: F.when(flag % 2 == 1, token).otherwise(FIELD)), " ")
+    templates = stage(kinds.join(fields, "kind", "left").select(
+        "leaf", "masked", "lo", "hi", F.when(F.col("fits"), general).otherwise(F.col("masked")).alias("template")), "templates")
     recurring = stage(templates.groupBy("leaf", "template").agg(F.min("lo").alias("first"), F.max("hi").alias("last")).filter("first < last"), "recurring")
     kinds = stage(templates.join(recurring, ["leaf", "template"]).select("leaf", "masked", "template", "first"), "dropped")
     return lines.join(kinds, ["leaf", "masked"]).filter("ord > first").select("doc_id", "key", "at", "template")
