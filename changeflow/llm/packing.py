@@ -13,6 +13,7 @@ import re
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -22,12 +23,17 @@ VOCABULARY = "byte_bpe_50k.json"
 END_ID = b"\0\0\0\0"
 GROUP_PIECES = 4096
 
-# White space never follows or precedes this cut, so the ids of a text are the ids of its units, one after the other:
-# no pattern of a byte-level vocabulary reaches over a single space between two other characters.
-_CUT = re.compile(r"(?<=\S) (?=\S)")
-_BATCH, _CACHED, _LONG = 256, 500_000, 64
+# A text is cut at single line feeds and single spaces between two other characters, where no pattern of a byte-level
+# vocabulary reaches over: its ids are those of its lines' units, one after the other, with the line feed's between lines.
+_LINE, _CUT = re.compile(r"(?<=\S)\n(?=\S)"), re.compile(r"(?<=\S) (?=\S)")
+_SPACED = re.compile(r"\s")
+_ODD = re.compile(r"\s\s|[^\S \n]|^\s|\s\Z")
+_BATCH_CHARS, _GENERATION, _JOINED = 4_000_000, 600_000, 1_000
 _tokenizers: dict[str, object] = {}
-_units: dict[str, tuple[dict[str, bytes], dict[str, bytes]]] = {}
+# units seen lately and before, by vocabulary and lead; what is not used again is forgotten, which changes speed only
+_young: dict[tuple[str, str], dict[str, bytes]] = {}
+_old: dict[tuple[str, str], dict[str, bytes]] = {}
+_marks: dict[tuple[str, str], np.ndarray] = {}
 
 
 def tokenizer(vocabulary: str):
@@ -45,38 +51,79 @@ def tokenizer(vocabulary: str):
     return _tokenizers[vocabulary]
 
 
-def token_bytes(texts: list[str], vocabulary: str = VOCABULARY) -> list[bytes]:
-    """Ids of each text as little-endian unsigned 32-bit integers. Units seen before are looked up; the store of units is
-    emptied when full, which changes speed only."""
-    heads, tails = _units.setdefault(vocabulary, ({}, {}))
-    if len(heads) + len(tails) > _CACHED:
-        heads.clear()
-        tails.clear()
-    split = [_CUT.split(t) for t in texts]
-    once: list[str] = []
-    for known, lead, wanted in ((heads, "", {s[0] for s in split}), (tails, " ", set().union(*(s[1:] for s in split)))):
-        new = list(wanted.difference(known))
-        coded = tokenizer(vocabulary).encode_batch_fast([lead + u for u in new], add_special_tokens=False)
-        for unit, code in zip(new, coded, strict=True):
-            known[unit] = pa.array(code.ids, pa.uint32()).buffers()[1].to_pybytes()[: 4 * len(code.ids)] if code.ids else b""
-            if len(unit) > _LONG:
-                once.append(unit)
-    out = [heads[s[0]] + b"".join(map(tails.__getitem__, s[1:])) for s in split]
-    for unit in once:
-        heads.pop(unit, None)
-        tails.pop(unit, None)
+def _mark(vocabulary: str, lead: str) -> np.ndarray:
+    """Which ids are the line feed, or begin with a space."""
+    if (vocabulary, lead) not in _marks:
+        known = tokenizer(vocabulary).get_vocab(with_added_tokens=False)
+        _marks[vocabulary, lead] = mark = np.zeros(max(known.values()) + 2, bool)
+        mark[[n for word, n in known.items() if (word.startswith("\u0120") if lead else word == "\u010a")]] = True
+    return _marks[vocabulary, lead]
+
+
+def _encoded(units: list[str], lead: str, vocabulary: str) -> dict[str, bytes]:
+    """Ids of each unit after ``lead``, a space or nothing. Units without white space are encoded in long rows, apart by a
+    space or a line feed, where the ids themselves show the borders."""
+    coder, mark = tokenizer(vocabulary), _mark(vocabulary, lead)
+    plain = [u for u in units if u and not _SPACED.search(u)]
+    rows = [plain[i : i + _JOINED] for i in range(0, len(plain), _JOINED)]
+    out, alone = {}, [u for u in units if not u or _SPACED.search(u)]
+    for row, code in zip(rows, coder.encode_batch_fast([lead + (lead or "\n").join(row) for row in rows], add_special_tokens=False), strict=True):
+        ids = np.array(code.ids, "<u4")
+        at = np.flatnonzero(mark[np.minimum(ids, len(mark) - 1)])
+        starts, ends = (at, np.r_[at[1:], len(ids)]) if lead else (np.r_[0, at + 1], np.r_[at, len(ids)])
+        if len(starts) != len(row):  # a special token in a text
+            alone += row
+            continue
+        packed = ids.tobytes()
+        out.update((u, packed[i:j]) for u, i, j in zip(row, (4 * starts).tolist(), (4 * ends).tolist(), strict=True))
+    for unit, code in zip(alone, coder.encode_batch_fast([lead + u for u in alone], add_special_tokens=False), strict=True):
+        out[unit] = np.array(code.ids, "<u4").tobytes()
     return out
 
 
+def _known(wanted: set[str], lead: str, vocabulary: str) -> dict[str, bytes]:
+    """Ids of the wanted units, and of others."""
+    at = (vocabulary, lead)
+    if len(_young.setdefault(at, {})) > _GENERATION:
+        _old[at], _young[at] = _young[at], {}
+    young, old = _young[at], _old.setdefault(at, {})
+    wanted = wanted.difference(young)
+    again = wanted.intersection(old)
+    young.update((u, old[u]) for u in again)
+    young.update(_encoded(list(wanted - again), lead, vocabulary))
+    return young
+
+
+def token_bytes(texts: list[str], vocabulary: str = VOCABULARY) -> list[bytes]:
+    """Ids of each text as little-endian unsigned 32-bit integers. Units seen before are looked up."""
+    split = [
+        [_CUT.split(line) for line in _LINE.split(t)] if _ODD.search(t) else [line.split(" ") for line in t.split("\n")]
+        for t in texts]
+    heads = _known({line[0] for lines in split for line in lines}, "", vocabulary)
+    tails = _known(set().union(*(line[1:] for lines in split for line in lines)), " ", vocabulary)
+    feed = np.array(tokenizer(vocabulary).encode("\n", add_special_tokens=False).ids, "<u4").tobytes()
+    return [feed.join([heads[line[0]] + b"".join(map(tails.__getitem__, line[1:])) for line in lines]) for lines in split]
+
+
+def _batches(names: list, texts: list[str]) -> Iterator[tuple[list, list[str]]]:
+    lo = chars = 0
+    for hi, text in enumerate(texts):
+        if chars and chars + len(text) > _BATCH_CHARS:
+            yield names[lo:hi], texts[lo:hi]
+            lo, chars = hi, 0
+        chars += len(text)
+    if lo < len(texts):
+        yield names[lo:], texts[lo:]
+
+
 def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SEQUENCE, vocabulary: str = VOCABULARY) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens): a document's ids with the end id, cut after every ``size`` ids."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, _BATCH):
-                part = batch.slice(at, _BATCH)
+            for names, texts in _batches(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 cols: list[list] = [[], [], [], [], []]
-                for name, ids in zip(part.column(0).to_pylist(), token_bytes(part.column(1).to_pylist(), vocabulary), strict=True):
+                for name, ids in zip(names, token_bytes(texts, vocabulary), strict=True):
                     ids += END_ID
                     total = len(ids) // 4
                     for start in range(0, total, size):
