@@ -48,8 +48,8 @@ def copy_groups(docs: DataFrame, first_digit: int = 64, growth: int = 8) -> Data
 
 
 def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **digits: int) -> DataFrame:
-    """Every row of ``docs`` in column ``doc`` (a struct, so that no name can clash) with ``keep_id``, ``group_size``,
-    ``kept`` and the normal form ``text``.
+    """Every row of ``docs`` in column ``doc`` (a struct, so that no name can clash) with ``keep_id``, ``group_size``
+    and ``kept``. Columns of ``doc`` that are not asked for are not shuffled.
 
     Texts are equal when they are identical after each run of white space is replaced by one space; null counts as empty,
     so empty texts form one group. The smallest id of a group stays. A row without an id stays only in a group without
@@ -60,9 +60,9 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **d
     groups = copy_groups(documents(rows), **digits).groupBy("doc_id", "key").agg(
         F.first("keep_id").alias("keep_id"), F.first("group_size").alias("group_size"))
     joined = rows.join(groups, same_document(rows, groups), "left").select(
-        "doc", rows["doc_id"], rows["key"], "text",
+        "doc", rows["doc_id"], rows["key"],
         F.when(F.col("group_size").isNull(), rows["doc_id"]).otherwise(F.col("keep_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"))
     again = F.row_number().over(Window.partitionBy("doc_id", "key").orderBy("doc_id"))
     kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("again") == 1)
-    return joined.withColumn("again", again).select("doc", "text", "keep_id", "group_size", kept.alias("kept"))
+    return joined.withColumn("again", again).select("doc", "keep_id", "group_size", kept.alias("kept"))
