@@ -32,6 +32,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*staged: DataFrame) -> None:
+    """Remove tables written by ``stage`` that no later step reads."""
+    for df in staged:
+        spark = df.sparkSession
+        for folder in {file.rpartition("/")[0] for file in df.inputFiles()}:
+            place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def one_space(text: Column) -> Column:
     """Each run of white space as one space, null as empty. The pattern skips runs that are one space already."""
     return F.regexp_replace(F.coalesce(text, F.lit("")), rf"\x20{SPACE}+|[\x09-\x0D]{SPACE}*", " ")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from changeflow.llm import rolling
-from changeflow.llm.common import documents, stage
+from changeflow.llm.common import discard, documents, stage
 
 LAST = (1 << 63) - 1
 _SHIFT = 48
@@ -147,6 +147,7 @@ def with_spans(docs: DataFrame, plan: Plan, doc_id: str = "doc_id", text: str =
         texts.mapInArrow(_seeds(plan, True), "h long, doc long, at long").join(repeated, "h")
         .groupBy("doc", _tag()).agg(F.collect_list(_place()).alias("places")), "marks")
     held = stage(rows.join(marked, ["doc", "tag"], "left"), "texts")
+    discard(repeated, marked)
 
     schema = "h long, core long, content long, doc long, tag long, anchor long, first long, last long"
     open_rows, settled = held.filter("places IS NOT NULL").select("doc", "tag", "text", "places"), None
@@ -156,12 +157,15 @@ def with_spans(docs: DataFrame, plan: Plan, doc_id: str = "doc_id", text: str =
         classes = stage(blocks.groupBy(*same).agg(F.count("*").alias("n"), F.min("doc").alias("least")), "classes")
         placed = blocks.join(classes, same)
         found = placed.filter("least < doc" if plan.earlier else "n > 1").select("doc", "tag", F.col("first").alias("start"), (F.col("last") + plan.window).alias("end"))
+        found = stage(found, "found")
         settled = found if settled is None else settled.unionByName(found)
         if size != 1:
             several = stage(classes.groupBy("h", "core").agg((F.count("*") > 1).alias("w")).filter("w").select("h", "core"), "several")
             places = stage(placed.filter("doc = least").join(several, ["h", "core"]).groupBy("doc", "tag").agg(
                 F.collect_list(F.struct("anchor", "first", "last")).alias("places")), "open")
             open_rows = held.select("doc", "tag", "text").join(places, ["doc", "tag"]).select("doc", "tag", "text", "places")
+            discard(several)
+        discard(blocks, classes)
 
     spans = stage(settled.groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "spans")
     return held.select("doc_id", "doc", "tag", "text").join(spans, ["doc", "tag"], "left").select("doc_id", "text", "spans")
