@@ -165,13 +165,14 @@ def sanitised(found: DataFrame) -> DataFrame:
         block = F.floor(i / F.col("width")).cast("int")
         return F.greatest(F.get("ends", block), most(block * F.col("width") + 1, i % F.col("width")))
 
-    rows = rows.withColumn("cuts", F.transform("spans", lambda x, i: F.struct(reached(i).alias("from"), x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"))))
+    rows = rows.withColumn("cuts", F.transform("spans", lambda x, i: F.struct(
+        reached(i).alias("from"), x["start"].alias("start"), F.greatest(reached(i), x["end"]).alias("upto"), x["kind"].alias("kind"))))
 
     def piece(x: Column) -> Column:
         label = F.when(x["kind"] == KINDS.index(GENERALISED), F.concat(F.substring("text", x["start"] + 1, F.lit(1)), F.lit("*"))).otherwise(F.element_at(names, x["kind"] + 1))
         return F.when(x["start"] < x["from"], F.lit("")).otherwise(F.concat(F.substring("text", x["from"] + 1, x["start"] - x["from"]), label))
 
-    end = F.array_max(F.transform("cuts", lambda x: F.greatest(x["from"], x["end"])))
+    end = F.array_max("cuts.upto")
     clean = F.concat(F.array_join(F.transform("cuts", piece), ""), F.substring("text", end + 1, F.length("text")))
     return rows.withColumn("clean", F.when(F.size("cuts") > 0, clean).otherwise(F.col("text"))).drop("width", "ends", "cuts")
 
