@@ -27,6 +27,7 @@ GROUP_PIECES = 4096
 # vocabulary reaches over: its ids are those of its lines' units, one after the other, with the line feed's between lines.
 _LINE, _CUT = re.compile(r"(?<=\S)\n(?=\S)"), re.compile(r"(?<=\S) (?=\S)")
 _SPACED = re.compile(r"\s")
+_MARKS = ".,;:!?%&$*#|<>()"
 _ODD = re.compile(r"\s\s|[^\S \n]|^\s|\s\Z")
 _BATCH_CHARS, _GENERATION, _JOINED = 4_000_000, 600_000, 1_000
 _tokenizers: dict[str, object] = {}
@@ -90,7 +91,21 @@ def _known(wanted: set[str], lead: str, vocabulary: str) -> dict[str, bytes]:
     wanted = wanted.difference(young)
     again = wanted.intersection(old)
     young.update((u, old[u]) for u in again)
-    young.update(_encoded(list(wanted - again), lead, vocabulary))
+    # a letter and a mark after it are never in one token: the marks at the end of a unit are encoded apart
+    whole, ended = set(), []
+    for unit in wanted - again:
+        core = unit.rstrip(_MARKS)
+        if len(core) < len(unit) and core[-1:].isalpha():
+            ended.append((unit, core))
+            whole.add(core)
+        else:
+            whole.add(unit)
+    whole.difference_update(young)
+    young.update((u, old[u]) for u in whole.intersection(old))
+    young.update(_encoded([u for u in whole if u not in old], lead, vocabulary))
+    ends = {unit[len(core) :] for unit, core in ended}
+    coded = dict(zip(ends, (np.array(c.ids, "<u4").tobytes() for c in tokenizer(vocabulary).encode_batch_fast(list(ends), add_special_tokens=False)), strict=True))
+    young.update((unit, young[core] + coded[unit[len(core) :]]) for unit, core in ended)
     return young
 
 
