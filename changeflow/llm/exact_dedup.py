@@ -33,7 +33,7 @@ def copy_groups(docs: DataFrame, first_digit: int = 64, growth: int = 8) -> Data
         )
         rest = F.when(~F.col("ended"), F.expr(f"substring(rest, {width + 1})"))
         split = stage(
-            digit.join(groups, by).select("doc_id", "key", F.col("next_part").alias("part"), "ended", "keep_id", "group_size", rest.alias("rest")),
+            digit.join(groups.hint("merge"), by).select("doc_id", "key", F.col("next_part").alias("part"), "ended", "keep_id", "group_size", rest.alias("rest")),
             "radix-rows",
         )
         finished.append(split.filter("ended").select("doc_id", "key", "keep_id", "group_size"))
