@@ -25,7 +25,7 @@ from changeflow.llm.common import documents
 MODEL = "piece_bpe_32k.model"
 ALPHA = 0.5
 BYTE_WEIGHT = -25.0
-PART_BYTES = 1 << 22
+PART_BYTES = 1 << 21
 TABLE_BITS = 19
 Batches = Iterator[pa.RecordBatch]
 
