@@ -35,6 +35,7 @@ _tokenizers: dict[str, object] = {}
 _young: dict[tuple[str, str], dict[str, bytes]] = {}
 _old: dict[tuple[str, str], dict[str, bytes]] = {}
 _marks: dict[tuple[str, str], np.ndarray] = {}
+_added: dict[str, list[str]] = {}
 
 
 def tokenizer(vocabulary: str):
@@ -61,6 +62,13 @@ def _mark(vocabulary: str, lead: str) -> np.ndarray:
     return _marks[vocabulary, lead]
 
 
+def _whole(vocabulary: str) -> list[str]:
+    """The added tokens of a vocabulary, which are matched in a text before it is cut at marks."""
+    if vocabulary not in _added:
+        _added[vocabulary] = [token.content for token in tokenizer(vocabulary).get_added_tokens_decoder().values()]
+    return _added[vocabulary]
+
+
 def _encoded(units: list[str], lead: str, vocabulary: str) -> dict[str, bytes]:
     """Ids of each unit after ``lead``, a space or nothing. Units without white space are encoded in long rows, apart by a
     space or a line feed, where the ids themselves show the borders."""
@@ -91,11 +99,11 @@ def _known(wanted: set[str], lead: str, vocabulary: str) -> dict[str, bytes]:
     wanted = wanted.difference(young)
     again = wanted.intersection(old)
     young.update((u, old[u]) for u in again)
-    # a letter and a mark after it are never in one token: the marks at the end of a unit are encoded apart
-    whole, ended = set(), []
+    # a letter and a mark after it are in one token only if that is an added one: else the marks at the end of a unit are encoded apart
+    whole, ended, added = set(), [], _whole(vocabulary)
     for unit in wanted - again:
         core = unit.rstrip(_MARKS)
-        if len(core) < len(unit) and core[-1:].isalpha():
+        if len(core) < len(unit) and core[-1:].isalpha() and not any(token in unit for token in added):
             ended.append((unit, core))
             whole.add(core)
         else:

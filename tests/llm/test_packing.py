@@ -80,3 +80,8 @@ def test_tree_equals_scan(lengths):
 @pytest.mark.parametrize("text", ["a b  c", " a  b ", " x y\u0085 z", "x\x1fy z", "1 2,3 'll we'll  \n q", "tab\t x"])
 def test_units(text):
     assert packing.token_bytes([text])[0] == struct.pack(f"<{len(plain_ids(text)) - 1}I", *plain_ids(text)[:-1])
+
+
+@pytest.mark.parametrize("text", ["x end<|endoftext|>, y", "end<|endoftext|>", "a end<|endoftext|>.) b<|endoftext|>\nc<|endoftext|>!", "x end<|endoftext|>a, end<|endoftext,|> y|>"])
+def test_units_with_added_tokens(text):
+    assert packing.token_bytes([text])[0] == struct.pack(f"<{len(plain_ids(text)) - 1}I", *plain_ids(text)[:-1])
