@@ -27,7 +27,8 @@ def _several() -> Column:
 
 
 def _parsed(rows: DataFrame, lead: int, min_tokens: int) -> DataFrame:
-    """(doc_id, key, ord, at, masked, leaf) of every line with ``min_tokens`` tokens; ``at`` counts lines from 0.
+    """(doc_id, key, ord, at, masked, own, leaf) of every line with ``min_tokens`` tokens; ``at`` counts lines from 0. ``own`` is a
+    hash of the line as it was before tokens with digits were masked, 0 where it has none.
 
     White space and fields are settled for the whole text at once, before it is cut into lines.
     """
@@ -38,15 +39,17 @@ def _parsed(rows: DataFrame, lead: int, min_tokens: int) -> DataFrame:
     rows = rows.select("doc_id", "key", "ord", F.when(odd, spaced).otherwise(F.col("text")).alias("spaced"))
     masked = F.regexp_replace("spaced", r"(?<![^ \n])[^ \n0-9]*+[0-9][^ \n]*+", FIELD)
     masked = F.when(F.col("spaced").rlike("[0-9]"), masked).otherwise(F.col("spaced"))
-    lines = rows.select("doc_id", "key", "ord", F.posexplode_outer(F.split(masked, "\n", -1)).alias("at", "line"))
-    lines = lines.select("doc_id", "key", "ord", "at", F.trim("line").alias("masked"))
+    both = F.arrays_zip(F.split(masked, "\n", -1).alias("masked"), F.split("spaced", "\n", -1).alias("line"))
+    lines = rows.select("doc_id", "key", "ord", F.posexplode_outer(both).alias("at", "x"))
+    own = F.when(F.col("x.masked") != F.col("x.line"), F.xxhash64(F.trim("x.line"))).otherwise(0)
+    lines = lines.select("doc_id", "key", "ord", "at", F.trim("x.masked").alias("masked"), own.alias("own"))
     spaces = F.length("masked") - F.length(F.replace("masked", F.lit(" "), F.lit("")))
     lines = lines.filter(spaces >= min_tokens - 1)
-    return lines.select("doc_id", "key", "ord", "at", "masked", F.xxhash64(spaces, F.substring_index("masked", " ", lead)).alias("leaf"))
+    return lines.select("doc_id", "key", "ord", "at", "masked", "own", F.xxhash64(spaces, F.substring_index("masked", " ", lead)).alias("leaf"))
 
 
 def recurring_lines(docs: DataFrame, lead: int = LEAD, min_tokens: int = MIN_TOKENS, constant_percent: int = CONSTANT_PERCENT) -> DataFrame:
-    """(doc_id, key, at, template) of the lines to drop, from ``common.documents``."""
+    """(doc_id, key, at) of the lines to drop, from ``common.documents``."""
     rows = docs.select("doc_id", "key", F.coalesce("doc_id", F.lit(_LAST)).alias("ord"), "text")
     parsed = _parsed(rows, lead, min_tokens)
     leaves = stage(parsed.groupBy("leaf").agg(_several().alias("w")).filter("w").select("leaf"), "leaves")
@@ -54,7 +57,7 @@ def recurring_lines(docs: DataFrame, lead: int = LEAD, min_tokens: int = MIN_TOK
 
     kinds = stage(lines.groupBy("leaf", "masked").agg(F.min("ord").alias("lo"), F.max("ord").alias("hi")).withColumn(
         "kind", F.monotonically_increasing_id()), "kinds")
-    # a leaf of one kind needs no fields: its text is its template
+    # a leaf of one kind needs no search for fields: all but the masked tokens are constant
     mixed = stage(kinds.groupBy("leaf").agg((F.count("*") > 1).alias("w")).filter("w").select("leaf"), "mixed")
     tokens = kinds.join(mixed, "leaf").select("leaf", "kind", "lo", "hi", F.posexplode_outer(F.split("masked", " ")).alias("place", "token"))
     tokens = tokens.select("kind", "lo", "hi", "place", F.when(F.col("token") != FIELD, F.xxhash64("leaf", "place", "token")).alias("slot"))
@@ -64,11 +67,21 @@ def recurring_lines(docs: DataFrame, lead: int = LEAD, min_tokens: int = MIN_TOK
     fields = marked.groupBy("kind").agg(
         (100 * F.sum(behind) >= constant_percent * F.count(behind)).alias("fits"), F.sort_array(F.collect_list(2 * F.col("place") + F.col("constant"))).alias("flags"))
     general = F.array_join(F.zip_with(F.split("masked", " "), "flags", lambda token, flag: F.when(flag % 2 == 1, token).otherwise(FIELD)), " ")
+    rear = F.slice(F.split("masked", " "), lead + 1, F.length("masked"))
+    alone = 100 * F.size(F.filter(rear, lambda token: token != FIELD)) >= constant_percent * F.size(rear)
     templates = stage(kinds.join(fields, "kind", "left").select(
-        "leaf", "masked", "lo", "hi", F.when(F.col("fits"), general).otherwise(F.col("masked")).alias("template")), "templates")
-    recurring = stage(templates.groupBy("leaf", "template").agg(F.min("lo").alias("first"), F.max("hi").alias("last")).filter("first < last"), "recurring")
-    kinds = stage(templates.join(recurring, ["leaf", "template"]).select("leaf", "masked", "template", "first"), "dropped")
-    return lines.join(kinds, ["leaf", "masked"]).filter("ord > first").select("doc_id", "key", "at", "template")
+        "leaf", "masked", "lo", "hi", F.when(F.col("fits"), general).otherwise(F.col("masked")).alias("template"),
+        (~F.coalesce("fits", alone) & F.contains(F.col("masked"), F.lit(FIELD))).alias("exact")), "templates")
+
+    # too few constants: the line as it was is its template
+    odd = stage(lines.join(templates.filter("exact").select("leaf", "masked"), ["leaf", "masked"]), "odd")
+    forms = odd.groupBy("leaf", "masked", "own").agg(F.min("ord").alias("lo"), F.max("ord").alias("hi"))
+    forms = forms.select("leaf", "masked", "own", "lo", "hi", F.col("masked").alias("template"), F.lit(True).alias("exact"))
+    every = stage(templates.filter("NOT exact").select("leaf", "masked", F.lit(0).cast("long").alias("own"), "lo", "hi", "template", "exact").unionByName(forms), "forms")
+    recurring = stage(every.groupBy("leaf", "template", "own").agg(F.min("lo").alias("first"), F.max("hi").alias("last")).filter("first < last"), "recurring")
+    kinds = stage(every.join(recurring, ["leaf", "template", "own"]).select("leaf", "masked", "own", "first", "exact"), "dropped")
+    same = stage(odd.join(kinds.filter("exact"), ["leaf", "masked", "own"]).filter("ord > first").select("doc_id", "key", "at"), "same")
+    return lines.join(kinds.filter("NOT exact"), ["leaf", "masked"]).filter("ord > first").select("doc_id", "key", "at").unionByName(same)
 
 
 def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **tree: int) -> DataFrame:

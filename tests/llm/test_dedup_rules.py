@@ -125,6 +125,14 @@ def test_templates_odd_rows(docs):
     assert line_dedup(docs([])).collect() == []
 
 
+def test_templates_of_numbers(docs):
+    """Lines with too few constants go only if another document has the same line."""
+    rows = [(1, "12 15 18 20\nMon 12 15 18 20\nrow of the 1 2 3"), (2, "7 3 9 1\nMon 7 3 9 1\nrow of the 4 5 6"), (3, "12 15  18 20\nMon 1 1 1 1\nrow of the 1 2 3"),
+            (4, "Tue 1 2 3\nrow of the 4 x 6"), (5, "Tue 4 5 6"), (6, "<*> <*> <*> <*>"), (7, "<*> <*> <*> <*>\n12 15 18 21")]
+    got = dropped(docs(rows))
+    assert got == {**dict(rows), 3: "Mon 1 1 1 1", 7: "12 15 18 21"}
+
+
 def test_query_digests(spark, sf_dir):
     from changeflow.llm.catalog import QUERIES
 
