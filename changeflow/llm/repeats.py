@@ -27,7 +27,6 @@ from changeflow.llm import rolling
 from changeflow.llm.common import discard, documents, stage
 
 LAST = (1 << 63) - 1
-_SHIFT = 48
 
 # from the bytes of rows to (symbols, where each row starts in them)
 Symbols = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
@@ -46,22 +45,19 @@ class Plan:
     earlier: bool
 
 
-def _packed(tags: np.ndarray, places: np.ndarray) -> np.ndarray:
-    return (tags << _SHIFT) | places
-
-
 def _seeds(plan: Plan, placed: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs, tags = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            docs, names = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             for lo, hi, data, offsets in rolling.text_parts(batch):
                 symbols, at = plan.symbols(data, offsets)
                 grams = rolling.Spans(symbols).grams(plan.seed)
                 row, anchor, _, _ = rolling.anchors(grams, at, plan.window, plan.seed)
-                cols = [pa.array(rolling.signed(grams[anchor])), pa.array(docs[lo:hi][row])]
+                h = pa.array(rolling.signed(grams[anchor]))
                 if placed:
-                    cols.append(pa.array(_packed(tags[lo:hi][row], anchor - at[row])))
-                yield pa.RecordBatch.from_arrays(cols, ["h", "doc", "at"][: len(cols)])
+                    yield pa.RecordBatch.from_arrays([h, pa.array(names[lo:hi][row]), pa.array(anchor - at[row])], ["h", "row", "at"])
+                else:
+                    yield pa.RecordBatch.from_arrays([h, pa.array(docs[lo:hi][row])], ["h", "doc"])
 
     return run
 
@@ -116,59 +112,50 @@ def _blocks(plan: Plan, size: int) -> Callable[[Iterator[pa.RecordBatch]], Itera
 
 
 def _block_rows(plan, batch, lo, at, row, anchor, first, last, h, core, spans) -> pa.RecordBatch:
-    docs, tags = (batch.column(batch.schema.names.index(c)).to_numpy(zero_copy_only=False)[lo:] for c in ("doc", "tag"))
+    docs, names = (batch.column(batch.schema.names.index(c)).to_numpy(zero_copy_only=False)[lo:] for c in ("doc", "row"))
     content = rolling.mix(spans.hash(first, last + plan.window) ^ (anchor - first).astype(rolling.U))
     base = at[:-1][row]
-    cols = [rolling.signed(h), rolling.signed(core), rolling.signed(content), docs[row], tags[row], anchor - base, first - base, last - base]
-    return pa.RecordBatch.from_arrays([pa.array(x) for x in cols], ["h", "core", "content", "doc", "tag", "anchor", "first", "last"])
-
-
-def _tag(column: str = "at") -> F.Column:
-    return F.shiftright(column, _SHIFT).alias("tag")
-
-
-def _place(column: str = "at") -> F.Column:
-    return F.col(column).bitwiseAND(F.lit((1 << _SHIFT) - 1))
+    cols = [rolling.signed(h), rolling.signed(core), rolling.signed(content), docs[row], names[row], anchor - base, first - base, last - base]
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in cols], ["h", "core", "content", "doc", "row", "anchor", "first", "last"])
 
 
 def with_spans(docs: DataFrame, plan: Plan, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, text, spans): ``spans`` has (start, end) in symbols, in no order, overlapping, or is null if there are none.
 
-    Rows without an id come after all others in the order of ids. Rows that repeat an id are told apart by 15 bits of a
-    hash of their text.
+    Rows without an id come after all others in the order of ids. Each row has a number of its own, written with its text,
+    by which its places are gathered; rows that share an id, or have none, never meet in it.
     """
-    rows = documents(docs, doc_id, text).select(
-        "doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("doc"), F.col("key").bitwiseAND(F.lit(0x7FFF)).alias("tag"), "text")
+    rows = stage(documents(docs, doc_id, text).select(
+        "doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("doc"), F.monotonically_increasing_id().alias("row"), "text"), "texts")
     wanted = (F.min("doc") < F.max("doc")) if plan.earlier else (F.count("*") > 1)
-    texts = rows.select("doc", "tag", "text")
+    texts = rows.select("doc", "row", "text")
 
     repeated = stage(texts.mapInArrow(_seeds(plan, False), "h long, doc long").groupBy("h").agg(wanted.alias("w")).filter("w").select("h"), "seeds")
-    marked = stage(
-        texts.mapInArrow(_seeds(plan, True), "h long, doc long, at long").join(repeated, "h")
-        .groupBy("doc", _tag()).agg(F.collect_list(_place()).alias("places")), "marks")
-    held = stage(rows.join(marked, ["doc", "tag"], "left"), "texts")
-    discard(repeated, marked)
-
-    schema = "h long, core long, content long, doc long, tag long, anchor long, first long, last long"
-    open_rows, settled = held.filter("places IS NOT NULL").select("doc", "tag", "text", "places"), None
+    places = stage(
+        texts.mapInArrow(_seeds(plan, True), "h long, row long, at long").join(repeated, "h")
+        .groupBy("row").agg(F.collect_list("at").alias("places")), "marks")
+    discard(repeated)
+
+    schema, settled = "h long, core long, content long, doc long, row long, anchor long, first long, last long", None
     for size in (0, *plan.blocks):
+        open_rows = texts.join(places, "row").select("doc", "row", "text", "places")
         blocks = stage(open_rows.mapInArrow(_blocks(plan, size) if size else _runs(plan), schema), "blocks")
+        discard(places)
         same = ["h", "core", "content"]
         classes = stage(blocks.groupBy(*same).agg(F.count("*").alias("n"), F.min("doc").alias("least")), "classes")
         placed = blocks.join(classes, same)
-        found = placed.filter("least < doc" if plan.earlier else "n > 1").select("doc", "tag", F.col("first").alias("start"), (F.col("last") + plan.window).alias("end"))
+        found = placed.filter("least < doc" if plan.earlier else "n > 1").select("row", F.col("first").alias("start"), (F.col("last") + plan.window).alias("end"))
         found = stage(found, "found")
         settled = found if settled is None else settled.unionByName(found)
         if size != 1:
             several = stage(classes.groupBy("h", "core").agg((F.count("*") > 1).alias("w")).filter("w").select("h", "core"), "several")
-            places = stage(placed.filter("doc = least").join(several, ["h", "core"]).groupBy("doc", "tag").agg(
+            places = stage(placed.filter("doc = least").join(several, ["h", "core"]).groupBy("row").agg(
                 F.collect_list(F.struct("anchor", "first", "last")).alias("places")), "open")
-            open_rows = held.select("doc", "tag", "text").join(places, ["doc", "tag"]).select("doc", "tag", "text", "places")
             discard(several)
         discard(blocks, classes)
 
-    spans = stage(settled.groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "spans")
-    return held.select("doc_id", "doc", "tag", "text").join(spans, ["doc", "tag"], "left").select("doc_id", "text", "spans")
+    spans = stage(settled.groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "spans")
+    return rows.select("doc_id", "row", "text").join(spans, "row", "left").select("doc_id", "text", "spans")
 
 
 def covered(batch: pa.RecordBatch, lo: int, hi: int, at: np.ndarray) -> np.ndarray:

@@ -94,3 +94,19 @@ def test_first_minimum():
     v = rng.integers(0, 9, 500).astype(np.uint64)
     for w in (1, 2, 3, 7, 8, 9, 137):
         assert rolling.first_minimum(v, w).tolist() == [i + int(np.argmin(v[i : i + w])) for i in range(500 - w + 1)]
+
+
+@pytest.mark.parametrize("given", [None, 7])
+def test_texts_with_like_hashes(spark, docs, given):
+    """Rows without an id, or with one id, whose texts share the lower bits of their hashes stay apart."""
+    passage = " ".join(f"p{i}" for i in range(60))
+    texts = [(f"long{i} own{i} {passage} end{i}", f"short{i} " + " ".join(f"s{i}x{k}" for k in range(14))) for i in range(600)]
+    flat = spark.createDataFrame([(t,) for both in texts for t in both], "text string").selectExpr("text", "xxhash64(text) & 32767 AS low").collect()
+    seen = {r.low: r.text for r in flat if r.text.startswith("long")}
+    like = [t for r in flat if r.text.startswith("short") and r.low in seen for t in (seen[r.low], r.text)]
+    assert like
+    rows = [(1, passage), *((given, t) for t in dict.fromkeys(like)), (given, like[0]), (given, like[0])]
+    want = sorted((LAST if i is None else i, *row) for (i, _), row in zip(rows, by_words(rows, 13), strict=True))
+    assert pairs(substring_dedup(docs(rows)), "n_words", "n_removed", "kept") == want
+    got = sorted((LAST if r.doc_id is None else r.doc_id, r.n_bytes, r.n_removed, len(r.spans), bytes(r.kept)) for r in suffix_dedup(docs(rows)).collect())
+    assert got == sorted((LAST if i is None else i, *row) for (i, _), row in zip(rows, by_bytes([t for _, t in rows], 200), strict=True))
