@@ -33,8 +33,6 @@ from changeflow.llm.components import components
 SHINGLE = 5
 PERCENT = 80
 CELL_BITS, BLOCK_BITS = 20, 12
-#: Ids from here on stand for rows without an id.
-NO_ID = 1 << 62
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -228,39 +226,39 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
     A-Z are lower-cased; a document's set are its distinct shingles of ``shingle`` words, or all its words as one if it has
     fewer. Null, empty and blank texts have no set and link with nothing. ``component_id`` is the smallest id that links
-    lead to. Rows that share an id are one document with several texts, and thus linked. Rows without an id link like
-    others; a component of such rows alone has none. An empty table gives no rows. Ids from 2**62 on count as missing.
+    lead to, any 64-bit number. Rows that share an id are one document with several texts, and thus linked. Rows without an id
+    link like others; a component of such rows alone has none. An empty table gives no rows.
     """
     rows = documents(docs, doc_id, text)
+    # rows go by written numbers, as ids may be any number or missing
     digests = stage(rows.select("doc_id", "key", "text").mapInArrow(
-        _digests(shingle), "doc_id long, key long, n_shingles long, d1 long, d2 long"), "digests")
-    known = F.coalesce("doc_id", F.lit(NO_ID).bitwiseOR(F.shiftrightunsigned("key", 2)))
-    digests = digests.withColumn("id", known)
+        _digests(shingle), "doc_id long, key long, n_shingles long, d1 long, d2 long").withColumn("id", F.monotonically_increasing_id()), "digests")
     alike = ["n_shingles", "d1", "d2"]
     classes = stage(digests.filter("n_shingles > 0").groupBy(*alike).agg(F.min("id").alias("least")), "classes")
     joined = stage(digests.join(classes, alike, "left").withColumn("least", F.coalesce("least", "id")), "members")
 
-    heads = joined.filter("n_shingles > 0 AND id = least").dropDuplicates(["id", *alike]).select("doc_id", "key", "id")
+    heads = joined.filter("n_shingles > 0 AND id = least").select("doc_id", "key", "id")
     texts = rows.join(heads, same_document(rows, heads)).select("id", "text")
     near = linked_sets(stage(texts.dropDuplicates(["id", "text"]), "texts"), shingle, percent)
 
-    # an id of several texts: link the heads of their sets
-    several = joined.filter("n_shingles > 0").groupBy("id").agg(F.min("least").alias("a"), F.max("least").alias("b")).filter("a < b")
+    # an id of several texts: link their sets
+    named = joined.filter("n_shingles > 0 AND doc_id IS NOT NULL")
+    several = named.groupBy("doc_id").agg(F.min("least").alias("a"), F.max("least").alias("b")).filter("a < b")
     if not several.isEmpty():
-        ties = joined.filter("n_shingles > 0").join(several.select("id"), "id").select(F.col("id").alias("a"), F.col("least").alias("b")).distinct()
+        ties = named.join(several.select("doc_id", "a"), "doc_id").select("a", F.col("least").alias("b")).distinct()
         near = components(near.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(ties))
-    out = joined.join(near.withColumnRenamed("id", "least"), "least", "left").select(
-        "doc_id", "key", "n_shingles", "id", F.coalesce("component", "least").alias("component_id"))
-    return out.select("doc_id", "key", "n_shingles", F.when(F.col("component_id") < NO_ID, F.col("component_id")).alias("component_id"),
-                      (F.col("id") == F.col("component_id")).alias("head"))
+    placed = stage(joined.join(near.withColumnRenamed("id", "least"), "least", "left").select(
+        "doc_id", "key", "n_shingles", "id", F.coalesce("component", "least").alias("component")), "components")
+    smallest = stage(placed.groupBy("component").agg(F.min("doc_id").alias("component_id")), "smallest")
+    own = F.when(F.col("component_id").isNull(), F.col("id") == F.col("component")).otherwise(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return placed.join(smallest, "component").select("doc_id", "key", "n_shingles", "component_id", own.alias("head"))
 
 
 def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **join: int) -> DataFrame:
     """The rows of ``docs``, columns unchanged, without those whose component has a smaller id; of rows that share the id or
     are given twice one stays. Rows without an id stay for a component only if none of it has one."""
     heads = jaccard_components(docs, doc_id, text, **join).filter("head")
-    heads = heads.groupBy(F.coalesce("doc_id", F.lit(NO_ID)).alias("_id"), F.when(F.col("doc_id").isNull(), F.col("key")).alias("_own")).agg(F.min("key").alias("_key"))
-    rows = docs.select(F.struct(*docs.columns).alias("doc"), F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("_id"),
-                       F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_key"))
-    kept = rows.join(heads.select("_id", "_key"), ["_id", "_key"])
+    heads = heads.groupBy(F.col("doc_id").alias("_head"), F.when(F.col("doc_id").isNull(), F.col("key")).alias("_own")).agg(F.min("key").alias("_least"))
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), F.col(doc_id).cast("long").alias("_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_key"))
+    kept = rows.join(heads.select("_head", "_least"), F.col("_id").eqNullSafe(F.col("_head")) & (F.col("_key") == F.col("_least")))
     return kept.withColumn("_n", F.row_number().over(Window.partitionBy("_id", "_key").orderBy("_id"))).filter("_n = 1").select("doc.*")

@@ -93,6 +93,17 @@ def test_odd_rows(docs):
     assert result(jaccard_join.jaccard_components(docs([(1, None), (2, "x")]))) == [(1, 0, 1), (2, 1, 2)]
 
 
+def test_large_ids(docs):
+    """Ids of all 64 bits are ids, and rows without one are told from them."""
+    text = [" ".join(f"t{g}w{i}" for i in range(80)) for g in range(5)]
+    rows = [(1 << 62, text[0]), ((1 << 63) - 1, text[0] + " more"), (None, text[0]), ((1 << 62) + 5, text[1]), (None, text[2]), (None, text[2] + " more"),
+            (-(1 << 63), text[3]), ((1 << 62) + 9, text[3] + " more"), ((1 << 62) + 7, text[4]), ((1 << 62) + 7, text[1] + " x"), (3 << 61, None)]
+    assert result(jaccard_join.jaccard_components(docs(rows))) == brute(rows)
+    kept = [(r.doc_id, r.text) for r in jaccard_join.near_dedup(docs(rows)).collect()]
+    assert sorted(i for i, _ in kept if i is not None) == [-(1 << 63), 1 << 62, (1 << 62) + 5, 3 << 61]
+    assert [t in (text[2], text[2] + " more") for i, t in kept if i is None] == [True]
+
+
 def test_components(spark):
     rng = random.Random(3)
     links = [(i, i + 1) for i in range(100, 160)] + [(500, i) for i in range(501, 560)] + [(i, 900) for i in range(800, 860)]
