@@ -7,6 +7,8 @@ expressions: a map over the responses without a shuffle.
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 # The base-32 alphabet of digests, elements whose content is not text, elements that break lines, entities.
@@ -23,6 +25,14 @@ _TAG = "<[a-zA-Z/!?][^>]*>"
 _ENTITY = "&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z]{2,8});"
 CRLF = "\r\n"
 
+# The SQL states _HIDDEN, ENTITIES and _ENTITY, which suit pages with closed heads and few entities. For any page: head's tags may be
+# left out, so only its elements without page text go, and all names of HTML that end in a semicolon are entities.
+UNSEEN = ("title", *HIDDEN[1:])
+_UNSEEN = "(?is)<!--.*?(-->|\\z)" + "".join(f"|<{e}([ \\t\\r\\n/][^>]*)?>.*?(</{e}[^>]*>|\\z)" for e in UNSEEN)
+_NAMED = ENTITIES | {name[:-1]: char for name, char in html5.items() if name.endswith(";") and name[:-1] not in ENTITIES}
+_ANY_ENTITY = "&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]{1,31});"
+_HREF = "(?is)<a[ \\t\\r\\n/](?:[^>]*?[ \\t\\r\\n\"'/])?href[ \\t\\r\\n]*=[ \\t\\r\\n]*(\"[^\"]*\"|'[^']*'|[^ \\t\\r\\n\"'>][^ \\t\\r\\n>]*)"
+
 
 def base32_sha1(body: Column) -> Column:
     """``sha1:`` and the digest in base 32, as WARC digests are written; from groups of 20 bits."""
@@ -44,7 +54,7 @@ def urn(*parts: Column) -> Column:
 def _character(entity: Column) -> Column:
     """One entity as its character; unknown names stay, numbers that are no character become U+FFFD."""
     name = F.substring(entity, F.lit(2), F.length(entity) - 2)
-    known = F.create_map(*[F.lit(x) for pair in ENTITIES.items() for x in pair])
+    known = F.str_to_map(F.lit("\x02".join(f"{n}\x01{c}" for n, c in _NAMED.items())), F.lit("\x02"), F.lit("\x01"))
     hexadecimal = F.conv(F.substring(name, F.lit(3), F.length(name)), 16, 10)
     number = F.when(F.lower(F.substring(name, 2, 1)) == "x", hexadecimal).otherwise(F.substring(name, F.lit(2), F.length(name))).cast("int")
     bad = (number == 0) | number.between(0xD800, 0xDFFF) | (number > 0x10FFFF)
@@ -54,7 +64,7 @@ def _character(entity: Column) -> Column:
 
 def decoded(text: Column) -> Column:
     """``text`` with its entities replaced once."""
-    gaps, hits = F.split(text, _ENTITY, -1), F.regexp_extract_all(text, F.lit(_ENTITY), F.lit(0))
+    gaps, hits = F.split(text, _ANY_ENTITY, -1), F.regexp_extract_all(text, F.lit(_ANY_ENTITY), F.lit(0))
     whole = F.array_join(F.zip_with(gaps, hits, lambda g, h: F.concat(g, F.coalesce(_character(h), F.lit("")))), "")
     return F.when(F.contains(text, F.lit("&")), whole).otherwise(text)
 
@@ -81,13 +91,14 @@ def derivatives(responses: DataFrame) -> DataFrame:
     rows = responses.select(
         F.struct(*responses.columns).alias("source"), "record_id", "target_uri", "date", F.coalesce("http_header", F.lit("")).alias("http_header"),
         F.coalesce("payload", F.lit("")).alias("payload"))
-    rows = rows.select("*", F.regexp_replace("payload", _HIDDEN, " ").alias("shown"))
+    rows = rows.select("*", F.regexp_replace("payload", _UNSEEN, " ").alias("shown"))
     plain = F.regexp_replace(F.regexp_replace("shown", _BREAK, "\n"), _TAG, "")
     rows = rows.select("*", plain.alias("plain"))
     rows = rows.select("*", decoded(F.col("plain")).alias("read")).select("*", tidy(F.col("read")).alias("text"))
     title = F.regexp_extract("payload", "(?is)<title([ \\t\\r\\n/][^>]*)?>(.*?)</title", 2)
     language = F.regexp_extract("payload", "(?is)<html[^>]*[ \\t\\r\\n]lang=[\"']?([a-zA-Z-]+)", 1)
-    links = F.regexp_extract_all("shown", F.lit("(?is)<a[ \\t\\r\\n][^>]*href=\"([^\"]*)\""), F.lit(1))
+    quoted = lambda x: F.substring(x, 1, 1).isin('"', "'")
+    links = F.transform(F.regexp_extract_all("shown", F.lit(_HREF), F.lit(1)), lambda x: F.when(quoted(x), F.substring(x, F.lit(2), F.length(x) - 2)).otherwise(x))
     rows = rows.select("*", title.alias("title"), language.alias("language"), links.alias("links"))
     block = F.concat("http_header", F.lit(CRLF + CRLF), "payload")
     rows = rows.select(

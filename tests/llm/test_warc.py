@@ -31,6 +31,15 @@ def test_text(spark, html, text):
     assert by["conversion"].block == text
 
 
+def test_open_heads_links_and_entities(spark):
+    rows = [(None, None, None, html) for html in (
+        "<head><title>T</title><body>text <a href='/one'>1</a>", "<head><meta charset=x><title>T</title><p>all<header>top</header><a class=x href=/two>2</a>",
+        '<A HREF = "/three" title=\'x\'>&eacute;&uuml;&CounterClockwiseContourIntegral;&frac12;&nbsp;&unknown;</A><a data-href="/no">n</a>')]
+    got = {(r.refers_to[-2], r.warc_type): r.block for r in records(spark, rows)}
+    assert [got[str(i), "conversion"] for i in range(3)] == ["text 1", "all\ntop\n2", "éü∳½ &unknown;n"]
+    assert [[f for f in got[str(i), "metadata"].split("\r\n") if f.startswith("outlink")] for i in range(3)] == [["outlink: /one"], ["outlink: /two"], ["outlink: /three"]]
+
+
 def test_links_and_digests(spark):
     html = '<html lang="de"><head><title> A &amp; B\n</title></head><body><a href="/one">1</a><a class=x href="http://two">2</a></body></html>'
     rows = [("http://x/", "2024-01-01T00:00:00Z", "HTTP/1.1 200 OK\r\nContent-Type: text/html\r\nX-Y: z", html), (None, None, None, None)]
