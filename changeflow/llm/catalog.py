@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from changeflow.llm import packing, pii, quality, segment, warc
-from changeflow.llm.common import one_space, table
+from changeflow.llm import packing, pii, prefix_trie, quality, segment, sharding, warc
+from changeflow.llm.common import one_space, stage, table
 from changeflow.llm.exact_dedup import exact_dedup
 from changeflow.llm.jaccard_join import jaccard_components
 from changeflow.llm.line_templates import line_dedup
@@ -238,4 +238,35 @@ def op5_sample_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("text_sha256"))
 
 
+_CRC32 = """xor(4294967295, list_reduce([4294967295::UBIGINT] || [ascii(x)::UBIGINT for x in string_split({0}::VARCHAR, '')],
+  lambda c, x: list_reduce([xor(c, x)] || [0::UBIGINT for i in range(8)], lambda a, b: xor(a >> 1, 3988292384::UBIGINT * (a & 1)))))"""
+
+
+@query("op13_prefix_trie", f"""
+WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i,
+  coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, list({{'r': role, 't': text}} ORDER BY i) AS turns FROM t GROUP BY conv_id),
+c AS (SELECT conv_id, turns, {_CRC32.format("conv_id")} % 9 AS h FROM o),
+s AS (SELECT c.conv_id, (coalesce(b.turns, []))[1:c.h] || c.turns[c.h + 1:] AS seq FROM c LEFT JOIN o b ON b.conv_id = c.conv_id - c.conv_id % 5),
+p AS (SELECT conv_id, seq, d, seq[1:d] AS node FROM (SELECT conv_id, seq, unnest(range(len(seq) + 1)) AS d FROM s)),
+n AS (SELECT d, node, min(conv_id) AS conv_id, count(*) AS n_convs, coalesce(strlen(any_value(node[d].t)), 0) AS bytes,
+  coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(seq) = d), '') AS ends FROM p GROUP BY d, node),
+k AS (SELECT node[1:d - 1] AS node, count(*) AS n_children FROM n WHERE d > 0 GROUP BY ALL),
+f AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k USING (node)),
+u AS (SELECT node[1:e] AS node, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * bytes)::BIGINT AS saved_tokens
+  FROM (SELECT *, unnest(range(d + 1)) AS e FROM f) GROUP BY ALL)
+SELECT f.conv_id, f.d AS depth, q.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves, saved_tokens, sha256(f.ends) AS ends_sha256
+FROM f JOIN u USING (node) LEFT JOIN f q ON f.d > 0 AND q.node = f.node[1:f.d - 1]""")
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = stage(prefix_trie.rebuilt(prefix_trie.numbered_turns(table(spark, sf_dir, "conversations"))), "rebuilt")
+    return prefix_trie.prefix_trie(turns)
+
+
+@query("op11_shard_documents")
+def op11_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign_shards(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"), "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
