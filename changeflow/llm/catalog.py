@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from changeflow.llm import packing, pii, prefix_trie, quality, segment, sharding, warc
+from changeflow.llm import align, packing, pii, prefix_trie, quality, segment, sharding, warc
 from changeflow.llm.common import one_space, stage, table
 from changeflow.llm.exact_dedup import exact_dedup
 from changeflow.llm.jaccard_join import jaccard_components
@@ -269,4 +269,10 @@ def op11_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query("op12_align_tokenizers")
+def op12_align_tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)

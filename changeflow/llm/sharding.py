@@ -2,17 +2,18 @@
 
 Equal texts are one group. Groups, largest first, go to the bin with the least free place that still holds them; a balanced
 search tree of the free places finds it. A fixed capacity gives as few shards as that rule needs; a fixed number of shards
-is the same rule with the least capacity for which that many bins suffice, found by halving.
+is the same rule with the least capacity for which that many bins suffice, found by halving; then the last bins are levelled.
 
 Packing is a sequence by nature, so no task gets more than a bounded number of items: while there are more, items are dealt
-into cells at random (by hash), every cell packs its own into bundles of some sixteen mean items, and the bundles are the
-items of the next round. Each round leaves an eighth of the items at most, whatever the data hold. Places of rows in a
+into cells at random (by hash), every cell packs its own into bundles of two to sixteen mean items, and the bundles are the
+items of the next round, until at most four cells' worth, and at least two, is left for the last task. Places of rows in a
 shard follow from counts: rows before the part of the table, before the group in its bundle, before the bundle in the next.
 Style: DataFrame, pandas per cell for the tree.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right, insort
 from collections.abc import Sequence
 
 import pandas as pd
@@ -138,7 +139,28 @@ def even_bins(sizes: Sequence[int], bins: int) -> list[int]:
         else:
             high, found = middle, tried
     found = best_fit_decreasing(rest, high, n) if found is None else found
-    return [*range(alone), *(alone + b for b in found)]
+    return [*range(alone), *(alone + b for b in levelled(rest, found, n))]
+
+
+def levelled(sizes: Sequence[int], found: list[int], bins: int) -> list[int]:
+    """Best fit leaves the spare places in its last bins: items of about half the difference go from the fullest bin to the
+    emptiest while that brings the two nearer."""
+    held: list[list[tuple[int, int]]] = [[] for _ in range(bins)]
+    for i, b in enumerate(found):
+        held[b].append((sizes[i], i))
+    sums = [sum(size for size, _ in own) for own in held]
+    held = [sorted(own) for own in held]
+    for _ in range(64 * bins):
+        most, least = max(range(bins), key=sums.__getitem__), min(range(bins), key=sums.__getitem__)
+        at = bisect_right(held[most], ((sums[most] - sums[least]) // 2, len(sizes))) - 1
+        if at < 0 or held[most][at][0] == 0:
+            break
+        item = held[most].pop(at)
+        insort(held[least], item)
+        sums[most] -= item[0]
+        sums[least] += item[0]
+        found[item[1]] = least
+    return found
 
 
 def _in_cells(items: DataFrame, cells: int, seed: int, capacity: int | None, bins: int | None) -> DataFrame:
@@ -161,8 +183,10 @@ def placed(items: DataFrame, shards: int | None, capacity: int | None, cell: int
     rounds = []
     while True:
         n, total = items.agg(F.count("*"), F.sum("size")).first()
-        room = bundle * (total or 0) // max(n, 1)
-        if n <= 2 * cell or capacity is not None and bundle * room > capacity:
+        if n <= 4 * cell:
+            break
+        room = total // max(n // bundle, 2 * cell)
+        if capacity is not None and bundle * room > capacity:
             break
         packed = _in_cells(items, -(-n // cell), seed + len(rounds), room, None)
         rounds.append(packed)
