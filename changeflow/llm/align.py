@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from changeflow.llm import vocabulary
 from changeflow.llm.common import stage
 
 VOCABULARY_A, VOCABULARY_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -28,67 +29,6 @@ BATCH_BYTES, BLOCK_BYTES, LANE_BYTES = 1 << 20, 1 << 23, 1 << 10
 Batches = Iterator[pa.RecordBatch]
 
 
-def _path(vocabulary: str) -> str:
-    if "/" in vocabulary:
-        return vocabulary
-    import public_tokenizers
-
-    return public_tokenizers.path(vocabulary)
-
-
-class ByteLevel:
-    """Byte-level BPE of a vocabulary file; special tokens inside a text are plain text."""
-
-    def __init__(self, vocabulary: str):
-        import tiktoken
-        from tokenizers import Tokenizer
-        import public_tokenizers
-
-        self.plain = Tokenizer.from_file(_path(vocabulary))
-        self.plain.encode_special_tokens = True
-        known = self.plain.get_vocab(with_added_tokens=False)
-        special = {t.content for t in self.plain.get_added_tokens_decoder().values()}
-        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # a byte is its own character, or the next from 256 on
-        byte = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(sorted({*range(256)} - {*shown}))}
-        ranks = {bytes(byte[c] for c in token): n for token, n in known.items() if token not in special}
-        self.fast = tiktoken.Encoding("a", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.lengths = np.zeros(max(known.values()) + 1, np.int64)
-        for token, n in ranks.items():
-            self.lengths[n] = len(token)
-        self.ids = list(ranks.values())
-        self.bytes = {n: token for token, n in ranks.items()}
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        out = []
-        for text in texts:
-            try:
-                out.append(self.fast.encode_ordinary(text))
-            except BaseException as failed:  # the fast pattern gives up on some very long runs
-                if type(failed).__name__ != "PanicException" and not isinstance(failed, (ValueError, RuntimeError)):
-                    raise
-                out.append(self.plain.encode(text, add_special_tokens=False).ids)
-        return out
-
-
-class Pieces:
-    """SentencePiece model; it adds the space before a text itself."""
-
-    def __init__(self, vocabulary: str):
-        import sentencepiece
-
-        self.model = sentencepiece.SentencePieceProcessor(model_file=_path(vocabulary))
-        n = self.model.get_piece_size()
-        self.bytes = {}
-        for i in range(n):
-            piece = self.model.id_to_piece(i)
-            byte = self.model.is_byte(i)
-            self.bytes[i] = bytes([int(piece[3:5], 16)]) if byte else piece.replace("▁", " ").encode()
-        self.lengths = np.array([len(self.bytes[i]) for i in range(n)], np.int64)
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.model.encode(texts, num_threads=1)
-
-
 class Joined:
     """Bytes of token sequences, by one gather from a table of all tokens' bytes."""
 
@@ -107,8 +47,8 @@ class Joined:
 
 
 @lru_cache(2)
-def tokenizers(a: str, b: str) -> tuple[ByteLevel, Joined, Pieces, Joined]:
-    one, two = ByteLevel(a), Pieces(b)
+def tokenizers(a: str, b: str) -> tuple[vocabulary.ByteLevel, Joined, vocabulary.Pieces, Joined]:
+    one, two = vocabulary.byte_level(a), vocabulary.pieces(b)
     return one, Joined(one.bytes, one.lengths), two, Joined(two.bytes, two.lengths)
 
 

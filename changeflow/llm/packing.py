@@ -1,15 +1,13 @@
 """Packing token sequences: first-fit decreasing over a tournament tree of bin capacities, in randomised groups.
 
-Documents become token ids; each is cut into pieces of at most one sequence. Pieces are dealt at random, by a hash, into
-groups of bounded expected size, and every group is packed on its own, so no task sees more than its groups. Random
+Documents become token ids; each is cut into pieces of at most one sequence. Pieces are written once, numbered, and dealt at
+random, by a hash of their number, into groups of bounded expected size, and every group is packed on its own, so no task sees more than its groups. Random
 groups have the corpus' mix of lengths, hence the same padding as a packing of everything. Style: Arrow batches for the
 tokenizer, pandas per group for the tree.
 """
 
 from __future__ import annotations
 
-import os
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -18,114 +16,20 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from changeflow.llm import vocabulary as vocabularies
+from changeflow.llm.common import stage
+
 SEQUENCE = 1024
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = b"\0\0\0\0"
 GROUP_PIECES = 4096
 
-# A text is cut at single line feeds and single spaces between two other characters, where no pattern of a byte-level
-# vocabulary reaches over: its ids are those of its lines' units, one after the other, with the line feed's between lines.
-_LINE, _CUT = re.compile(r"(?<=\S)\n(?=\S)"), re.compile(r"(?<=\S) (?=\S)")
-_SPACED = re.compile(r"\s")
-_MARKS = ".,;:!?%&$*#|<>()"
-_ODD = re.compile(r"\s\s|[^\S \n]|^\s|\s\Z")
-_BATCH_CHARS, _GENERATION, _JOINED = 4_000_000, 600_000, 1_000
-_tokenizers: dict[str, object] = {}
-# units seen lately and before, by vocabulary and lead; what is not used again is forgotten, which changes speed only
-_young: dict[tuple[str, str], dict[str, bytes]] = {}
-_old: dict[tuple[str, str], dict[str, bytes]] = {}
-_marks: dict[tuple[str, str], np.ndarray] = {}
-_added: dict[str, list[str]] = {}
-
-
-def tokenizer(vocabulary: str):
-    """The tokenizer of a vocabulary file: a path, or the name of an installed public one."""
-    if vocabulary not in _tokenizers:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        path = vocabulary
-        if not os.path.isabs(path):
-            import public_tokenizers
-
-            path = public_tokenizers.path(vocabulary)
-        _tokenizers[vocabulary] = Tokenizer.from_file(path)
-    return _tokenizers[vocabulary]
-
-
-def _mark(vocabulary: str, lead: str) -> np.ndarray:
-    """Which ids are the line feed, or begin with a space."""
-    if (vocabulary, lead) not in _marks:
-        known = tokenizer(vocabulary).get_vocab(with_added_tokens=False)
-        _marks[vocabulary, lead] = mark = np.zeros(max(known.values()) + 2, bool)
-        mark[[n for word, n in known.items() if (word.startswith("\u0120") if lead else word == "\u010a")]] = True
-    return _marks[vocabulary, lead]
-
-
-def _whole(vocabulary: str) -> list[str]:
-    """The added tokens of a vocabulary, which are matched in a text before it is cut at marks."""
-    if vocabulary not in _added:
-        _added[vocabulary] = [token.content for token in tokenizer(vocabulary).get_added_tokens_decoder().values()]
-    return _added[vocabulary]
-
-
-def _encoded(units: list[str], lead: str, vocabulary: str) -> dict[str, bytes]:
-    """Ids of each unit after ``lead``, a space or nothing. Units without white space are encoded in long rows, apart by a
-    space or a line feed, where the ids themselves show the borders."""
-    coder, mark = tokenizer(vocabulary), _mark(vocabulary, lead)
-    plain = [u for u in units if u and not _SPACED.search(u)]
-    rows = [plain[i : i + _JOINED] for i in range(0, len(plain), _JOINED)]
-    out, alone = {}, [u for u in units if not u or _SPACED.search(u)]
-    for row, code in zip(rows, coder.encode_batch_fast([lead + (lead or "\n").join(row) for row in rows], add_special_tokens=False), strict=True):
-        ids = np.array(code.ids, "<u4")
-        at = np.flatnonzero(mark[np.minimum(ids, len(mark) - 1)])
-        starts, ends = (at, np.r_[at[1:], len(ids)]) if lead else (np.r_[0, at + 1], np.r_[at, len(ids)])
-        if len(starts) != len(row):  # a special token in a text
-            alone += row
-            continue
-        packed = ids.tobytes()
-        out.update((u, packed[i:j]) for u, i, j in zip(row, (4 * starts).tolist(), (4 * ends).tolist(), strict=True))
-    for unit, code in zip(alone, coder.encode_batch_fast([lead + u for u in alone], add_special_tokens=False), strict=True):
-        out[unit] = np.array(code.ids, "<u4").tobytes()
-    return out
+_BATCH_CHARS = 1_000_000
 
 
-def _known(wanted: set[str], lead: str, vocabulary: str) -> dict[str, bytes]:
-    """Ids of the wanted units, and of others."""
-    at = (vocabulary, lead)
-    if len(_young.setdefault(at, {})) > _GENERATION:
-        _old[at], _young[at] = _young[at], {}
-    young, old = _young[at], _old.setdefault(at, {})
-    wanted = wanted.difference(young)
-    again = wanted.intersection(old)
-    young.update((u, old[u]) for u in again)
-    # a letter and a mark after it are in one token only if that is an added one: else the marks at the end of a unit are encoded apart
-    whole, ended, added = set(), [], _whole(vocabulary)
-    for unit in wanted - again:
-        core = unit.rstrip(_MARKS)
-        if len(core) < len(unit) and core[-1:].isalpha() and not any(token in unit for token in added):
-            ended.append((unit, core))
-            whole.add(core)
-        else:
-            whole.add(unit)
-    whole.difference_update(young)
-    young.update((u, old[u]) for u in whole.intersection(old))
-    young.update(_encoded([u for u in whole if u not in old], lead, vocabulary))
-    ends = {unit[len(core) :] for unit, core in ended}
-    coded = dict(zip(ends, (np.array(c.ids, "<u4").tobytes() for c in tokenizer(vocabulary).encode_batch_fast(list(ends), add_special_tokens=False)), strict=True))
-    young.update((unit, young[core] + coded[unit[len(core) :]]) for unit, core in ended)
-    return young
-
-
-def token_bytes(texts: list[str], vocabulary: str = VOCABULARY) -> list[bytes]:
-    """Ids of each text as little-endian unsigned 32-bit integers. Units seen before are looked up."""
-    split = [
-        [_CUT.split(line) for line in _LINE.split(t)] if _ODD.search(t) else [line.split(" ") for line in t.split("\n")]
-        for t in texts]
-    heads = _known({line[0] for lines in split for line in lines}, "", vocabulary)
-    tails = _known(set().union(*(line[1:] for lines in split for line in lines)), " ", vocabulary)
-    feed = np.array(tokenizer(vocabulary).encode("\n", add_special_tokens=False).ids, "<u4").tobytes()
-    return [feed.join([heads[line[0]] + b"".join(map(tails.__getitem__, line[1:])) for line in lines]) for lines in split]
+def token_bytes(texts: list[str], name: str = VOCABULARY) -> list[bytes]:
+    """Ids of each text as little-endian unsigned 32-bit integers; added tokens of the vocabulary are matched in the text."""
+    return [np.array(ids, "<u4").tobytes() for ids in vocabularies.byte_level(name, special=True).encode(texts)]
 
 
 def _batches(names: list, texts: list[str]) -> Iterator[tuple[list, list[str]]]:
@@ -185,20 +89,19 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
          group_pieces: int = GROUP_PIECES, seed: int = 7) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``; a sequence has its pieces without gaps from offset 0.
 
-    ``group_pieces`` bounds the expected pieces of a group: the number of groups follows the number and the bytes of the
-    documents. A null or empty text is the end id alone. Rows that repeat an id are packed each; a null id stays null.
+    ``group_pieces`` bounds the expected pieces of a group: the number of groups follows the number of pieces. A null or empty text is the end id alone. Rows that repeat an id are packed each; a null id stays null.
     An empty table gives no rows.
     """
-    n, n_bytes = docs.agg(F.count("*"), F.sum(F.octet_length(text))).first()
-    groups = 1 + (n + (n_bytes or 0) // size) // group_pieces
+    numbered = stage(pieces(docs, doc_id, text, size, vocabulary).withColumn("row", F.monotonically_increasing_id()), "pieces")
+    groups = 1 + numbered.count() // group_pieces
 
     def fill(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["length", "doc_id", "start", "ids_crc32"], ascending=[False, True, True, True])
+        rows = rows.sort_values(["length", "doc_id", "start", "row"], ascending=[False, True, True, True])
         places = first_fit_decreasing(rows["length"].tolist(), size)
         rows["sequence_id"] = [(int(g) << 32) + b for g, (b, _) in zip(rows["group"], places, strict=True)]
         rows["offset"] = [o for _, o in places]
-        return rows.drop(columns="group")
+        return rows.drop(columns=["group", "row"])
 
-    group = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "start", "ids_crc32"), F.lit(groups))
+    group = F.pmod(F.xxhash64(F.lit(seed), "row"), F.lit(groups))
     out = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    return pieces(docs, doc_id, text, size, vocabulary).withColumn("group", group).groupBy("group").applyInPandas(fill, out)
+    return numbered.withColumn("group", group).groupBy("group").applyInPandas(fill, out)
