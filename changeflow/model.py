@@ -27,6 +27,12 @@ LCR_SCHEMA = T.StructType(
         T.StructField("has_chunks", T.BooleanType()),
         T.StructField("out_row_cols", T.IntegerType()),
         T.StructField("ddl_text", T.StringType()),
+        # of CHUNK records: a piece of a large object of the record that it follows, and its place among the column's pieces
+        T.StructField("chunk_col", T.StringType()),
+        T.StructField("chunk_type", T.StringType()),
+        T.StructField("chunk_no", T.IntegerType()),
+        T.StructField("chunk_bytes", T.BinaryType()),
+        T.StructField("chunk_end", T.BooleanType()),
     ]
 )
 

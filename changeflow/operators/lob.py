@@ -6,8 +6,10 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from changeflow.model import BINARY_LOB_TYPES, TEXT_LOB_TYPES, UNAVAILABLE_PLACEHOLDER
+from changeflow.model import BINARY_LOB_TYPES, IMAGE, POSITION_FIELDS, TEXT_LOB_TYPES, UNAVAILABLE_PLACEHOLDER
 from changeflow.operators.image import Key, key_of
+from changeflow.operators.ranges import carry_in_group
+from changeflow.session import cut_lineage
 
 
 class Lobs(NamedTuple):
@@ -68,6 +70,42 @@ def assemble_lobs(
     return Lobs(lob_values(values).unionByName(_references(named)), open_events, segments)
 
 
+def log_chunks(log: DataFrame, parts: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """The chunks of a log with the record that each follows, and the records that expect chunks.
+
+    In log order a chunk belongs to the last record before it, whatever lies in another task or file: the open record is
+    carried along the log, and from range to range. Any other record, of whatever kind, ends it; chunks behind a record that
+    expects none belong to nothing. ``event_id`` is the record's position as text. A record or chunk delivered twice is one.
+    """
+    other = F.col("lcr_type") != "CHUNK"
+    opened = F.coalesce("has_chunks", F.lit(False)) & (F.col("lcr_type") == "DML")
+    name = F.concat_ws("-", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in POSITION_FIELDS])
+    rows = log.select(
+        *POSITION_FIELDS, F.when(other, F.lit(-1)).otherwise(F.col("chunk_no")).alias("seq"), F.lit(0).alias("log"),
+        F.when(other, F.struct(F.when(opened, name).alias("event_id"))).alias("opens"),
+        F.col("chunk_col").alias("col"), F.col("chunk_type").alias("type_name"), F.col("chunk_bytes").alias("bytes"), F.col("chunk_end").alias("is_end"))
+    carried = carry_in_group(rows, ["log"], [*POSITION_FIELDS, "seq"], {"record": "opens"}, parts)
+    chunks = carried.filter("opens IS NULL AND record.event_id IS NOT NULL").select(
+        F.col("record.event_id").alias("event_id"), "col", "type_name", "seq", "bytes", F.coalesce("is_end", F.lit(False)).alias("is_end"))
+    records = log.filter(opened).groupBy(name.alias("event_id")).agg(F.max(F.coalesce("out_row_cols", F.lit(0))).alias("out_row_cols"))
+    return cut_lineage(chunks), records
+
+
+def lobs_from_log(log: DataFrame, value_bytes: int = 256 << 20, segment_chunks: int = 10_000, parts: int | None = None) -> Lobs:
+    """``assemble_lobs`` from the CHUNK records of a log: an event whose chunks another record cuts off stays open."""
+    chunks, records = log_chunks(log, parts)
+    return assemble_lobs(chunks, records, value_bytes, segment_chunks)
+
+
+def complete_records(log: DataFrame, lobs: Lobs) -> DataFrame:
+    """The row changes of a log, ``after`` with its large objects. Records that wait for chunks are left out."""
+    name = F.concat_ws("-", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in POSITION_FIELDS])
+    rows = log.filter("lcr_type = 'DML'").withColumn("event_id", name)
+    ready = rows.join(lobs.open_events.select("event_id"), "event_id", "left_anti").join(lob_images(lobs.values), "event_id", "left")
+    kept = F.map_filter("after", lambda c, v: ~F.array_contains(F.map_keys("lobs"), c))
+    return ready.withColumn("after", F.when(F.col("lobs").isNull(), F.col("after")).otherwise(F.map_concat(F.coalesce(kept, F.create_map().cast(IMAGE)), "lobs"))).drop("event_id", "lobs")
+
+
 def _references(named: DataFrame) -> DataFrame:
     none = F.lit(None)
     ref = F.concat_ws(":", F.lit("segments"), "event_id", "col")

@@ -39,8 +39,9 @@ def resume_filter(log: DataFrame, from_pos: dict) -> DataFrame:
 
 
 def dedup_replay(log: DataFrame) -> DataFrame:
-    """One record per position and kind: removes re-delivered records."""
-    return log.dropDuplicates(["lcr_type", "dml", "table_name", "schema_name", *POSITION_FIELDS])
+    """One record per position and kind, and per chunk of a large object: removes re-delivered records."""
+    chunk = [c for c in ("chunk_col", "chunk_no") if c in log.columns]
+    return log.dropDuplicates(["lcr_type", "dml", "table_name", "schema_name", *POSITION_FIELDS, *chunk])
 
 
 def order_guard_batch(log: DataFrame, applied: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]:

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from changeflow.model import UNAVAILABLE_PLACEHOLDER as PH
-from changeflow.operators import lob
+from changeflow.operators import lob, position as pos
 from changeflow.plans import fixtures as fx
 from changeflow.plans.registry import query
+from changeflow.session import shared_dir
+from changeflow.sources.changelog import changelog_read, changelog_write
 
 
 def _expected(spark, d) -> DataFrame:
@@ -148,3 +150,51 @@ for _on in (True, False):
         current = fx.table(spark, d, "documents").filter("doc_id % 2 = 1").select(F.col("doc_id").alias("ID"), F.col("text").alias("TEXT"))
         rows = lob.reselect_lobs(_marked(spark, d), current, ["ID"], {"TEXT": "CLOB", "EXTRA": "JSON"}, lob_enabled=on)
         return rows.select("event_id", F.col("after")["TEXT"].alias("text"), F.col("after")["EXTRA"].alias("extra"))
+
+
+def _lob_log(spark, d) -> DataFrame:
+    """Documents as inserts with two large objects, their chunks interleaved; a commit cuts off the last chunk of every seventh long
+    text, every fifth document has no chunks, and a third is delivered twice."""
+    docs = fx.table(spark, d, "documents")
+
+    def rows(df, kind, offset, **own):
+        named = {
+            "lcr_type": F.lit(kind), "dml": F.lit(None).cast("string"), "schema_name": F.lit("S1"), "table_name": F.lit("DOCUMENTS"),
+            "position_scn": F.col("doc_id") + 1000, "group_lsn": F.col("doc_id") * 2, "group_offset": F.lit(offset).cast("int") if isinstance(offset, int) else offset.cast("int"),
+            "batch_row_id": F.lit(0), "instance_id": F.lit(1), "has_chunks": F.lit(False), "out_row_cols": F.lit(0), "after": F.lit(None).cast("map<string,string>"),
+            **{c: F.lit(None).cast(t) for c, t in (("chunk_col", "string"), ("chunk_type", "string"), ("chunk_no", "int"), ("chunk_bytes", "binary"), ("chunk_end", "boolean"))}, **own}
+        return df.select(*[c.alias(n) for n, c in named.items()])
+
+    with_chunks = F.col("doc_id") % 5 != 0
+    records = rows(docs, "DML", 0, dml=F.lit("INSERT"), has_chunks=with_chunks, out_row_cols=F.when(with_chunks, 2).otherwise(0),
+                   after=F.create_map(F.lit("DOC_ID"), F.col("doc_id").cast("string"), F.lit("TEXT"), F.lit(None).cast("string")))
+    text = fx.cut_into_chunks(docs.filter(with_chunks)).withColumnRenamed("event_id", "doc_id")
+    piece = {"chunk_col": F.col("col"), "chunk_type": F.col("type_name"), "chunk_no": F.col("seq"), "chunk_bytes": F.col("bytes"), "chunk_end": F.col("is_end")}
+    texts = rows(text, "CHUNK", F.col("seq") * 2 + 10, **piece)
+    langs = rows(docs.filter(with_chunks), "CHUNK", 11, chunk_col=F.lit("LANG"), chunk_type=F.lit("CLOB"), chunk_no=F.lit(0),
+                 chunk_bytes=F.encode("lang", "UTF-8"), chunk_end=F.lit(True))
+    cut = rows(text.filter("doc_id % 7 = 3 AND is_end AND seq > 0"), "XACT", F.col("seq") * 2 + 9, dml=F.lit("COMMIT"))
+    log = records.unionByName(texts).unionByName(langs)
+    return log.unionByName(log.filter("position_scn % 3 = 0")).unionByName(cut)
+
+
+_CUT = "doc_id%5<>0 AND doc_id%7=3 AND length(text) > 500"
+
+
+@query(
+    "lobs_from_log",
+    f"""SELECT CAST(doc_id AS STRING) AS doc_id, nullif(text, '') AS text, nullif(lang, '') AS lang, 'complete' AS state FROM documents WHERE doc_id%5<>0 AND coalesce(NOT ({_CUT}), true)
+ UNION ALL SELECT CAST(doc_id AS STRING), NULL, NULL, 'plain' FROM documents WHERE doc_id%5=0
+ UNION ALL SELECT CAST(doc_id+1000 AS STRING)||'-'||CAST(doc_id*2 AS STRING)||'-0-0-1', NULL, NULL, 'open' FROM documents WHERE {_CUT}""",
+)
+def lobs_from_log(spark, d):
+    """Large objects from the CHUNK records of a stored log, and the row changes that have them."""
+    path = shared_dir(spark, "lob-log")
+    changelog_write(_lob_log(spark, d), path)
+    log = changelog_read(spark, path)
+    found = lob.lobs_from_log(log)
+    done = pos.dedup_replay(lob.complete_records(log, found))
+    state = F.when(F.col("has_chunks"), "complete").otherwise("plain")
+    after = F.col("after")
+    return done.select(after["DOC_ID"].alias("doc_id"), after["TEXT"].alias("text"), after["LANG"].alias("lang"), state.alias("state")).unionByName(
+        found.open_events.select(F.col("event_id").alias("doc_id"), F.lit(None).cast("string").alias("text"), F.lit(None).cast("string").alias("lang"), F.lit("open").alias("state")))

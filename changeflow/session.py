@@ -47,11 +47,11 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint into the shared folder, so that later jobs neither recompute nor depend on executors."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark, "cut"))
-    return df.checkpoint()
+    """Write into the shared folder and read back, so that later jobs neither recompute nor depend on executors. The input
+    is computed once."""
+    spark, path = df.sparkSession, shared_dir(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:

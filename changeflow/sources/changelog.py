@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from changeflow.model import LCR_SCHEMA
 from changeflow.operators.position import resume_filter
@@ -22,5 +22,7 @@ def changelog_stream(spark: SparkSession, path: str, from_pos: dict | None = Non
 
 
 def changelog_write(log: DataFrame, path: str) -> None:
-    """Store a log by record kind, so that readers of one kind skip the rest."""
-    log.select(*LCR_SCHEMA.fieldNames()).write.mode("overwrite").partitionBy("lcr_type").parquet(path)
+    """Store a log by record kind, so that readers of one kind skip the rest. Columns that ``log`` lacks are null."""
+    have = set(log.columns)
+    fields = [F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in LCR_SCHEMA.fields]
+    log.select(*fields).write.mode("overwrite").partitionBy("lcr_type").parquet(path)

@@ -38,6 +38,29 @@ _CHUNK = T.StructType(
         T.StructField("is_end", T.BooleanType()),
     ]
 )
+_MARK = T.StructType(
+    [
+        T.StructField("col", T.StringType()),
+        T.StructField("seq", T.IntegerType()),
+        T.StructField("is_end", T.BooleanType()),
+        T.StructField("expected", T.IntegerType()),
+    ]
+)
+
+
+def _whole(marks: list[tuple[str, int, bool, int]]) -> bool:
+    """Whether an event has ended, as in ``assemble_lobs``: every column that has begun has an end mark, every chunk before it
+    and none behind it, and as many columns as the record expects have ended."""
+    places: dict[str, set[int]] = {}
+    last: dict[str, int] = {}
+    for col, seq, end, _ in marks:
+        places.setdefault(col, set()).add(seq)
+        if end:
+            last[col] = max(seq, last.get(col, seq))
+    ended = [c for c, seen in places.items() if c in last and max(seen) == last[c] and len(seen) == last[c] + 1]
+    return len(ended) == len(places) and len(ended) >= max(n for *_, n in marks)
+
+
 _ASSEMBLED = T.StructType(
     [
         T.StructField("event_id", T.LongType()),
@@ -50,18 +73,21 @@ _ASSEMBLED = T.StructType(
 
 
 class Assembler(StatefulProcessor):
-    """Holds the chunks of one event until every column has ended."""
+    """Holds the chunks of one event until every column has ended. What a batch reads of the state are the marks, the places
+    of the chunks; the bytes are appended, and read once, when the event ends."""
 
     def __init__(self, keep_ms: int) -> None:
         self.keep_ms = keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
+        self.marks = handle.getListState("marks", _MARK)
         self.pieces = handle.getListState("pieces", _CHUNK)
         self.done = handle.getValueState("done", T.StructType([T.StructField("done", T.BooleanType())]))
         self.due = handle.getValueState("due", T.StructType([T.StructField("due", T.LongType())]))
 
-    def _join(self, event_id: int, pieces: dict, complete: bool) -> pd.DataFrame:
+    def _join(self, event_id: int, chunks: list, complete: bool) -> pd.DataFrame:
+        pieces = {(col, int(seq)): (kind, data) for col, kind, seq, data, _ in chunks}
         cols: dict[str, list] = {}
         for (col, _), (kind, data) in sorted(pieces.items()):
             cols.setdefault(col, [kind, []])[1].append(data or b"")
@@ -71,7 +97,6 @@ class Assembler(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         if self.done.exists():
             return
-        held = [tuple(p) for p in self.pieces.get()]
         fresh, expected, newest = [], 0, 0
         for batch in rows:
             expected = max(expected, int(batch["out_row_cols"].max()))
@@ -85,28 +110,26 @@ class Assembler(StatefulProcessor):
                 self.handle.deleteTimer(before)
             self.handle.registerTimer(due)
             self.due.update((due,))
-        everything = held + fresh
-        last = {col: int(seq) for col, _, seq, _, end in everything if end}
-        pieces = {(col, int(seq)): (kind, data) for col, kind, seq, data, _ in everything}
-        have: dict[str, int] = {}
-        for col, _ in pieces:
-            have[col] = have.get(col, 0) + 1
-        # chunks may overtake the end mark between micro-batches, so the count must fit as well
-        if len(last) >= expected and all(have[c] == n + 1 for c, n in last.items()):
+        known = [(col, int(seq), bool(end), int(n)) for col, seq, end, n in self.marks.get()]
+        new = [(col, int(seq), bool(end), expected) for col, _, seq, _, end in fresh]
+        if _whole(known + new):
+            yield self._join(int(key[0]), [tuple(p) for p in self.pieces.get()] + fresh, True)
             self.pieces.clear()
+            self.marks.clear()
             self.done.update((True,))
-            yield self._join(int(key[0]), pieces, True)
         else:
+            self.marks.appendList(new)
             self.pieces.appendList([(c, k, int(s), d, bool(e)) for c, k, s, d, e in fresh])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         if self.due.exists() and expiredTimerInfo.getExpiryTimeInMs() < int(self.due.get()[0]):
             return
         if not self.done.exists():
-            pieces = {(c, int(s)): (k, d) for c, k, s, d, _ in self.pieces.get()}
-            if pieces:
-                yield self._join(int(key[0]), pieces, False)
+            held = [tuple(p) for p in self.pieces.get()]
+            if held:
+                yield self._join(int(key[0]), held, False)
         self.pieces.clear()
+        self.marks.clear()
         self.done.clear()
         self.due.clear()
 
@@ -119,6 +142,8 @@ def assemble_lobs_stream(chunks: DataFrame, delay: str = "10 minutes", keep_ms:
 
     Chunks carry ``out_row_cols`` and ``commit_ts``. What is still open ``keep_ms`` of event time
     after its last chunk comes out with ``complete`` false; the state of an event ends there too.
+    Chunks whose time lies at or before the watermark are dropped; it starts at the epoch, so chunks
+    must be dated later than that.
     """
     use_rocksdb(chunks.sparkSession)
     slim = chunks.withWatermark("commit_ts", delay).select(

@@ -149,7 +149,7 @@ def test_object_with_pauses_comes_whole(spark):
     """Pauses below the time an open object is kept: each chunk moves the one timer on."""
     cols = "event_id long, col string, type_name string, seq int, bytes binary, is_end boolean, out_row_cols int, commit_ts timestamp"
     src, out, progress = (shared_dir(spark, x) for x in ("pauses", "pauses-out", "pauses-progress"))
-    pieces = [(0, b"a", False, 0), (1, b"b", False, 50), (2, b"c", True, 100)]
+    pieces = [(0, b"a", False, 1000), (1, b"b", False, 1050), (2, b"c", True, 1100)]
     for seq, data, end, at in pieces:
         row = [(1, "C", "CLOB", seq, data, end, 1, at), (100 + seq, "C", "CLOB", 0, b"x", True, 1, at)]
         df = spark.createDataFrame(row, cols.replace("commit_ts timestamp", "at long"))
@@ -158,3 +158,47 @@ def test_object_with_pauses_comes_whole(spark):
         sinks.write_changes(stateful.assemble_lobs_stream(stream, "0 seconds", 60_000), out, progress, available_now=True).awaitTermination()
     got = {(r["event_id"], r["text"], r["complete"]) for r in sinks.read_changes(spark, out).filter("event_id = 1").collect()}
     assert got == {(1, "abc", True)}
+
+
+def test_begun_column_keeps_an_event_open():
+    """The stream takes batch's rule: columns that have begun must end, whatever the record expects."""
+    a = [("A", 0, False, 1), ("A", 1, True, 1)]
+    assert stateful._whole(a)
+    assert not stateful._whole([*a, ("B", 0, False, 1)])
+    assert stateful._whole([*a, ("B", 0, False, 1), ("B", 1, True, 1)])
+    assert not stateful._whole([("A", 1, True, 1)])
+    assert not stateful._whole([*a, ("A", 2, False, 1)])
+    assert not stateful._whole([("A", 0, True, 2)])
+
+
+def test_lobs_of_a_stream_in_many_batches_equal_batch(spark):
+    """Columns that end in any order, chunks delivered twice, a column that begins and never ends."""
+    cols = "event_id long, col string, type_name string, seq int, bytes binary, is_end boolean, out_row_cols int, commit_ts timestamp"
+    src, out, progress = (shared_dir(spark, x) for x in ("many", "many-out", "many-progress"))
+    rows = [(e, c, "CLOB", s, f"{e}{c}{s};".encode(), s == 2, 1 + (e % 2), 1000 + e) for e in range(12) for c in "AB"[: 1 + e % 2] for s in range(3)]
+    rows += [(3, "A", "CLOB", 0, b"3A0;", False, 2, 1003), (20, "A", "CLOB", 0, b"a", True, 1, 1020), (20, "B", "CLOB", 0, b"b", False, 1, 1020)]
+    rows.sort(key=lambda r: (r[3] * 7 + r[0]) % 5)
+    for i in range(0, len(rows), 11):
+        df = spark.createDataFrame(rows[i : i + 11], cols.replace("commit_ts timestamp", "at long"))
+        df.select("*", F.timestamp_seconds("at").alias("commit_ts")).drop("at").coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(cols).option("maxFilesPerTrigger", 1).parquet(src)
+    sinks.write_changes(stateful.assemble_lobs_stream(stream, "1 hour", 10**9), out, progress, available_now=True).awaitTermination()
+    got = {(r["event_id"], r["col"], r["text"]) for r in sinks.read_changes(spark, out).filter("complete").collect()}
+    chunks = spark.read.schema(cols).parquet(src)
+    want = lob.assemble_lobs(chunks, chunks.select("event_id", "out_row_cols").distinct()).values
+    assert got == {(r["event_id"], r["col"], r["text"]) for r in want.collect()} and len(got) == 18
+
+
+@pytest.mark.parametrize("parts", [1, 40])
+def test_chunks_follow_their_record(spark, sf_dir, parts):
+    """Any cut of the log into ranges gives each chunk to the same record."""
+    from changeflow.plans.lob_queries import _lob_log
+
+    log = _lob_log(spark, sf_dir)
+    chunks, records = lob.log_chunks(log.repartition(7), parts)
+    pairs = chunks.select("event_id", "col", "seq").distinct()
+    assert records.count() == log.filter("has_chunks").select("position_scn").distinct().count()
+    lost = log.filter("lcr_type = 'XACT'").count()
+    all_chunks = log.filter("lcr_type = 'CHUNK'").select("position_scn", "chunk_col", "chunk_no").distinct().count()
+    orphans = log.filter("lcr_type = 'XACT' AND group_offset = 11").count()  # the other column's chunk stands behind the commit, too
+    assert pairs.count() == all_chunks - lost - orphans
