@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from changeflow.operators.apply import TABLE, change_events, scn_position
 from changeflow.session import broadcast_if_small
@@ -12,6 +12,10 @@ from changeflow.sources.keyset import chunk_bounds, keyset_chunks
 from changeflow.sources.signals import signal_read
 
 
+#: positions of a key that are folded into one row; a wider bucket would make longer lists of one hot key
+SCN_BUCKET = 1 << 16
+
+
 def chunk_plan(signals: DataFrame, tables: dict[str, tuple[DataFrame, list[str]]], n: int) -> DataFrame:
     """Requested tables x chunks of ``n`` rows: signal id, table, condition, chunk bounds.
 
@@ -61,13 +65,14 @@ def window_merge(chunk: DataFrame, log: DataFrame, low: int, high: int, pk: list
 
 def incremental_snapshot(
     table: DataFrame, name: str, log: DataFrame, n: int, pk: list[str], marks: DataFrame | None = None,
-    low: int | None = None, high: int | None = None,
+    low: int | Column | None = None, high: int | Column | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """All chunks of a table merged with the log in one job: events, and one progress row per chunk.
 
-    ``marks`` (chunk_id, low, high) gives each chunk its window; else one window serves all. The
-    events are the surviving chunk rows at their high mark and every change of the log; folding them
-    with ``apply.latest_rows`` gives the table.
+    Each chunk has a window: ``marks`` (chunk_id, low, high), or ``low`` and ``high`` as numbers or as expressions of
+    ``chunk_id``. The events are every change of the log (``chunk_id`` null) and the surviving chunk rows with their
+    ``chunk_id`` at their high mark; folding them with ``apply.latest_rows`` gives the table. A chunk row survives if its key
+    has no change inside its chunk's window: one join by key, with the window as its range condition.
     """
     schema_name, table_name = name.split(".", 1)
     chunks = keyset_chunks(table, pk, n)
@@ -80,22 +85,20 @@ def incremental_snapshot(
         small, _ = broadcast_if_small(marks.select("chunk_id", "low", "high"))
         rows = rows.join(small, "chunk_id")
     else:
-        rows = rows.withColumn("low", F.lit(low).cast("long")).withColumn("high", F.lit(high).cast("long"))
+        bound = lambda v: (v if isinstance(v, Column) else F.lit(v)).cast("long")
+        rows = rows.withColumn("low", bound(low)).withColumn("high", bound(high))
     events = change_events(log, pk)
-    # keys only; a key with very many events is a skewed inner join that adaptive execution splits
-    moments = events.select(*TABLE, "key", "position_scn").distinct()
-    hit = (
-        moments.join(rows.select(*TABLE, "key", "low", "high"), [*TABLE, "key"])
-        .filter(_in_window("low", "high"))
-        .select(*TABLE, "key")
-        .distinct()
-    )
-    kept = rows.join(hit, [*TABLE, "key"], "left_anti")
-    cols = [*TABLE, "op", "key", "after", "pos", "sub"]
+    # changes of a key inside a bucket of positions are one row, folded before the shuffle; a bucket holds a bounded number of them
+    near = events.groupBy(*TABLE, "key", F.floor(F.col("position_scn") / SCN_BUCKET).alias("bucket")).agg(
+        F.min("position_scn").alias("from_scn"), F.max("position_scn").alias("to_scn"), F.array_sort(F.collect_set("position_scn")).alias("scns"))
+    inside = (F.col("c.low") <= F.col("e.to_scn")) & (F.col("c.high") >= F.col("e.from_scn")) & F.exists(
+        "e.scns", lambda scn: (scn >= F.col("c.low")) & (scn <= F.col("c.high")))
+    same = [F.col(f"c.{k}") == F.col(f"e.{k}") for k in (*TABLE, "key")]
+    kept = rows.alias("c").join(near.alias("e"), reduce(Column.__and__, [*same, inside]), "left_anti")
+    cols = [*TABLE, "op", "key", "after", "pos", "sub", "chunk_id"]
     kept_events = kept.withColumn("pos", scn_position(F.col("high"))).withColumn("sub", F.lit(0))
-    merged = events.select(*cols).unionByName(kept_events.select(*cols))
+    merged = events.withColumn("chunk_id", F.lit(None).cast("long")).select(*cols).unionByName(kept_events.select(*cols))
     progress = chunk_bounds(chunks, pk).select(
         "chunk_id", "rows", F.to_json("high_key").alias("last_key")
     )
     return merged, progress
-

@@ -51,7 +51,8 @@ class Cuts:
                 (probe <= len(self.rows)) & (F.get(cuts, probe - 1) <= here), probe
             ).otherwise(low)
 
-        return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), step)
+        # never null, so that no join on it adds a test of the whole expression to what lies below
+        return F.coalesce(F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), step), F.lit(0))
 
 
 def _sortable(dtype: T.DataType) -> T.DataType:

@@ -221,11 +221,35 @@ for _n in (997, 5000, 10_000_000):
     def incremental_snapshot(spark, d, n=_n):
         table = fx.order_snapshot(spark, d, 25_000_000)
         events, _ = incremental.incremental_snapshot(
-            table, "S1.ORDERS", fx.order_log(spark, d).filter("position_scn > 24000000"), n, PK, low=24_500_000, high=30_100_000
+            table, "S1.ORDERS", fx.order_log(spark, d).filter("position_scn > 24000000"), n, PK,
+            low=F.expr("greatest(24000001, 24900000 - chunk_id * 1000)"), high=F.expr("25100000 + chunk_id * 100000"),
         )
         return apply.typed(apply.latest_rows(events).filter("op <> 'd'"), COLUMNS)
 
 
+# windows that move with the chunk: each reaches over the updates of some keys and not of others
+CHUNK_LOW, CHUNK_HIGH = "19000000 + chunk_id * 30000", "30000000 + chunk_id * 70000"
+
+for _n in (997, 5000):
+
+    @query(
+        f"incremental_chunks_{_n}",
+        CHG + f""", s AS (SELECT k, CAST((row_number() OVER (ORDER BY k)-1)//{_n} AS BIGINT) AS chunk_id FROM ({state_at(25_000_000)})),
+w AS (SELECT k, chunk_id, CAST({CHUNK_LOW} AS BIGINT) AS low, CAST({CHUNK_HIGH} AS BIGINT) AS high FROM s),
+m AS (SELECT b_k AS k, scn FROM img WHERE b_k IS NOT NULL UNION ALL SELECT f_k, scn FROM img WHERE f_k IS NOT NULL)
+SELECT chunk_id, count(*) AS rows, count(*) FILTER (NOT hit) AS kept, max(high) AS high FROM (
+ SELECT w.*, EXISTS (SELECT 1 FROM m WHERE m.k = w.k AND m.scn BETWEEN w.low AND w.high) AS hit FROM w) GROUP BY chunk_id""",
+    )
+    def incremental_chunks(spark, d, n=_n):
+        """Rows of each chunk, and those that no change inside the chunk's own window replaces."""
+        table = fx.order_snapshot(spark, d, 25_000_000)
+        events, progress = incremental.incremental_snapshot(
+            table, "S1.ORDERS", fx.order_log(spark, d), n, PK, low=F.expr(CHUNK_LOW), high=F.expr(CHUNK_HIGH))
+        kept = events.filter("op = 'r'").groupBy("chunk_id").agg(F.count("*").alias("kept"), F.max("pos.position_scn").alias("high"))
+        return progress.join(kept, "chunk_id", "left").select(
+            "chunk_id", "rows", F.coalesce("kept", F.lit(0)).alias("kept"), F.expr(f"coalesce(high, {CHUNK_HIGH})").cast("long").alias("high"))
+
+
 @query(
     "incremental_progress",
     f"""WITH c AS (SELECT k, CAST((row_number() OVER (ORDER BY k)-1)//2000 AS BIGINT) AS chunk_id FROM ({state_at(25_000_000)}))

@@ -70,6 +70,26 @@ def assemble_lobs_stream_q(spark, d):
     return rows.filter("complete").select("event_id", "text")
 
 
+@query(
+    "assemble_lobs_stream_batches",
+    """SELECT doc_id AS event_id, text, true AS complete FROM documents WHERE doc_id%9<>4""",
+)
+def assemble_lobs_stream_batches(spark, d):
+    """Eight micro-batches, chunks of an object spread over them and some delivered twice; every ninth document has a second
+    column that begins and does not end, so it stays open though its record expects one column."""
+    chunks = fx.cut_into_chunks(fx.table(spark, d, "documents")).withColumn("out_row_cols", F.lit(1))
+    begun = chunks.filter("event_id % 9 = 4 AND seq = 0").withColumn("col", F.lit("BEGUN")).withColumn("is_end", F.lit(False))
+    path = shared_dir(spark, "chunks")
+    both = chunks.unionByName(chunks.filter("seq % 4 = 1")).unionByName(begun)
+    # the columns that never end come first: an event that has ended takes no more chunks
+    part = F.when(F.col("col") == "BEGUN", 0).otherwise(1 + F.pmod(F.xxhash64("event_id", "seq"), F.lit(7)))
+    for i in range(8):
+        both.filter(part == i).coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(both.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    rows = run(stateful.assemble_lobs_stream(stream, "4000 days", 10**12))
+    return rows.select("event_id", "text", "complete")
+
+
 @query("current_state_stream", STATE)
 def current_state_stream_q(spark, d):
     path, state = shared_dir(spark, "state"), shared_dir(spark, "progress")
