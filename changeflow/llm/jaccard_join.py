@@ -12,6 +12,8 @@ Set relations save the rest:
 3. A list whose sets are one component is skipped. In the others only sets outside the pivot's component look at the
    rest, at members of other components, and what the pivot has answered decides pairs unseen: Jaccard distance is a
    metric, so sets whose distances from one pivot differ by more than the threshold's distance cannot link.
+4. What is left is held against bitmaps of the sets, of a bit for each token, which bound the difference from below; only
+   pairs that they leave open are compared, text by text.
 
 The order of tokens only steers the work, so it may rest on a sketch: token counts folded into a fixed number of cells,
 whose size does not grow with the data. Tokens are 64-bit hashes of shingles.
@@ -24,15 +26,16 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from changeflow.llm import rolling
-from changeflow.llm.common import documents, same_document, stage
+from changeflow.llm.common import discard, documents, same_document, stage
 from changeflow.llm.components import components
 
 SHINGLE = 5
 PERCENT = 80
 CELL_BITS, BLOCK_BITS = 20, 12
+SLICES, PAIRS = 2, 128
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -62,8 +65,42 @@ def _sums(x: np.ndarray, at: np.ndarray) -> np.ndarray:
     return total[at[1:]] - total[at[:-1]]
 
 
+def sketches(tokens: np.ndarray, at: np.ndarray) -> pa.Array:
+    """A bitmap for each set, of about as many bits as it has tokens: a bit is the parity of the tokens that fall on it. Bits in
+    which two bitmaps differ, the longer folded to the shorter, are never more than the tokens in which the sets differ."""
+    n = np.diff(at)
+    bits = np.int64(1) << np.maximum(6, np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64))
+    first = np.concatenate([[0], np.cumsum(bits)])
+    row = np.repeat(np.arange(len(n)), n)
+    place = first[row] + (tokens & (bits[row] - 1).astype(rolling.U)).astype(np.int64)
+    data = np.packbits((np.bincount(place, minlength=first[-1]) & 1).astype(bool))
+    return pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer((first // 8).astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())])
+
+
+def _folded(bitmap: bytes, size: int) -> np.ndarray:
+    return np.bitwise_xor.reduce(np.frombuffer(bitmap, np.uint8).reshape(-1, size), axis=0)
+
+
+def differing(x: bytes, y: bytes) -> int:
+    size = min(len(x), len(y))
+    return int(np.bitwise_count(_folded(x, size) ^ _folded(y, size)).sum())
+
+
+def possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that can link by the bitmaps of ``sets`` (id, n_shingles, sketch); the others cannot."""
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            keep = [(100 + percent) * differing(x, y) <= (100 - percent) * n for x, y, n in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True)]
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    a, b = (sets.select(F.col("id").alias(c), F.col("sketch").alias(f"s{c}"), F.col("n_shingles").alias(f"n{c}")) for c in ("a", "b"))
+    both = pairs.join(a, "a").join(b, "b").select("a", "b", "sa", "sb", (F.col("na") + F.col("nb")).alias("n"))
+    return stage(both.mapInArrow(run, "a long, b long"), "possible")
+
+
 def _digests(size: int) -> Callable[[Batches], Batches]:
-    """Size and a 128-bit digest of each set."""
+    """Size, a 128-bit digest and the bitmap of each set."""
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
@@ -71,7 +108,7 @@ def _digests(size: int) -> Callable[[Batches], Batches]:
                 tokens, at = shingle_sets(data, offsets, size)
                 cols = [batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), pa.array(np.diff(at))]
                 cols += [pa.array(rolling.signed(_sums(rolling.mix(tokens ^ rolling.U(seed)), at))) for seed in rolling.BASES]
-                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "key", "n_shingles", "d1", "d2"])
+                yield pa.RecordBatch.from_arrays([*cols, sketches(tokens, at)], ["doc_id", "key", "n_shingles", "d1", "d2", "sketch"])
 
     return run
 
@@ -135,33 +172,41 @@ def _entries(size: int, percent: int, levels) -> Callable[[Batches], Batches]:
     return run
 
 
-def _stored(size: int) -> Callable[[Batches], Batches]:
+def _overlaps(size: int) -> Callable[[Batches], Batches]:
+    """Sizes of intersection and union of the sets of two texts."""
+
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            for lo, hi, data, offsets in rolling.text_parts(batch):
-                tokens, at = shingle_sets(data, offsets, size)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), pa.array([tokens[s:e].tobytes() for s, e in zip(at, at[1:], strict=False)], pa.binary())], ["id", "tokens"])
+            for lo in range(0, batch.num_rows, PAIRS):
+                part = batch.slice(lo, PAIRS)
+                both: list[tuple[int, int]] = []
+                sides = [[tokens[s:e] for _, _, data, offsets in rolling.text_parts(part, column) for tokens, at in [shingle_sets(data, offsets, size)]
+                          for s, e in zip(at.tolist(), at[1:].tolist(), strict=False)] for column in ("x", "y")]
+                for x, y in zip(*sides, strict=True):
+                    place = np.searchsorted(y, x)
+                    both.append((int(np.count_nonzero(y[np.minimum(place, len(y) - 1)] == x)), len(x) + len(y)))
+                same, total = (np.array([b[k] for b in both], np.int64) for k in (0, 1))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(same), pa.array(total - same)], ["a", "b", "same", "joint"])
 
     return run
 
 
-def _overlaps(batches: Batches) -> Batches:
-    for batch in batches:
-        both = []
-        for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            place = np.searchsorted(y, x)
-            both.append((int(np.count_nonzero(y[np.minimum(place, len(y) - 1)] == x)), len(x) + len(y)))
-        same, total = (np.array([b[k] for b in both], np.int64) for k in (0, 1))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(same), pa.array(total - same)], ["a", "b", "same", "joint"])
+def compared(pairs: DataFrame, sets: DataFrame, size: int, slices: int = SLICES) -> DataFrame:
+    """(a, b, same, joint): sizes of intersection and union of each pair, written.
 
+    Texts travel, as they pack better than sets of hashes; the pairs go in ``slices`` by their first set, so that the shuffle
+    files of one slice alone lie on disk at a time.
+    """
+    out = None
+    for i in range(slices):
+        def own(column: str) -> Column:
+            return F.pmod(F.xxhash64(F.lit(11), column), F.lit(slices)) == i
 
-def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, same, joint): sizes of intersection and union of each pair."""
-    left = pairs.join(sets.withColumnsRenamed({"id": "a", "tokens": "x"}), "a")
-    return left.join(sets.withColumnsRenamed({"id": "b", "tokens": "y"}), "b").select("a", "b", "x", "y").mapInArrow(
-        _overlaps, "a long, b long, same long, joint long")
+        left = pairs.filter(own("a")).join(sets.filter(own("id")).select(F.col("id").alias("a"), F.col("text").alias("x")), "a")
+        both = left.join(sets.select(F.col("id").alias("b"), F.col("text").alias("y")), "b").select("a", "b", "x", "y")
+        part = stage(both.mapInArrow(_overlaps(size), "a long, b long, same long, joint long"), "compared")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def _size(entry: str) -> str:
@@ -179,36 +224,39 @@ def _possible(x: str, y: str, percent: int) -> str:
             f" AND {100 + percent} * least({_left(x)}, {_left(y)}) >= {percent} * {total}")
 
 
-def linked_sets(sets: DataFrame, size: int, percent: int) -> DataFrame:
-    """Components of distinct sets (id, text): (id, component) for the sets that have a link."""
+def linked_sets(sets: DataFrame, bitmaps: DataFrame, size: int, percent: int) -> DataFrame:
+    """Components of distinct sets (id, text), with their ``bitmaps`` (id, n_shingles, sketch): (id, component) for the sets that have a link. Tables that have had their last
+    reader are removed at once."""
     spark = sets.sparkSession
     levels = spark.sparkContext.broadcast(token_levels(sets, size))
     entries = sets.select("id", "text").mapInArrow(_entries(size, percent, levels), "token long, id long, at long, rank long")
     shared = stage(entries.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1").select("token"), "tokens")
     lists = stage(entries.join(shared, "token"), "lists")
-
-    members = lists.select("id").distinct()
-    held = stage(sets.select("id", "text").join(members, "id").mapInArrow(_stored(size), "id long, tokens binary"), "sets")
+    discard(shared)
 
     # every set against the pivot it shares most prefix tokens with
     pivots = stage(lists.groupBy("token").agg(F.max_by("id", "rank").alias("pivot"), F.max_by("at", "rank").alias("pivot_at")), "pivots")
     met = lists.join(pivots, "token").filter(f"id <> pivot AND {_possible('at', 'pivot_at', percent)}")
     votes = met.groupBy("id", "pivot").agg(F.count("*").alias("n"))
     weight = F.shiftleft("n", 40).bitwiseOR(F.shiftrightunsigned(F.xxhash64("pivot"), 24))
-    first = votes.groupBy("id").agg(F.max_by("pivot", weight).alias("pivot"))
+    first = stage(votes.groupBy("id").agg(F.max_by("pivot", weight).alias("pivot")), "first")
+    discard(pivots)
     linked = f"100 * same >= {percent} * joint"
-    answers = stage(compared(first.select(F.col("id").alias("a"), F.col("pivot").alias("b")), held), "answers")
-    near = components(answers.filter(linked))
+    asked = possible(first.select(F.col("id").alias("a"), F.col("pivot").alias("b")), bitmaps, percent)
+    answers = compared(asked, sets, size)
+    near = stage(components(answers.filter(linked)), "near")
 
     # lists of several components: sets outside the pivot's component against the others
     known = answers.select(F.col("a").alias("id"), F.col("b").alias("pivot"), (1 - F.col("same") / F.col("joint")).alias("far"))
     placed = stage(
         lists.join(near, "id", "left").join(known, "id", "left")
         .select("token", "id", "at", "rank", F.coalesce("component", "id").alias("component"), "pivot", "far"), "placed")
+    discard(lists, first, asked, near)
     mixed = stage(
         placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max_by("component", "rank").alias("main"))
         .filter("lo < hi").select("token", "main"), "mixed")
     rest = stage(placed.join(mixed, "token"), "rest")
+    discard(placed, mixed)
     x, y = rest.filter("component <> main").alias("x"), rest.alias("y")
     seen = answers.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     unseen = x.join(y, F.expr(
@@ -216,8 +264,13 @@ def linked_sets(sets: DataFrame, size: int, percent: int) -> DataFrame:
         f" AND NOT coalesce(x.pivot = y.pivot AND abs(x.far - y.far) > {1 - percent / 100} + 1e-9, false)"))
     pairs = unseen.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
     pairs = stage(pairs.join(seen, ["a", "b"], "left_anti"), "pairs")
-    more = stage(compared(pairs, held).filter(linked), "links")
-    return components(answers.filter(linked).select("a", "b").unionByName(more.select("a", "b")))
+    discard(rest)
+    open_pairs = possible(pairs, bitmaps, percent)
+    discard(pairs)
+    more = compared(open_pairs, sets, size).filter(linked)
+    found = stage(components(answers.filter(linked).select("a", "b").unionByName(more.select("a", "b"))), "linked")
+    discard(open_pairs)
+    return found
 
 
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -232,14 +285,17 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     rows = documents(docs, doc_id, text)
     # rows go by written numbers, as ids may be any number or missing
     digests = stage(rows.select("doc_id", "key", "text").mapInArrow(
-        _digests(shingle), "doc_id long, key long, n_shingles long, d1 long, d2 long").withColumn("id", F.monotonically_increasing_id()), "digests")
+        _digests(shingle), "doc_id long, key long, n_shingles long, d1 long, d2 long, sketch binary").withColumn("id", F.monotonically_increasing_id()), "digests")
     alike = ["n_shingles", "d1", "d2"]
     classes = stage(digests.filter("n_shingles > 0").groupBy(*alike).agg(F.min("id").alias("least")), "classes")
-    joined = stage(digests.join(classes, alike, "left").withColumn("least", F.coalesce("least", "id")), "members")
+    joined = stage(digests.drop("sketch").join(classes, alike, "left").withColumn("least", F.coalesce("least", "id")), "members")
 
     heads = joined.filter("n_shingles > 0 AND id = least").select("doc_id", "key", "id")
     texts = rows.join(heads, same_document(rows, heads)).select("id", "text")
-    near = linked_sets(stage(texts.dropDuplicates(["id", "text"]), "texts"), shingle, percent)
+    texts = stage(texts.dropDuplicates(["id"]), "texts")
+    discard(classes)
+    near = linked_sets(texts, digests.select("id", "n_shingles", "sketch"), shingle, percent)
+    discard(texts)
 
     # an id of several texts: link their sets
     named = joined.filter("n_shingles > 0 AND doc_id IS NOT NULL")

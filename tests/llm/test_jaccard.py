@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from changeflow.llm import jaccard_join
@@ -121,3 +122,16 @@ def test_components(spark):
     ends = {x for link in links if link[0] != link[1] for x in link}
     got = components(spark.createDataFrame(links, "a long, b long")).collect()
     assert sorted((r.id, r.component) for r in got) == sorted((x, find(x)) for x in ends)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_bitmaps_bound_the_difference(seed):
+    rng = np.random.default_rng(seed)
+    base = np.unique(rng.integers(0, 1 << 63, 900).astype(np.uint64))
+    for n in (1, 5, 64, 65, 300, len(base)):
+        for gone, more in ((0, 0), (n // 9, 0), (0, n // 7), (n // 3, n)):
+            x, y = np.sort(base[:n]), np.sort(np.r_[base[gone:n], rng.integers(0, 1 << 63, more).astype(np.uint64)])
+            at = np.array([0, len(x), len(x) + len(y)])
+            a, b = jaccard_join.sketches(np.r_[x, y], at).to_pylist()
+            apart = len(np.setxor1d(x, y))
+            assert jaccard_join.differing(a, b) <= apart and (apart or jaccard_join.differing(a, b) == 0)
