@@ -11,7 +11,8 @@
 
 No step pairs up occurrences: each is a count or a minimum per key, joined back, so a passage held by a third of all
 documents costs as much as any other text. Every step is written to the shared folder, so its shuffle is freed and a
-lost executor repeats one step at most. Classes are told apart by two independent 64-bit hashes.
+lost executor repeats one step at most. Contents that share an anchor are told apart by a 64-bit value that mixes a polynomial
+modulo 2**64 with two modulo a prime.
 """
 
 from __future__ import annotations
@@ -45,6 +46,16 @@ class Plan:
     earlier: bool
 
 
+class Contents:
+    """Hashes that tell contents apart."""
+
+    def __init__(self, symbols: np.ndarray):
+        self.one, self.two = rolling.Spans(symbols, rolling.BASES[1]), rolling.PrimeSpans(symbols)
+
+    def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return rolling.mix(self.one.hash(start, end) + rolling.mix(self.two.hash(start, end)))
+
+
 def _seeds(plan: Plan, placed: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -82,7 +93,7 @@ def _runs(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
                 row, anchor, first, last = rolling.anchors(grams, at, plan.window, plan.seed)
                 pick = np.isin(anchor, _listed(batch, "places", lo, hi, at)[1])
                 row, anchor, first, last = row[pick], anchor[pick], first[pick], last[pick]
-                spans = rolling.Spans(symbols, rolling.BASES[1])
+                spans = Contents(symbols)
                 yield _block_rows(plan, batch, lo, at, row, anchor, first, last, grams[anchor], np.zeros(len(row), rolling.U), spans)
 
     return run
@@ -103,7 +114,7 @@ def _blocks(plan: Plan, size: int) -> Callable[[Iterator[pa.RecordBatch]], Itera
                 row, anchor = row[each], anchor[each]
                 end = anchor - block * size  # the last window of the block, and the first
                 start = end - size + 1
-                spans = rolling.Spans(symbols, rolling.BASES[1])
+                spans = Contents(symbols)
                 core = rolling.mix(spans.hash(end, start + plan.window) ^ block.astype(rolling.U))
                 h = rolling.Spans(symbols).hash(anchor, anchor + plan.seed)
                 yield _block_rows(plan, batch, lo, at, row, anchor, np.maximum(start, first[each]), np.minimum(end, last[each]), h, core, spans)

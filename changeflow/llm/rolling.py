@@ -1,7 +1,8 @@
 """Array work on Arrow batches of documents: words, rolling hashes, minimisers.
 
-Hashes are polynomials over symbols modulo 2**64 from prefix sums, so the hash of any span costs two look-ups. Symbols are
-64-bit values (a table per byte, or the hash of a word), and every span hash passes a mixer.
+Hashes of spans come from prefix sums, so each costs two look-ups. Seeds and short windows use polynomials over symbols modulo
+2**64 (``Spans``). Those are equal for some long patterns of two symbols (a Thue-Morse word and its complement), so contents
+are told apart by two polynomials modulo a prime as well (``PrimeSpans``), and words by a sum of mixed (byte, place) pairs.
 """
 
 from __future__ import annotations
@@ -61,6 +62,48 @@ class Spans:
         return mix((self.sums[q:] - self.sums[:n]) * self.inverse[:n] ^ U(q * BASES[1] % (1 << 64)))
 
 
+PRIME = U((1 << 31) - 1)
+PRIME_BASES = (1_302_245_537, 948_721_159)
+_prime_powers: dict[int, np.ndarray] = {}
+
+
+def _fold(x: np.ndarray) -> np.ndarray:
+    """An equal number modulo the prime, of 32 bits for x below 2**62."""
+    return (x & PRIME) + (x >> U(31))
+
+
+def _prime_power(base: int, n: int) -> np.ndarray:
+    have = _prime_powers.get(base)
+    if have is None or len(have) < n:
+        have = np.ones(1, U)
+        while len(have) < max(n, 2 * PART_BYTES):
+            have = np.concatenate([have, _least(have * U(pow(base, len(have), int(PRIME))))])
+        _prime_powers[base] = have
+    return have[:n]
+
+
+def _least(x: np.ndarray) -> np.ndarray:
+    x = _fold(_fold(x))
+    return np.where(x >= PRIME, x - PRIME, x)
+
+
+class PrimeSpans:
+    """62-bit hashes of spans: polynomials with two bases modulo 2**31 - 1, over two parts of each 64-bit symbol."""
+
+    def __init__(self, symbols: np.ndarray):
+        n = len(symbols)
+        self.sums, self.inverses = [], []
+        for base, part in zip(PRIME_BASES, (symbols >> U(33), symbols & PRIME), strict=True):
+            total = np.zeros(n + 1, U)
+            np.cumsum(_fold(part * _prime_power(base, n)), out=total[1:])
+            self.sums.append(total)
+            self.inverses.append(_prime_power(pow(base, -1, int(PRIME)), n + 1))
+
+    def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        one, two = (_least(_fold(s[end] - s[start]) * v[start]) for s, v in zip(self.sums, self.inverses, strict=True))
+        return (one << U(31)) | two
+
+
 def text_parts(batch: pa.RecordBatch, column: str = "text", part_bytes: int = PART_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Runs of rows: first row, end, their bytes, and where each row starts in them (one more at the end)."""
     col = batch.column(batch.schema.names.index(column))
@@ -94,7 +137,16 @@ def words(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
 
 
 def word_symbols(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return Spans(BYTE[data], BASES[1]).hash(starts, ends)
+    """A 64-bit hash of each word: its length and the sum of mixed (byte, place) pairs."""
+    if not len(starts):
+        return np.zeros(0, U)
+    n = ends - starts
+    inside = np.repeat(starts - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+    place = (inside - np.repeat(starts, n)).astype(U)
+    total = np.zeros(len(inside) + 1, U)
+    np.cumsum(mix(BYTE[data[inside]] + place * U(BASES[1])), out=total[1:])
+    edge = np.concatenate([[0], np.cumsum(n)])
+    return mix((total[edge[1:]] - total[edge[:-1]]) ^ n.astype(U) * U(BASES[0]))
 
 
 def first_minimum(v: np.ndarray, w: int) -> np.ndarray:

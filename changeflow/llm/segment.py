@@ -25,7 +25,7 @@ from changeflow.llm.common import documents
 MODEL = "piece_bpe_32k.model"
 ALPHA = 0.5
 BYTE_WEIGHT = -25.0
-PART_BYTES = 1 << 21
+PART_BYTES = 1 << 20
 TABLE_BITS = 19
 Batches = Iterator[pa.RecordBatch]
 
@@ -178,7 +178,11 @@ def sample(v: Vocabulary, data: np.ndarray, at: np.ndarray, keys: np.ndarray, al
     ends = np.r_[starts[1:], len(data)][: len(starts)]
     rows = np.searchsorted(starts, at)
     row = np.repeat(np.arange(len(at) - 1), np.diff(rows))
-    _, example, kind = np.unique(rolling.Spans(rolling.BYTE[data]).hash(starts, ends), return_index=True, return_inverse=True)
+    # words lie one after the other; distinct ones are told by their bytes
+    edges = np.r_[starts, len(data)].astype(np.int64)
+    words_of = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(edges.tobytes()), pa.py_buffer(data.tobytes())])
+    kind = words_of.dictionary_encode().indices.to_numpy(zero_copy_only=False)
+    _, example = np.unique(kind, return_index=True)
     order = np.argsort(starts[example] - ends[example], kind="stable")
     example, back = example[order], np.argsort(order)
     kind = back[kind]
