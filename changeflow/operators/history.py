@@ -221,8 +221,8 @@ def _ord(seq: Column) -> Column:
 
 
 def _scn_of(order: Column) -> Column:
-    """SCN of an order key, as the long integer that positions have."""
-    return F.substring(order, 1, SCN_DIGITS).cast("long")
+    """SCN of an order key, of any size."""
+    return F.substring(order, 1, SCN_DIGITS).cast(f"decimal({SCN_DIGITS},0)")
 
 
 #: up to this many changes any window over them fits one task
@@ -413,22 +413,30 @@ def fold_schema(timeline: DataFrame, scn: int | None = None) -> DataFrame:
 
 
 def schema_versions(changes: DataFrame, timeline: DataFrame) -> DataFrame:
-    """One row per table and SCN at which its structure changed, with the column names then valid."""
+    """One row per table and SCN (a decimal, of any size) at which its structure changed, with the column names then valid.
+
+    Only the columns of a version leave the join; a version whose table has none, as after a drop, has an empty list.
+    """
     starts = timeline.select(*TABLE, _scn_of(F.col("from_ord")).alias("version_scn"))
     ends = timeline.filter(F.col("to_ord").isNotNull()).select(*TABLE, _scn_of(F.col("to_ord")).alias("version_scn"))
     versions = starts.unionByName(ends).distinct().withColumn("__at", F.concat(_scn_key(F.col("version_scn")), F.lit(AFTER)))
-    valid = (F.col("from_ord") <= F.col("__at")) & (F.col("to_ord").isNull() | (F.col("to_ord") > F.col("__at")))
-    cols = timeline.select(*TABLE, "column_ord", "column_name", "from_ord", "to_ord")
-    found = versions.join(cols, TABLE, "left").groupBy(*TABLE, "version_scn").agg(
-        F.array_sort(F.collect_list(F.when(valid, F.struct("column_ord", "column_name")))).alias("c")
+    v, c = versions.alias("v"), timeline.select(*TABLE, "column_ord", "column_name", "from_ord", "to_ord").alias("c")
+    valid = (F.col("c.from_ord") <= F.col("v.__at")) & (F.col("c.to_ord").isNull() | (F.col("c.to_ord") > F.col("v.__at")))
+    same = (F.col("v.schema_name") == F.col("c.schema_name")) & (F.col("v.table_name") == F.col("c.table_name"))
+    found = v.join(c, same & valid, "left").groupBy("v.schema_name", "v.table_name", "v.version_scn").agg(
+        F.array_sort(F.collect_list(F.when(F.col("c.column_name").isNotNull(), F.struct("c.column_ord", "c.column_name")))).alias("c")
     )
     names = F.transform("c", lambda c: c["column_name"])
     return found.select(*TABLE, "version_scn", names.alias("columns"))
 
 
 def schema_at_event(events: DataFrame, versions: DataFrame, **how) -> tuple[DataFrame, DataFrame]:
-    """Events with the table's columns as of their position, and the tables no version exists for."""
-    joined = asof_join(events, versions.withColumn("from_scn", F.col("version_scn")), TABLE, "position_scn", "from_scn", ["version_scn", "columns"], **how)
+    """Events with the table's columns as of their position, and the tables no version exists for.
+
+    Positions are long integers, so versions beyond them come after every event.
+    """
+    reached = versions.filter(F.col("version_scn") <= F.lit(2**63 - 1)).withColumn("version_scn", F.col("version_scn").cast("long"))
+    joined = asof_join(events, reached.withColumn("from_scn", F.col("version_scn")), TABLE, "position_scn", "from_scn", ["version_scn", "columns"], **how)
     missing = joined.filter(F.col("version_scn").isNull()).groupBy(*TABLE).agg(F.count("*").alias("events"))
     return joined.filter(F.col("version_scn").isNotNull()), missing
 

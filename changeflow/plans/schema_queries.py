@@ -188,6 +188,26 @@ def schema_at_event(spark, d):
     return found.select("k", F.col("v").cast("long").alias("v"), "version_scn", F.array_join("columns", ",").alias("columns"))
 
 
+@query(
+    "schema_versions_large_scn",
+    """SELECT 'B'||CAST(c_custkey AS STRING) AS table_name, '999999999999'||lpad(CAST(c_custkey*10+v AS STRING), 12, '0') AS version_scn,
+ CASE v WHEN 0 THEN 'ID,A' WHEN 1 THEN 'ID,A,C' WHEN 2 THEN 'ID,C' ELSE '' END AS columns
+ FROM customer, range(4) r(v) WHERE v < 3 OR c_custkey%3=0""",
+)
+def schema_versions_large_scn(spark, d):
+    """SCNs beyond a long integer: a table that gains a column, loses one, and every third is dropped."""
+    k = F.col("c_custkey")
+    scn = lambda v: F.concat(F.lit("999999999999"), F.lpad((k * 10 + v).cast("string"), 12, "0")).cast("decimal(38,0)")
+    name = F.concat(F.lit("S1.B"), k.cast("string"))
+    texts = [F.concat(F.lit("CREATE TABLE "), name, F.lit(" (ID INT, A INT)")), F.concat(F.lit("ALTER TABLE "), name, F.lit(" ADD COLUMN C INT")),
+             F.concat(F.lit("ALTER TABLE "), name, F.lit(" DROP COLUMN A")), F.when(k % 3 == 0, F.concat(F.lit("DROP TABLE "), name))]
+    rows = F.array(*[F.struct(scn(v).alias("scn"), F.lit(v).alias("n"), t.alias("ddl_text")) for v, t in enumerate(texts)])
+    ddl = fx.table(spark, d, "customer").select(k, F.explode(rows).alias("e")).select(k.alias("k"), "e.*", F.lit("S1").alias("schema_name")).filter("ddl_text IS NOT NULL")
+    changes = history.column_changes(ddl)
+    found = history.schema_versions(changes, history.schema_timeline(changes))
+    return found.select("table_name", F.col("version_scn").cast("string").alias("version_scn"), F.array_join("columns", ",").alias("columns"))
+
+
 def _name_versions(versions: DataFrame) -> DataFrame:
     first = versions.groupBy("schema_name", "table_name", "columns").agg(F.min("version_scn").alias("version_scn"))
     return first.select("schema_name", "table_name", "version_scn", "columns")
