@@ -1,14 +1,10 @@
-"""Suffix dedup by bucket-pointer refinement.
+"""Removal of repeated 200-byte strings, by counts of content hashes around anchors.
 
-Suffixes are sorted only as far as the question needs: two suffixes with equal first 200 bytes are repeats. The initial
-buckets hold suffixes with an equal q-gram. A bucket of one is finished. The others are refined by the identifiers of the
-buckets at later offsets: first for whole runs of suffixes at once, then recursively for smaller blocks of them where a run
-found no partner, down to single suffixes, until the buckets are 200 bytes deep. An identifier names the content of its bucket, so that every task can state
-the identifier at any offset by itself (the look-up of the in-memory method); refined identifiers are made from those of
-the round before.
-
-Suffixes enter the buckets by sampling that follows the content: each 200-byte string holds the smallest of its q-grams, and
-equal strings hold it at equal offsets, so the sampled suffixes decide about all.
+The dealt method, refinement of q-gram buckets by the identifiers of buckets at later offsets, is not what this does: a table
+of identifiers for every byte, joined with itself in each round, is many times the input on disk. Instead suffixes are
+sampled by content: each 200-byte string holds the smallest of its 64-grams, and equal strings hold it at equal offsets.
+Strings that share it form a run; runs, then blocks of 32, 8 and 1 suffixes of those that stay open, are told apart by
+hashes of their content, which every round makes anew from the text (``repeats``). Rounds only narrow what is open.
 """
 
 from __future__ import annotations
