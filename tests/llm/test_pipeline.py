@@ -56,7 +56,7 @@ def test_sql(spark, sf_dir, name):
 
 
 def test_names():
-    assert sorted(q.split("_")[0] for q in QUERIES) == sorted([*(f"op{n}" for n in range(1, 11)), "pipeline"])
+    assert sorted(q.split("_")[0] for q in QUERIES) == sorted([*(f"op{n}" for n in range(1, 14)), "pipeline"])
 
 
 def test_odd_tables(docs, spark, sf_dir):
