@@ -147,17 +147,19 @@ def op4_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_line_templates", r"""
 WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 l AS (SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS line_no FROM d),
-w AS (SELECT doc_id, line_no, [CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END for x in regexp_extract_all(line, '[^\x20\x09-\x0D]+')] AS w FROM l),
-p AS (SELECT doc_id, line_no, array_to_string(w, ' ') AS masked, w, len(w) AS n, array_to_string(w[1:3], ' ') AS lead FROM w WHERE len(w) >= 4),
+x AS (SELECT doc_id, line_no, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS x FROM l),
+w AS (SELECT doc_id, line_no, array_to_string(x, ' ') AS own, [CASE WHEN regexp_matches(y, '[0-9]') THEN '<*>' ELSE y END for y in x] AS w FROM x),
+p AS (SELECT doc_id, line_no, own, array_to_string(w, ' ') AS masked, w, len(w) AS n, array_to_string(w[1:3], ' ') AS lead FROM w WHERE len(w) > 0),
 k AS (SELECT n, lead, masked, w, min(doc_id) AS lo, max(doc_id) AS hi FROM p GROUP BY ALL),
 t AS (SELECT n, lead, masked, lo, hi, unnest(w) AS token, unnest(range(len(w))) AS place FROM k),
 c AS (SELECT n, lead, place, token FROM t WHERE token <> '<*>' GROUP BY ALL HAVING min(lo) < max(hi)),
-m AS (SELECT t.*, c.token IS NOT NULL AS constant FROM t LEFT JOIN c USING (n, lead, place, token)),
-templates AS (SELECT n, lead, masked, lo, hi, CASE WHEN 100 * count(*) FILTER (place >= 3 AND constant) >= 60 * count(*) FILTER (place >= 3)
-  THEN string_agg(CASE WHEN constant THEN token ELSE '<*>' END, ' ' ORDER BY place) ELSE masked END AS template FROM m GROUP BY n, lead, masked, lo, hi),
-r AS (SELECT n, lead, template, min(lo) AS first FROM templates GROUP BY n, lead, template HAVING min(lo) < max(hi)),
-x AS (SELECT doc_id, line_no FROM p JOIN templates USING (n, lead, masked) JOIN r USING (n, lead, template) WHERE doc_id > first),
-kept AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY line_no) AS t, count(*) AS n FROM l ANTI JOIN x USING (doc_id, line_no) GROUP BY doc_id)
+m AS (SELECT t.*, c.token IS NOT NULL AS constant, n <= 3 OR place >= 3 AS counts FROM t LEFT JOIN c USING (n, lead, place, token)),
+templates AS (SELECT n, lead, masked, CASE WHEN 100 * count(*) FILTER (counts AND constant) >= 60 * count(*) FILTER (counts)
+  THEN string_agg(CASE WHEN constant THEN token ELSE '<*>' END, ' ' ORDER BY place) END AS template FROM m GROUP BY n, lead, masked),
+q AS (SELECT doc_id, line_no, n, lead, template IS NULL AS alone, coalesce(template, own) AS template FROM p JOIN templates USING (n, lead, masked)),
+r AS (SELECT n, lead, alone, template, min(doc_id) AS first FROM q GROUP BY ALL HAVING min(doc_id) < max(doc_id)),
+gone AS (SELECT doc_id, line_no FROM q JOIN r USING (n, lead, alone, template) WHERE doc_id > first),
+kept AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY line_no) AS t, count(*) AS n FROM l ANTI JOIN gone USING (doc_id, line_no) GROUP BY doc_id)
 SELECT d.doc_id, len(lines)::BIGINT AS n_lines, len(lines) - coalesce(n, 0) AS n_dropped, sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)""")
 def op7_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@
 A line goes down the tree by its number of tokens and its leading tokens to a leaf. In a leaf, a token that several
 documents have at its place is constant, any other is a variable field; tokens with digits are variable everywhere. A line
 becomes the template of its constants if these are most of the tokens behind the leading ones, else its own text is its
-template. Templates that recur across documents are dropped, but for the first document that has them.
+template. A line with no token behind the leading ones is judged by all of its tokens. Templates that recur across documents are dropped, but for the first document that has them.
 
 Leaves, tokens and templates are only folded to the smallest and largest id that has them, so a line held by a third of
 all documents is a row per task. Only DataFrame functions.
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from changeflow.llm.common import documents, same_document, stage
 
 LEAD = 3
-MIN_TOKENS = 4
+MIN_TOKENS = 1
 CONSTANT_PERCENT = 60
 FIELD = "<*>"
 _LAST = (1 << 63) - 1
@@ -27,7 +27,7 @@ def _several() -> Column:
 
 
 def _parsed(rows: DataFrame, lead: int, min_tokens: int) -> DataFrame:
-    """(doc_id, key, ord, at, masked, own, leaf) of every line with ``min_tokens`` tokens; ``at`` counts lines from 0. ``own`` is a
+    """(doc_id, key, ord, at, masked, own, leaf) of every line with ``min_tokens`` tokens, at least one; ``at`` counts lines from 0. ``own`` is a
     hash of the line as it was before tokens with digits were masked, 0 where it has none.
 
     White space and fields are settled for the whole text at once, before it is cut into lines.
@@ -44,7 +44,7 @@ def _parsed(rows: DataFrame, lead: int, min_tokens: int) -> DataFrame:
     own = F.when(F.col("x.masked") != F.col("x.line"), F.xxhash64(F.trim("x.line"))).otherwise(0)
     lines = lines.select("doc_id", "key", "ord", "at", F.trim("x.masked").alias("masked"), own.alias("own"))
     spaces = F.length("masked") - F.length(F.replace("masked", F.lit(" "), F.lit("")))
-    lines = lines.filter(spaces >= min_tokens - 1)
+    lines = lines.filter((spaces >= min_tokens - 1) & (F.col("masked") != ""))
     return lines.select("doc_id", "key", "ord", "at", "masked", "own", F.xxhash64(spaces, F.substring_index("masked", " ", lead)).alias("leaf"))
 
 
@@ -59,15 +59,17 @@ def recurring_lines(docs: DataFrame, lead: int = LEAD, min_tokens: int = MIN_TOK
         "kind", F.monotonically_increasing_id()), "kinds")
     # a leaf of one kind needs no search for fields: all but the masked tokens are constant
     mixed = stage(kinds.groupBy("leaf").agg((F.count("*") > 1).alias("w")).filter("w").select("leaf"), "mixed")
-    tokens = kinds.join(mixed, "leaf").select("leaf", "kind", "lo", "hi", F.posexplode_outer(F.split("masked", " ")).alias("place", "token"))
-    tokens = tokens.select("kind", "lo", "hi", "place", F.when(F.col("token") != FIELD, F.xxhash64("leaf", "place", "token")).alias("slot"))
+    parts = F.split("masked", " ")
+    short = F.size(parts) <= lead
+    tokens = kinds.join(mixed, "leaf").select("leaf", "kind", "lo", "hi", short.alias("short"), F.posexplode_outer(parts).alias("place", "token"))
+    tokens = tokens.select("kind", "lo", "hi", "short", "place", F.when(F.col("token") != FIELD, F.xxhash64("leaf", "place", "token")).alias("slot"))
     constants = stage(tokens.filter("slot IS NOT NULL").groupBy("slot").agg((F.min("lo") < F.max("hi")).alias("w")).filter("w").select("slot"), "constants")
     marked = tokens.join(constants.withColumn("constant", F.lit(1)), "slot", "left").withColumn("constant", F.coalesce("constant", F.lit(0)))
-    behind = F.when(F.col("place") >= lead, F.col("constant"))
+    behind = F.when((F.col("place") >= lead) | F.col("short"), F.col("constant"))
     fields = marked.groupBy("kind").agg(
         (100 * F.sum(behind) >= constant_percent * F.count(behind)).alias("fits"), F.sort_array(F.collect_list(2 * F.col("place") + F.col("constant"))).alias("flags"))
-    general = F.array_join(F.zip_with(F.split("masked", " "), "flags", lambda token, flag: F.when(flag % 2 == 1, token).otherwise(FIELD)), " ")
-    rear = F.slice(F.split("masked", " "), lead + 1, F.length("masked"))
+    general = F.array_join(F.zip_with(parts, "flags", lambda token, flag: F.when(flag % 2 == 1, token).otherwise(FIELD)), " ")
+    rear = F.when(short, parts).otherwise(F.slice(parts, lead + 1, F.length("masked")))
     alone = 100 * F.size(F.filter(rear, lambda token: token != FIELD)) >= constant_percent * F.size(rear)
     templates = stage(kinds.join(fields, "kind", "left").select(
         "leaf", "masked", "lo", "hi", F.when(F.col("fits"), general).otherwise(F.col("masked")).alias("template"),
@@ -88,8 +90,9 @@ def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **tr
     """Every row of ``docs`` as struct ``doc``, with ``lines`` (its lines), ``dropped`` (line numbers from 0, unsorted) and ``kept``,
     the other lines with a line feed between them.
 
-    Lines end at line feeds; white space is one space for the comparison, kept lines are unchanged. Lines of fewer than
-    ``min_tokens`` tokens are not judged. Null and empty texts have one empty line. A row without an id comes after all others.
+    Lines end at line feeds; white space is one space for the comparison, kept lines are unchanged. Every line with a token is
+    judged, unless ``min_tokens`` asks for more; blank lines stay. Null and empty texts have one empty line. A line may be as long
+    as a cell. A row without an id comes after all others.
     Rows that share an id are one document: they do not make a line recur, and keep it together. An empty table gives no rows.
     """
     rows = docs.select(F.struct(*docs.columns).alias("doc"), F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))

@@ -113,10 +113,20 @@ def test_templates(docs):
     got = dropped(docs(rows))
     assert got[1] == rows[0][1]  # the first document keeps what recurs
     assert got[2] == f"{own[1]}\nshort line"  # numbers and names are fields
-    assert got[3] == f"{own[2]}\nshort line\n\n"
+    assert got[3] == f"{own[2]}\n\n"  # short lines are judged, blank lines stay
     assert got[4] == rows[3][1]  # another leaf; repeats inside one document stay
 
 
+def test_short_lines(docs):
+    """Lines of one to three tokens: constants make a template, lines of fields alone go only where they are equal."""
+    rows = [(1, "Of.\nAll rights reserved.\n2024\n7 of 9\nnext page 3\n12 34\nonly here"), (2, " Of. \nAll  rights\treserved.\n2025\n8 of 9\nnext page 4\n12 34\nmine"),
+            (3, "of.\nOf. Of.\nrights All reserved.\n2024\n7 of 9\nnext part 3\n12 35\n\n \n"), (4, "日本語の行\n同じ行"), (5, "同じ行\n別の行"), (6, "\nOf.\n" + "x" * 300_000), (7, "x" * 300_000)]
+    got = dropped(docs(rows))
+    assert got == {1: rows[0][1], 2: "2025\n8 of 9\nmine", 3: "of.\nOf. Of.\nrights All reserved.\nnext part 3\n12 35\n\n \n", 4: rows[3][1], 5: "別の行",
+                   6: "\n" + "x" * 300_000, 7: ""}
+    assert dropped(docs(rows), min_tokens=4) == dict(rows)
+
+
 def test_templates_odd_rows(docs):
     line = "the very same line of text"
     rows = [(1, None), (2, ""), (3, line), (None, line), (5, "\n\n"), (6, "a " * 5000), (3, line), (7, line + "\n" + line)]
