@@ -120,17 +120,19 @@ base AS (
   UNION ALL SELECT doc_id, 3, 'phone', s, e, v FROM phone WHERE length(regexp_replace(v, '[^0-9]', '', 'g')) BETWEEN 9 AND 15),
 around AS (SELECT base.*, t, substr(t, greatest(s - 240, 0)::BIGINT + 1, (s - greatest(s - 240, 0))::BIGINT) AS b, substr(t, e::BIGINT + 1, 240) AS a
   FROM base JOIN d USING (doc_id)),
-part AS (SELECT doc_id, k, s AS own, kind || ':' || lower(v) AS entity, t AS whole, regexp_replace(b, '^[^\x20\x09-\x0D]+', '') AS t, 0 AS side, s AS edge FROM around
-  UNION ALL SELECT doc_id, k, s, kind || ':' || lower(v), t, regexp_replace(a, '[^\x20\x09-\x0D]+$', ''), 1, e FROM around),
-word AS ({_places("part", "doc_id, k, own, side", _EMAIL + r"|\p{L}{4,}")}),
+part AS (SELECT doc_id, k, s AS own, kind || ':' || lower(v) AS entity, t AS whole,
+    CASE WHEN s > 240 THEN regexp_replace(b, '^[^\x20\x09-\x0D]+', '') ELSE b END AS t, 0 AS side, s AS edge FROM around
+  UNION ALL SELECT doc_id, k, s, kind || ':' || lower(v), t, CASE WHEN e + 240 < length(t) THEN regexp_replace(a, '[^\x20\x09-\x0D]+$', '') ELSE a END, 1, e FROM around),
+word AS ({_places("part", "doc_id, k, own, side", _EMAIL + r"|\p{L}+")}),
 near AS (SELECT doc_id, entity, whole, lower(v) AS term, edge - CASE side WHEN 0 THEN length(t) ELSE 0 END + w.s AS s,
   edge - CASE side WHEN 0 THEN length(t) ELSE 0 END + w.e AS e FROM word w JOIN part USING (doc_id, k, own, side) WHERE v NOT LIKE '%@%'),
-n_et AS (SELECT entity, term, count(DISTINCT whole) AS n_et FROM near GROUP BY ALL HAVING n_et >= 3),
-n_e AS (SELECT entity, count(DISTINCT whole) AS n_e FROM near GROUP BY ALL HAVING n_e >= 3),
-n_t AS (SELECT term, count(*) AS n_t FROM (SELECT unnest(list_distinct(regexp_extract_all(lower(t), '\p{{L}}{{4,}}'))) AS term FROM d) GROUP BY term),
-ratio AS (SELECT entity, term, ln(n_et * n::DOUBLE / (n_e * n_t)) / ln(n::DOUBLE / n_e) AS r
-  FROM n_et JOIN n_e USING (entity) JOIN n_t USING (term), (SELECT count(*) AS n FROM documents) WHERE n_e < n),
-term AS (SELECT doc_id, s, e, max(CASE WHEN r >= 0.9 THEN 5 ELSE 4 END) AS k FROM near JOIN ratio USING (entity, term) WHERE r >= 0.75 GROUP BY ALL),
+n_et AS (SELECT entity, term, count(DISTINCT whole) AS n_et FROM near GROUP BY ALL),
+n_e AS (SELECT entity, count(DISTINCT whole) AS n_e FROM near GROUP BY ALL),
+u AS (SELECT DISTINCT t FROM d),
+n_t AS (SELECT term, count(*) AS n_t FROM (SELECT unnest(list_distinct(regexp_extract_all(lower(t), '\p{{L}}+'))) AS term FROM u) GROUP BY term),
+ratio AS (SELECT entity, term, ln(n_et * n::DOUBLE / (n_e * n_t)) / ln(n::DOUBLE / n_e) * n_et / (n_et + 1) AS r
+  FROM n_et JOIN n_e USING (entity) JOIN n_t USING (term), (SELECT count(*) AS n FROM u) WHERE n_e < n),
+term AS (SELECT doc_id, s, e, max(CASE WHEN r >= 0.7 THEN 5 ELSE 4 END) AS k FROM near JOIN ratio USING (entity, term) WHERE r >= 0.45 GROUP BY ALL),
 span AS (SELECT doc_id, k, kind, s, e FROM base UNION ALL SELECT doc_id, k, CASE k WHEN 4 THEN 'generalised' ELSE 'removed' END, s, e FROM term),
 out AS (SELECT doc_id, count(*) FILTER (k = 0) AS n_email, count(*) FILTER (k = 1) AS n_ip, count(*) FILTER (k = 2) AS n_card, count(*) FILTER (k = 3) AS n_phone,
   string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k, e) FILTER (k < 4) AS b, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k, e) AS spans

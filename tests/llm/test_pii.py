@@ -69,21 +69,32 @@ def corpus():
     rows = [f"filler words about nothing number{i} common story again" for i in range(200)]
     rows += [f"case {i}: doctor Zweistein writes as zw@clinic.example from Ulmenau common story end" for i in range(5)]
     rows += [f"case {i}: the common story tells again that all@list.example is common again here {i}" for i in range(5)]
-    rows += ["Ulmenau is mentioned alone", "doctor somebody"] + ["doctor again"] * 3
+    rows += [f"once writes Solitaire here to so@lo.example the common{c} story" for c in "ab"] + ["Ulmenau is mentioned alone"] + [f"doctor {c}" for c in "abcdefgh"]
+    rows += ["doctor again"] * 300  # copies are one text
     return list(enumerate(rows))
 
 
 def test_disclosure(docs):
+    """Every count by its definition: distinct texts, all terms of one letter or more, no least support."""
     rows = corpus()
     _, spans = found(docs(rows))
-    terms = {(rows[i][1][s:e].lower(), pii.KINDS[k]) for i, x in spans.items() for s, k, e in x if k >= 4}
-
-    def ratio(n_et, n_e, n_t):
-        return math.log(n_et * len(rows) / (n_e * n_t)) / math.log(len(rows) / n_e)
-
-    assert ratio(5, 5, 5) > 0.9 > ratio(5, 5, 9) > 0.75 > ratio(5, 5, 210)
-    assert terms == {(t, "removed") for t in ("zweistein", "writes", "from", "ulmenau", "tells", "that", "here")} | {("doctor", "generalised")}
-    assert spans[210] == [] and not any(k >= 4 for _, k, _ in spans[211])  # the same words away from the address stay
+    texts = {t for _, t in rows}
+    words = {t: set(re.findall(r"[^\W\d_]+", t.lower())) for t in texts}
+    value = {t: m[0] for t in texts if (m := re.search(PLAIN["email"], t))}
+    beside = {t: set(re.findall(r"[^\W\d_]+", t.replace(v, " ").lower())) for t, v in value.items()}
+    for i, t in rows:
+        terms = {(t[s:e].lower(), pii.KINDS[k]) for s, k, e in spans[i] if k >= 4}
+        want = set()
+        for term in beside.get(t, ()):
+            with_value = [x for x in value if value[x] == value[t]]
+            n_et, n_e, n_t = sum(term in beside[x] for x in with_value), len(with_value), sum(term in w for w in words.values())
+            score = math.log(n_et * len(texts) / (n_e * n_t)) / math.log(len(texts) / n_e) * n_et / (n_et + 1)
+            if score >= 0.45:
+                want.add((term, "removed" if score >= 0.7 else "generalised"))
+        assert terms == want, t
+    kinds = {(rows[i][1][s:e].lower(), pii.KINDS[k]) for i, x in spans.items() for s, k, e in x if k >= 4}
+    assert {("zweistein", "removed"), ("as", "removed"), ("doctor", "generalised"), ("solitaire", "generalised")} <= kinds
+    assert spans[212] == []  # the same words away from the address stay
 
 
 def test_sanitised(docs):
@@ -94,5 +105,5 @@ def test_sanitised(docs):
     got = {r.doc_id: r.text for r in clean.collect()}
     assert got[0] == rows[0][1] and got[900] is None and got[None] == "[EMAIL]"
     assert "zw@clinic" not in got[200] and "Zweistein" not in got[200] and "d*" in got[200] and "[EMAIL]" in got[200] and "Ulmenau" not in got[200]
-    assert got[901].startswith("x [") and got[901].endswith(" y") and not re.search("[0-9]", got[901])
+    assert got[901] == "x* [PHONE], [CARD] y*"  # nothing else has these letters
     assert pii.remove_personal_data(docs([])).collect() == []
