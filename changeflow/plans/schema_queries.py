@@ -146,19 +146,21 @@ def ddl_reread(spark, d):
     "fold_schema_at",
     K
     + f""", x AS (SELECT c.*, (SELECT CAST(max(k)//2 AS BIGINT)*100+22 FROM c) s FROM c)
-SELECT table_name, count(*) AS columns, string_agg(column_name, ',' ORDER BY o) AS names FROM (
- SELECT k, CASE WHEN k%7=0 AND s >= k*100+30 THEN 'R'||{NUM} ELSE 'T'||{NUM} END table_name, o, column_name FROM (
+SELECT schema_name, table_name, count(*) AS columns, string_agg(column_name, ',' ORDER BY o) AS names FROM (
+ SELECT k, 'S1' AS schema_name, CASE WHEN k%7=0 AND s >= k*100+30 THEN 'R'||{NUM} ELSE 'T'||{NUM} END table_name, o, column_name FROM (
   SELECT k, s, 1 o, 'ID' column_name FROM x WHERE s >= k*100+10
   UNION ALL SELECT k, s, 2, 'NOTE' FROM x WHERE s >= k*100+10 AND NOT (k%6=0 AND s >= k*100+24)
   UNION ALL SELECT k, s, 3, CASE WHEN k%4=0 AND s >= k*100+22 THEN 'AMOUNT' ELSE 'AMT' END FROM x WHERE s >= k*100+10
   UNION ALL SELECT k, s, 4, 'TS' FROM x WHERE s >= k*100+20) WHERE NOT (k%13=0 AND s >= k*100+40)
- UNION ALL SELECT k, 'T'||{NUM}, 1, 'Y' FROM x WHERE k%26=0 AND s >= k*100+41) GROUP BY table_name""",
+ UNION ALL SELECT k, 'S1', 'T'||{NUM}, 1, 'Y' FROM x WHERE k%26=0 AND s >= k*100+41
+ UNION ALL SELECT k, 's1', 'Mixed'||{NUM}, i, name FROM x, (VALUES (1,'ID'),(2,'D'),(3,'J'),(4,'B'),(5,'C')) m(i,name)
+  WHERE s >= k*100+11 AND NOT (k%8=0 AND s >= k*100+42)) GROUP BY schema_name, table_name""",
 )
 def fold_schema_at(spark, d):
-    """Structure of the S1 tables as of the rename statement of the middle customer."""
+    """Structure of all tables as of the rename statement of the middle customer."""
     top = fx.table(spark, d, "customer").agg(F.max("c_custkey")).first()[0]
-    at = history.fold_schema(_timeline(spark, d)[1], (top // 2) * 100 + 22).filter("schema_name = 'S1'")
-    return at.groupBy("table_name").agg(
+    at = history.fold_schema(_timeline(spark, d)[1], (top // 2) * 100 + 22)
+    return at.groupBy("schema_name", "table_name").agg(
         F.count("*").alias("columns"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("position", "column_name"))), lambda x: x["column_name"]), ",").alias("names"),
     )

@@ -60,11 +60,14 @@ def outbox_route(spark, d):
     "cloud_events",
     CHG
     + f"""SELECT 'name:srv;scn:'||CAST(scn AS STRING)||';commit_scn:null;lcr_position:'||{SRC} AS id, '/srv' AS source, CAST(scn AS STRING) AS ext_scn,
- CAST(NULL AS STRING) AS ext_commit_scn, {SRC} AS ext_lcr_position FROM chg WHERE scn-ok<>40000000""",
+ CAST(NULL AS STRING) AS ext_commit_scn, {SRC} AS ext_lcr_position, op FROM (
+ SELECT scn, CASE WHEN scn-ok=40000000 THEN 'c' WHEN dml='INSERT' THEN 'c' WHEN dml='UPDATE' THEN 'u' ELSE 'd' END AS op FROM chg
+ UNION ALL SELECT scn, 'd' FROM chg WHERE scn-ok=40000000)""",
 )
 def cloud_events(spark, d):
-    events = image.build_envelope(image.build_source(_events(spark, d).filter("NOT (position_scn >= 40000000 AND position_scn < 50000000)"), "srv"))
-    return routing.cloud_events(events, "/srv").select("id", "source", "ext_scn", "ext_commit_scn", "ext_lcr_position")
+    """A change of key is two events of one id: a delete and an insert."""
+    rows = routing.cloud_events(_enveloped(spark, d), "/srv")
+    return rows.select("id", "source", "ext_scn", "ext_commit_scn", "ext_lcr_position", F.get_json_object("data", "$.op").alias("op"))
 
 
 @query(
@@ -78,10 +81,15 @@ def event_key(spark, d):
     return routing.event_key(_events(spark, d), PK).select(F.col("position_scn").alias("scn"), "sub", "event_key")
 
 
-@query("event_key_custom", CHG + """SELECT scn, '{"st":"'||coalesce(f_st,b_st)||'"}' AS event_key FROM img WHERE scn-ok<>40000000""")
+@query(
+    "event_key_custom",
+    CHG
+    + """SELECT scn, 0 AS sub, '{"st":"'||coalesce(f_st,b_st)||'"}' AS event_key FROM img
+ UNION ALL SELECT scn, 1, '{"st":"'||f_st||'"}' FROM img WHERE scn-ok=40000000""",
+)
 def event_key_custom(spark, d):
     rows = routing.event_key(_events(spark, d), PK, {"S1.ORDERS": ["st"]})
-    return rows.filter("NOT (position_scn >= 40000000 AND position_scn < 50000000)").select(F.col("position_scn").alias("scn"), "event_key")
+    return rows.select(F.col("position_scn").alias("scn"), "sub", "event_key")
 
 
 @query(

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from changeflow.functions import values as v
-from changeflow.operators import typed
+from changeflow.operators import image, typed
 from changeflow.operators.typed import ColumnSpec, Converters, Options
 from changeflow.plans import fixtures as fx
-from changeflow.plans.registry import query
+from changeflow.plans.registry import CHG, query
 
 ID = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
 IDS = ", ".join(ID)
@@ -329,9 +329,10 @@ def typed_all(spark, d):
 
 @query(
     "typed_images",
-    """SELECT o_orderkey AS k, o_orderstatus AS st, CAST(o_totalprice AS DOUBLE) AS p, o_orderpriority AS pr FROM orders""",
+    CHG + "SELECT scn AS position_scn, f_k AS k, f_st AS st, f_p AS p, f_pr AS pr FROM img",
 )
 def typed_images(spark, d):
-    log = fx.order_log(spark, d).filter("dml = 'INSERT' AND redelivery = 0")
+    """The images after every change, all columns filled; a delete leaves none."""
+    log = image.complete_after(image.map_op(fx.order_log(spark, d)))
     specs = [ColumnSpec("k", "BIGINT"), ColumnSpec("st", "VARCHAR", 1), ColumnSpec("p", "DOUBLE"), ColumnSpec("pr", "VARCHAR", 20)]
-    return typed.typed_projection(log, specs, Options(on_failure="skip"), image="after")
+    return typed.typed_projection(log, specs, Options(on_failure="skip"), image="after", keep=["position_scn"])
