@@ -60,16 +60,16 @@ def recurring_lines(docs: DataFrame, lead: int = LEAD, min_tokens: int = MIN_TOK
     # a leaf of one kind needs no search for fields: all but the masked tokens are constant
     mixed = stage(kinds.groupBy("leaf").agg((F.count("*") > 1).alias("w")).filter("w").select("leaf"), "mixed")
     parts = F.split("masked", " ")
-    short = F.size(parts) <= lead
-    tokens = kinds.join(mixed, "leaf").select("leaf", "kind", "lo", "hi", short.alias("short"), F.posexplode_outer(parts).alias("place", "token"))
-    tokens = tokens.select("kind", "lo", "hi", "short", "place", F.when(F.col("token") != FIELD, F.xxhash64("leaf", "place", "token")).alias("slot"))
+    tokens = kinds.join(mixed, "leaf").select("leaf", "kind", "lo", "hi", F.posexplode_outer(parts).alias("place", "token"))
+    tokens = tokens.select("kind", "lo", "hi", "place", F.when(F.col("token") != FIELD, F.xxhash64("leaf", "place", "token")).alias("slot"))
     constants = stage(tokens.filter("slot IS NOT NULL").groupBy("slot").agg((F.min("lo") < F.max("hi")).alias("w")).filter("w").select("slot"), "constants")
     marked = tokens.join(constants.withColumn("constant", F.lit(1)), "slot", "left").withColumn("constant", F.coalesce("constant", F.lit(0)))
-    behind = F.when((F.col("place") >= lead) | F.col("short"), F.col("constant"))
+    behind = F.when(F.col("place") >= lead, F.col("constant"))
+    share = lambda of: 100 * F.sum(of) >= constant_percent * F.count(of)
     fields = marked.groupBy("kind").agg(
-        (100 * F.sum(behind) >= constant_percent * F.count(behind)).alias("fits"), F.sort_array(F.collect_list(2 * F.col("place") + F.col("constant"))).alias("flags"))
+        F.when(F.count("place") > lead, share(behind)).otherwise(share(F.col("constant"))).alias("fits"), F.sort_array(F.collect_list(2 * F.col("place") + F.col("constant"))).alias("flags"))
     general = F.array_join(F.zip_with(parts, "flags", lambda token, flag: F.when(flag % 2 == 1, token).otherwise(FIELD)), " ")
-    rear = F.when(short, parts).otherwise(F.slice(parts, lead + 1, F.length("masked")))
+    rear = F.when(F.size(parts) <= lead, parts).otherwise(F.slice(parts, lead + 1, F.length("masked")))
     alone = 100 * F.size(F.filter(rear, lambda token: token != FIELD)) >= constant_percent * F.size(rear)
     templates = stage(kinds.join(fields, "kind", "left").select(
         "leaf", "masked", "lo", "hi", F.when(F.col("fits"), general).otherwise(F.col("masked")).alias("template"),
