@@ -1,6 +1,7 @@
 """Invariants of replay, snapshots and streams."""
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from changeflow.operators import apply, image, lob, position as pos
@@ -9,7 +10,7 @@ from changeflow.plans.state_queries import COLUMNS, PK
 from changeflow.session import shared_dir
 from changeflow.sources import snapshot as snap
 from changeflow.sources.changelog import changelog_read, changelog_write
-from changeflow.streaming import sinks, stateful
+from changeflow.streaming import sinks, stateful, store
 
 
 def state(df):
@@ -84,6 +85,99 @@ def test_order_guard_over_batches(spark):
     }
 
 
+def test_readers_see_committed_batches_only(spark):
+    """A batch that fails half-way leaves files and no record; one that runs again after its commit changes nothing."""
+    src, out, progress = (shared_dir(spark, n) for n in ("src", "out", "progress"))
+
+    def put(*xs):
+        for x in xs:
+            spark.createDataFrame([(x,)], "x long").coalesce(1).write.mode("append").parquet(src)
+
+    def run(broken=None):
+        stream = spark.readStream.schema("x long").parquet(src)
+        x = F.when(F.col("x") == broken, F.raise_error(F.lit("lost"))).otherwise(F.col("x")) if broken else F.col("x")
+        sinks.write_changes(stream.select(x.cast("long").alias("x")), out, progress, available_now=True).awaitTermination()
+
+    def seen(**kw):
+        return sorted((r["x"], r["batch_id"]) for r in sinks.read_changes(spark, out, **kw).collect())
+
+    put(1, 2)
+    run()
+    put(3, 4)
+    with pytest.raises(StreamingQueryException):
+        run(broken=4)
+    files = store.Files(spark, out)
+    assert files.exists(f"{out}/batch_id=1") and seen() == [(1, 0), (2, 0)]
+    run()
+    whole = [(1, 0), (2, 0), (3, 1), (4, 1)]
+    assert seen() == whole and seen(below=1) == whole[:2]
+    folders = store.Commits(spark, out).folders()
+    files.remove(f"{progress}/commits/1")
+    run()
+    assert seen() == whole and store.Commits(spark, out).folders() == folders
+    with pytest.raises(StreamingQueryException, match="another query"):
+        progress = shared_dir(spark, "progress")
+        run()
+    assert seen() == whole
+
+
+def test_readers_before_the_first_batch(spark, log):
+    """The tables are there, and empty."""
+    src = shared_dir(spark, "none")
+    log.limit(0).write.parquet(src)
+    for read, start in (
+        (sinks.read_changes, sinks.write_changes),
+        (sinks.read_state, lambda s, out, p, **kw: sinks.current_state_stream(s, PK, out, p, **kw)),
+        (sinks.read_guarded, lambda s, out, p, **kw: sinks.order_guard(s, ["table_name"], out, shared_dir(spark, "marks"), p, **kw)),
+    ):
+        out = shared_dir(spark, "out")
+        with pytest.raises(ValueError, match="no stream"):
+            read(spark, out)
+        start(spark.readStream.schema(log.schema).parquet(src), out, shared_dir(spark, "progress"), available_now=True).awaitTermination()
+        assert read(spark, out).count() == 0
+
+
+def test_records_fold(spark, monkeypatch):
+    """The folders of many batches come from few records."""
+    monkeypatch.setattr(store, "FOLD", 3)
+    commits = store.Commits(spark, shared_dir(spark, "records"))
+    for n in range(8):
+        commits.add(n, "q", f"f{n}")
+    opened = []
+    get = commits.get
+    monkeypatch.setattr(commits, "get", lambda n: opened.append(n) or get(n))
+    assert commits.folders() == [f"f{n}" for n in range(8)] and opened == [7, 6]
+    assert commits.folders(below=4) == ["f0", "f1", "f2", "f3"]
+
+
+def test_state_buckets(spark, log, want):
+    """Ten batches, each of which folds two of eight buckets: equal to batch, old folders go, an old version can be read, and a
+    batch of one key reads one bucket."""
+    src, path, progress = (shared_dir(spark, n) for n in ("src", "state", "progress"))
+    log.repartition(10).write.parquet(src)
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    sinks.current_state_stream(stream, PK, path, progress, compact_every=4, available_now=True, buckets=8, retain=3).awaitTermination()
+    assert state(sinks.read_state(spark, path)) == want
+    commits = store.Commits(spark, path)
+    ids = commits.ids()
+    last = commits.get(ids[-1])["tables"]["rows"]
+    assert ids == [7, 8, 9] and last["upto"] == [8, 9, 6, 7, 8, 9, 6, 7] and set(last["deltas"]) == {"7", "8", "9"}
+    named = {f.split("/")[2] for n in ids for f in commits.get(n)["tables"]["rows"]["deltas"].values()}
+    assert set(commits.files.names(f"{path}/rows/delta")) == named
+    older = apply.typed(sinks.read_state(spark, path, below=ids[-1]), COLUMNS)
+    assert 0 < older.count() <= log.count()
+
+    schema = commits.schema()["rows"].dataType
+    table = store.BucketTable(commits, "rows", [*apply.TABLE, "key"], schema, apply.latest_rows, 8, 4)
+    whole = table.parts(last)
+    one = spark.createDataFrame(whole.take(1), whole.schema)
+    assert len(table.touched(one)) == 1
+    part = table.parts(last, table.touched(one))
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "__bucket" in plan.split("PartitionFilters")[1].split("]")[0]
+    assert 0 < part.select("key").distinct().count() < whole.select("key").distinct().count()
+
+
 def test_lob_stream_holds_open_objects(spark):
     src = shared_dir(spark, "src")
     cols = "event_id long, col string, type_name string, seq int, bytes binary, is_end boolean, out_row_cols int, commit_ts timestamp"
