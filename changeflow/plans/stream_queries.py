@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from changeflow.operators import apply
 from changeflow.plans import fixtures as fx
-from changeflow.plans.registry import CHG, STATE, query
+from changeflow.plans.registry import CHG, STATE, query, state_at
 from changeflow.plans.state_queries import COLUMNS, PK
 from changeflow.session import shared_dir
 from changeflow.sources.changelog import changelog_read, changelog_stream, changelog_write
@@ -63,6 +63,27 @@ def order_guard_q(spark, d):
     return rows.groupBy("dml").agg(F.count_if(~F.col("late")).alias("passed"), F.count_if("late").alias("late"))
 
 
+def in_batches(spark, d, n: int = 5) -> DataFrame:
+    """The order log as a stream of ``n`` micro-batches along its positions and one more that delivers records again."""
+    log, path = fx.order_log(spark, d), shared_dir(spark, "batches")
+    part = F.when(F.col("redelivery") == 1, n).otherwise(F.least(F.floor((F.col("position_scn") - 10_000_000) * n / 45_000_000), F.lit(n - 1)))
+    dealt = log.withColumn("part", part.cast("int"))
+    dealt.repartitionByRange(n + 1, "part").write.partitionBy("part").parquet(path)
+    for i in range(n + 1):  # files are taken in the order of their times
+        spark.read.schema(log.schema).parquet(f"{path}/part={i}").coalesce(1).write.mode("append").parquet(f"{path}-ordered")
+    return spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}-ordered")
+
+
+@query("order_guard_stream_batches", CHG + """
+SELECT scn, dml, coalesce(b_k, a_k) AS k, redelivery=1 AS late FROM chg""")
+def order_guard_batches(spark, d):
+    """Six micro-batches; the last one delivers records of all others again, all of them late."""
+    stream = in_batches(spark, d).withColumn("k", F.coalesce(F.col("before")["k"], F.col("after")["k"]).cast("long"))
+    out, state, progress = (shared_dir(spark, n) for n in ("out", "marks", "progress"))
+    sinks.order_guard(stream, ["k"], out, state, progress, compact_every=2, available_now=True).awaitTermination()
+    return sinks.read_guarded(spark, out).select(F.col("position_scn").alias("scn"), "dml", "k", "late")
+
+
 @query("assemble_lobs_stream", "SELECT doc_id AS event_id, text FROM documents")
 def assemble_lobs_stream_q(spark, d):
     docs = fx.stream_table(spark, d, "documents")
@@ -97,6 +118,22 @@ def current_state_stream_q(spark, d):
     return apply.typed(sinks.read_state(spark, path), COLUMNS)
 
 
+@query("current_state_stream_batches", STATE)
+def current_state_batches(spark, d):
+    """Six micro-batches, buckets folded in turn."""
+    path, state = shared_dir(spark, "state"), shared_dir(spark, "progress")
+    sinks.current_state_stream(in_batches(spark, d), PK, path, state, compact_every=3, available_now=True, retain=2).awaitTermination()
+    return apply.typed(sinks.read_state(spark, path), COLUMNS)
+
+
+@query("current_state_stream_version", state_at(36_999_999))
+def current_state_version(spark, d):
+    """An older version of the table content: three of six micro-batches, the log below SCN 37,000,000."""
+    path, state = shared_dir(spark, "state"), shared_dir(spark, "progress")
+    sinks.current_state_stream(in_batches(spark, d), PK, path, state, compact_every=2, available_now=True).awaitTermination()
+    return apply.typed(sinks.read_state(spark, path, below=3), COLUMNS)
+
+
 @query("write_changes", CHG + "SELECT scn, count(*) AS n FROM chg GROUP BY scn")
 def write_changes_q(spark, d):
     """Runs the same stream into the same place twice; nothing is added the second time."""

@@ -84,12 +84,12 @@ def progress_rows(stream: DataFrame, path: str, checkpoint: str, available_now:
 
 def order_guard(
     stream: DataFrame, key: list[str], path: str, state: str, checkpoint: str, compact_every: int = 50,
-    available_now: bool = False, buckets: int = 64,
+    available_now: bool = False, buckets: int = 16,
 ) -> StreamingQuery:
     """Deliver rows above the highest applied position of their key; rows at or below it, and copies inside a batch, go to
     the partition ``late=true`` of the same batch folder. A key with a null in it has no mark.
 
-    The marks are a table in hash buckets below ``state``, of which a batch reads those that its keys fall into, and folds
+    The marks are a table in hash buckets below ``state`` (more ``buckets`` for more keys: one is folded as a whole), of which a batch reads those that its keys fall into, and folds
     those whose turn it is. It is joined to each batch: a hot key is a skewed join that adaptive execution splits, and few
     keys are a broadcast. Python sees no rows.
     """
@@ -106,7 +106,10 @@ def order_guard(
         spark = batch.sparkSession
         kept = State(Commits(spark, state), [BucketTable(Commits(spark, state), "marks", key, schema, fold, buckets, compact_every)])
         marks = kept.tables[0]
-        known = fold(marks.parts(kept.version(marks, below=batch_id), marks.touched(batch)))
+        version = kept.version(marks, below=batch_id)
+        if version:
+            batch.persist()  # read for its buckets, and for its rows
+        known = fold(marks.parts(version, marks.touched(batch) if version else None))
         copies = Window.partitionBy("lcr_type", "dml", "schema_name", "table_name", *POSITION_FIELDS).orderBy(*key)
         old = F.coalesce(position() <= F.col("applied_pos"), F.lit(False))
         rows = batch.withColumn("__copy", F.row_number().over(copies)).join(known, key, "left")
@@ -114,6 +117,7 @@ def order_guard(
         rows.write.partitionBy("late").parquet(folder)
         # only keys and positions are read back
         kept.advance(batch_id, query_id(spark, checkpoint), {"marks": applied(spark.read.schema(batch.schema).parquet(folder))})
+        batch.unpersist()
 
     Commits(stream.sparkSession, path).begin(StructType([*stream.schema, StructField("late", BooleanType())]))
     return _start(stream.writeStream.foreachBatch(_committed(path, checkpoint, write)), checkpoint, available_now)
@@ -140,7 +144,7 @@ def _content(commits: Commits, rows: StructType, floors: StructType, buckets: in
 
 def current_state_stream(
     stream: DataFrame, pk: Key, path: str, checkpoint: str, compact_every: int = 50, available_now: bool = False,
-    buckets: int = 64, retain: int = 10,
+    buckets: int = 16, retain: int = 10,
 ) -> StreamingQuery:
     """Keep the content of the captured tables below ``path``.
 

@@ -143,7 +143,7 @@ class BucketTable:
 
     ``fold`` makes one row per key of many. A batch adds a delta of its own rows and folds those buckets whose turn it is, each
     of them once in ``period`` batches, so a batch neither reads nor writes the whole table and no bucket has more than
-    ``period`` deltas. A version is a small dict: the deltas, the bases, and the batch up to which each bucket is folded.
+    ``2 * period`` deltas. A version is a small dict: the deltas, the bases, and the batch up to which each bucket is folded.
     """
 
     commits: Commits
@@ -151,7 +151,7 @@ class BucketTable:
     key: list[str]
     schema: StructType
     fold: Callable[[DataFrame], DataFrame]
-    buckets: int = 64
+    buckets: int = 16
     period: int = 50
 
     EMPTY = {"deltas": {}, "bases": {}, "upto": None}
@@ -190,7 +190,8 @@ class BucketTable:
         if len(upto) != self.buckets:
             raise ValueError(f"{self.commits.path}/{self.name} has {len(upto)} buckets")
         new = {"deltas": {**version["deltas"], str(batch_id): self._write(rows, "delta", batch_id)}, "bases": dict(version["bases"]), "upto": upto}
-        turn = [b for b in range(self.buckets) if b % self.period == batch_id % self.period]
+        # a first delta of one row per key is folded already
+        turn = [b for b in range(self.buckets) if b % self.period == batch_id % self.period] if version["upto"] or self.period == 1 else []
         if turn:
             new["bases"][str(batch_id)] = self._write(self.fold(self.parts(new, turn)), "base", batch_id)
             for b in turn:
