@@ -314,6 +314,33 @@ for _mode, _state, _snap, _log in (
         return events.agg(F.count_if(F.col("op") == "r").alias("snapshot_rows"), F.count_if(F.col("op") != "r").alias("log_rows"))
 
 
+STRUCTURE = """SELECT 'schema' AS op, 'k bigint' AS what, CAST(1 AS BIGINT) AS n UNION ALL SELECT 'schema', 'st string', 2
+ UNION ALL SELECT 'schema', 'p double', 3 UNION ALL SELECT 'schema', 'pr string', 4"""
+EVENTS = """ UNION ALL SELECT CASE dml WHEN 'INSERT' THEN 'c' WHEN 'UPDATE' THEN 'u' ELSE 'd' END, CAST(scn AS STRING), count(*) FROM chg WHERE scn>={} GROUP BY dml, scn"""
+
+for _name, _mode, _state, _from in (
+    ("capture_structure_no_data", "no_data", {}, FLASH + 1),
+    ("capture_structure_recovery", "recovery", {"offset_scn": OFFSET, "snapshot_done": True, "history_exists": False}, OFFSET),
+):
+
+    @query(_name, CHG + STRUCTURE + EVENTS.format(_from))
+    def capture_structure(spark, d, mode=_mode, state=_state):
+        """Structure first, no table rows, then every event of the log."""
+        log, orders = fx.order_log(spark, d), fx.order_snapshot(spark, d, FLASH)
+        events = snap.capture(
+            mode,
+            lambda scn: snap.read_events(orders, "S1.ORDERS", scn, _ts()),
+            lambda scn: image.map_op(log.filter(F.col("position_scn") >= scn)),
+            FLASH,
+            structure=lambda scn: snap.structure_rows(orders, "S1.ORDERS", scn, _ts()),
+            **state,
+        )
+        columns = events.filter("op = 'schema'").select("op", F.posexplode("structure").alias("at", "c"))
+        columns = columns.select("op", F.concat_ws(" ", "c.name", "c.type_name").alias("what"), (F.col("at") + 1).cast("long").alias("n"))
+        rows = events.filter("op <> 'schema'").groupBy("op", F.col("position_scn").cast("string").alias("what")).agg(F.count("*").alias("n"))
+        return columns.unionByName(rows)
+
+
 @query(
     "snapshot_progress",
     """SELECT 'ORDERS' AS table_name, (SELECT count(*) FROM orders) AS rows, (SELECT (count(*)+999)//1000 FROM orders) AS chunks, CAST(0 AS BIGINT) AS remaining_chunks

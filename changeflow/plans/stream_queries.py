@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from changeflow.operators import apply
 from changeflow.plans import fixtures as fx
-from changeflow.plans.registry import CHG, STATE, query, state_at
-from changeflow.plans.state_queries import COLUMNS, PK
+from changeflow.plans.registry import CHG, ORACLES, STATE, query, state_at
+from changeflow.plans.state_queries import COLUMNS, PK, RESUME
 from changeflow.session import shared_dir
 from changeflow.sources.changelog import changelog_read, changelog_stream, changelog_write
 from changeflow.streaming import sinks, stateful
@@ -48,6 +48,13 @@ def changelog_stream_q(spark, d):
     return rows.groupBy("lcr_type", "dml").agg(F.count("*").alias("n"))
 
 
+@query("changelog_stream_from", ORACLES["resume_filter"])
+def changelog_stream_from(spark, d):
+    """A first run that starts at a stored position."""
+    rows = run(changelog_stream(spark, stored_log(spark, d), from_pos=RESUME, files_per_trigger=4))
+    return rows.groupBy("lcr_type", "dml").agg(F.count("*").alias("n"), F.min("position_scn").alias("lo"))
+
+
 @query("dedup_stream", CHG + "SELECT dml, count(*) AS n FROM chg WHERE redelivery=0 GROUP BY dml")
 def dedup_stream_q(spark, d):
     rows = run(stateful.dedup_stream(fx.order_log_stream(spark, d), "4000 days"))

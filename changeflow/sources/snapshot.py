@@ -109,12 +109,15 @@ def capture(
     log_from: Callable[[int], DataFrame],
     flash_scn: int,
     offset_scn: int | None = None,
+    structure: Callable[[int], DataFrame] | None = None,
     **state: bool,
 ) -> DataFrame | None:
-    """The events a run in ``mode`` delivers: snapshot as of F, then the log from F+1, or the log
-    from the stored position. None when the mode has nothing to do."""
+    """The events a run in ``mode`` delivers: table structure as of F (if ``structure`` gives it, see ``structure_rows``),
+    snapshot as of F, then the log from F+1, or the log from the stored position. None when the mode has nothing to do."""
     plan = phases(mode, has_offset=offset_scn is not None, **state)
     out = []
+    if plan["schema"] and structure is not None:
+        out.append(structure(flash_scn))
     if plan["data"]:
         out.append(snapshot(flash_scn))
     if plan["stream"]:
@@ -125,6 +128,16 @@ def capture(
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), out)
 
 
+def structure_rows(df: DataFrame, name: str, scn: int, ts: Column) -> DataFrame:
+    """The structure of one table as one row ``op='schema'`` with its columns in order. Rows of the table are not read."""
+    schema_name, table = name.split(".", 1)
+    fields = [F.struct(F.lit(f.name).alias("name"), F.lit(f.dataType.simpleString()).alias("type_name"), F.lit(f.nullable).alias("nullable")) for f in df.schema]
+    return df.sparkSession.range(1).select(
+        F.lit("schema").alias("op"), F.lit(schema_name).alias("schema_name"), F.lit(table).alias("table_name"),
+        F.lit(scn).cast("long").alias("position_scn"), ts.alias("commit_ts"), F.array(*fields).alias("structure"),
+    )
+
+
 def on_demand_snapshot(signals: DataFrame, tables: dict[str, DataFrame], scn: int, ts: Column) -> DataFrame | None:
     """Fresh read events of just the signalled tables; their SCN supersedes older rows."""
     wanted = {n.upper(): n for n in tables}
