@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -31,19 +33,18 @@ def keyset_chunks(df: DataFrame, key: Sequence[str], n: int, parts: int | None =
     """Exact chunks of ``n`` rows in key order as ``chunk_id``.
 
     Keys are cut into ranges; rows are numbered inside each range and shifted by the rows of the
-    ranges before (one row per range, so the shift is broadcast). No window spans the table.
+    ranges before. These are counted first, at most one number per cut point, and are literals of
+    the plan like the cut points: a join of the table with its own ranges is not planned reliably
+    and would wait for a broadcast. No window spans the table.
     """
     cuts = range_cuts(df, key, parts)
     ranged = df.withColumn(RANGE, cuts.range_id())
     inside = Window.partitionBy(RANGE).orderBy(*key)
-    sizes = ranged.groupBy(RANGE).agg(F.count("*").alias("n"))
-    # a window over at most one row per cut point
-    before = Window.partitionBy(F.lit(0)).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
-    shift = sizes.select(RANGE, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__before"))
-    numbered = ranged.withColumn("__rn", F.row_number().over(inside).cast("long")).join(F.broadcast(shift), RANGE)
-    return numbered.withColumn(
-        "chunk_id", F.floor((F.col("__before") + F.col("__rn") - 1) / n).cast("long")
-    ).drop("__rn", "__before", RANGE)
+    sizes = dict(ranged.groupBy(RANGE).agg(F.count("*").alias("n")).collect())
+    before = list(accumulate((sizes.get(i, 0) for i in range(len(cuts.rows))), initial=0))
+    shift = F.get(F.from_json(F.lit(json.dumps(before)), "array<bigint>"), F.col(RANGE))
+    numbered = ranged.withColumn("__rn", F.row_number().over(inside).cast("long"))
+    return numbered.withColumn("chunk_id", F.floor((shift + F.col("__rn") - 1) / n).cast("long")).drop("__rn", RANGE)
 
 
 def chunk_bounds(chunks: DataFrame, key: Sequence[str]) -> DataFrame:
