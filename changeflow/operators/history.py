@@ -225,10 +225,21 @@ def _scn_of(order: Column) -> Column:
     return F.substring(order, 1, SCN_DIGITS).cast(f"decimal({SCN_DIGITS},0)")
 
 
-#: up to this many changes any window over them fits one task
+#: up to this many changes a window over them fits one task
 SMALL = 1_000_000
 
 
+def _largest(rows: DataFrame, by: list[str]) -> int:
+    """Rows of the largest group, counted before the shuffle."""
+    return rows.groupBy(*by).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+
+
+def _search(fits: bool) -> dict:
+    """How the windows and as-of joins work: no search for hot keys where each group has been counted to fit one task. A
+    search computes its input once more, and the sample goes to the driver."""
+    return {"parts": 0, "small_limit": 0} if fits else {"parts": None, "small_limit": None}
+
+
 def _segments(events: DataFrame, scope: list[str], name: str, parts: int | None) -> DataFrame:
     """Lives of names. ``events``: scope, name, new_name, ord, act in open / close / move.
 
@@ -274,8 +285,9 @@ def _segments(events: DataFrame, scope: list[str], name: str, parts: int | None)
         segs = cut_lineage(segs.join(up, "root", "left").withColumn("root", F.coalesce("up", "root")).drop("up"))
 
 
-def _text(key: Column) -> Column:
-    return F.to_json(key)
+def _name(key: Column) -> Column:
+    """128 bits that name a life; as text it would be most of every row, since a column's key holds its table's."""
+    return F.unhex(F.md5(F.to_json(key)))
 
 
 def schema_timeline(changes: DataFrame, captured: DataFrame | None = None, with_comments: bool = True) -> DataFrame:
@@ -288,9 +300,10 @@ def schema_timeline(changes: DataFrame, captured: DataFrame | None = None, with_
         keep, _ = broadcast_if_small(captured.select(*TABLE).distinct())
         changes = changes.join(keep, TABLE, "left_semi")
     changes = cut_lineage(changes.withColumn("ord", _ord(F.col("seq"))))
-    # counted, not assumed: few changes need no search for hot keys
-    parts, small = (0, 0) if changes.count() <= SMALL else (None, None)
-    how = {"parts": parts, "small_limit": small}
+    # counted, not assumed: few changes, or few of each table, need no search for hot keys. A rename counts for both names
+    few = changes.count() <= SMALL
+    moved_to = changes.filter(F.col("action") == "rename-table").select("schema_name", F.col("new_name").alias("table_name"))
+    how = _search(few or _largest(changes.select(*TABLE).unionByName(moved_to), TABLE) <= SMALL)
 
     act = (
         F.when(F.col("action") == "create", "open")
@@ -301,11 +314,11 @@ def schema_timeline(changes: DataFrame, captured: DataFrame | None = None, with_
         changes.select(*TABLE, "new_name", "ord", act.alias("act")).filter(F.col("act").isNotNull()),
         ["schema_name"],
         "table_name",
-        parts,
+        how["parts"],
     )
     lives = tables.select(
         *TABLE, "from_ord", F.col("to_ord").alias("table_to"), F.col("from_ord").alias("opened"), "moved",
-        _text(F.col("root")).alias("table_root"),
+        _name(F.col("root")).alias("table_root"),
     )
     inner = changes.filter(~F.col("action").isin("create", "drop-table", "rename-table", "reread"))
     # the items of a create statement count only if the create did
@@ -315,17 +328,19 @@ def schema_timeline(changes: DataFrame, captured: DataFrame | None = None, with_
     alive = F.col("table_root").isNotNull() & (F.col("table_to").isNull() | (F.col("ord") < F.col("table_to")))
     own = F.col("in_create").isNull() | (F.col("opened") == _ord(F.lit(0)))
     placed = cut_lineage(placed.filter(alive & own).drop("opened", "table_to", "in_create"))
+    # renames may have joined the changes of many names
+    how = _search(few or _largest(placed, ["table_root"]) <= SMALL)
 
     act = F.when(F.col("action") == "add", "open").when(F.col("action") == "drop", "close").when(F.col("action") == "rename", "move")
     columns = _segments(
         placed.select("table_root", "column_name", "new_name", "ord", act.alias("act")).filter(F.col("act").isNotNull()),
         ["table_root"],
         "column_name",
-        parts,
+        how["parts"],
     )
     col_lives = columns.select(
         "table_root", "column_name", F.col("from_ord").alias("col_from"), F.col("to_ord").alias("col_to"),
-        _text(F.col("root")).alias("column_root"), F.col("root.ord").alias("column_ord"),
+        _name(F.col("root")).alias("column_root"), F.col("root.ord").alias("column_ord"),
     )
     # attributes: from add and modify, comments on their own
     attrs = placed.filter(F.col("action").isin("add", "modify") | ((F.col("action") == "comment") & F.col("column_name").isNotNull()))
@@ -342,7 +357,7 @@ def schema_timeline(changes: DataFrame, captured: DataFrame | None = None, with_
         defined.alias("def"), F.col("comment").alias("note"), F.lit(False).alias("ends"),
     ).unionByName(
         columns.select(
-            "table_root", _text(F.col("root")).alias("column_root"), F.col("root.ord").alias("column_ord"),
+            "table_root", _name(F.col("root")).alias("column_root"), F.col("root.ord").alias("column_ord"),
             F.col("from_ord").alias("ord"), F.col("column_name").alias("name"),
             F.lit(None).cast("struct<type_text:string,nullable:boolean,default_text:string>").alias("def"),
             F.lit(None).cast("string").alias("note"), F.lit(False).alias("ends"),
@@ -354,7 +369,7 @@ def schema_timeline(changes: DataFrame, captured: DataFrame | None = None, with_
         columns.filter(F.col("to_ord").isNotNull())
         .join(next_life, ["table_root", "to_ord"], "left_anti")
         .select(
-            "table_root", _text(F.col("root")).alias("column_root"), F.col("root.ord").alias("column_ord"),
+            "table_root", _name(F.col("root")).alias("column_root"), F.col("root.ord").alias("column_ord"),
             F.col("to_ord").alias("ord"), F.lit(True).alias("ends"),
         )
     )
@@ -362,11 +377,11 @@ def schema_timeline(changes: DataFrame, captured: DataFrame | None = None, with_
     same = points.groupBy("table_root", "column_root", "column_ord", "ord").agg(
         F.max("name").alias("name"), F.max("def").alias("def"), F.max("note").alias("note"), F.max("ends").alias("ends")
     )
-    states = carry_in_group(same, ["column_root"], ["ord"], {"name": "name", "def": "def", "note": "note"}, parts)
-    states = lead_in_group(states, ["column_root"], ["ord"], "ord", "to_ord", parts).filter(~F.coalesce("ends", F.lit(False)))
+    states = carry_in_group(same, ["column_root"], ["ord"], {"name": "name", "def": "def", "note": "note"}, how["parts"])
+    states = lead_in_group(states, ["column_root"], ["ord"], "ord", "to_ord", how["parts"]).filter(~F.coalesce("ends", F.lit(False)))
     # a column state is split where its table changes name
     spans = tables.select(
-        "schema_name", "table_name", _text(F.col("root")).alias("table_root"), F.col("from_ord").alias("t_from"), F.col("to_ord").alias("t_to")
+        "schema_name", "table_name", _name(F.col("root")).alias("table_root"), F.col("from_ord").alias("t_from"), F.col("to_ord").alias("t_to")
     )
     far = F.lit(AFTER)
     lo = F.greatest("ord", "t_from")
@@ -416,11 +431,13 @@ def schema_versions(changes: DataFrame, timeline: DataFrame) -> DataFrame:
     """One row per table and SCN (a decimal, of any size) at which its structure changed, with the column names then valid.
 
     Only the columns of a version leave the join; a version whose table has none, as after a drop, has an empty list.
+    The timeline is read three times, so its names and ranges are written once.
     """
+    timeline = cut_lineage(timeline.select(*TABLE, "column_ord", "column_name", "from_ord", "to_ord"))
     starts = timeline.select(*TABLE, _scn_of(F.col("from_ord")).alias("version_scn"))
     ends = timeline.filter(F.col("to_ord").isNotNull()).select(*TABLE, _scn_of(F.col("to_ord")).alias("version_scn"))
     versions = starts.unionByName(ends).distinct().withColumn("__at", F.concat(_scn_key(F.col("version_scn")), F.lit(AFTER)))
-    v, c = versions.alias("v"), timeline.select(*TABLE, "column_ord", "column_name", "from_ord", "to_ord").alias("c")
+    v, c = versions.alias("v"), timeline.alias("c")
     valid = (F.col("c.from_ord") <= F.col("v.__at")) & (F.col("c.to_ord").isNull() | (F.col("c.to_ord") > F.col("v.__at")))
     same = (F.col("v.schema_name") == F.col("c.schema_name")) & (F.col("v.table_name") == F.col("c.table_name"))
     found = v.join(c, same & valid, "left").groupBy("v.schema_name", "v.table_name", "v.version_scn").agg(
@@ -433,9 +450,10 @@ def schema_versions(changes: DataFrame, timeline: DataFrame) -> DataFrame:
 def schema_at_event(events: DataFrame, versions: DataFrame, **how) -> tuple[DataFrame, DataFrame]:
     """Events with the table's columns as of their position, and the tables no version exists for.
 
-    Positions are long integers, so versions beyond them come after every event.
+    Positions are long integers, so versions beyond them come after every event. The versions are counted, searched for hot
+    tables and joined, so they are written once.
     """
-    reached = versions.filter(F.col("version_scn") <= F.lit(2**63 - 1)).withColumn("version_scn", F.col("version_scn").cast("long"))
+    reached = cut_lineage(versions.filter(F.col("version_scn") <= F.lit(2**63 - 1)).withColumn("version_scn", F.col("version_scn").cast("long")))
     joined = asof_join(events, reached.withColumn("from_scn", F.col("version_scn")), TABLE, "position_scn", "from_scn", ["version_scn", "columns"], **how)
     missing = joined.filter(F.col("version_scn").isNull()).groupBy(*TABLE).agg(F.count("*").alias("events"))
     return joined.filter(F.col("version_scn").isNotNull()), missing

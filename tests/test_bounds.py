@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from changeflow.operators import history, ranges
 from changeflow.sources import keyset
 
 
@@ -18,3 +19,37 @@ def test_chunks_do_not_join_the_table_with_its_ranges(spark):
     sizes = keyset.keyset_chunks(rows, ["maybe"], 300, parts=13).groupBy("chunk_id").count().collect()
     assert sorted((r["chunk_id"], r["count"]) for r in sizes) == [(i, 300 if i < 16 else 200) for i in range(17)]
     assert keyset.keyset_chunks(rows.limit(0), ["k"], 300).count() == 0
+
+
+def test_timeline_of_many_small_tables_takes_no_sample(spark, monkeypatch):
+    """More changes than fit one task, but few of each table: nothing is searched for hot keys, and the result is the same."""
+    ddl = spark.range(40).select(
+        (F.col("id") % 8 * 100 + F.col("id")).alias("scn"), F.lit("S").alias("schema_name"),
+        F.concat(F.lit("CREATE TABLE T"), F.col("id"), F.lit(" (A INT PRIMARY KEY, B INT)")).alias("ddl_text"),
+    )
+    moves = spark.range(40).filter("id % 4 = 1").select(
+        (F.col("id") + 5_000).alias("scn"), F.lit("S").alias("schema_name"),
+        F.concat(F.lit("ALTER TABLE T"), F.col("id"), F.lit(" RENAME TO R"), F.col("id")).alias("ddl_text"),
+    )
+    changes = history.column_changes(ddl.unionByName(moves))
+    want = sorted(tuple(r) for r in history.fold_schema(history.schema_timeline(changes)).collect())
+    assert len(want) == 80 and {r[1] for r in want} == {f"{'R' if i % 4 == 1 else 'T'}{i}" for i in range(40)}
+    monkeypatch.setattr(history, "SMALL", 50)
+    samples = []
+    monkeypatch.setattr(ranges, "_sample", lambda *a: samples.append(a) or [])
+    timeline = history.schema_timeline(changes)
+    assert sorted(tuple(r) for r in history.fold_schema(timeline).collect()) == want
+    assert not samples
+    # one table with more changes than that is searched
+    monkeypatch.setattr(history, "SMALL", 2)
+    history.schema_timeline(changes)
+    assert samples
+
+
+def test_versions_read_the_timeline_once(spark):
+    """Starts, ends and columns come from one written table, not from three runs of the whole timeline."""
+    ddl = spark.createDataFrame([(1, "S", "CREATE TABLE T (A INT)"), (2, "S", "ALTER TABLE T ADD COLUMN B INT")], "scn long, schema_name string, ddl_text string")
+    changes = history.column_changes(ddl)
+    versions = history.schema_versions(changes, history.schema_timeline(changes))
+    assert "Window" not in plan_of(versions)
+    assert sorted((int(r["version_scn"]), r["columns"]) for r in versions.collect()) == [(1, ["A"]), (2, ["A", "B"])]
