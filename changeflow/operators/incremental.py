@@ -7,11 +7,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from changeflow.operators.apply import TABLE, change_events, scn_position
-from changeflow.session import broadcast_if_small
+from changeflow.session import broadcast_if_small, cut_lineage
 from changeflow.sources.keyset import chunk_bounds, keyset_chunks
 from changeflow.sources.signals import signal_read
 
 
+#: rows of a plan that one task puts out
+PLAN_ROWS = 2_000_000
 #: positions of a key that are folded into one row; a wider bucket would make longer lists of one hot key
 SCN_BUCKET = 1 << 16
 
@@ -20,12 +22,13 @@ def chunk_plan(signals: DataFrame, tables: dict[str, tuple[DataFrame, list[str]]
     """Requested tables x chunks of ``n`` rows: signal id, table, condition, chunk bounds.
 
     ``tables``: name -> (frame, key columns). Equal requests share one chunking. Key bounds are
-    returned as JSON, since key types differ by table.
+    returned as JSON, since key types differ by table. A result has a row per request and chunk, while few
+    tables and conditions tell requests apart: the requests are dealt out, and the chunks go to each task.
     """
     wanted = {t.upper(): t for t in tables}
     asked = signal_read(signals, "incremental").filter(F.col("table").isin(*wanted))
     # one entry per distinct condition an operator wrote for a known table
-    kinds = asked.select("table", "condition").distinct().collect()
+    kinds = asked.groupBy("table", "condition").agg(F.count("*").alias("requests")).collect()
     plans = []
     for r in kinds:
         df, key = tables[wanted[r["table"]]]
@@ -39,9 +42,13 @@ def chunk_plan(signals: DataFrame, tables: dict[str, tuple[DataFrame, list[str]]
         )
     if not plans:
         return asked.join(asked.select("id").limit(0), "id", "left_semi")
-    plan = reduce(DataFrame.unionByName, plans)
-    ids = asked.select("id", "table", F.coalesce("condition", F.lit("")).alias("__c")).distinct()
-    return plan.withColumn("__c", F.coalesce("condition", F.lit(""))).join(ids, ["table", "__c"]).drop("__c")
+    plan = cut_lineage(reduce(DataFrame.unionByName, plans))
+    chunks = {(r["table"], r["condition"]): r["count"] for r in plan.groupBy("table", "condition").count().collect()}
+    size = sum(r["requests"] * chunks.get((r["table"], r["condition"]), 0) for r in kinds)
+    tasks = max(plan.sparkSession.sparkContext.defaultParallelism, -(-size // PLAN_ROWS))
+    ids = asked.select("id", "table", F.coalesce("condition", F.lit("")).alias("__c")).distinct().repartition(tasks)
+    small, _ = broadcast_if_small(plan.withColumn("__c", F.coalesce("condition", F.lit(""))))
+    return ids.join(small, ["table", "__c"]).select(*plan.columns, "id")
 
 
 def _in_window(low: str | int, high: str | int):
