@@ -15,15 +15,27 @@ def _utc(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp") for c in local}) if local else df
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """A file that gives fewer tasks than there are cores is dealt out; large tables are left alone."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+#: Rows of a stored table that one task takes. A row becomes several log records or chunks of many times its stored size, and
+#: a task sorts what it makes of its rows, so tasks are counted by rows and not by the bytes of the file.
+TASK_ROWS = 250_000
+DOCUMENT_ROWS = 10_000
+
+
+def _tasks(stored: DataFrame, name: str) -> int | None:
+    """Tasks to deal the rows to; none if the file gives as many by itself. Rows are counted from the file's footers."""
+    rows = stored.count()
+    want = max(stored.sparkSession.sparkContext.defaultParallelism, -(-rows // (DOCUMENT_ROWS if name == "documents" else TASK_ROWS)))
+    return want if stored.rdd.getNumPartitions() < want else None
+
+
+def _spread(df: DataFrame, tasks: int | None) -> DataFrame:
+    return df.repartition(tasks) if tasks else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return _spread(_utc(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))))
+    stored = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return _spread(_utc(stored), _tasks(stored, name))
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str, **options: str) -> DataFrame:
@@ -32,8 +44,6 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str, **options: str) ->
     path = os.path.join(sf_dir, f"{name}.parquet")
     stored = spark.read.parquet(path)
     reader = spark.readStream.schema(stored.schema).options(**options)
-    cores = spark.sparkContext.defaultParallelism
-    few = stored.rdd.getNumPartitions() < cores
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     fs = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if fs.getFileStatus(place).isDirectory():
@@ -41,7 +51,7 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str, **options: str) ->
     else:
         # a stream reads folders: the one file is picked out of its folder
         stream = reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
-    return _utc(stream.repartition(cores) if few else stream)
+    return _utc(_spread(stream, _tasks(stored, name)))
 
 
 def order_changes(orders: DataFrame) -> DataFrame:
