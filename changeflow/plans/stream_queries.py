@@ -11,6 +11,7 @@ from changeflow.plans.state_queries import COLUMNS, PK, RESUME
 from changeflow.session import shared_dir
 from changeflow.sources.changelog import changelog_read, changelog_stream, changelog_write
 from changeflow.streaming import sinks, stateful
+from changeflow.streaming.store import Files
 
 
 def run(stream: DataFrame, **kw) -> DataFrame:
@@ -70,15 +71,34 @@ def order_guard_q(spark, d):
     return rows.groupBy("dml").agg(F.count_if(~F.col("late")).alias("passed"), F.count_if("late").alias("late"))
 
 
+#: rows of a file that a stream reads; a task takes no more
+FILE_ROWS = 250_000
+
+
+def files_of_parts(dealt: DataFrame, n: int, path: str, rows: int = FILE_ROWS) -> int:
+    """Write the rows of ``part`` 0 to n-1 one after the other into ``path``, each part as the same number of files of about
+    ``rows`` rows: a stream that takes so many files a trigger has a micro-batch per part. Returns the number."""
+    spark, staged = dealt.sparkSession, f"{path}-parts"
+    dealt.write.partitionBy("part").parquet(staged)
+    parts = spark.read.schema(dealt.schema).parquet(staged)
+    files = max(1, -(-(parts.groupBy("part").count().agg(F.max("count")).first()[0] or 0) // rows))
+    plain = parts.drop("part")
+    here = Files(spark, path)
+    for i in range(n):  # files are taken in the order of their times
+        rows_of = parts.filter(F.col("part") == i).drop("part")
+        (rows_of.coalesce(1) if files == 1 else rows_of.repartition(files)).write.mode("append").parquet(path)
+        # a part of few rows has files without any
+        for _ in range((i + 1) * files - sum(name.endswith(".parquet") for name in here.names(path))):
+            plain.limit(0).coalesce(1).write.mode("append").parquet(path)
+    return files
+
+
 def in_batches(spark, d, n: int = 5) -> DataFrame:
     """The order log as a stream of ``n`` micro-batches along its positions and one more that delivers records again."""
     log, path = fx.order_log(spark, d), shared_dir(spark, "batches")
     part = F.when(F.col("redelivery") == 1, n).otherwise(F.least(F.floor((F.col("position_scn") - 10_000_000) * n / 45_000_000), F.lit(n - 1)))
-    dealt = log.withColumn("part", part.cast("int"))
-    dealt.repartitionByRange(n + 1, "part").write.partitionBy("part").parquet(path)
-    for i in range(n + 1):  # files are taken in the order of their times
-        spark.read.schema(log.schema).parquet(f"{path}/part={i}").coalesce(1).write.mode("append").parquet(f"{path}-ordered")
-    return spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}-ordered")
+    files = files_of_parts(log.withColumn("part", part.cast("int")), n + 1, path)
+    return spark.readStream.schema(log.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 @query("order_guard_stream_batches", CHG + """
@@ -111,9 +131,8 @@ def assemble_lobs_stream_batches(spark, d):
     both = chunks.unionByName(chunks.filter("seq % 4 = 1")).unionByName(begun)
     # the columns that never end come first: an event that has ended takes no more chunks
     part = F.when(F.col("col") == "BEGUN", 0).otherwise(1 + F.pmod(F.xxhash64("event_id", "seq"), F.lit(7)))
-    for i in range(8):
-        both.filter(part == i).coalesce(1).write.mode("append").parquet(path)
-    stream = spark.readStream.schema(both.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    files = files_of_parts(both.withColumn("part", part.cast("int")), 8, path, rows=100_000)
+    stream = spark.readStream.schema(both.schema).option("maxFilesPerTrigger", files).parquet(path)
     rows = run(stateful.assemble_lobs_stream(stream, "4000 days", 10**12))
     return rows.select("event_id", "text", "complete")
 
