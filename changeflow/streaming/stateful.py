@@ -74,7 +74,8 @@ _ASSEMBLED = T.StructType(
 
 class Assembler(StatefulProcessor):
     """Holds the chunks of one event until every column has ended. What a batch reads of the state are the marks, the places
-    of the chunks; the bytes are appended, and read once, when the event ends."""
+    of the chunks; the bytes are appended, and read once, when the event ends. Each call of the state is a round trip of its
+    own, so an event without a ``status`` has nothing stored that would be read or cleared."""
 
     def __init__(self, keep_ms: int) -> None:
         self.keep_ms = keep_ms
@@ -83,8 +84,7 @@ class Assembler(StatefulProcessor):
         self.handle = handle
         self.marks = handle.getListState("marks", _MARK)
         self.pieces = handle.getListState("pieces", _CHUNK)
-        self.done = handle.getValueState("done", T.StructType([T.StructField("done", T.BooleanType())]))
-        self.due = handle.getValueState("due", T.StructType([T.StructField("due", T.LongType())]))
+        self.status = handle.getValueState("status", T.StructType([T.StructField("done", T.BooleanType()), T.StructField("due", T.LongType())]))
 
     def _join(self, event_id: int, chunks: list, complete: bool) -> pd.DataFrame:
         pieces = {(col, int(seq)): (kind, data) for col, kind, seq, data, _ in chunks}
@@ -95,7 +95,8 @@ class Assembler(StatefulProcessor):
         return pd.DataFrame(rows, columns=_ASSEMBLED.fieldNames())
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        if self.done.exists():
+        status = self.status.get()
+        if status is not None and status[0]:
             return
         fresh, expected, newest = [], 0, 0
         for batch in rows:
@@ -104,34 +105,39 @@ class Assembler(StatefulProcessor):
             fresh += list(batch[list(_CHUNK.fieldNames())].itertuples(index=False, name=None))
         # one timer per event, moved on by every chunk
         due = max(newest, timerValues.getCurrentWatermarkInMs()) + self.keep_ms
-        before = int(self.due.get()[0]) if self.due.exists() else None
-        if before is None or due > before:
+        before = int(status[1]) if status is not None else None
+        moved = before is None or due > before
+        if moved:
             if before is not None:
                 self.handle.deleteTimer(before)
             self.handle.registerTimer(due)
-            self.due.update((due,))
-        known = [(col, int(seq), bool(end), int(n)) for col, seq, end, n in self.marks.get()]
+        due = due if moved else before
+        known = [(col, int(seq), bool(end), int(n)) for col, seq, end, n in self.marks.get()] if status is not None else []
         new = [(col, int(seq), bool(end), expected) for col, _, seq, _, end in fresh]
         if _whole(known + new):
-            yield self._join(int(key[0]), [tuple(p) for p in self.pieces.get()] + fresh, True)
-            self.pieces.clear()
-            self.marks.clear()
-            self.done.update((True,))
+            held = [tuple(p) for p in self.pieces.get()] if status is not None else []
+            yield self._join(int(key[0]), held + fresh, True)
+            if status is not None:
+                self.pieces.clear()
+                self.marks.clear()
+            self.status.update((True, due))
         else:
+            if moved:
+                self.status.update((False, due))
             self.marks.appendList(new)
             self.pieces.appendList([(c, k, int(s), d, bool(e)) for c, k, s, d, e in fresh])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.due.exists() and expiredTimerInfo.getExpiryTimeInMs() < int(self.due.get()[0]):
+        status = self.status.get()
+        if status is not None and expiredTimerInfo.getExpiryTimeInMs() < int(status[1]):
             return
-        if not self.done.exists():
+        if status is None or not status[0]:
             held = [tuple(p) for p in self.pieces.get()]
             if held:
                 yield self._join(int(key[0]), held, False)
         self.pieces.clear()
         self.marks.clear()
-        self.done.clear()
-        self.due.clear()
+        self.status.clear()
 
     def close(self) -> None:
         pass

@@ -2,8 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from changeflow.operators import history, ranges
+from changeflow.operators import history, incremental, ranges
+from changeflow.plans import fixtures, stream_queries
+from changeflow.session import shared_dir
 from changeflow.sources import keyset
+from changeflow.streaming import sinks
 
 
 def plan_of(df) -> str:
@@ -53,3 +56,34 @@ def test_versions_read_the_timeline_once(spark):
     versions = history.schema_versions(changes, history.schema_timeline(changes))
     assert "Window" not in plan_of(versions)
     assert sorted((int(r["version_scn"]), r["columns"]) for r in versions.collect()) == [(1, ["A"]), (2, ["A", "B"])]
+
+
+def test_requests_are_dealt_out_over_a_plan(spark):
+    """Many requests of one table and condition: chunks are computed once and go to every task."""
+    data = '{"data-collections":["S.T"],"type":"incremental"}'
+    signals = spark.range(30).select(F.col("id").cast("string").alias("id"), F.lit("execute-snapshot").alias("type"), F.lit(data).alias("data"))
+    plan = incremental.chunk_plan(signals, {"S.T": (spark.range(100), ["id"])}, 25)
+    text = plan_of(plan)
+    assert "rightHint=(strategy=broadcast)" in text and "Window" not in text
+    assert plan.rdd.getNumPartitions() > 1
+    assert plan.columns == ["table", "condition", "chunk_id", "low_key", "high_key", "rows", "id"]
+    assert sorted((int(r["id"]), r["chunk_id"], r["rows"]) for r in plan.collect()) == [(i, c, 25) for i in range(30) for c in range(4)]
+
+
+def test_a_batch_is_many_files_and_still_one_batch(spark):
+    """Parts of different sizes, one without rows: each is a micro-batch, none is written or read as a whole by one task."""
+    rows = spark.range(1_000).select(F.col("id").alias("x"), F.when(F.col("id") < 900, 0).when(F.col("id") < 903, 1).otherwise(3).alias("part"))
+    path, out = shared_dir(spark, "files"), shared_dir(spark, "out")
+    files = stream_queries.files_of_parts(rows, 4, path, rows=100)
+    assert files == 9
+    stream = spark.readStream.schema("x long").option("maxFilesPerTrigger", files).parquet(path)
+    sinks.write_changes(stream, out, shared_dir(spark, "progress"), available_now=True).awaitTermination()
+    got = sinks.read_changes(spark, out).groupBy("batch_id").count().collect()
+    assert {r["batch_id"]: r["count"] for r in got} == {0: 900, 1: 3, 3: 97}
+
+
+def test_tasks_are_counted_by_rows(spark, monkeypatch, sf_dir):
+    """A small file of many rows is dealt to as many tasks as its rows ask for."""
+    monkeypatch.setattr(fixtures, "TASK_ROWS", 50)
+    orders = fixtures.table(spark, sf_dir, "orders")
+    assert orders.rdd.getNumPartitions() == -(-orders.count() // 50)
