@@ -17,18 +17,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, **settings: str) -> DataFrame:
     """Write ``df`` below the shared checkpoint folder and read it back: later jobs neither recompute it nor need its executors.
 
-    The shuffle files of the step are freed when it is written.
+    The shuffle files of the step are freed when it is written. ``settings`` hold while it is written.
     """
     spark, path = df.sparkSession, shared_dir(df.sparkSession, name)
-    before = spark.conf.get(CLEAN, None)
-    spark.conf.set(CLEAN, "true")
+    settings = {CLEAN: "true", **settings}
+    before = {key: spark.conf.get(key, None) for key in settings}
     try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
         df.write.option("compression", "zstd").parquet(path)
     finally:
-        spark.conf.unset(CLEAN) if before is None else spark.conf.set(CLEAN, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -4,9 +4,10 @@
    their windows are unique. Only a hash and an id are shuffled for each anchor, folded before the shuffle.
 2. Runs. The windows that share an anchor are a run. Runs of equal content at an equal offset form classes; a class with a
    partner is settled as a whole.
-3. Blocks. Where a seed has several classes, one document's rows stand for each class, and their runs are cut into blocks of
-   windows, aligned by the offset from the anchor. Blocks of equal content are settled; a block is closed if what all
-   its windows share, its core, has no other block; the rest is cut into smaller blocks, down to single windows.
+3. Blocks. Where a seed has several classes, a run stands for each class (with ``earlier`` the runs of its first document, which
+   may still lose windows), and these runs are cut into blocks of windows, aligned by the offset from the anchor. Blocks of
+   equal content are settled; a block is closed if what all its windows share, its core, has no other block or only settled
+   ones; the rest is cut into smaller blocks, down to single windows. What is settled is held against the rest and not written again.
 4. Removal. Settled spans are gathered per document and cut out.
 
 No step pairs up occurrences: each is a count or a minimum per key, joined back, so a passage held by a third of all
@@ -28,6 +29,9 @@ from changeflow.llm import rolling
 from changeflow.llm.common import discard, documents, stage
 
 LAST = (1 << 63) - 1
+#: Bytes of text that a task works on at a time, and rows that it is handed at a time.
+PART_BYTES = 1 << 18
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
 
 # from the bytes of rows to (symbols, where each row starts in them)
 Symbols = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
@@ -60,7 +64,7 @@ def _seeds(plan: Plan, placed: bool) -> Callable[[Iterator[pa.RecordBatch]], Ite
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             docs, names = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            for lo, hi, data, offsets in rolling.text_parts(batch):
+            for lo, hi, data, offsets in rolling.text_parts(batch, part_bytes=PART_BYTES):
                 symbols, at = plan.symbols(data, offsets)
                 grams = rolling.Spans(symbols).grams(plan.seed)
                 row, anchor, _, _ = rolling.anchors(grams, at, plan.window, plan.seed)
@@ -73,13 +77,17 @@ def _seeds(plan: Plan, placed: bool) -> Callable[[Iterator[pa.RecordBatch]], Ite
     return run
 
 
-def _listed(batch: pa.RecordBatch, column: str, lo: int, hi: int, at: np.ndarray) -> tuple[np.ndarray, ...]:
-    """The lists of rows ``lo`` to ``hi``: row of each entry, and its places among the symbols of these rows."""
-    lists = batch.column(batch.schema.names.index(column)).slice(lo, hi - lo)
-    row = np.repeat(np.arange(hi - lo), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
-    flat = lists.flatten()
-    parts = [flat.field(i) for i in range(flat.type.num_fields)] if pa.types.is_struct(flat.type) else [flat]
-    return row, *(x.to_numpy(zero_copy_only=False) + at[:-1][row] for x in parts)
+def _listed(batch: pa.RecordBatch, lo: int, hi: int) -> tuple[np.ndarray, pa.Array]:
+    """The places of rows ``lo`` to ``hi``: row of each, and the places."""
+    lists = batch.column(batch.schema.names.index("places")).slice(lo, hi - lo)
+    return np.repeat(np.arange(hi - lo), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)), lists.flatten()
+
+
+def _ranges(batch: pa.RecordBatch, lo: int, hi: int, at: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """The window ranges of rows ``lo`` to ``hi``: row; anchor, first and last among the symbols of these rows; whether it is settled."""
+    row, flat = _listed(batch, lo, hi)
+    *places, done = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(4))
+    return row, [x + at[:-1][row] for x in places], done.astype(bool)
 
 
 def _runs(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -87,14 +95,15 @@ def _runs(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, data, offsets in rolling.text_parts(batch):
+            for lo, hi, data, offsets in rolling.text_parts(batch, part_bytes=PART_BYTES):
                 symbols, at = plan.symbols(data, offsets)
                 grams = rolling.Spans(symbols).grams(plan.seed)
                 row, anchor, first, last = rolling.anchors(grams, at, plan.window, plan.seed)
-                pick = np.isin(anchor, _listed(batch, "places", lo, hi, at)[1])
+                owner, listed = _listed(batch, lo, hi)
+                pick = np.isin(anchor, listed.to_numpy(zero_copy_only=False) + at[:-1][owner])
                 row, anchor, first, last = row[pick], anchor[pick], first[pick], last[pick]
-                spans = Contents(symbols)
-                yield _block_rows(plan, batch, lo, at, row, anchor, first, last, grams[anchor], np.zeros(len(row), rolling.U), spans)
+                spans, done = Contents(symbols), np.zeros(len(row), bool)
+                yield _block_rows(plan, batch, lo, at, row, anchor, first, last, done, grams[anchor], np.zeros(len(row), rolling.U), spans)
 
     return run
 
@@ -104,9 +113,9 @@ def _blocks(plan: Plan, size: int) -> Callable[[Iterator[pa.RecordBatch]], Itera
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, data, offsets in rolling.text_parts(batch):
+            for lo, hi, data, offsets in rolling.text_parts(batch, part_bytes=PART_BYTES):
                 symbols, at = plan.symbols(data, offsets)
-                row, anchor, first, last = _listed(batch, "places", lo, hi, at)
+                row, (anchor, first, last), done = _ranges(batch, lo, hi, at)
                 low, high = (anchor - last) // size, (anchor - first) // size
                 n = high - low + 1
                 each = np.repeat(np.arange(len(n)), n)
@@ -117,17 +126,34 @@ def _blocks(plan: Plan, size: int) -> Callable[[Iterator[pa.RecordBatch]], Itera
                 spans = Contents(symbols)
                 core = rolling.mix(spans.hash(end, start + plan.window) ^ block.astype(rolling.U))
                 h = rolling.Spans(symbols).hash(anchor, anchor + plan.seed)
-                yield _block_rows(plan, batch, lo, at, row, anchor, np.maximum(start, first[each]), np.minimum(end, last[each]), h, core, spans)
+                first, last = np.maximum(start, first[each]), np.minimum(end, last[each])
+                yield _block_rows(plan, batch, lo, at, row, anchor, first, last, done[each], h, core, spans)
 
     return run
 
 
-def _block_rows(plan, batch, lo, at, row, anchor, first, last, h, core, spans) -> pa.RecordBatch:
+def _block_rows(plan, batch, lo, at, row, anchor, first, last, done, h, core, spans) -> pa.RecordBatch:
     docs, names = (batch.column(batch.schema.names.index(c)).to_numpy(zero_copy_only=False)[lo:] for c in ("doc", "row"))
     content = rolling.mix(spans.hash(first, last + plan.window) ^ (anchor - first).astype(rolling.U))
     base = at[:-1][row]
-    cols = [rolling.signed(h), rolling.signed(core), rolling.signed(content), docs[row], names[row], anchor - base, first - base, last - base]
-    return pa.RecordBatch.from_arrays([pa.array(x) for x in cols], ["h", "core", "content", "doc", "row", "anchor", "first", "last"])
+    cols = [rolling.signed(h), rolling.signed(core), rolling.signed(content), docs[row], names[row], anchor - base, first - base, last - base, done]
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in cols], ["h", "core", "content", "doc", "row", "anchor", "first", "last", "done"])
+
+
+SAME = ["h", "core", "content"]
+
+
+def _classes(plan: Plan, blocks: DataFrame) -> DataFrame:
+    """(h, core, content, n, least, open) of the blocks of equal content; ``open`` if windows of theirs may still be found elsewhere.
+
+    Unless the order of documents counts, a block (row, anchor, first, last) stands for its class: any will do, as all
+    blocks of a class of several are settled, and the values of one block stay together as all are taken at the same rows.
+    """
+    n, least = F.count("*").alias("n"), F.min("doc").alias("least")
+    if plan.earlier:
+        return blocks.groupBy(*SAME).agg(n, least, F.lit(True).alias("open"))
+    one = [F.first(c).alias(c) for c in ("row", "anchor", "first", "last")]
+    return blocks.groupBy(*SAME).agg(n, least, ((F.count("*") == 1) & ~F.max("done")).alias("open"), *one)
 
 
 def with_spans(docs: DataFrame, plan: Plan, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -141,27 +167,28 @@ def with_spans(docs: DataFrame, plan: Plan, doc_id: str = "doc_id", text: str =
     wanted = (F.min("doc") < F.max("doc")) if plan.earlier else (F.count("*") > 1)
     texts = rows.select("doc", "row", "text")
 
-    repeated = stage(texts.mapInArrow(_seeds(plan, False), "h long, doc long").groupBy("h").agg(wanted.alias("w")).filter("w").select("h"), "seeds")
+    repeated = stage(texts.mapInArrow(_seeds(plan, False), "h long, doc long").groupBy("h").agg(wanted.alias("w")).filter("w").select("h"), "seeds", **BATCH)
     places = stage(
         texts.mapInArrow(_seeds(plan, True), "h long, row long, at long").join(repeated, "h")
-        .groupBy("row").agg(F.collect_list("at").alias("places")), "marks")
+        .groupBy("row").agg(F.collect_list("at").alias("places")), "marks", **BATCH)
     discard(repeated)
 
-    schema, settled = "h long, core long, content long, doc long, row long, anchor long, first long, last long", None
+    schema, settled = "h long, core long, content long, doc long, row long, anchor long, first long, last long, done boolean", None
     for size in (0, *plan.blocks):
         open_rows = texts.join(places, "row").select("doc", "row", "text", "places")
-        blocks = stage(open_rows.mapInArrow(_blocks(plan, size) if size else _runs(plan), schema), "blocks")
+        blocks = stage(open_rows.mapInArrow(_blocks(plan, size) if size else _runs(plan), schema), "blocks", **BATCH)
         discard(places)
-        same = ["h", "core", "content"]
-        classes = stage(blocks.groupBy(*same).agg(F.count("*").alias("n"), F.min("doc").alias("least")), "classes")
-        placed = blocks.join(classes, same)
-        found = placed.filter("least < doc" if plan.earlier else "n > 1").select("row", F.col("first").alias("start"), (F.col("last") + plan.window).alias("end"))
-        found = stage(found, "found")
+        classes = stage(_classes(plan, blocks), "classes")
+        placed = blocks.join(classes.select(*SAME, "n", "least"), SAME)
+        found = placed.filter("least < doc" if plan.earlier else "n > 1 AND NOT done")
+        found = stage(found.select("row", F.col("first").alias("start"), (F.col("last") + plan.window).alias("end")), "found")
         settled = found if settled is None else settled.unionByName(found)
         if size != 1:
-            several = stage(classes.groupBy("h", "core").agg((F.count("*") > 1).alias("w")).filter("w").select("h", "core"), "several")
-            places = stage(placed.filter("doc = least").join(several, ["h", "core"]).groupBy("row").agg(
-                F.collect_list(F.struct("anchor", "first", "last")).alias("places")), "open")
+            several = stage(classes.groupBy("h", "core").agg((F.count("*") > 1).alias("w"), F.max("open").alias("open"))
+                            .filter("w AND open").select("h", "core"), "several")
+            kept = placed.filter("doc = least") if plan.earlier else classes.withColumn("done", ~F.col("open"))
+            places = stage(kept.join(several, ["h", "core"]).groupBy("row").agg(
+                F.collect_list(F.struct("anchor", "first", "last", "done")).alias("places")), "open")
             discard(several)
         discard(blocks, classes)
 

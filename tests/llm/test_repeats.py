@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from changeflow.llm import rolling
+from changeflow.llm import common, repeats, rolling
 from changeflow.llm.catalog import QUERIES
 from changeflow.llm.substring_dedup import substring_dedup
 from changeflow.llm.suffix_dedup import suffix_dedup
@@ -110,3 +110,61 @@ def test_texts_with_like_hashes(spark, docs, given):
     assert pairs(substring_dedup(docs(rows)), "n_words", "n_removed", "kept") == want
     got = sorted((LAST if r.doc_id is None else r.doc_id, r.n_bytes, r.n_removed, len(r.spans), bytes(r.kept)) for r in suffix_dedup(docs(rows)).collect())
     assert got == sorted((LAST if i is None else i, *row) for (i, _), row in zip(rows, by_bytes([t for _, t in rows], 200), strict=True))
+
+
+def written(monkeypatch):
+    """The rows of the tables that the steps write, by name."""
+    rows = {}
+
+    def stage(df, name, **settings):
+        made = common.stage(df, name, **settings)
+        rows.setdefault(name, []).extend(made.collect())
+        return made
+
+    monkeypatch.setattr(repeats, "stage", stage)
+    return rows
+
+
+def suffixes(df):
+    return sorted((r.doc_id, r.n_bytes, r.n_removed, len(r.spans), bytes(r.kept)) for r in df.collect())
+
+
+PASSAGE = " ".join(f"p{i}q{i * i % 89}" for i in range(60))
+
+
+def context(i):
+    return " ".join(f"c{i}x{k * k % 97}" for k in range(40))
+
+
+def test_settled_classes_are_closed(docs, monkeypatch):
+    """One passage in twelve contexts, each in three documents: the first round settles all, nothing is left for the next."""
+    rows = written(monkeypatch)
+    texts = [f"{context(i)} {PASSAGE} {context(i + 50)}" for i in range(12) for _ in range(3)]
+    assert suffixes(suffix_dedup(docs(enumerate(texts)))) == [(i, *row) for i, row in enumerate(by_bytes(texts, 200))]
+    assert rows["found"] and not rows["open"]
+
+
+def test_windows_are_found_once(docs, monkeypatch):
+    """One passage in contexts that are unique, repeated, and repeated inside a document: each string is written once, a class has one row."""
+    rows = written(monkeypatch)
+    texts = [f"{context(i)} {PASSAGE} {context(i + 50)}" for i in (*range(12), 3, 3, 4, 5)]
+    texts += ["\n".join([texts[0]] * 4), PASSAGE[:300] + context(70), None, ""]
+    assert suffixes(suffix_dedup(docs(enumerate(texts)))) == [(i, *row) for i, row in enumerate(by_bytes(texts, 200))]
+    each = Counter((r.row, k) for r in rows["found"] for k in range(r.start, r.end - 199))
+    assert rows["open"] and max(each.values()) == 1
+
+
+def test_batches_are_bounded(spark, docs, monkeypatch):
+    """Tasks are handed a bounded number of texts at a time, and the session is left as it was."""
+    key, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", set()
+    write = common.stage
+
+    def stage(df, name, **settings):
+        if name in ("seeds", "marks", "blocks"):
+            seen.add(int(settings.get(key, spark.conf.get(key))))
+        return write(df, name, **settings)
+
+    monkeypatch.setattr(repeats, "stage", stage)
+    before = spark.conf.get(key)
+    assert suffix_dedup(docs([(1, "a" * 500), (2, "b")])).count() == 2
+    assert seen == {1000} and spark.conf.get(key) == before
