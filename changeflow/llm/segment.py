@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -25,13 +26,15 @@ from changeflow.llm.common import documents
 MODEL = "piece_bpe_32k.model"
 ALPHA = 0.5
 BYTE_WEIGHT = -25.0
-PART_BYTES = 1 << 20
-TABLE_BITS = 19
+PART_BYTES = 1 << 19
+STOP, SPELT, PIECE_BITS = 0xFF, (1 << 11) - 1, 20
+#: Bytes of the character that a byte begins.
+CHARACTER = np.repeat([1, 0, 2, 3, 4], [0x80, 0x40, 0x20, 0x10, 0x10])
 Batches = Iterator[pa.RecordBatch]
 
 
 class Vocabulary:
-    """Pieces as bytes, with plain spaces for the model's space mark."""
+    """Pieces as bytes, with plain spaces for the model's space mark, and a trie of them."""
 
     def __init__(self, model: str):
         import sentencepiece
@@ -58,33 +61,54 @@ class Vocabulary:
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.bytes = np.frombuffer(b"".join(pieces), np.uint8)
         self.longest = int(self.lengths.max())
-        ids = np.array(ids, np.int32)
+        if size > 1 << PIECE_BITS or self.longest >= SPELT:
+            raise ValueError(f"{model} has too many pieces or too long ones")
+        self.ids = np.array(ids, np.int32)
         self.ranks = np.zeros(size, np.int64)
         self.ranks[ids] = np.arange(len(ids))
-        # all beginnings of pieces, with the piece's id or -1, found by their upper bits
-        cuts = np.concatenate([np.repeat(self.starts[ids], self.lengths[ids]),
-                               np.concatenate([self.starts[i] + np.arange(1, self.lengths[i] + 1) for i in ids])]).reshape(2, -1)
-        hashes = rolling.Spans(rolling.BYTE[self.bytes]).hash(*cuts)
-        whole = np.repeat(ids, self.lengths[ids])
-        whole[cuts[1] != self.starts[whole] + self.lengths[whole]] = -1
-        order = np.lexsort((-whole, hashes))
-        hashes, whole = hashes[order], whole[order]
-        new = np.r_[True, hashes[1:] != hashes[:-1]]
-        self.hashes, self.ids = np.r_[hashes[new], rolling.U(0)], np.r_[whole[new], -1].astype(np.int32)
-        self.first = np.searchsorted(self.hashes[:-1] >> rolling.U(64 - TABLE_BITS), np.arange((1 << TABLE_BITS) + 1, dtype=np.uint64)).astype(np.int32)
-        self.deep = int(np.diff(self.first).max())
-
-    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Whether each hash begins a piece, and the id of the piece it is, or -1."""
-        cell = (hashes >> rolling.U(64 - TABLE_BITS)).astype(np.int64)
-        at, end = self.first[cell], self.first[cell + 1]
-        for _ in range(self.deep - 1):
-            on = np.flatnonzero((self.hashes[at] != hashes) & (at + 1 < end))
-            if not len(on):
-                break
-            at[on] += 1
-        begins = (self.hashes[at] == hashes) & (at < end)
-        return begins, np.where(begins, self.ids[at], -1)
+
+    @cached_property
+    def trie(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Each beginning of a piece has a cell, the empty one cell 0: per cell ``base``, ``parent`` and the piece that ends there
+        or -1. What byte ``b`` makes of the beginning in ``cell`` is in ``base[cell] + b`` if the ``parent`` there is ``cell``."""
+        lengths, parents, labels, whole, node, size = self.lengths[self.ids], [[0]], [[0]], [[-1]], np.zeros(len(self.ids), np.int64), 1
+        for depth in range(self.longest):
+            on = np.flatnonzero(lengths > depth)
+            new, place = np.unique(node[on] << 8 | self.bytes[self.starts[self.ids[on]] + depth], return_inverse=True)
+            node[on] = size + place
+            ends = on[lengths[on] == depth + 1]
+            parents.append(new >> 8)
+            labels.append(new & 0xFF)
+            whole.append(np.full(len(new), -1))
+            whole[-1][node[ends] - size] = self.ids[ends]
+            size += len(new)
+        parents, labels, whole = (np.concatenate(x) for x in (parents, labels, whole))
+        # children lie one after the other, by label; where there are several, their cells are found one node after the other
+        fan = np.bincount(parents[1:], minlength=size)
+        first = 1 + np.cumsum(fan) - fan
+        many = np.argsort(-fan, kind="stable")[: np.count_nonzero(fan > 1)]
+        taken = np.zeros(512 * (len(many) + 2) + size, bool)
+        taken[:256] = True
+        shift, low = np.zeros(size, np.int64), 256
+        for one in many:
+            label = labels[first[one] : first[one] + fan[one]]
+            while True:
+                free = low + np.flatnonzero(~taken[low : low + 256])
+                fits = np.flatnonzero(~taken[free[:, None] + (label - label[0])].any(1))
+                if len(fits):
+                    break
+                low += 256
+            shift[one] = free[fits[0]] - label[0]
+            taken[shift[one] + label] = True
+        single = np.flatnonzero(fan == 1)  # these fill the gaps
+        shift[single] = np.flatnonzero(~taken)[: len(single)] - labels[first[single]]
+        cell = shift[parents] + labels
+        cell[0] = 0
+        base = np.zeros(int(cell.max()) + 257, np.int64)
+        parent, piece = np.full(len(base), -1), np.full(len(base), -1)
+        base[cell], parent[cell], piece[cell] = shift, cell[parents], whole
+        parent[0] = -1
+        return base, parent, piece
 
 
 _vocabularies: dict[str, Vocabulary] = {}
@@ -101,70 +125,77 @@ def prefixed(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = np.diff(at)
     starts = np.r_[0, np.cumsum(n + (n > 0))]
     out = np.full(starts[-1], 32, np.uint8)
-    row = np.repeat(np.arange(len(n)), n)
-    out[np.arange(len(data)) - at[:-1][row] + starts[:-1][row] + 1] = data
+    old = np.ones(len(out), bool)
+    old[starts[:-1][n > 0]] = False
+    out[old] = data
     return out, starts
 
 
-def lattice(v: Vocabulary, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, alpha: float) -> tuple[np.ndarray, ...]:
-    """Nodes and edges of words ``starts`` to ``ends`` of ``data``, longest word first. Nodes are numbered by their place in
-    the word, then by word, so the first ones are the words' beginnings. Returns the end node of each word, per node its first
-    edge, and per edge the share of its node's weight up to it, its piece and the node it comes from."""
-    n = ends - starts
-    longest = int(n.max(initial=0))
-    reach = np.searchsorted(-n, -np.arange(longest + 1), "right")  # words of at least so many bytes
+def lattice(v: Vocabulary, data: np.ndarray, at: np.ndarray, alpha: float) -> tuple[np.ndarray, ...]:
+    """Nodes and edges of the words that lie one after the other in ``data``, each from its ``at`` to the next. Nodes are
+    numbered by their place in the word, then by word, longest first, so the first ones are the words' beginnings. Returns
+    the end node of each word, per node its first edge, and per edge the share of its node's weight up to it, its piece and
+    the node it comes from."""
+    n = np.diff(at)
+    order = np.argsort(-n, kind="stable")
+    rank = np.empty(len(n), np.int64)
+    rank[order] = np.arange(len(n))
+    reach = np.searchsorted(-n[order], -np.arange(n.max(initial=0) + 1), "right")  # words of at least so many bytes
     offset = np.r_[0, np.cumsum(reach)]
-    spans = rolling.Spans(rolling.BYTE[data])
-    place = np.repeat(np.arange(longest), reach[1:])
-    word = np.arange(len(place)) - np.repeat(np.cumsum(reach[1:]) - reach[1:], reach[1:])
-    byte = starts[word] + place
-    froms, tos, pieces, weights = [], [], [], []
-    # characters of the vocabulary; the bytes of others may be spelt
-    size = np.select([data[byte] < 0x80, data[byte] < 0xC0, data[byte] < 0xE0, data[byte] < 0xF0], [1, 0, 2, 3], 4)
-    spelt = np.zeros(len(data) + 4, bool)
-    for length in (1, 2, 3, 4):
-        char = byte[size == length]
-        missing = char[v.find(spans.hash(char, np.minimum(char + length, len(data))))[1] < 0]
-        for k in range(length):
-            spelt[missing + k] = True
-    live = np.arange(len(byte))
-    for length in range(1, longest + 1):
-        live = live[place[live] + length <= n[word[live]]]
-        begins, piece = v.find(spans.hash(byte[live], byte[live] + length))
-        live, piece = live[begins], piece[begins]
+    # a byte that no piece has stands behind each word
+    stops = at[1:] + np.arange(len(n))
+    spelt = np.ones(len(data) + len(n), bool)
+    spelt[stops] = False
+    symbols = np.full(len(spelt), STOP, np.uint8)
+    symbols[spelt] = data
+    node = offset[np.arange(len(symbols)) - np.repeat(stops - n, n + 1)] + np.repeat(rank, n + 1)
+    # an edge is a number: the node it goes to, its length (byte pieces come last), its piece
+    base, parent, ends = v.trie
+    edges, live, cell = [], np.arange(len(symbols)), np.zeros(len(symbols), np.int64)
+    for length in range(1, v.longest + 1):
+        after = base[cell] + symbols[live + (length - 1)]
+        on = np.flatnonzero(parent[after] == cell)
+        live, cell = live[on], after[on]
         if not len(live):
             break
-        use = live[piece >= 0]
-        froms.append(offset[place[use]] + word[use])
-        tos.append(offset[place[use] + length] + word[use])
-        pieces.append(piece[piece >= 0])
-        weights.append(-alpha * np.log(v.ranks[pieces[-1]] + 3.0))
-    raw = np.flatnonzero(spelt[byte])
-    froms.append(offset[place[raw]] + word[raw])
-    tos.append(offset[place[raw] + 1] + word[raw])
-    pieces.append(v.byte_id[data[byte[raw]]])
-    weights.append(np.full(len(raw), BYTE_WEIGHT))
-    source, target, piece, weight = (np.concatenate(x) for x in (froms, tos, pieces, weights))
-    order = np.argsort(target, kind="stable")
-    source, target, piece, weight = source[order], target[order], piece[order], weight[order]
-
-    total = np.zeros(offset[-1])
+        piece = ends[cell]
+        use = np.flatnonzero(piece >= 0)
+        begin = live[use]
+        edges.append(node[begin + length] << 32 | length << PIECE_BITS | piece[use])
+        if length <= 4:  # characters of the vocabulary; the bytes of others are spelt
+            char = begin[CHARACTER[symbols[begin]] == length]
+            for k in range(length):
+                spelt[char + k] = False
+    raw = np.flatnonzero(spelt)
+    edges.append(node[raw + 1] << 32 | SPELT << PIECE_BITS | v.byte_id[symbols[raw]])
+    edges = np.sort(np.concatenate(edges))
+    target, length, piece = edges >> 32, edges >> PIECE_BITS & SPELT, edges & (1 << PIECE_BITS) - 1
+    length[length == SPELT] = 1
     new = np.flatnonzero(np.r_[True, target[1:] != target[:-1]]) if len(target) else np.zeros(0, np.int64)
-    sizes = np.diff(np.r_[new, len(target)])
+    cuts = np.r_[new, len(target)]
+    sizes = np.diff(cuts)
     level = np.searchsorted(target[new], offset)
+    place = np.repeat(np.arange(len(offset) - 1), np.diff(cuts[level]))
+    source = target + (offset[place - length] - offset[place])
+
+    weights = -alpha * np.log(v.ranks + 3.0)
+    weights[v.byte_id] = BYTE_WEIGHT
+    share, total = weights[piece], np.zeros(offset[-1])
     for lo, hi in zip(level[1:-1], level[2:], strict=True):
-        edges = slice(new[lo], new[hi] if hi < len(new) else len(target))
-        weight[edges] += total[source[edges]]
-        cut = new[lo:hi] - new[lo]
-        most = np.maximum.reduceat(weight[edges], cut)
-        total[target[new[lo:hi]]] = most + np.log(np.add.reduceat(np.exp(weight[edges] - np.repeat(most, sizes[lo:hi])), cut))
-    share = np.exp(weight - total[target])
+        part, cut = share[cuts[lo] : cuts[hi]], new[lo:hi] - cuts[lo]
+        part += total[source[cuts[lo] : cuts[hi]]]
+        most = np.maximum.reduceat(part, cut)
+        part -= np.repeat(most, sizes[lo:hi])
+        np.exp(part, out=part)
+        both = np.add.reduceat(part, cut)
+        part /= np.repeat(both, sizes[lo:hi])
+        total[target[new[lo:hi]]] = most + np.log(both)
     upto = np.cumsum(share)
     upto -= np.repeat(upto[new] - share[new], sizes)
-    upto[np.r_[new[1:], len(target)][: len(new)] - 1] = 2.0
+    upto[cuts[1:] - 1] = 2.0
     edge = np.zeros(offset[-1], np.int64)
     edge[target[new]] = new
-    return offset[n] + np.arange(len(n)), edge, upto, piece, source
+    return offset[n] + rank, edge, upto, piece, source
 
 
 def sample(v: Vocabulary, data: np.ndarray, at: np.ndarray, keys: np.ndarray, alpha: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -175,24 +206,22 @@ def sample(v: Vocabulary, data: np.ndarray, at: np.ndarray, keys: np.ndarray, al
     begin[1:] &= ~space[:-1]
     begin[at[:-1][np.diff(at) > 0]] = True
     starts = np.flatnonzero(begin)
-    ends = np.r_[starts[1:], len(data)][: len(starts)]
     rows = np.searchsorted(starts, at)
     row = np.repeat(np.arange(len(at) - 1), np.diff(rows))
     # words lie one after the other; distinct ones are told by their bytes
     edges = np.r_[starts, len(data)].astype(np.int64)
-    words_of = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(edges.tobytes()), pa.py_buffer(data.tobytes())])
-    kind = words_of.dictionary_encode().indices.to_numpy(zero_copy_only=False)
-    _, example = np.unique(kind, return_index=True)
-    order = np.argsort(starts[example] - ends[example], kind="stable")
-    example, back = example[order], np.argsort(order)
-    kind = back[kind]
-    last, edge, upto, piece, source = lattice(v, data, starts[example], ends[example], alpha)
+    words_of = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(edges.tobytes()), pa.py_buffer(data.tobytes())]).dictionary_encode()
+    kind, known = words_of.indices.to_numpy(zero_copy_only=False), words_of.dictionary
+    _, places, spelling = known.buffers()
+    places = np.frombuffer(places, np.int64)[known.offset : known.offset + len(known) + 1]
+    spelling = np.frombuffer(spelling, np.uint8)[places[0] : places[-1]] if len(known) else data
+    last, edge, upto, piece, source = lattice(v, spelling, places - places[0], alpha)
 
     draw = rolling.mix(rolling.mix(keys ^ rolling.U(seed * rolling.BASES[0] % (1 << 64)))[row] + (np.arange(len(starts)) - rows[:-1][row]).astype(rolling.U) * rolling.U(rolling.BASES[1]))
     live, node, count = np.arange(len(starts)), last[kind], np.zeros(len(starts), np.int64)
     words, ids = [], []
     while len(live):
-        point = (rolling.mix(draw[live] + count[live].astype(rolling.U) * rolling.U(rolling.BASES[0])) >> rolling.U(11)) * 2.0**-53
+        point = (rolling.mix(draw + rolling.U(len(words) * rolling.BASES[0] % (1 << 64))) >> rolling.U(11)) * 2.0**-53
         pick = edge[node]
         more = np.flatnonzero(point >= upto[pick])
         while len(more):
@@ -200,14 +229,14 @@ def sample(v: Vocabulary, data: np.ndarray, at: np.ndarray, keys: np.ndarray, al
             more = more[point[more] >= upto[pick[more]]]
         words.append(live)
         ids.append(piece[pick])
-        count[live] += 1
+        count[live] = len(words)
         node = source[pick]
-        on = node >= len(example)
-        live, node = live[on], node[on]
+        on = np.flatnonzero(node >= len(known))
+        live, node, draw = live[on], node[on], draw[on]
     begins = np.r_[0, np.cumsum(count)]
     out = np.zeros(begins[-1], np.int32)
-    for step, (w, i) in enumerate(zip(words, ids, strict=True)):
-        out[begins[w] + count[w] - 1 - step] = i
+    for step, (w, i) in enumerate(zip(words, ids, strict=True), 1):
+        out[begins[w + 1] - step] = i
     return out, begins[rows]
 
 
@@ -228,7 +257,7 @@ def encode(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", model: s
     """(doc_id, pieces): a segmentation of each text, drawn with the row's id and text as key.
 
     ``alpha`` near 0 draws all segmentations alike, a large one keeps to the best. A space is put before the text as the
-    model wants it. Null and empty texts have no pieces. Rows that repeat a document have equal segmentations; rows without
+    model wants it. Bytes that make no character are spelt. Null and empty texts have no pieces. Rows that repeat a document have equal segmentations; rows without
     an id are drawn by their text. An empty table gives no rows.
     """
     rows = documents(docs, doc_id, text).select("doc_id", F.xxhash64("doc_id", "key").alias("row"), "text")

@@ -2,10 +2,13 @@
 
 import hashlib
 import math
+import time
 from collections import Counter
 
 import numpy as np
+import public_tokenizers
 import pytest
+import sentencepiece
 from hypothesis import given, settings, strategies as st
 
 from changeflow.llm import segment
@@ -89,3 +92,43 @@ def test_query(spark, sf_dir):
     assert {r.doc_id: r.text_sha256 for r in rows} == {i: hashlib.sha256((t or "").encode()).hexdigest() for i, t in texts.items()}
     again = QUERIES["op5_sample_pieces"](spark, sf_dir).repartition(3).collect()
     assert sorted(map(tuple, rows)) == sorted(map(tuple, again))
+
+
+def test_pieces_are_found_by_their_bytes():
+    """The trie has all beginnings of pieces and nothing else."""
+    base, parent, whole = V.trie
+    at = {b"": 0}
+    for piece in PIECES:
+        for n in range(1, len(piece) + 1):
+            at.setdefault(piece[:n], int(base[at[piece[: n - 1]]] + piece[n - 1]))
+    assert all(parent[cell] == at[begin[:-1]] for begin, cell in at.items() if begin)
+    assert {begin: int(whole[cell]) for begin, cell in at.items() if whole[cell] >= 0} == PIECES
+    assert len(set(at.values())) == len(at) == np.count_nonzero(parent >= 0) + 1
+
+
+def test_bytes_that_make_no_character_are_spelt():
+    """Also the last ones of a word, and the byte that stands behind words in the arrays."""
+    raw = [b"a\x80b \xff c", b"\xe6\xbc", b"\xe6 x"]
+    ids, begins = segment.sample(V, np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]), np.arange(3, dtype=np.uint64), 0.5, 1)
+    assert [b"".join(bytes(V.bytes[V.starts[i] : V.starts[i] + V.lengths[i]]) for i in ids[b:e])[1:] for b, e in zip(begins, begins[1:], strict=False)] == raw
+
+
+def test_time():
+    """A sample of many different words takes no more than 1.5 times the CPU time of the model's own encoding (0.9 measured, 2.0 before)."""
+    draw = np.random.default_rng(3)
+    parts = "the of and ing ion er re on an en at or nd ti st ha es it ed is ar te se le ou me de co ra".split()
+    words = ["".join(draw.choice(parts, draw.integers(1, 5))) for _ in range(60_000)]
+    texts = [" ".join(words[i : i + 300]) for i in range(0, len(words), 300)]
+    data, at = np.frombuffer("".join(texts).encode(), np.uint8), np.cumsum([0, *map(len, texts)])
+    keys = np.arange(len(texts), dtype=np.uint64)
+    known = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(segment.MODEL))
+
+    def least(work):
+        took = []
+        for _ in range(7):
+            began = time.thread_time()
+            work()
+            took.append(time.thread_time() - began)
+        return min(took)
+
+    assert least(lambda: segment.sample(V, data, at, keys, 0.5, 1)) < 1.5 * least(lambda: [known.encode(t) for t in texts])
