@@ -205,15 +205,16 @@ def lob_chunks(spark: SparkSession, sf_dir: str, size: int = 500) -> DataFrame:
 
 def cut_into_chunks(documents: DataFrame, size: int = 500) -> DataFrame:
     """Document texts cut into pieces of ``size`` characters. Works on batch and stream."""
-    d = documents.select("doc_id", "text")
-    pieces = F.greatest(F.lit(1), F.ceil(F.length("text") / size)).cast("int")
-    rows = d.select("doc_id", "text", pieces.alias("n"), F.explode(F.sequence(F.lit(0), pieces - 1)).alias("seq"))
+    # in one pass: a piece taken by its place in the text would read all of the text
+    pieces = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
+    d = documents.select("doc_id", F.when(F.length("text") > 0, pieces).otherwise(F.array("text")).alias("pieces"))
+    rows = d.select("doc_id", F.size("pieces").alias("n"), F.posexplode_outer("pieces").alias("seq", "piece"))
     return rows.select(
         F.col("doc_id").alias("event_id"),
         F.lit("TEXT").alias("col"),
         F.lit("CLOB").alias("type_name"),
         "seq",
-        F.encode(F.substring("text", F.col("seq") * size + 1, F.lit(size)), "UTF-8").alias("bytes"),
+        F.encode("piece", "UTF-8").alias("bytes"),
         (F.col("seq") == F.col("n") - 1).alias("is_end"),
         F.timestamp_seconds(F.col("doc_id") + 1_000_000).alias("commit_ts"),
     )

@@ -8,7 +8,7 @@ from changeflow.operators import apply
 from changeflow.plans import fixtures as fx
 from changeflow.plans.registry import CHG, ORACLES, STATE, query, state_at
 from changeflow.plans.state_queries import COLUMNS, PK, RESUME
-from changeflow.session import shared_dir
+from changeflow.session import freed_shuffles, shared_dir
 from changeflow.sources.changelog import changelog_read, changelog_stream, changelog_write
 from changeflow.streaming import sinks, stateful
 from changeflow.streaming.store import Files
@@ -79,17 +79,21 @@ def files_of_parts(dealt: DataFrame, n: int, path: str, rows: int = FILE_ROWS) -
     """Write the rows of ``part`` 0 to n-1 one after the other into ``path``, each part as the same number of files of about
     ``rows`` rows: a stream that takes so many files a trigger has a micro-batch per part. Returns the number."""
     spark, staged = dealt.sparkSession, f"{path}-parts"
-    dealt.write.partitionBy("part").parquet(staged)
-    parts = spark.read.schema(dealt.schema).parquet(staged)
-    files = max(1, -(-(parts.groupBy("part").count().agg(F.max("count")).first()[0] or 0) // rows))
-    plain = parts.drop("part")
     here = Files(spark, path)
-    for i in range(n):  # files are taken in the order of their times
-        rows_of = parts.filter(F.col("part") == i).drop("part")
-        (rows_of.coalesce(1) if files == 1 else rows_of.repartition(files)).write.mode("append").parquet(path)
-        # a part of few rows has files without any
-        for _ in range((i + 1) * files - sum(name.endswith(".parquet") for name in here.names(path))):
-            plain.limit(0).coalesce(1).write.mode("append").parquet(path)
+    with freed_shuffles(spark):
+        dealt.write.partitionBy("part").parquet(staged, compression="zstd")
+        parts = spark.read.schema(dealt.schema).parquet(staged)
+        files = max(1, -(-(parts.groupBy("part").count().agg(F.max("count")).first()[0] or 0) // rows))
+        plain = parts.drop("part")
+        for i in range(n):  # files are taken in the order of their times
+            rows_of = parts.filter(F.col("part") == i).drop("part")
+            # no shuffle where the staged files are many enough by themselves
+            in_files = rows_of.coalesce(files) if files == 1 or rows_of.rdd.getNumPartitions() >= files else rows_of.repartition(files)
+            in_files.write.mode("append").parquet(path, compression="zstd")
+            here.remove(f"{staged}/part={i}")
+            # a part of few rows has files without any
+            for _ in range((i + 1) * files - sum(name.endswith(".parquet") for name in here.names(path))):
+                plain.limit(0).coalesce(1).write.mode("append").parquet(path)
     return files
 
 
@@ -126,13 +130,18 @@ def assemble_lobs_stream_batches(spark, d):
     """Eight micro-batches, chunks of an object spread over them and some delivered twice; every ninth document has a second
     column that begins and does not end, so it stays open though its record expects one column."""
     chunks = fx.cut_into_chunks(fx.table(spark, d, "documents")).withColumn("out_row_cols", F.lit(1))
-    begun = chunks.filter("event_id % 9 = 4 AND seq = 0").withColumn("col", F.lit("BEGUN")).withColumn("is_end", F.lit(False))
-    path = shared_dir(spark, "chunks")
-    both = chunks.unionByName(chunks.filter("seq % 4 = 1")).unionByName(begun)
+
+    def copy(col, is_end, part):
+        return F.struct(col.alias("col"), is_end.alias("is_end"), part.cast("int").alias("part"))
+
+    once = copy(F.col("col"), F.col("is_end"), 1 + F.pmod(F.xxhash64("event_id", "seq"), F.lit(7)))
     # the columns that never end come first: an event that has ended takes no more chunks
-    part = F.when(F.col("col") == "BEGUN", 0).otherwise(1 + F.pmod(F.xxhash64("event_id", "seq"), F.lit(7)))
-    files = files_of_parts(both.withColumn("part", part.cast("int")), 8, path, rows=100_000)
-    stream = spark.readStream.schema(both.schema).option("maxFilesPerTrigger", files).parquet(path)
+    begun = copy(F.lit("BEGUN"), F.lit(False), F.lit(0))
+    copies = F.array(once, F.when(F.expr("seq % 4 = 1"), once), F.when(F.expr("event_id % 9 = 4 AND seq = 0"), begun))
+    dealt = chunks.withColumn("copy", F.explode_outer(F.array_compact(copies))).select(*chunks.drop("col", "is_end").columns, "copy.*")
+    path = shared_dir(spark, "chunks")
+    files = files_of_parts(dealt, 8, path, rows=100_000)
+    stream = spark.readStream.schema(dealt.drop("part").schema).option("maxFilesPerTrigger", files).parquet(path)
     rows = run(stateful.assemble_lobs_stream(stream, "4000 days", 10**12))
     return rows.select("event_id", "text", "complete")
 

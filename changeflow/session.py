@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -46,6 +48,19 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+@contextlib.contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """The shuffle files of what runs in here, and of each batch of a stream that is started in here, go when it has run. Else
+    they stay until the driver happens to collect its garbage. What is read more than once must not be the shuffle itself."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write into the shared folder and read back, so that later jobs neither recompute nor depend on executors. The input
     is computed once."""

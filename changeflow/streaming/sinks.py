@@ -12,6 +12,7 @@ from pyspark.sql.types import BooleanType, StructField, StructType
 from changeflow.model import POSITION_FIELDS, position
 from changeflow.operators import apply
 from changeflow.operators.image import Key
+from changeflow.session import freed_shuffles
 from changeflow.streaming.store import BucketTable, Commits, State, query_id
 
 
@@ -47,7 +48,8 @@ def write_changes(
         out.parquet(folder)
 
     Commits(stream.sparkSession, path).begin(stream.schema)
-    return _start(stream.writeStream.foreachBatch(_committed(path, checkpoint, write)), checkpoint, available_now)
+    with freed_shuffles(stream.sparkSession):  # a batch is written once
+        return _start(stream.writeStream.foreachBatch(_committed(path, checkpoint, write)), checkpoint, available_now)
 
 
 def read_changes(spark: SparkSession, path: str, below: int | None = None) -> DataFrame:

@@ -7,6 +7,7 @@ from changeflow.plans import fixtures, stream_queries
 from changeflow.session import shared_dir
 from changeflow.sources import keyset
 from changeflow.streaming import sinks
+from changeflow.streaming.store import Files
 
 
 def plan_of(df) -> str:
@@ -87,3 +88,28 @@ def test_tasks_are_counted_by_rows(spark, monkeypatch, sf_dir):
     monkeypatch.setattr(fixtures, "TASK_ROWS", 50)
     orders = fixtures.table(spark, sf_dir, "orders")
     assert orders.rdd.getNumPartitions() == -(-orders.count() // 50)
+
+
+def test_texts_are_cut_in_one_pass(spark):
+    """Pieces by characters, whatever their bytes and lines; no piece is searched for in the whole text."""
+    texts = [(1, "x" * 7), (2, "a\nb\r\u2028\u0085é😀\U0001f600z" * 3), (3, ""), (4, None), (5, "abc"), (6, "ab\n\n\n\n")]
+    cut = fixtures.cut_into_chunks(spark.createDataFrame(texts, "doc_id long, text string"), 3)
+    got = sorted((r["event_id"], r["seq"], bytes(r["bytes"]).decode() if r["bytes"] is not None else None, r["is_end"]) for r in cut.collect())
+    want = [(i, k, t and t[3 * k : 3 * k + 3], k == max(0, -(-len(t or "") // 3) - 1)) for i, t in texts for k in range(max(1, -(-len(t or "") // 3)))]
+    assert got == want
+    assert "substring" not in plan_of(cut) and plan_of(cut).count("regexp_extract_all") == 1
+
+
+def test_parts_are_kept_once_and_shuffles_go(spark):
+    """Staged parts go as they are dealt out; the shuffle files of a stream's batches go with the batch."""
+    seen = spark.sparkContext._jsc.sc().env().mapOutputTracker().shuffleStatuses()
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting, before = spark.conf.get(name, None), seen.size()
+    rows = spark.range(1_000).select(F.col("id").alias("x"), (F.col("id") % 2).alias("part")).repartition(3)
+    path, out = shared_dir(spark, "once"), shared_dir(spark, "out")
+    files = stream_queries.files_of_parts(rows, 2, path, rows=100)
+    assert not [f for f in Files(spark, path).names(f"{path}-parts") if f.startswith("part=")]
+    stream = spark.readStream.schema("x long").option("maxFilesPerTrigger", files).parquet(path).repartition(5)
+    sinks.write_changes(stream, out, shared_dir(spark, "progress"), available_now=True).awaitTermination()
+    assert seen.size() <= before and spark.conf.get(name, None) == setting
+    assert sinks.read_changes(spark, out).agg(F.sum("x")).first()[0] == 499_500

@@ -1,5 +1,6 @@
 """Invariants of replay, snapshots and streams."""
 
+import pandas as pd
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
@@ -283,6 +284,114 @@ def test_lobs_of_a_stream_in_many_batches_equal_batch(spark):
     assert got == {(r["event_id"], r["col"], r["text"]) for r in want.collect()} and len(got) == 18
 
 
+class _Store:
+    """State and timers of one key, in memory. ``calls`` counts what would each be a round trip."""
+
+    def __init__(self):
+        self.value, self.map, self.timers, self.calls, self.watermark = None, {}, set(), 0, 0
+
+    def __getattr__(self, name):
+        does = {
+            "getValueState": lambda *a: self, "getMapState": lambda *a: self, "getCurrentWatermarkInMs": lambda: self.watermark,
+            "getExpiryTimeInMs": lambda: 0, "get": lambda: self.value, "update": lambda v: setattr(self, "value", v),
+            "clear": lambda: setattr(self, "value", None), "getValue": lambda k: self.map[k], "updateValue": self.map.__setitem__,
+            "removeKey": self.map.__delitem__, "registerTimer": self.timers.add, "deleteTimer": self.timers.remove,
+        }[name]
+
+        def call(*args):
+            self.calls += 1
+            return does(*args)
+
+        return call
+
+
+def _assembled(store, keep_ms, rows):
+    """One micro-batch of chunk rows for a bucket; returns what comes out."""
+    worker = stateful.Assembler(keep_ms, 1)
+    worker.init(store)
+    frame = pd.DataFrame(rows, columns=["event_id", "unnamed", "col", "type_name", "seq", "bytes", "is_end", "out_row_cols", "at_ms"])
+    out = [r for df in worker.handleInputRows((0,), iter([frame]), store) for r in df.itertuples(index=False, name=None)] if rows else []
+    for due in sorted(t for t in store.timers if t <= store.watermark):
+        out += [r for df in worker.handleExpiredTimer((0,), store, store) for r in df.itertuples(index=False, name=None)]
+        store.timers.discard(due)
+    return out
+
+
+def _piece(event, seq, last, at=0, col="C"):
+    return (event, False, col, "CLOB", seq, f"{event}.{seq};".encode(), seq == last, 1, at)
+
+
+def test_state_calls_of_a_bucket_do_not_grow_with_its_events():
+    def calls(events):
+        store, out = _Store(), []
+        for seq in range(4):
+            out += _assembled(store, 1000, [_piece(e, seq, 3) for e in range(events)])
+        assert sorted(out) == sorted((e, "C", "CLOB", "".join(f"{e}.{s};" for s in range(4)).encode(), True) for e in range(events))
+        assert not store.map and len(store.timers) == 1
+        return store.calls
+
+    assert calls(500) == calls(5) < 50
+
+
+def test_segments_of_held_chunks(monkeypatch):
+    """Many small segments, events that end in another order than they came, objects put together a few at a time."""
+    monkeypatch.setattr(stateful, "SEGMENT_BYTES", 40)
+    monkeypatch.setattr(stateful, "JOIN_BYTES", 60)
+    store, events = _Store(), range(30)
+    assert _assembled(store, 10**9, [_piece(e, s, 3) for e in events for s in (2, 0)]) == []
+    assert len(store.map) > 5
+    assert _assembled(store, 10**9, [_piece(e, 1, 3) for e in events] + [_piece(e, 0, 3) for e in events]) == []
+    out = []
+    for some in ([29, 3, 11], [e for e in events if e not in (29, 3, 11, 7)]):
+        out += _assembled(store, 10**9, [_piece(e, 3, 3) for e in some])
+    assert sorted(out) == [(e, "C", "CLOB", f"{e}.0;{e}.1;{e}.2;{e}.3;".encode(), True) for e in events if e != 7]
+    # what is left is the one open event; segments that it has no chunk in are gone, others have less of the ended events
+    assert 1 <= len(store.map) <= 3
+    assert _assembled(store, 10**9, [_piece(e, 0, 3) for e in (3, 11)]) == []  # they have ended and take no more
+    store.watermark = 10**10
+    assert _assembled(store, 10**9, []) == [(7, "C", "CLOB", b"7.0;7.1;7.2;", False)]
+    assert not store.map and not store.timers and store.value is None
+
+
+def test_events_of_a_bucket_expire_one_by_one():
+    """One timer for all: an event that is open, or has ended, goes at its own time; then it may begin anew."""
+    store = _Store()
+    assert _assembled(store, 100, [_piece(1, 0, 1, at=50), _piece(2, 0, 1, at=10), _piece(3, 0, 0, at=20)]) == [(3, "C", "CLOB", b"3.0;", True)]
+    assert store.timers == {110}
+    assert _assembled(store, 100, [_piece(2, 0, 1, at=60), _piece(3, 0, 0, at=90)]) == []  # 2 is due at 160 now, 3 stays at 120
+    store.watermark = 119
+    assert _assembled(store, 100, []) == [] and store.timers == {120}
+    store.watermark = 150
+    assert _assembled(store, 100, []) == [(1, "C", "CLOB", b"1.0;", False)] and store.timers == {160}
+    assert _assembled(store, 100, [_piece(3, 0, 0, at=155)]) == [(3, "C", "CLOB", b"3.0;", True)]
+    store.watermark = 160
+    assert _assembled(store, 100, []) == [(2, "C", "CLOB", b"2.0;", False)]
+    store.watermark = 255
+    assert _assembled(store, 100, []) == [] and store.value is None and not store.timers
+    with pytest.raises(ValueError, match="buckets"):
+        _assembled(store, 100, [_piece(1, 0, 1, at=300)])
+        other = stateful.Assembler(100, 2)
+        other.init(store)
+        list(other.handleExpiredTimer((0,), store, store))
+
+
+def test_lob_stream_of_few_buckets_equals_batch(spark):
+    """Many events share a bucket, its state and its timer over restarts; an event without a name is one of its own."""
+    cols = "event_id long, col string, type_name string, seq int, bytes binary, is_end boolean, out_row_cols int, commit_ts timestamp"
+    src, out, progress = (shared_dir(spark, x) for x in ("few", "few-out", "few-progress"))
+    big = 2**53
+    for seq in (1, 0, 2):
+        rows = [(big + e, "C", "CLOB", seq, f"{e}.{seq};".encode(), seq == 2, 1, 1000 + seq) for e in range(40) if e != 5 or seq < 2]
+        rows.append((None, "C", "BLOB", seq, bytes([seq]), seq == 2, 1, 1000 + seq))
+        df = spark.createDataFrame(rows, cols.replace("commit_ts timestamp", "at long"))
+        df.select("*", F.timestamp_seconds("at").alias("commit_ts")).drop("at").coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(cols).parquet(src)
+        sinks.write_changes(stateful.assemble_lobs_stream(stream, "1 hour", 10**6, buckets=3), out, progress, available_now=True).awaitTermination()
+    got = sorted((r["event_id"] - big, r["text"], r["complete"]) for r in sinks.read_changes(spark, out).filter("event_id IS NOT NULL").collect())
+    assert got == [(e, f"{e}.0;{e}.1;{e}.2;", True) for e in range(40) if e != 5]
+    assert [bytes(r["bytes"]) for r in sinks.read_changes(spark, out).filter("event_id IS NULL").collect()] == [b"\x00\x01\x02"]
+
+
 @pytest.mark.parametrize("parts", [1, 40])
 def test_chunks_follow_their_record(spark, sf_dir, parts):
     """Any cut of the log into ranges gives each chunk to the same record."""
