@@ -8,7 +8,7 @@ from changeflow.operators import apply
 from changeflow.plans import fixtures as fx
 from changeflow.plans.registry import CHG, ORACLES, STATE, query, state_at
 from changeflow.plans.state_queries import COLUMNS, PK, RESUME
-from changeflow.session import freed_shuffles, shared_dir
+from changeflow.session import freed_shuffles, held_settings, shared_dir
 from changeflow.sources.changelog import changelog_read, changelog_stream, changelog_write
 from changeflow.streaming import sinks, stateful
 from changeflow.streaming.store import Files
@@ -85,15 +85,16 @@ def files_of_parts(dealt: DataFrame, n: int, path: str, rows: int = FILE_ROWS) -
         parts = spark.read.schema(dealt.schema).parquet(staged)
         files = max(1, -(-(parts.groupBy("part").count().agg(F.max("count")).first()[0] or 0) // rows))
         plain = parts.drop("part")
-        for i in range(n):  # files are taken in the order of their times
-            rows_of = parts.filter(F.col("part") == i).drop("part")
-            # no shuffle where the staged files are many enough by themselves
-            in_files = rows_of.coalesce(files) if files == 1 or rows_of.rdd.getNumPartitions() >= files else rows_of.repartition(files)
-            in_files.write.mode("append").parquet(path, compression="zstd")
-            here.remove(f"{staged}/part={i}")
-            # a part of few rows has files without any
-            for _ in range((i + 1) * files - sum(name.endswith(".parquet") for name in here.names(path))):
-                plain.limit(0).coalesce(1).write.mode("append").parquet(path)
+        # the staged files are splits enough to be dealt out as they lie: a shuffle would cost more and part what belongs together
+        with held_settings(spark, {"spark.sql.files.minPartitionNum": str(2 * files)}):
+            for i in range(n):  # files are taken in the order of their times
+                rows_of = parts.filter(F.col("part") == i).drop("part")
+                in_files = rows_of.coalesce(files) if files == 1 or rows_of.rdd.getNumPartitions() >= files else rows_of.repartition(files)
+                in_files.write.mode("append").parquet(path, compression="zstd")
+                here.remove(f"{staged}/part={i}")
+                # a part of few rows has files without any
+                for _ in range((i + 1) * files - sum(name.endswith(".parquet") for name in here.names(path))):
+                    plain.limit(0).coalesce(1).write.mode("append").parquet(path)
     return files
 
 

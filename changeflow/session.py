@@ -49,16 +49,21 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 
 
 @contextlib.contextmanager
-def freed_shuffles(spark: SparkSession) -> Iterator[None]:
-    """The shuffle files of what runs in here, and of each batch of a stream that is started in here, go when it has run. Else
-    they stay until the driver happens to collect its garbage. What is read more than once must not be the shuffle itself."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, "true")
+def held_settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def freed_shuffles(spark: SparkSession) -> contextlib.AbstractContextManager[None]:
+    """The shuffle files of what runs in here, and of each batch of a stream that is started in here, go when it has run. Else
+    they stay until the driver happens to collect its garbage. What is read more than once must not be the shuffle itself."""
+    return held_settings(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"})
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
